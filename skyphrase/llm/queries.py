@@ -7,11 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .byte_bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
