@@ -5,7 +5,11 @@ values.  ``TREES`` independent trees start from one coordinate each; a node is t
 coordinate of its path.  A node of at most ``NODE`` sets is compared exhaustively on the vectors; a larger one
 branches by ``BRANCHES`` further coordinates, chosen by the node's own hash, down to ``DEPTH`` levels.  Nodes that
 are still larger then are compared in blocks: every pair of blocks is a cell of its own, so no pair is lost and no
-task grows with a node.  Candidate pairs are confirmed on the full shingle sets.
+task grows with a node.  Sets with a likely partner are compared again, node by node, on their full shingles.
+
+No step makes a row per pair.  The comparison of vectors gives the rows that have a partner; the exact comparison
+gives a spanning forest of each node's links, which leaves every component whole.  Links found by the first tree
+make clusters, and the other trees compare across clusters only, so a large group of near copies is done once.
 
 Recall: a link of Jaccard J meets in a given tree with probability J, so eight trees miss (1 - J)^8, under 2e-5 at
 0.75; links inside large nodes pass each further level with 1 - (1 - J)^2.  The vector estimate must be within
@@ -31,7 +35,7 @@ COORDS = 64
 TREES = 8
 BRANCHES = 2
 DEPTH = 4
-NODE = 64
+NODE = 1024
 SLACK = 0.25
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, COORDS, dtype=U64) | U64(1)
 
@@ -69,102 +73,134 @@ def sketch_rows(part: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def set_rows(part: pa.RecordBatch) -> pa.RecordBatch:
-    h, border = Words(col(part, "text"), fold=True).shingles(5)
-    d1, _ = digests(h, border)
-    return pa.RecordBatch.from_arrays([col(part, "cid"), pa.array(d1), binaries(h, border)], names=["cid", "d1", "shingles"])
+def own_set(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Drops rows whose text isn't that of the class: another row may bear the same doc_id."""
+    d1, _ = digests(*Words(col(part, "text"), fold=True).shingles(5))
+    return part.filter(pa.array(d1 == col(part, "cid").to_numpy()))
+
 
+def _nodes(batches, emit):
+    """Hands ``emit`` whole nodes of rows sorted by node: a table of several, and their borders."""
+    rest = None
+    for batch in batches:
+        own = pa.Table.from_batches([batch])
+        rows = own if rest is None else pa.concat_tables([rest, own])
+        node = rows["node"].to_numpy()
+        cut = np.flatnonzero(node[1:] != node[:-1]) + 1
+        upto = int(cut[-1]) if len(cut) else 0
+        rest = rows.slice(upto)
+        if upto:
+            yield from emit(rows.slice(0, upto).combine_chunks(), np.concatenate([[0], cut]))
+    if rest is not None and rest.num_rows:
+        yield from emit(rest.combine_chunks(), np.array([0, rest.num_rows]))
 
-def compare_nodes(threshold: float):
-    """mapInArrow over rows sorted by node within partitions: pairs of a node whose vectors agree well enough."""
 
-    def pairs(cid: np.ndarray, n: np.ndarray, side: np.ndarray, vec: np.ndarray, out: list) -> None:
-        for k in range(len(cid) - 1):
-            n2 = n[k + 1 :]
-            fits = np.minimum(n2, n[k]) >= threshold * np.maximum(n2, n[k])
+def alike_in_nodes(threshold: float):
+    """mapInArrow: rows (node, cid) that have a partner in their node, of another cluster, with an agreeing vector."""
+
+    def partners(n, cluster, side, vec) -> np.ndarray:
+        hit = np.zeros(len(n), dtype=bool)
+        for k in range(len(n) - 1):
+            fits = (np.minimum(n[k + 1 :], n[k]) >= threshold * np.maximum(n[k + 1 :], n[k])) & (cluster[k + 1 :] != cluster[k])
             if side[k] >= 0:  # a cell of two blocks compares across them only
                 fits &= side[k + 1 :] != side[k]
-            if not fits.any():
-                continue
-            fits &= (vec[k + 1 :] == vec[k]).mean(axis=1) >= threshold - SLACK
-            for other in cid[k + 1 :][fits].tolist():
-                own = int(cid[k])
-                if own != other:
-                    out.append((own, other) if own < other else (other, own))
-
-    def run(batches):
-        rest = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            node = rows["node"].to_numpy()
-            cut = np.flatnonzero(node[1:] != node[:-1]) + 1
-            upto = int(cut[-1]) if len(cut) else 0
-            rest = rows.slice(upto)
-            if upto:
-                yield from emit(rows.slice(0, upto), np.concatenate([[0], cut]))
-        if rest is not None and rest.num_rows:
-            yield from emit(rest, np.array([0, rest.num_rows]))
+            at = np.flatnonzero(fits)
+            if len(at):
+                at = at[(vec[k + 1 + at] == vec[k]).mean(axis=1) >= threshold - SLACK]
+                if len(at):
+                    hit[k] = True
+                    hit[k + 1 + at] = True
+        return hit
 
     def emit(rows: pa.Table, border: np.ndarray):
-        cid, n, side = rows["cid"].to_numpy(), rows["n"].to_numpy(), rows["side"].to_numpy()
-        packed = rows["sketch"].combine_chunks()
-        vec = np.frombuffer(b"".join(packed.to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
-        out: list = []
+        cluster, n, side = rows["cluster"].to_numpy(), rows["n"].to_numpy(), rows["side"].to_numpy()
+        vec = np.frombuffer(b"".join(rows["sketch"].to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
+        hit = np.zeros(len(n), dtype=bool)
         for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
             if b - a > 1:
-                pairs(cid[a:b], n[a:b], side[a:b], vec[a:b], out)
-        if out:
-            out = list(set(out))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+                hit[a:b] = partners(n[a:b], cluster[a:b], side[a:b], vec[a:b])
+        if hit.any():
+            yield from rows.select(["node", "cid"]).filter(pa.array(hit)).to_batches()
+
+    return lambda batches: _nodes(batches, emit)
 
-    return run
 
+def links_in_nodes(percent: int):
+    """mapInArrow: exact links of each node's full sets, thinned to a spanning forest of the node."""
+
+    def emit(rows: pa.Table, border: np.ndarray):
+        cid, text = rows["cid"].to_numpy(), rows["text"].chunk(0)
+        out: list[tuple[int, int]] = []
+        for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
+            h, at = Words(text.slice(a, b - a), fold=True).shingles(5)
+            out += [(int(cid[a + x]), int(cid[a + y])) for x, y in forest(h, at, percent) if cid[a + x] != cid[a + y]]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-def confirm(percent: int):
-    """Keeps pairs with 100 * intersection >= percent * union, on the full sets."""
+    return lambda batches: _nodes(batches, emit)
 
-    def run(batches):
-        for batch in batches:
-            left, right, keep = col(batch, "sa"), col(batch, "sb"), []
-            for k in range(batch.num_rows):
-                x, y = np.frombuffer(left[k].as_buffer(), dtype=U64), np.frombuffer(right[k].as_buffer(), dtype=U64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                common = int((y[at] == x).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return run
+def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links 100 * |intersection| >= percent * |union| between sets, exactly."""
+    size = np.diff(border)
+    many = len(size)
+    _, ids, df = np.unique(h, return_inverse=True, return_counts=True)
+    shared = df > 1
+    rank = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(many), size)
+    keep = shared[ids]
+    row, ids = row[keep], rank[ids[keep]]
+    order = np.argsort(ids, kind="stable")
+    row, ids = row[order], ids[order]
+    common = np.zeros((many, many), dtype=np.float32)
+    for lo in range(0, int(shared.sum()), 1024):
+        x, y = np.searchsorted(ids, [lo, lo + 1024])
+        has = np.zeros((many, 1024), dtype=np.float32)
+        has[row[x:y], ids[x:y] - lo] = 1
+        common += has @ has.T
+    common = common.astype(np.int64)
+    linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+    linked &= (size > 0)[:, None]
+    out, left = [], np.ones(many, dtype=bool)
+    for start in range(many):
+        if not left[start]:
+            continue
+        left[start] = False
+        todo = [start]
+        while todo:
+            own = todo.pop()
+            for other in np.flatnonzero(linked[own] & left).tolist():
+                left[other] = False
+                out.append((own, other))
+                todo.append(other)
+    return out
 
 
 def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int) -> DataFrame:
-    """Leaf rows (node, cid, side); side tells the two blocks of a cell apart, -1 in an ordinary node."""
+    """Leaf rows (tree, node, cid, side); side tells the two blocks of a cell apart, -1 in an ordinary node."""
     value = lambda c: F.expr(f"substring(sketch, {4 * c} + 1, 4)")
     pick = lambda k: F.expr(f"substring(sketch, 4 * cast(pmod(xxhash64(node, {k}), {COORDS}) as int) + 1, 4)")
-    rows = classes.select(F.posexplode(F.array(*[F.xxhash64(F.lit(t), value(t)) for t in range(TREES)])).alias("tree", "node"), "cid").drop("tree")
-    leaves, spent = [], []
+    rows = classes.select(F.posexplode(F.array(*[F.xxhash64(F.lit(t), value(t)) for t in range(TREES)])).alias("tree", "node"), "cid")
+    leaves = []
     for level in range(depth + 1):
         size = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = scratch.write(rows.join(size, "node"))
-        leaves.append(sized.where(F.col("size") <= node_limit).select("node", "cid", F.lit(-1).alias("side")))
+        sized = scratch.write(rows.join(size, "node").select("tree", "node", "cid", "size"))
+        leaves.append(sized.where(F.col("size") <= node_limit).select("tree", "node", "cid", F.lit(-1).alias("side")))
         large = sized.where(F.col("size") > node_limit)
-        spent.append(sized)
         if large.isEmpty():
             break
         if level < depth:
             rows = large.join(classes.select("cid", "sketch"), "cid").select(
-                F.explode(F.array(*[F.xxhash64("node", F.lit(k), pick(k)) for k in range(BRANCHES)])).alias("node"), "cid"
-            ).distinct()
+                "tree", F.explode(F.array(*[F.xxhash64("node", F.lit(k), pick(k)) for k in range(BRANCHES)])).alias("node"), "cid"
+            )
         else:
             blocks = F.ceil(F.col("size") / (node_limit // 2)).cast("int")
             own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-            cells = large.select("node", "cid", blocks.alias("blocks"), own.alias("own")).select(
-                "node", "cid", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+            cells = large.select("tree", "node", "cid", blocks.alias("blocks"), own.alias("own")).select(
+                "tree", "node", "cid", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
             )
             leaves.append(cells.select(
-                F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid",
+                "tree", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid",
                 F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"),
             ))
     out = leaves[0]
@@ -175,8 +211,7 @@ def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int
 
 def near_duplicates(docs: DataFrame, percent: int = 75, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = scratch.write(texts.mapInArrow(by_slice(sketch_rows), "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"))
     member = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
@@ -184,21 +219,39 @@ def near_duplicates(docs: DataFrame, percent: int = 75, node_limit: int = NODE,
         sketches.where(member).groupBy(F.col("d1").alias("cid"), "d2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     )
     leaves = tree_nodes(classes, scratch, node_limit, depth)
-    inside = leaves.join(classes.select("cid", "n", "sketch"), "cid").repartition("node").sortWithinPartitions("node")
-    pairs = scratch.write(inside.mapInArrow(compare_nodes(percent / 100), "a long, b long").distinct())
-    wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    readers = wanted.join(classes.select("cid", "rep"), "cid")
-    # the text of the class's own representative: its digest tells it from another row of the same doc_id
-    found = texts.join(readers, texts.doc_id == readers.rep).select("cid", "text")
-    sets = scratch.write(found.mapInArrow(by_slice(set_rows), "cid long, d1 long, shingles binary").where("cid = d1").dropDuplicates(["cid"]).select("cid", "shingles"))
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(confirm(percent), "a long, b long")
-    comp = components(links, scratch)
-    linked = comp.join(classes.select(F.col("cid").alias("node"), "rep"), "node").select("node", "root", "rep")
-    linked = linked.unionByName(comp.select(F.col("root").alias("node")).distinct().join(classes.select(F.col("cid").alias("node"), "rep"), "node").select("node", F.col("node").alias("root"), "rep"))
-    least = linked.groupBy("root").agg(F.min("rep").alias("component"))
-    named = linked.join(least, "root").select(F.col("node").alias("cid"), "component")
+
+    def alike(rows: DataFrame, clusters: DataFrame | None) -> DataFrame:
+        """Rows of the nodes that may have a link to another cluster."""
+        vectors = classes.select("cid", "n", "sketch", F.col("cid").alias("cluster"))
+        if clusters is not None:
+            vectors = vectors.drop("cluster").join(clusters, "cid", "left").withColumn("cluster", F.coalesce("cluster", "cid"))
+        inside = rows.join(vectors, "cid").select("node", "cid", "n", "side", "cluster", "sketch")
+        return scratch.write(inside.repartition("node").sortWithinPartitions("node").mapInArrow(alike_in_nodes(percent / 100), "node long, cid long"))
+
+    def fetch(rows: DataFrame) -> DataFrame:
+        """(cid, text) of the classes in ``rows``: of a row that bears the class's least doc_id and its very set."""
+        wanted = rows.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
+        found = texts.join(wanted, texts.doc_id == wanted.rep).select("cid", "text")
+        return scratch.write(found.mapInArrow(by_slice(own_set), "cid long, text string").dropDuplicates(["cid"]))
+
+    def links(rows: DataFrame, bodies: DataFrame) -> DataFrame:
+        inside = rows.join(bodies, "cid").select("node", "cid", "text")
+        return scratch.write(inside.repartition("node").sortWithinPartitions("node").mapInArrow(links_in_nodes(percent), "a long, b long").distinct())
+
+    # The first tree joins most near copies into clusters; the others then look for links between clusters only.
+    first = alike(leaves.where("tree = 0"), None)
+    bodies = fetch(first)
+    found = links(first, bodies)
+    clusters = components(found, scratch)
+    clusters = scratch.write(clusters.select(F.col("node").alias("cid"), F.col("root").alias("cluster")))
+    later = alike(leaves.where("tree > 0"), clusters)
+    new = fetch(later.join(bodies.select("cid"), "cid", "left_anti"))
+    found = found.unionByName(links(later, bodies.unionByName(new)))
+    comp = components(found, scratch)
+    roots = comp.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
+    named = comp.unionByName(roots).join(classes.select(F.col("cid").alias("node"), "rep"), "node")
+    least = named.groupBy("root").agg(F.min("rep").alias("component"))
+    named = named.join(least, "root").select(F.col("node").alias("cid"), "component")
     owners = classes.select("cid", "rep").join(named, "cid", "left").select(F.col("cid").alias("d1"), F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "d1").join(owners, "d1", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
