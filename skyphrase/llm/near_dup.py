@@ -35,7 +35,8 @@ COORDS = 64
 TREES = 8
 BRANCHES = 2
 DEPTH = 4
-NODE = 1024
+NODE = 4096
+_COMMON = 64
 SLACK = 0.25
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, COORDS, dtype=U64) | U64(1)
 
@@ -145,22 +146,25 @@ def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, i
     size = np.diff(border)
     many = len(size)
     _, ids, df = np.unique(h, return_inverse=True, return_counts=True)
-    shared = df > 1
-    rank = np.cumsum(shared) - 1
     row = np.repeat(np.arange(many), size)
-    keep = shared[ids]
-    row, ids = row[keep], rank[ids[keep]]
     order = np.argsort(ids, kind="stable")
-    row, ids = row[order], ids[order]
+    row, ids, df = row[order], ids[order], df[ids[order]]
     common = np.zeros((many, many), dtype=np.float32)
-    for lo in range(0, int(shared.sum()), 1024):
-        x, y = np.searchsorted(ids, [lo, lo + 1024])
-        has = np.zeros((many, 1024), dtype=np.float32)
-        has[row[x:y], ids[x:y] - lo] = 1
+    # shingles of few sets: their pairs one by one; of many sets: a product of incidence matrices, in blocks
+    few = df < _COMMON
+    r, i = row[few & (df > 1)], ids[few & (df > 1)]
+    for k in range(1, _COMMON - 1):
+        at = np.flatnonzero(i[k:] == i[:-k]) if k < len(i) else ()
+        if not len(at):
+            break
+        np.add.at(common, (r[at], r[at + k]), 1)
+    common += common.T
+    r, i = row[~few], np.cumsum(np.concatenate([[0], np.diff(ids[~few]) > 0])) if not few.all() else ids[:0]
+    for lo in range(0, int(i[-1]) + 1 if len(i) else 0, 512):
+        x, y = np.searchsorted(i, [lo, lo + 512])
+        has = np.zeros((many, 512), dtype=np.float32)
+        has[r[x:y], i[x:y] - lo] = 1
         common += has @ has.T
-    common = common.astype(np.int64)
-    linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
-    linked &= (size > 0)[:, None]
     out, left = [], np.ones(many, dtype=bool)
     for start in range(many):
         if not left[start]:
@@ -169,7 +173,9 @@ def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, i
         todo = [start]
         while todo:
             own = todo.pop()
-            for other in np.flatnonzero(linked[own] & left).tolist():
+            shared = common[own].astype(np.int64)
+            linked = left & (shared > 0) & (100 * shared >= percent * (size[own] + size - shared))
+            for other in np.flatnonzero(linked).tolist():
                 left[other] = False
                 out.append((own, other))
                 todo.append(other)
