@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality
+
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality(table(spark, sf_dir, "documents"), trusted)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .byte_bpe import round_trip
 
@@ -19,11 +26,35 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_dedup import repeated_spans
+
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .site_quality import site_quality
+
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
