@@ -128,60 +128,50 @@ def posteriors(scored: DataFrame, scratch: Scratch) -> tuple[DataFrame, float, f
     mean = min(max(total["s"] / total["n"], 1e-6), 1 - 1e-6)
     h = hosts.agg(F.sum(F.expr(f"host_n * pow(host_sum / host_n - {mean!r}D, 2)")).alias("v")).first()
     host_strength = strength(mean, h["v"] / total["n"], mean * (1 - mean) * total["k"] / total["n"])
-    means = hosts.select("host", F.expr(f"(host_sum + {host_strength!r}D * {mean!r}D) / (host_n + {host_strength!r}D)").alias("host_mean"))
-    sites = paths.join(means, paths.host.eqNullSafe(means.host)).select(paths.host, "path", "host_mean", "path_n", "path_sum")
+    means = hosts.select(F.col("host").alias("of"), F.expr(f"(host_sum + {host_strength!r}D * {mean!r}D) / (host_n + {host_strength!r}D)").alias("host_mean"))
+    sites = paths.join(means, F.expr("host <=> of")).select("host", "path", "host_mean", "path_n", "path_sum")
     p = sites.agg(F.sum(F.expr("path_n * pow(path_sum / path_n - host_mean, 2)")).alias("v"), F.count("*").alias("k")).first()
     return sites, mean, strength(mean, p["v"] / total["n"], mean * (1 - mean) * p["k"] / total["n"])
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
-    """All columns of ``docs`` with _host_mean, _path_mean, _doc_score, _quality (posterior, 0 to 1) and _kept."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    weights = fit(texts, labels, sample)
-    narrow = docs.select(F.col(host).alias("host"), F.col(path).alias("path"), F.col("text").cast("string").alias("text"))
+def judged(scored: DataFrame, scratch: Scratch, sites_of: DataFrame) -> DataFrame:
+    """Adds _host_mean, _path_mean, _doc_score, _quality and _kept to rows with _host, _path and _logit.
+
+    ``sites_of`` has the _host, _path and _logit of all documents.
+    """
     p = F.expr("1 / (1 + exp(-_logit))")
-    scored = evidence(narrow, weights).select("host", "path", p.alias("p"))
-    sites, mean, kappa = posteriors(scored, scratch)
-    sites = sites.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("host_mean").alias("_host_mean"), F.col("path_n").alias("_n"), F.col("path_sum").alias("_s"))
-    own = evidence(docs, weights).withColumn("_doc_score", p)
-    joined = own.join(sites, own[host].eqNullSafe(sites["_host"]) & own[path].eqNullSafe(sites["_path"]), "left")
+    sites, mean, kappa = posteriors(sites_of.select(F.col("_host").alias("host"), F.col("_path").alias("path"), p.alias("p")), scratch)
+    sites = sites.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("host_mean").alias("_host_mean"), F.col("path_n").alias("_n"), F.col("path_sum").alias("_s"))
+    out = scored.join(sites, F.expr("_host <=> _h and _path <=> _p"), "left").withColumn("_doc_score", p)
     # the path's posterior without the document itself
     path_mean = F.expr(f"(_s - _doc_score + {kappa!r}D * _host_mean) / (_n - 1 + {kappa!r}D)")
-    path_mean = F.least(F.greatest(path_mean, F.lit(1e-6)), F.lit(1 - 1e-6))
-    base = float(np.log(mean / (1 - mean)))
-    joined = joined.withColumn("_path_mean", path_mean)
-    lift = F.log(F.col("_path_mean") / (1 - F.col("_path_mean"))) - F.lit(base)
-    odds = F.col("_logit") + F.lit(SITE_WEIGHT) * F.coalesce(lift, F.lit(0.0))
-    joined = joined.withColumn("_quality", 1 / (1 + F.exp(-odds))).withColumn("_kept", F.col("_quality") >= 0.5)
-    return joined.drop("_host", "_path", "_n", "_s", "_logit")
+    out = out.withColumn("_path_mean", F.least(F.greatest(path_mean, F.lit(1e-6)), F.lit(1 - 1e-6)))
+    lift = F.log(F.col("_path_mean") / (1 - F.col("_path_mean"))) - F.lit(float(np.log(mean / (1 - mean))))
+    out = out.withColumn("_quality", 1 / (1 + F.exp(-(F.col("_logit") + F.lit(SITE_WEIGHT) * lift))))
+    return out.withColumn("_kept", F.col("_quality") >= 0.5).drop("_h", "_p", "_n", "_s")
 
 
-def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, host, path, doc_score, host_posterior, path_posterior, quality, kept) for every row."""
-    spark = docs.sparkSession
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(host).alias("host"), F.col(path).alias("path"))
-    scratch = Scratch(spark)
-    weights = fit(narrow.select("doc_id", "text"), labels, sample)
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        logit = np.clip(features(col(part, "text")) @ weights[:-1] + weights[-1], -12, 12)
-        return pa.RecordBatch.from_arrays([col(part, "doc_id"), col(part, "host"), col(part, "path"), pa.array(logit)], names=["doc_id", "host", "path", "_logit"])
+def _sited(docs: DataFrame, host: str, path: str) -> DataFrame:
+    return docs.withColumn("_host", F.col(host).cast("string")).withColumn("_path", F.col(path).cast("string"))
 
-    kinds = dict(narrow.dtypes)
-    once = scratch.write(narrow.mapInArrow(by_slice(work), f"doc_id long, host {kinds['host']}, path {kinds['path']}, _logit double"))
-    return _combine(once, scratch)
 
+def good_documents(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns.  Texts are read twice rather than shuffled."""
+    scratch = Scratch(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    weights = fit(texts, labels, sample)
+    rows = _sited(docs, host, path)
+    narrow = scratch.write(evidence(rows.select("_host", "_path", "text"), weights).drop("text"))
+    return judged(evidence(rows, weights), scratch, narrow).where("_kept").select(*docs.columns)
 
-def _combine(once: DataFrame, scratch: Scratch) -> DataFrame:
-    p = F.expr("1 / (1 + exp(-_logit))")
-    sites, mean, kappa = posteriors(once.select("host", "path", p.alias("p")), scratch)
-    sites = sites.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_mean", "path_n", "path_sum")
-    out = once.withColumn("doc_score", p)
-    out = out.join(sites, out.host.eqNullSafe(sites["_host"]) & out.path.eqNullSafe(sites["_path"]), "left")
-    path_mean = F.expr(f"(path_sum - doc_score + {kappa!r}D * host_mean) / (path_n - 1 + {kappa!r}D)")
-    out = out.withColumn("path_posterior", F.least(F.greatest(path_mean, F.lit(1e-6)), F.lit(1 - 1e-6)))
-    base = float(np.log(mean / (1 - mean)))
-    odds = F.col("_logit") + F.lit(SITE_WEIGHT) * (F.log(F.col("path_posterior") / (1 - F.col("path_posterior"))) - F.lit(base))
-    out = out.withColumn("quality", 1 / (1 + F.exp(-odds)))
-    return out.select("doc_id", "host", "path", "doc_score", F.col("host_mean").alias("host_posterior"), "path_posterior", "quality", (F.col("quality") >= 0.5).alias("kept"))
+
+def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, host, path, doc_score, host_posterior, path_posterior, quality, kept) for every row."""
+    scratch = Scratch(docs.sparkSession)
+    rows = _sited(docs, host, path).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "_host", "_path")
+    weights = fit(rows.select("doc_id", "text"), labels, sample)
+    once = scratch.write(evidence(rows, weights).drop("text"))
+    return judged(once, scratch, once).select(
+        "doc_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_doc_score").alias("doc_score"),
+        F.col("_host_mean").alias("host_posterior"), F.col("_path_mean").alias("path_posterior"), F.col("_quality").alias("quality"), F.col("_kept").alias("kept"),
+    )
