@@ -36,4 +36,6 @@ FROM x JOIN y USING (g) JOIN b_s ON b_s.id = y.id GROUP BY x.id, y.id HAVING 100
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS}
+    from .licenses import oracle as licenses
+
+    return {"op9_license_scan": licenses(), "op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS}

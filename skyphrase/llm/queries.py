@@ -50,6 +50,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .site_quality import site_quality
 
