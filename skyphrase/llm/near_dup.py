@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from .common import Scratch, binaries, by_slice, col
 from .graph import components
@@ -217,6 +218,10 @@ def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int
 
 def near_duplicates(docs: DataFrame, percent: int = 75, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    return _judged(docs, percent, node_limit, depth).drop("d1")
+
+
+def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = scratch.write(texts.mapInArrow(by_slice(sketch_rows), "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"))
@@ -262,4 +267,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, node_limit: int = NODE,
     out = sketches.select("doc_id", "n_shingles", "d1").join(owners, "d1", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "d1", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns; of repeated rows of a kept doc_id with the same words, one.
+
+    Rows with no words are each their own component and stay, as do rows with a null doc_id.  Texts meet only ids in
+    the joins; doc_ids that several rows bear are told apart by the digests of their texts.
+    """
+    scratch = Scratch(docs.sparkSession)
+    judged = scratch.write(_judged(docs, percent).where("doc_id is not null and n_shingles > 0"))
+    by_id = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
+    unsure = by_id.where("_rows > 1").select("_id")
+    out = docs.join(by_id.where("_rows > 1 or not _kept").select("_id"), docs["doc_id"] == F.col("_id"), "left_anti")
+    if unsure.isEmpty():
+        return out
+
+    def with_digest(part: pa.RecordBatch) -> pa.RecordBatch:
+        h, border = Words(col(part, "text"), fold=True).shingles(5)
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(digests(h, border)[0]), pa.array(np.diff(border))], names=[*part.schema.names, "_d1", "_n"])
+
+    schema = StructType([*docs.schema.fields]).add("_d1", LongType()).add("_n", LongType())
+    rows = docs.join(unsure, docs["doc_id"] == F.col("_id"), "left_semi").mapInArrow(by_slice(with_digest), schema)
+    kept = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_key")).distinct()
+    same = rows.where("_n > 0").join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_d1") == F.col("_key")), "left_semi").dropDuplicates(["doc_id", "_d1"])
+    return out.unionByName(same.select(*docs.columns)).unionByName(rows.where("_n = 0").select(*docs.columns))

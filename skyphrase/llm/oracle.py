@@ -37,5 +37,6 @@ FROM x JOIN y USING (g) JOIN b_s ON b_s.id = y.id GROUP BY x.id, y.id HAVING 100
 
 def oracle_sql() -> dict[str, str]:
     from .licenses import oracle as licenses
+    from .url_lists import oracle as url_lists
 
-    return {"op9_license_scan": licenses(), "op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS}
+    return {"op3_url_lists": url_lists(), "op9_license_scan": licenses(), "op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS}

@@ -20,6 +20,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_lists import filter_urls, page_captures, page_list
+
+    pages = table(spark, sf_dir, "pages")
+    out = filter_urls(page_captures(pages), page_list(pages))
+    return out.withColumn("fetched", out["fetched"].cast("string"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dup import near_duplicates
 
