@@ -40,7 +40,8 @@ def region(icao: Column, country: Column) -> Column:
 def _bundled(spark: SparkSession, name: str, schema: str) -> DataFrame:
     """A small table of the package, read by the driver: executors needn't have the file."""
     with (RESOURCES / name).open(newline="", encoding="utf-8") as lines:
-        return spark.createDataFrame(list(csv.reader(lines))[1:], schema)
+        rows = list(csv.reader(line for line in lines if not line.startswith("#")))
+        return spark.createDataFrame(rows[1:], schema)
 
 
 def airports(spark: SparkSession, path: str | None = None) -> DataFrame:
