@@ -1,13 +1,13 @@
 """Quality rules: base counts, and a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words and word pairs of every text fall into ``BUCKETS`` hash buckets.  Two multinomials are estimated with add-one
-smoothing: the raw one over all documents, the target one over all documents with a trusted label.  A document's
+smoothing: the raw one over all documents, the target one over at most ``TRUSTED`` documents with a trusted label
+(those whose ids hash least).  A document's
 score is the mean of log(target / raw) over its n-grams, so it doesn't depend on length, and every document is
 decided by the same fixed threshold, in nats per n-gram.
 
 Each task adds up its own counts before anything is shuffled; the model that is collected and broadcast has
-``BUCKETS`` doubles whatever the corpus.  Labels meet documents in a join on doc_id that Spark broadcasts only below
-its own size threshold.
+``BUCKETS`` doubles whatever the corpus.  The trusted ids are bounded, so they are broadcast and no text is shuffled.
 
 Edge cases: null and empty texts have no words, fail the base and aren't kept; repeated rows count as often as they
 stand; a label that occurs more than once counts once; null labels or doc_ids match nothing; with no trusted
@@ -27,6 +27,7 @@ from .textops import Words
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.08
+TRUSTED = 20_000
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -60,10 +61,11 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + n)) - np.log((raw + 1) / (raw.sum() + n))
 
 
-def fit(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
+def fit(docs: DataFrame, trusted: DataFrame, most: int = TRUSTED) -> np.ndarray:
     """The log ratio of each bucket; ``trusted`` has the doc_ids of the target."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("trusted", F.lit(True))
-    marked = docs.join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("trusted", F.lit(True))
+    marked = docs.join(F.broadcast(ids), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counts = marked.mapInArrow(count_task, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     total = np.zeros((2, BUCKETS))
     for r in counts.collect():  # at most BUCKETS rows
