@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, LongType, StructType
 
 
 def _little(data: Column, at: int, size: int) -> Column:
@@ -38,7 +39,7 @@ def decode_wav(data: bytes) -> tuple[np.ndarray, int] | None:
         return None
 
 
-@pandas_udf("struct<seconds double, rate bigint, rms double>")
+@pandas_udf(StructType().add("seconds", DoubleType()).add("rate", LongType()).add("rms", DoubleType()))
 def measure(data: pd.Series) -> pd.DataFrame:
     """Seconds, sample rate and root mean square of each clip; nulls where it can't be read."""
     rows = []

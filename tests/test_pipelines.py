@@ -1,0 +1,212 @@
+import io
+import json
+import math
+import wave
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skyphrase import config
+from skyphrase.functions import audio, ids
+from skyphrase.operators import lookups, select
+from skyphrase.plans import generate, voices
+from skyphrase.plans.scenario import Sampler
+from skyphrase.sinks.shards import FingerprintMismatch, Manifest, ShardSink, notice
+from skyphrase.sources import corpora, registry, replay
+from skyphrase.streaming import turns_stream
+
+
+def tone(seconds, amplitude=0.3, rate=8000, channels=1):
+    samples = (amplitude * np.sin(np.arange(int(seconds * rate)) * 2 * math.pi * 440 / rate) * 32767).astype("<i2")
+    out = io.BytesIO()
+    with wave.open(out, "wb") as clip:
+        clip.setnchannels(channels), clip.setsampwidth(2), clip.setframerate(rate)
+        clip.writeframes(np.repeat(samples, channels).tobytes())
+    return out.getvalue()
+
+
+def test_shards_rotate_resume_and_refuse(spark, tmp_path):
+    out = (tmp_path / "o").as_uri()
+    sink = ShardSink(spark, out, 5, {"fingerprint": "f", "seed": 1})
+    assert sink.append(spark.range(12).withColumn("name", F.lit("x")), "id") == 12
+    assert sink.shards() == ["shard-000000.parquet", "shard-000001.parquet", "shard-000002.parquet"]
+    assert [spark.read.parquet(f"{out}/{s}").count() for s in sink.shards()] == [5, 5, 2]
+    again = ShardSink(spark, out, 5, {"fingerprint": "f", "seed": 1})
+    assert again.append(spark.range(12, 15).withColumn("name", F.lit("y")), "id") == 3
+    manifest = Manifest.load((tmp_path / "o" / "manifest.json").read_text())
+    assert (manifest.total_rows, manifest.last_shard_index, manifest.meta["fingerprint"]) == (15, 3, "f")
+    assert sorted(r[0] for r in again.existing().select("id").collect()) == list(range(15))
+    with pytest.raises(FingerprintMismatch):
+        ShardSink(spark, out, 5, {"fingerprint": "g", "seed": 1})
+    with pytest.raises(FileExistsError):
+        ShardSink(spark, out, 5, resume=False)
+    assert ShardSink(spark, out, 5, {"fingerprint": "g"}, overwrite=True).shards() == []
+    assert [p.name for p in (tmp_path / "o").glob(".commit*")] == [] if (tmp_path / "o").exists() else True
+
+
+def test_failures_round_trip(spark, tmp_path):
+    out = (tmp_path / "f").as_uri()
+    sink = ShardSink(spark, out, 5)
+    failed = Sampler(spark, config.load(), 1).rows(2).select("scenario_id", "scenario", F.lit("ValueError: x").alias("error"), F.lit("t").alias("at"))
+    sink.add_failures(failed)
+    good, bad = replay.failures(spark, f"{out}/failures.jsonl")
+    assert good.count() == 2 and bad.count() == 0
+    assert {r[0] for r in good.select(ids.scenario_id(F.col("scenario"))).collect()} == {r["scenario_id"] for r in good.collect()}
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "a.jsonl").write_text('not json\n\n{"scenario_id": "x"}\n')
+    good, bad = replay.failures(spark, (tmp_path / "odd").as_uri())
+    assert good.count() == 0 and bad.count() == 2
+    assert replay.inspect(spark, out) == {"shards": 0, "rows": 0, "failures": 2}
+    assert sink.rotate_failures().startswith("failures.2") and sink.rotate_failures() is None
+
+
+def test_generation_with_stub(spark):
+    rows = Sampler(spark, config.load(), 5).rows(60)
+    settings = generate.RunConfig(model="stub", count=60, concurrency=4)
+    answered = generate.answers(rows, settings, generate.stub_client).persist()
+    good, failed = generate.outcomes(answered, settings)
+    assert good.count() + failed.count() == 60 and failed.count() > 0
+    assert all(r["error"].startswith("TranscriptParseError: only 0 turns parsed") for r in failed.collect())
+    assert good.first()["turns"][0]["speaker"] == "ATC"
+    answered.unpersist()
+
+
+def test_failing_client_is_the_rows_result(spark):
+    def broken(settings):
+        def ask(messages):
+            raise generate.TransportError("status 400", 400)
+
+        return ask
+
+    settings = generate.RunConfig(model="m", count=3, concurrency=2)
+    good, failed = generate.outcomes(generate.answers(Sampler(spark, config.load(), 5).rows(3), settings, broken), settings)
+    assert good.count() == 0 and {r["error"] for r in failed.collect()} == {"TransportError: status 400"}
+
+
+def test_retries():
+    waits, calls = [], []
+
+    def call():
+        calls.append(1)
+        if len(calls) < 3:
+            raise generate.TransportError("busy", 503)
+        return "ok"
+
+    assert generate.with_retries(call, 5, waits.append) == "ok" and waits == [1.0, 2.0]
+    with pytest.raises(generate.TransportError):
+        generate.with_retries(lambda: (_ for _ in ()).throw(generate.TransportError("no", 500)), 3, waits.append)
+
+
+def test_wav_header_and_loudness(spark):
+    data = [(1, tone(2.5)), (2, tone(1, channels=2)), (3, b"RIFF"), (4, None), (5, tone(1, amplitude=0.0))]
+    df = spark.createDataFrame(data, "k int, b binary")
+    got = {r["k"]: r for r in df.select("k", audio.wav_seconds(F.col("b")).alias("s"), audio.measure("b").alias("m")).collect()}
+    assert got[1]["s"] == 2.5 and got[2]["s"] == 1.0 and got[3]["s"] is None and got[4]["s"] is None
+    assert abs(got[1]["m"]["rms"] - 0.3 / math.sqrt(2)) < 1e-3 and got[2]["m"]["rate"] == 8000 and got[3]["m"]["seconds"] is None and got[5]["m"]["rms"] == 0
+
+
+@pytest.mark.parametrize(("seconds", "rms", "ok"), [(20.0, 0.1, True), (30.0, 0.1, True), (19.99, 0.1, False), (30.01, 0.1, False), (25.0, 0.0, False), (25.0, 0.001, False), (None, 0.1, False)])
+def test_acceptance_bounds(spark, seconds, rms, ok):
+    df = spark.createDataFrame([(seconds, rms)], "s double, r double")
+    assert df.select(audio.accepted(F.col("s"), F.col("r"))).first()[0] is ok
+
+
+def test_longest_clip_per_speaker(spark):
+    clips = [("1034", "a", 5), ("1034", "b", 22), ("1034", "c", 12), ("1035", "d", 18), ("1036", "e", 45), ("1035", "f", 18)]
+    rows = [(k, s, i, "t", (tone(n, rate=800), None)) for k, (s, i, n) in enumerate(clips)] + [(9, "1037", "g", "t", (b"junk", None)), (10, "1038", "h", "t", (None, None))]
+    df = spark.createDataFrame(rows, "ord long, speaker_id string, id string, text_normalized string, audio struct<bytes binary, path string>")
+    assert [(r["speaker_id"], r["id"]) for r in corpora.longest_clips(df).orderBy("place").collect()] == [("1034", "b"), ("1035", "d")]
+
+
+def test_first_clip_passes_missing_durations(spark):
+    rows = [(0, "a", 7.9), (1, "a", 8.0), (2, "b", None), (3, "b", 9.0), (4, "c", 35.1), (5, "d", 35.0)]
+    df = spark.createDataFrame([(k, s, f"{k}", d, (b"x", None)) for k, s, d in rows], "ord long, speaker_id string, original_path string, audio_duration double, audio struct<bytes binary, path string>")
+    assert sorted(r["ord"] for r in corpora.first_clips(df).collect()) == [1, 2, 5]
+
+
+def loop(rows, existing, target):
+    """The selection as a plain loop."""
+    kept, skipped, seen = [], 0, set()
+    room = target - len(existing)
+    for k, speaker, ok in rows:
+        if len(kept) >= room:
+            break
+        if speaker in seen or not ok:
+            skipped += 1
+            continue
+        seen.add(speaker)
+        if speaker not in existing:
+            kept.append(k)
+    return kept, skipped
+
+
+def test_selection_equals_the_loop(spark):
+    rng = np.random.default_rng(4)
+    for trial in range(6):
+        rows = [(k, f"s{rng.integers(12)}", bool(rng.random() < 0.6)) for k in range(80)]
+        existing = {f"s{k}" for k in rng.choice(12, 3, replace=False)}
+        target = int(rng.integers(0, 14))
+        df = spark.createDataFrame(rows, "ord long, spk string, ok boolean")
+        out = select.up_to_target(df, ["spk"], "ord", F.col("ok"), F.col("spk").isin(list(existing)), target - len(existing)).collect()
+        assert (sorted(r["ord"] for r in out if r["kept"]), sum(r["skipped"] for r in out)) == loop(rows, existing, target), trial
+
+
+def test_voice_pool(spark, tmp_path):
+    def source(clips):
+        def candidates(session):
+            rows = [(k, "src", s, c, tone(n, rate=800), None, "CC BY 4.0", "Somebody", None, "en") for k, (s, c, n) in enumerate(clips)]
+            return session.createDataFrame(rows, "ord long, source string, source_speaker_id string, source_clip_id string, bytes binary, text string, license string, attribution string, gender_hint string, language string")
+
+        return registry.Source("src", "pool", candidates)
+
+    out = (tmp_path / "v").as_uri()
+    stats = voices.build(spark, [source([("1", "a", 22), ("2", "b", 0.5), ("3", "c", 25), ("4", "d", 20), ("5", "e", 21)])], out, target=3, shard_size=2)
+    assert stats == voices.Stats(kept=3, skipped=1)
+    rows = spark.read.parquet(*[f"{out}/shard-00000{k}.parquet" for k in range(2)])
+    assert rows.columns == ["voice_id", "audio", "text", "source_clip_id"] and {r["source_clip_id"] for r in rows.collect()} == {"a", "c", "d"}
+    assert all(len(r["voice_id"]) == 12 for r in rows.collect())
+    more = voices.build(spark, [source([("1", "a", 22), ("6", "f", 26)])], out, target=9)
+    assert more.kept == 4
+    text = (tmp_path / "v" / "NOTICE.md").read_text()
+    assert "## src" in text and "- 4 voice(s)" in text and "CC BY 4.0" in text
+
+
+def test_registry():
+    source = registry.register(registry.Source("one", "p", lambda s: None))
+    try:
+        with pytest.raises(ValueError):
+            registry.register(source)
+        assert registry.sub_pool("one") == "p" and "one" in registry.available()
+        with pytest.raises(KeyError, match="one"):
+            registry.get("two")
+    finally:
+        registry.unregister("one")
+
+
+def test_notice_sorts_and_dedups(spark):
+    rows = spark.createDataFrame([("b", "L2", "x"), ("a", "L1", "y"), ("a", "L1", "z")], "source string, license string, attribution string")
+    text = notice(rows)
+    assert text.index("## a") < text.index("## b") and "- 2 voice(s)" in text and text.index("  - y") < text.index("  - z")
+
+
+def test_pick_refuses_nothing_and_never_draws_zero_weight(spark):
+    weights = spark.createDataFrame([("a", 0.0), ("b", 2.0), ("c", 0.0), ("d", 1.0)], "icao string, weight double")
+    drawn = lookups.pick(spark.range(900), F.col("id") / 900, lookups.cumulative(weights), "icao").groupBy("icao").count().collect()
+    assert {r["icao"]: r["count"] for r in drawn} == {"b": 600, "d": 300}
+    with pytest.raises(ValueError):
+        lookups.pick(spark.range(1), F.lit(0.5), lookups.cumulative(weights.where("weight > 5")), "icao")
+
+
+def test_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = [{"id": "1", "focal": "B", "raw": "A: 1\nB: 2\nA: 3\nB: 4", "at": "2024-01-01T00:00:00Z"}, {"id": "2", "focal": "B", "raw": "A: 1", "at": "2024-01-01T00:00:30Z"}]
+    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps(r) for r in rows))
+    raw = turns_stream.raw_outputs(spark, (tmp_path / "in").as_uri())
+    query = turns_stream.start(raw, (tmp_path / "out").as_uri(), (tmp_path / "cp").as_uri())
+    query.awaitTermination(60)
+    assert [r["id"] for r in spark.read.parquet((tmp_path / "out" / "transcripts").as_uri()).collect()] == ["1"]
+    assert [str(r["id"]) for r in spark.read.json((tmp_path / "out" / "failures").as_uri()).collect()] == ["2"]
+    batch = spark.read.schema(turns_stream.RAW).json((tmp_path / "in").as_uri())
+    row = turns_stream.outcome_rate(batch).first()
+    assert (row["ok"], row["failed"]) == (1, 1)
