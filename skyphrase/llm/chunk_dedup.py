@@ -3,7 +3,7 @@
 The gear hash of a byte sums table values of the last 32 bytes, each shifted once per byte since; where five of its
 bits are zero the text is cut.  A cut depends on those 32 bytes alone, so chunks fall back into step within a chunk
 or two of an insertion.  Cuts closer than ``LEAST`` bytes to the one before are dropped, and a chunk without a cut
-ends after ``MOST`` bytes; cuts fall between code points.
+ends after ``MOST`` bytes, or up to three more, as cuts fall between code points.
 
 Two passes over the texts: the first only counts, by digest, whether two documents hold the chunk (partial minimum
 and maximum of doc_id, so a chunk that most documents share costs a row per task); the second joins the repeated

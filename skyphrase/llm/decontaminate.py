@@ -1,11 +1,13 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Items are partitioned by length into powers of two.  For a partition of items of up to u shingles, every document is
-covered by windows of 2u consecutive shingles, u apart, so a copy of an item lies whole in some window that is at most
-four times as large; that turns containment in a document of any length into a Jaccard similarity of 0.17 or more
-(0.75 of an item, worst case).  Each window's MinHash values, under FUNCTIONS functions, are looked up in the
-partition's table of item values; one agreement makes a candidate, so a passage is missed with (1 - 0.176)^48, under
-1e-4, in the worst case.  Candidates are verified by exact containment of the item's shingle set in the document's.
+Items are partitioned by size into powers of two (their length in shingles, and their distinct shingles where those are
+fewer).  For a partition of items of up to u shingles, every document is covered by windows of 2u consecutive shingles,
+u apart, so a copy of an item lies whole in some window that is at most four times as large; that turns containment in
+a document of any length into a Jaccard similarity of 0.17 or more (0.75 of an item, worst case).  Each window's
+MinHash values, under FUNCTIONS functions, are looked up in the partition's table of item values; one agreement makes a
+candidate, so a passage is missed with (1 - 0.17)^96, under 1e-7.  Shingles that lie scattered over a document, not in
+a passage, are found less surely.  Candidates are verified by exact containment of the item's shingle set in the
+document's.
 
 Items are worked off in blocks of at most ``BLOCK_SHINGLES`` shingles; only one block's index is broadcast at a time,
 so what is broadcast has a fixed bound whatever the number of items (each block is one more pass over documents).
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import binaries, by_slice, col
 from .textops import U64, Words
 
-FUNCTIONS = 48
+FUNCTIONS = 96
 BLOCK_SHINGLES = 2_000_000
 _MULT = np.random.Generator(np.random.PCG64(11)).integers(0, 2**64, FUNCTIONS, dtype=U64) | U64(1)
 
@@ -49,8 +51,9 @@ class Index:
         for k, r in enumerate(rows):
             if r["n_words"] < 5:
                 self.short.setdefault(int(self.sets[k][0]), []).append(k)
-            else:
-                parts.setdefault(max(4, int(r["n_words"] - 5).bit_length()), []).append(k)
+            else:  # by the length of its passage, and by its distinct shingles where they are fewer
+                for size in {int(r["n_words"] - 5).bit_length(), int(r["n_item"] - 1).bit_length()}:
+                    parts.setdefault(size, []).append(k)
         self.parts = {}
         for size, members in sorted(parts.items()):
             tables = []
@@ -71,9 +74,9 @@ class Index:
                 found.update((d, k) for k in self.short.get(key, ()))
         if not len(h) or not self.parts:
             return found
-        top = max(self.parts)
+        least = min(self.parts)
         levels = []
-        for size in range(4, top + 1):
+        for size in range(least, max(self.parts) + 1):
             many = -(-np.diff(border) // (1 << size))
             at = np.concatenate([[0], np.cumsum(many)])
             doc = np.repeat(np.arange(len(many)), many)
@@ -83,7 +86,7 @@ class Index:
             low = None
             for size, doc, inner, at in levels:
                 if low is None:
-                    low = np.minimum.reduceat(h * m, border[doc] + inner * 16)
+                    low = np.minimum.reduceat(h * m, border[doc] + (inner << least))
                 else:
                     low = np.minimum.reduceat(low, below[doc] + inner * 2)
                 below = at

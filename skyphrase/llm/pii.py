@@ -148,10 +148,13 @@ class Field:
             self.doc.append(d), self.begin.append(a), self.end.append(b), self.token.append(token), self.label.append(label)
             if last_word == w - 1:
                 chain.append((k - 1, k))
-            for key in self._keys(k, chain):
-                if key in seen and seen[key] != k:
-                    skip.append((seen[key], k))
-                seen[key] = k
+            for key, parts in self._keys(k, chain):
+                before, longer = seen.get(key, (None, []))
+                if before is not None:
+                    skip.append((before, k))
+                    # tokens ahead of it, that the key takes in, are twins too where their digits agree
+                    skip += [(a, b) for a, b in zip(longer[1:], parts[1:], strict=False) if _digits(self.token[a]) == _digits(self.token[b])]
+                seen[key] = (k, parts if len(parts) > 1 else longer)
             last_word = w
         self.chain = np.array(chain, dtype=np.int64).reshape(-1, 2)
         self.skip = np.array(sorted(set(skip)), dtype=np.int64).reshape(-1, 2)
@@ -160,25 +163,20 @@ class Field:
             self.x[k, token_features(t)] = 1
         self.y = np.array(self.label, dtype=np.int64)
 
-    def _keys(self, k: int, chain: list) -> list[str]:
-        """Own keys, and those of the digits of up to three adjoining tokens, by their last ten and seven."""
-        out = twin_keys(self.token[k])
-        joined, at = _digits(self.token[k]), k
-        for _ in range(3):
-            if len(joined) >= 10:
+    def _keys(self, k: int, chain: list) -> list[tuple[str, list[int]]]:
+        """Keys of the token, and those of its digits after those of up to three adjoining tokens, by their last ten
+        and seven; each with the tokens it takes in, the last first."""
+        out = [(key, [k]) for key in twin_keys(self.token[k])]
+        if "@" in self.token[k]:
+            return out
+        joined, parts = _digits(self.token[k]), [k]
+        while len(joined) < 10 and len(parts) < 4:
+            at = parts[-1]
+            if not any(edge == (at - 1, at) for edge in chain[-4:]) or "@" in self.token[at - 1]:
                 break
-            if not (chain and chain[-1] == (at - 1, at)) and at == k:
-                break
-            at -= 1
-            if at < 0 or self.doc[at] != self.doc[k] or "@" in self.token[at]:
-                break
-            joined = _digits(self.token[at]) + joined
-        if "@" not in self.token[k]:
-            if len(joined) >= 10:
-                out.append("10:" + joined[-10:])
-            if len(joined) >= 7:
-                out.append("7:" + joined[-7:])
-        return out
+            parts.append(at - 1)
+            joined = _digits(self.token[at - 1]) + joined
+        return out + [(f"{n}:{joined[-n:]}", parts) for n in (10, 7) if len(joined) >= n]
 
 
 class Model:
