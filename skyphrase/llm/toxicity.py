@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word's input is its own hashed vector plus the mean of the vectors of its hashed byte 3-grams and 5-grams (with a
-mark where the word begins), so unseen words are read by their characters.  Windows of ``WINDOW`` words, ``STRIDE``
+A word's input is its own vector, if ``KNOWN_IN`` or more sampled documents have it, or else that of unknown words, plus
+the mean of the vectors of its hashed byte 3-grams and 5-grams (with a mark where the word begins), so unseen words are
+read by their characters.  Windows of ``WINDOW`` words, ``STRIDE``
 apart, the last one flush with the end, cover every whole text; the network reads each window in both directions,
 attention pools its states, and a document's score is the highest of its windows.
 
@@ -31,9 +32,12 @@ PER_CLASS = 2000
 WINDOWS = 12
 HIDDEN = 8
 DIM = 8
-WORDS = 1 << 13
-GRAMS = 1 << 14
+KNOWN_IN = 10
+GRAMS = 1 << 16
 EPOCHS = 8
+STEPS = 300
+DECAY = 0.5
+TRIM = 0.8
 BATCH = 128
 SEED = 5
 
@@ -47,11 +51,11 @@ def windows(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Lexicon:
-    """Distinct words of some texts: bucket of each, and the buckets of its byte n-grams."""
+    """Distinct words of some texts: hash of each, and the buckets of its byte n-grams."""
 
     def __init__(self, words: Words):
         _, at, self.id = np.unique(words.hash, return_index=True, return_inverse=True)
-        self.bucket = (words.hash[at] >> U64(51)).astype(np.int64) if len(at) else np.zeros(0, np.int64)
+        self.hash = words.hash[at]
         begin, size = words.start[at], words.end[at] - words.start[at]
         # bytes of all distinct words, each after a mark, so that the first n-gram tells the beginning
         full = size + 1
@@ -66,7 +70,7 @@ class Lexicon:
             for j in range(1, n):
                 acc[:-j] = acc[:-j] + np.roll(code, -j)[:-j] * U64(0x9E3779B97F4A7C15 + 2 * j * j * 0x1234567)
             ok = left >= n
-            keys.append((mix(acc[ok] + U64(n)) >> U64(50)).astype(np.int64))
+            keys.append((mix(acc[ok] + U64(n)) >> U64(48)).astype(np.int64))
             owner.append(np.repeat(np.arange(len(at)), full)[ok])
         key, own = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(own, kind="stable")
@@ -79,17 +83,25 @@ class Lexicon:
 class Network:
     """Parameters, scoring and training."""
 
-    def __init__(self, seed: int = SEED):
+    def __init__(self, seed: int = SEED, known: np.ndarray | None = None):
+        self.known = np.zeros(0, U64) if known is None else known  # hashes of known words, ascending
         rng = np.random.Generator(np.random.PCG64(seed))
         normal = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        self.p = {"word": normal(WORDS, DIM, scale=0.1), "gram": normal(GRAMS, DIM, scale=0.1)}
+        self.p = {"word": normal(len(self.known) + 1, DIM, scale=0.1), "gram": normal(GRAMS, DIM, scale=0.1)}
         for d in "fb":
             self.p |= {f"w{d}": normal(DIM, 3 * HIDDEN, scale=0.5), f"u{d}": normal(HIDDEN, 3 * HIDDEN, scale=0.35), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
         self.p |= {"att": normal(2 * HIDDEN, scale=0.3), "out": normal(2 * HIDDEN, scale=0.5), "bias": np.zeros(1, np.float32)}
 
+    def place(self, lex: Lexicon) -> np.ndarray:
+        """Each distinct word's row of vectors; row 0 is for unknown words."""
+        if not len(self.known):
+            return np.zeros(len(lex.hash), np.int64)
+        at = np.minimum(np.searchsorted(self.known, lex.hash), len(self.known) - 1)
+        return np.where(self.known[at] == lex.hash, at + 1, 0)
+
     def vectors(self, lex: Lexicon) -> np.ndarray:
         """One input vector for each distinct word."""
-        out = self.p["word"][lex.bucket]
+        out = self.p["word"][self.place(lex)]
         filled = np.flatnonzero(lex.many)
         if len(filled):
             total = np.add.reduceat(self.p["gram"][lex.gram], lex.first[filled], axis=0)
@@ -195,16 +207,16 @@ class Network:
             g[f"u{d}"], g[f"c{d}"], g[f"w{d}"] = du, dflat.sum(axis=0), vec.T @ total
             dvec += total @ self.p[f"w{d}"].T
         g["word"], g["gram"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["gram"])
-        np.add.at(g["word"], lex.bucket, dvec)
+        np.add.at(g["word"], self.place(lex), dvec)
         np.add.at(g["gram"], lex.gram, (dvec / np.maximum(lex.many, 1)[:, None].astype(np.float32))[lex.own])
         return g
 
 
 def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Network:
     """``texts``: the windows of each document, as strings.  Classes weigh alike."""
-    net = Network(seed)
     share = float(labels.mean()) if len(labels) else 0.5
     if not len(labels) or share in (0.0, 1.0):
+        net = Network(seed)
         net.p["out"][:] = 0
         net.p["bias"][0] = {0.0: -6.0, 1.0: 6.0}.get(share, 0.0)
         return net
@@ -212,10 +224,13 @@ def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     words = Words(pa.array([w for t in texts for w in t], pa.string()), fold=True)
     lex = Lexicon(words)
+    held = np.unique(np.stack([lex.id, np.repeat(owner, words.count)]), axis=1)[0]  # a row for each document and word
+    net = Network(seed, lex.hash[np.bincount(held, minlength=len(lex.hash)) >= KNOWN_IN])
     balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     rounds = 0
-    for epoch in range(epochs):
+    total = max(epochs, -(-STEPS // -(-len(texts) // BATCH)))  # small samples are read more often
+    for epoch in range(total):
         if epoch == 0:  # no score yet: any window of each document
             rank = rng.random(len(owner))
         else:
@@ -226,6 +241,8 @@ def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed
         best = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         if epoch < 2:  # and another one, while scores are coarse
             best = np.concatenate([best, rng.choice(len(owner), len(best), replace=False)]) if len(owner) > len(best) else best
+        if epoch >= total // 2:  # by now a label that the network strongly denies is taken for a mistake
+            best = best[np.abs(rank[best] - labels[owner[best]]) < TRIM]
         best = rng.permutation(best)
         for k in range(0, len(best), BATCH):
             own = best[k : k + BATCH]
@@ -236,13 +253,15 @@ def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed
             y = labels[owner[own]].astype(np.float32)
             g = net.step(_Some(lex, used), ids.reshape(at.shape), mask, y, (balance[owner[own]] / len(own)).astype(np.float32))
             rounds += 1
-            rate = 0.01 * min(1.0, rounds / 10)
+            rate = 0.01 * min(1.0, rounds / 10) * (1 - epoch / total)
             for name, grad in g.items():
                 m, v = moments[name]
                 m *= 0.9
                 m += 0.1 * grad
                 v *= 0.99
                 v += 0.01 * grad * grad
+                if name in ("word", "gram"):
+                    net.p[name] *= np.float32(1 - rate * DECAY)
                 net.p[name] -= (rate * (m / (1 - 0.9**rounds)) / (np.sqrt(v / (1 - 0.99**rounds)) + 1e-6)).astype(np.float32)
     return net
 
@@ -251,7 +270,7 @@ class _Some:
     """The part of a lexicon that one batch uses."""
 
     def __init__(self, lex: Lexicon, used: np.ndarray):
-        self.bucket, self.many = lex.bucket[used], lex.many[used]
+        self.hash, self.many = lex.hash[used], lex.many[used]
         self.first = np.cumsum(self.many) - self.many
         at = np.repeat(lex.first[used] - self.first, self.many) + np.arange(int(self.many.sum()))
         self.gram, self.own = lex.gram[at], np.repeat(np.arange(len(used)), self.many)
