@@ -10,14 +10,16 @@ import random
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, prompt, turns
-from .scenario import TAXONOMY_VERSION
+from ..sinks.shards import ShardSink
+from ..sources import replay
+from .scenario import TAXONOMY_VERSION, Sampler
 
 Client = Callable[[list[dict]], str]
 
@@ -153,7 +155,90 @@ def outcomes(answered: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFra
     parsed = parsed.withColumn("error", F.coalesce("error", F.concat(F.lit("TranscriptParseError: "), wrong)))
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
     good = parsed.where("error is null").select(
-        "scenario_id", "scenario", "turns", F.lit(config.model).alias("model"), F.concat(now, F.lit("Z")).alias("generated_at"),
+        "id", "scenario_id", "scenario", "turns", F.lit(config.model).alias("model"), F.concat(now, F.lit("Z")).alias("generated_at"),
         F.lit(config.prompt_version).alias("prompt_version"), F.lit(config.taxonomy_version).alias("taxonomy_version"),
     )
-    return good, parsed.where("error is not null").select("scenario_id", "scenario", "error", F.concat(now, F.lit("+00:00")).alias("at"))
+    return good, parsed.where("error is not null").select("id", "scenario_id", "scenario", "error", F.concat(now, F.lit("+00:00")).alias("at"))
+
+
+@dataclass(frozen=True)
+class Stats:
+    ok: int
+    failed: int
+
+
+def write(rows: DataFrame, sink: ShardSink, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client) -> tuple[Stats, DataFrame]:
+    """Answers ``rows`` (id, scenario_id, scenario), commits the accepted ones; (counts, failures not yet recorded).
+
+    Answers lie in the output folder until both outcomes are written, so each is asked for once.
+    """
+    aside = f"{sink.folder.path}/.answers"
+    answers(rows, config, client).write.mode("overwrite").parquet(aside)
+    good, failed = outcomes(rows.sparkSession.read.parquet(aside), config)
+    ok = sink.append(good, "id", drop=["id"])
+    return Stats(ok, failed.count()), failed.drop("id")
+
+
+def run(sampler: Sampler, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, *, resume: bool = True, overwrite: bool = False) -> Stats:
+    """Draws, answers and stores the scenarios that ``out`` doesn't hold yet, as rows or as failures."""
+    sink = open_sink(sampler.spark, out, config, resume=resume, overwrite=overwrite)
+    rows = sampler.rows(config.count)
+    done = sink.existing()
+    if done is not None:
+        rows = rows.join(done.select("scenario_id"), "scenario_id", "left_anti")
+    if sink.folder.exists("failures.jsonl"):
+        failed, _ = replay.failures(sampler.spark, f"{sink.folder.path}/failures.jsonl")
+        rows = rows.join(failed.select("scenario_id"), "scenario_id", "left_anti")
+    stats, failed = write(rows.select("id", "scenario_id", "scenario"), sink, config, client)
+    if stats.failed:
+        sink.add_failures(failed)
+    sink.folder.drop(".answers")
+    return stats
+
+
+def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client) -> Stats:
+    """Answers the recorded failures again.  The old file is set aside only once the new outcomes are stored."""
+    sink = open_sink(spark, out, config, resume=True)
+    if not sink.folder.exists("failures.jsonl"):
+        return Stats(0, 0)
+    failed, _ = replay.failures(spark, f"{sink.folder.path}/failures.jsonl")
+    rows = failed.select("scenario_id", "scenario").dropDuplicates(["scenario_id"])
+    done = sink.existing()
+    if done is not None:
+        rows = rows.join(done.select("scenario_id"), "scenario_id", "left_anti")
+    rows = rows.withColumn("id", F.monotonically_increasing_id())
+    held = f"{sink.folder.path}/.replay"
+    rows.select("id", "scenario_id", "scenario").write.mode("overwrite").parquet(held)
+    stats, again = write(spark.read.parquet(held), sink, config, client)
+    sink.rotate_failures()
+    if stats.failed:
+        sink.add_failures(again)
+    sink.folder.drop(".replay")
+    sink.folder.drop(".answers")
+    return stats
+
+
+def open_sink(spark: SparkSession, out: str, config: RunConfig, **how) -> ShardSink:
+    meta = config.dump() | {"fingerprint": config.fingerprint()}
+    meta.pop("api_key")
+    return ShardSink(spark, out, config.shard_size, meta, **how)
+
+
+def point(ok: int, failed: int, wall: float, concurrency: int) -> dict:
+    """One row of a sweep: rate and share of failures, 0 where there is nothing to divide by."""
+    count = ok + failed
+    return {
+        "concurrency": concurrency, "ok": ok, "fail": failed, "wall_sec": round(wall, 2), "rate_per_sec": round(ok / wall, 3) if wall else 0.0,
+        "fail_pct": round(100 * failed / count, 2) if count else 0.0,
+    }
+
+
+def sweep(sampler: Sampler, config: RunConfig, concurrencies: list[int], per_point: int, client: Callable[[RunConfig], Client] = chat_client) -> dict:
+    """Times ``per_point`` scenarios at each concurrency; the best point is the first of the highest rate."""
+    points = []
+    for c in concurrencies:
+        own, began = replace(config, concurrency=c, count=per_point), time.monotonic()
+        good = F.count_if(turns.turn_error(turns.parse_turns(F.col("raw")), F.col("scenario.callsign")).isNull() & F.col("error").isNull())
+        row = answers(sampler.rows(per_point), own, client).agg(good.alias("ok"), F.count("*").alias("n")).first()
+        points.append(point(row["ok"], row["n"] - row["ok"], time.monotonic() - began, c))
+    return {"points": points, "best": max(points, key=lambda p: p["rate_per_sec"]) if points else None}
