@@ -150,7 +150,7 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str | Non
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
         )
 
-    return _narrow(docs).mapInArrow(by_slice(work, limit=1 << 20), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
+    return _narrow(docs).mapInArrow(by_slice(work, limit=1 << 18), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
 
 
 def _narrow(docs: DataFrame) -> DataFrame:

@@ -106,6 +106,7 @@ def repeated_spans(docs: DataFrame, run: int = RUN) -> DataFrame:
     twice = scratch.write(seen.groupBy("digest").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x <> y").select("digest"))
     all_chunks = texts.mapInArrow(by_slice(chunk_rows, limit=1 << 20), "digest long, check long, doc_id long, a int, b int, ca int, cb int")
     found = scratch.write(all_chunks.join(twice, "digest"))
+    scratch.drop(twice)
     owners = found.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("y")).where("first <> y").drop("y")
     mine = found.join(owners, ["digest", "check"]).select("doc_id", "a", "b", "ca", "cb", "first").distinct()
     order = Window.partitionBy("doc_id").orderBy("a")

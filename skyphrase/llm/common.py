@@ -34,6 +34,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.top = spark, f"{shared_dir(spark)}/skyphrase-{uuid.uuid4().hex}"
         self.count = 0
+        self.held: list[DataFrame] = []
 
     def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -41,15 +42,22 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.held.append(out)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
+        """Deletes the files of frames that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
+        self.held = [df for df in self.held if not any(df is x for x in frames)]
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def keep_only(self, *frames: DataFrame) -> None:
+        self.drop(*[df for df in self.held if not any(df is x for x in frames)])
+
+
 def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", limit: int = textops.SLICE_BYTES):
     """A mapInArrow function that hands ``work`` slices of bounded text size."""
 

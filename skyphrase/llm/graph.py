@@ -36,4 +36,6 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
         seen = mark
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = scratch.write(now.select(F.col("u").alias("node"), F.col("v").alias("root")))
+    scratch.drop(now)
+    return out

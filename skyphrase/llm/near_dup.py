@@ -253,12 +253,12 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
     first = alike(leaves.where("tree = 0"), None)
     bodies = fetch(first)
     found = links(first, bodies)
-    clusters = components(found, scratch)
-    clusters = scratch.write(clusters.select(F.col("node").alias("cid"), F.col("root").alias("cluster")))
+    clusters = components(found, scratch).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
     later = alike(leaves.where("tree > 0"), clusters)
     new = fetch(later.join(bodies.select("cid"), "cid", "left_anti"))
     found = found.unionByName(links(later, bodies.unionByName(new)))
     comp = components(found, scratch)
+    scratch.keep_only(sketches, classes, comp)
     roots = comp.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
     named = comp.unionByName(roots).join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
