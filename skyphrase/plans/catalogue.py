@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import audio, ids, prompt, rng, turns
+from ..functions import audio, checks, ids, prompt, rng, turns
 from ..operators import lookups, select
 from ..sinks.shards import notice_rows
 from ..sources import dims, replay
+from ..streaming import turns_stream
 from . import generate
 from .scenario import Sampler, derived
 
@@ -205,6 +206,46 @@ def derived_flags(spark, sf_dir):
     return items.join(_table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")).select("l_orderkey", *flags)
 
 
+def domain_errors(spark, sf_dir):
+    """Rows by the rules that they break: closed sets and ranges, as scenarios are checked."""
+    rules = {
+        "status": checks.one_of(F.col("o_orderstatus"), ["F", "O"]), "price": checks.within(F.col("o_totalprice"), 1000, 300000), "priority": F.col("o_orderpriority").rlike("^[1-4]-"),
+    }
+    rows = _table(spark, sf_dir, "orders").select(F.explode(checks.broken(rules)).alias("rule"))
+    return rows.groupBy("rule").agg(F.count("*").alias("n"))
+
+
+def scenario_errors(spark, sf_dir):
+    """Drawn scenarios, and how many rules they break between them: none."""
+    broken = F.size(checks.scenario_errors(F.col("scenario")))
+    return _sampler(spark).rows(SAMPLES).agg(F.count("*").alias("n"), F.sum(broken).alias("broken"))
+
+
+def voice_records(spark, sf_dir):
+    """Candidates to records: pool of the source, id, duration, and the four stored columns' sources."""
+    pools = F.create_map(*[F.lit(x) for k in range(10) for x in (f"src{k}", f"pool{k % 3}")])
+    source, speaker = F.col("source"), F.col("doc_id").cast("string")
+    return _table(spark, sf_dir, "documents").select(
+        ids.voice_id(source, speaker).alias("voice_id"), source, speaker.alias("source_speaker_id"), F.concat_ws("-", source, speaker).alias("source_clip_id"),
+        (F.col("n_chars") / F.lit(16.0)).alias("duration_s"), F.coalesce(pools[source], F.lit("")).alias("sub_pool"), F.col("lang").alias("language"),
+    )
+
+
+def source_order(spark, sf_dir):
+    """Sources one after the other, each in its order; the first twenty, as a scan with a target would meet them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    parts = [docs.where(F.col("source") == s).withColumn("ord", F.col("doc_id")) for s in ("src7", "src0", "src4")]
+    return select.concatenated(parts).orderBy("ord").limit(20).select("ord", "doc_id", "source")
+
+
+def outcome_windows(spark, sf_dir):
+    """The stream's counts of accepted and failed outputs per window, over a batch."""
+    raw = F.when(F.col("event_id") % 3 == 0, "A: 1").otherwise("A: 1\nB: 2\nA: 3\nB: 4")
+    rows = _table(spark, sf_dir, "events").select(raw.alias("raw"), F.lit("b").alias("focal"), F.col("ts").alias("at"))
+    out = turns_stream.outcome_rate(rows, "1 day")
+    return out.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "ok", "failed")
+
+
 def generate_stub(spark, sf_dir):
     """Outcomes of the generation stage with the deterministic client; model calls aren't SQL."""
     settings = generate.RunConfig(model="stub", count=200, concurrency=8)
@@ -215,7 +256,8 @@ def generate_stub(spark, sf_dir):
 NAMES = [
     parse_turns, validate_transcripts, transcript_outcomes, distinct_speakers, first_per_speaker, longest_per_speaker, accept_clip, voice_ids, canonical_ids, resume_anti,
     resume_offset, region_lookup, region_rule, tier_weights, operator_multimap, allowed_regions, scenario_sample, prompt_briefing, event_mix, squawk_codes, weighted_choice,
-    notice_report, target_limit, shard_assignment, failure_replay, benchmark_points, benchmark_best, derived_flags, generate_stub,
+    notice_report, target_limit, shard_assignment, failure_replay, benchmark_points, benchmark_best, derived_flags, domain_errors,
+    scenario_errors, voice_records, source_order, outcome_windows, generate_stub,
 ]
 
 

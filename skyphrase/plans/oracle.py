@@ -168,6 +168,18 @@ SELECT shard_id, count(*) AS n_rows, min(doc_id) AS first_id, max(doc_id) AS las
 SELECT event_type, count(*) FILTER (ok) AS readable, count(*) FILTER (NOT ok) AS corrupt FROM (SELECT event_type, json_valid(CASE WHEN event_id % 10 = 0 THEN substr(props, 2) ELSE props END) AS ok FROM events) GROUP BY event_type""",
         "benchmark_points": points,
         "benchmark_best": f"SELECT arg_max(event_type, (ok, event_type)) AS best, max(ok) AS ok FROM ({points})",
+        "domain_errors": """
+WITH r AS (SELECT unnest([CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'status' END, CASE WHEN NOT o_totalprice BETWEEN 1000 AND 300000 THEN 'price' END,
+  CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-4]-') THEN 'priority' END]) AS rule FROM orders)
+SELECT rule, count(*) AS n FROM r WHERE rule IS NOT NULL GROUP BY rule""",
+        "scenario_errors": f"SELECT {SAMPLES}::BIGINT AS n, 0::BIGINT AS broken",
+        "voice_records": """
+SELECT substr(sha1(source || ':' || CAST(doc_id AS VARCHAR)), 1, 12) AS voice_id, source, CAST(doc_id AS VARCHAR) AS source_speaker_id, source || '-' || CAST(doc_id AS VARCHAR) AS source_clip_id,
+  n_chars / 16.0::DOUBLE AS duration_s, CASE WHEN length(source) = 4 THEN 'pool' || CAST(CAST(substr(source, 4) AS INT) % 3 AS VARCHAR) ELSE '' END AS sub_pool, lang AS language FROM documents""",
+        "source_order": """
+SELECT CASE source WHEN 'src7' THEN 0 WHEN 'src0' THEN 1 ELSE 2 END * 281474976710656 + doc_id AS ord, doc_id, source FROM documents WHERE source IN ('src7', 'src0', 'src4') ORDER BY ord LIMIT 20""",
+        "outcome_windows": """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_id % 3 <> 0) AS ok, count(*) FILTER (event_id % 3 = 0) AS failed FROM events GROUP BY day""",
         "derived_flags": """
 WITH i AS (SELECT l_orderkey, list({'n': l_linenumber, 'callsign': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), 'aircraft_type': l_linestatus, 'wake': l_returnflag} ORDER BY l_linenumber, l_shipdate, l_linestatus, l_returnflag) AS a FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_orderkey)
 SELECT l_orderkey, a[1].callsign AS callsign, a[1].aircraft_type AS aircraft_type, a[1].wake AS wake, a[1].wake AS operator_class, len(a)::BIGINT AS n_aircraft, true AS is_emergency, o_orderstatus = 'F' AS is_towered

@@ -144,3 +144,19 @@ def test_schema_compiler():
     for odd in (dict, int | str, Literal["x", 1], tuple[int]):
         with pytest.raises(TypeError):
             schemas.spark_type(odd)
+
+
+def test_checks_name_what_is_broken(spark, rows):
+    from skyphrase.functions import checks
+
+    one = Sampler(spark, config.load(), 7).rows(1)
+    assert one.select(checks.scenario_errors(F.col("scenario"))).first()[0] == []
+    s = F.col("scenario")
+    odd = one.select(s.withField("phase", F.lit("taxi")).withField("squawk", F.lit("7500")).withField("weather.wind_kt", F.lit(81)).withField("weather.ceiling_ft", F.lit(None).cast("long")).withField("region", F.lit(None).cast("string")).alias("scenario"))
+    assert odd.select(checks.scenario_errors(F.col("scenario"))).first()[0] == ["region", "phase", "squawk", "weather.wind_kt"]
+
+
+def test_public_names():
+    from skyphrase import api
+
+    assert all(hasattr(api, name) for name in api.__all__)
