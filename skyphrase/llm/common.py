@@ -28,6 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but the named ones in one struct, and a function that puts them back in order.
+
+    Whatever an operator calls its own columns, they can't clash with those of the table.
+    """
+    from pyspark.sql import functions as F
+
+    rest = [c for c in df.columns if c not in names]
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    packed = df.select(*[quoted[c] for c in names], F.struct(*[quoted[c] for c in rest] or [F.lit(0).alias("none")]).alias("_extra"))
+
+    def restore(out: DataFrame, *more: str) -> DataFrame:
+        return out.select(*[quoted[c] if c in names else F.col("_extra").getField(c).alias(c) for c in df.columns], *more)
+
+    return packed, restore
+
+
 class Scratch:
     """Written intermediates: they cut lineage, survive lost executors, and can be dropped when used up."""
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, by_slice, col
+from .common import binaries, by_slice, col, shielded
 from .textops import U64, Words
 
 FUNCTIONS = 96
@@ -156,6 +156,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = 75, block_sh
 
 def uncontaminated(docs: DataFrame, items: DataFrame, percent: int = 75, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
+    docs, restore = shielded(docs, "text")
     for index in indexes(items, block_shingles):
 
         def work(part: pa.RecordBatch, index=index) -> pa.RecordBatch:
@@ -164,4 +165,4 @@ def uncontaminated(docs: DataFrame, items: DataFrame, percent: int = 75, block_s
             return part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(by_slice(work), docs.schema)
-    return docs
+    return restore(docs)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import Scratch, binaries, by_slice, col
+from .common import Scratch, binaries, by_slice, col, shielded
 from .graph import components
 from .textops import U64, Words, mix
 
@@ -277,12 +277,13 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     the joins; doc_ids that several rows bear are told apart by the digests of their texts.
     """
     scratch = Scratch(docs.sparkSession)
+    docs, restore = shielded(docs, "doc_id", "text")
     judged = scratch.write(_judged(docs, percent).where("doc_id is not null and n_shingles > 0"))
     by_id = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
     unsure = by_id.where("_rows > 1").select("_id")
     out = docs.join(by_id.where("_rows > 1 or not _kept").select("_id"), docs["doc_id"] == F.col("_id"), "left_anti")
     if unsure.isEmpty():
-        return out
+        return restore(out)
 
     def with_digest(part: pa.RecordBatch) -> pa.RecordBatch:
         h, border = Words(col(part, "text"), fold=True).shingles(5)
@@ -292,4 +293,4 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     rows = docs.join(unsure, docs["doc_id"] == F.col("_id"), "left_semi").mapInArrow(by_slice(with_digest), schema)
     kept = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_key")).distinct()
     same = rows.where("_n > 0").join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_d1") == F.col("_key")), "left_semi").dropDuplicates(["doc_id", "_d1"])
-    return out.unionByName(same.select(*docs.columns)).unionByName(rows.where("_n = 0").select(*docs.columns))
+    return restore(out.unionByName(same.select(*docs.columns)).unionByName(rows.where("_n = 0").select(*docs.columns)))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_slice, col
+from .common import by_slice, col, shielded
 from .textops import Words, code_points
 
 KINDS = ("email", "ip", "card", "phone")
@@ -336,6 +336,7 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 def masked(docs: DataFrame, sample: int = SAMPLE, length_column: str | None = "n_chars") -> DataFrame:
     """All rows and columns of ``docs`` with personal data masked; ``length_column`` follows the changed texts."""
     model = docs.sparkSession.sparkContext.broadcast(fit(_narrow(docs), sample))
+    docs, restore = shielded(docs, "text", *[c for c in docs.columns if c == length_column])
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         text = col(part, "text").fill_null("")
@@ -350,4 +351,4 @@ def masked(docs: DataFrame, sample: int = SAMPLE, length_column: str | None = "n
             out = out.set_column(k, part.schema.field(k), pa.array(sizes, part.schema.field(k).type))
         return out
 
-    return docs.mapInArrow(by_slice(work), docs.schema)
+    return restore(docs.mapInArrow(by_slice(work), docs.schema))

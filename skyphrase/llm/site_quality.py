@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_stats
-from .common import Scratch, by_slice, col
+from .common import Scratch, by_slice, col, shielded
 from .textops import IS_SPACE, Words
 
 SAMPLE = 20_000
@@ -158,11 +158,12 @@ def _sited(docs: DataFrame, host: str, path: str) -> DataFrame:
 def good_documents(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns.  Texts are read twice rather than shuffled."""
     scratch = Scratch(docs.sparkSession)
+    docs, restore = shielded(docs, *dict.fromkeys(["doc_id", "text", host, path]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     weights = fit(texts, labels, sample)
     rows = _sited(docs, host, path)
     narrow = scratch.write(evidence(rows.select("_host", "_path", "text"), weights).drop("text"))
-    return judged(evidence(rows, weights), scratch, narrow).where("_kept").select(*docs.columns)
+    return restore(judged(evidence(rows, weights), scratch, narrow).where("_kept"))
 
 
 def site_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import shielded
+
 VERDICT = ["host", "n_entries", "categories", "pattern", "blocked"]
 
 
@@ -44,7 +46,9 @@ def parsed(captures: DataFrame, url: str, fetched: str) -> DataFrame:
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """All rows of ``captures`` with host, n_entries, categories (sorted, comma-joined), pattern (the longest) and blocked."""
-    rows = parsed(captures.drop(*VERDICT), url, fetched)
+    own, restore = shielded(captures.drop(*VERDICT), url, fetched)
+    columns = own.columns
+    rows = parsed(own, url, fetched)
     places = rows.where("host <> '' and _day is not null").select("host", "_path", "_day").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
@@ -59,10 +63,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
         F.max(F.struct(F.length("pattern").alias("n"), F.col("pattern"))).alias("best"),
     )
     out = rows.join(verdicts, (rows.host == verdicts._host) & (rows._path == verdicts._p) & (rows._day == verdicts._d), "left")
-    return out.select(
-        *[c for c in captures.columns if c not in VERDICT], "host", F.coalesce("n_entries", F.lit(0)).alias("n_entries"), F.coalesce("categories", F.lit("")).alias("categories"),
+    out = out.select(
+        *columns, "host", F.coalesce("n_entries", F.lit(0)).alias("n_entries"), F.coalesce("categories", F.lit("")).alias("categories"),
         F.col("best.pattern").alias("pattern"), F.col("n_entries").isNotNull().alias("blocked"),
     )
+    return restore(out, *VERDICT)
 
 
 # The tables have neither fetch dates nor lists.  The query takes a day of 2024 from page_id, and a list that grows

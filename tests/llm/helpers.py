@@ -17,8 +17,8 @@ def documents(spark, rows, extra: bool = False):
     full = [(*r, *("en", "src0", len(r[1]) if r[1] is not None else None)[len(r) - 2 :]) for r in rows]
     df = spark.createDataFrame(full, DOCS)
     if extra:
-        for name in ("node", "cid", "digest", "score", "kept", "words", "path", "host", "trusted", "rep", "component_id", "key", "held_out"):
-            df = df.selectExpr("*", f"'clash' AS {name}")
+        for name in ("node", "cid", "digest", "score", "kept", "words", "path", "host", "trusted", "rep", "component_id", "key", "held_out", "_host", "_path", "_logit", "_id", "_kept", "_n", "_d1", "_extra", "quality", "a.b"):
+            df = df.selectExpr("*", f"'clash' AS `{name}`")
     return df
 
 

@@ -25,11 +25,11 @@ def test_as_of(spark):
         ("http://nodate.com", "2024-06-01", 0, "", None), (None, "2024-06-01", 0, "", None), ("http://bad.com", None, 0, "", None), ("not a url", "2024-06-01", 0, "", None), ("http://noact.com", "2024-06-01", 0, "", None),
     ]
     rows = [(k, u, date.fromisoformat(d) if d else None, "clash", "clash") for k, (u, d, *_) in enumerate(cases)]
-    captures = spark.createDataFrame(rows + rows[1:2], "page_id long, url string, fetched date, host string, key string")
+    captures = spark.createDataFrame(rows + rows[1:2], "page_id long, url string, fetched date, host string, key string").selectExpr("*", "1 AS best", "2 AS _day", "3 AS _path", "4 AS _h")
     out = url_lists.filter_urls(captures, entries)
     got = sorted((r["page_id"], r["n_entries"], r["categories"], r["pattern"] or "", r["blocked"]) for r in out.collect())
     wanted = sorted((k, n, c, p or "", n > 0) for k, (_, _, n, c, p) in list(enumerate(cases)) + [(1, cases[1])])
-    assert got == wanted and "key" in out.columns
+    assert got == wanted and {"key", "best", "_day"} < set(out.columns) and {r["best"] for r in out.collect()} == {1}
 
 
 def test_empty_tables(spark):
