@@ -2,10 +2,11 @@
 
 Each distinct shingle set (copies fall together by a 128-bit digest first) gets a vector of ``COORDS`` MinHash
 values.  ``TREES`` independent trees start from one coordinate each; a node is the sets that agree on every chosen
-coordinate of its path.  A node of at most ``NODE`` sets is compared exhaustively on the vectors; a larger one
-branches by ``BRANCHES`` further coordinates, chosen by the node's own hash, down to ``DEPTH`` levels.  Nodes that
-are still larger then are compared in blocks: every pair of blocks is a cell of its own, so no pair is lost and no
-task grows with a node.  Sets with a likely partner are compared again, node by node, on their full shingles.
+coordinate of its path.  A node of at most ``NODE`` sets, of ``NODE_SHINGLES`` shingles together, is compared
+exhaustively on the vectors; a larger one branches by ``BRANCHES`` further coordinates, chosen by the node's own hash,
+down to ``DEPTH`` levels.  Nodes that are still larger then are compared in blocks: every pair of blocks is a cell of
+its own, so no pair is lost and no task grows with a node.  Sets with a likely partner are compared again, node by
+node, on their full shingles.
 
 No step makes a row per pair.  The comparison of vectors gives the rows that have a partner; the exact comparison
 gives a spanning forest of each node's links, which leaves every component whole.  Links found by the first tree
@@ -37,6 +38,7 @@ TREES = 8
 BRANCHES = 2
 DEPTH = 4
 NODE = 4096
+NODE_SHINGLES = 4_000_000
 _COMMON = 64
 SLACK = 0.25
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, COORDS, dtype=U64) | U64(1)
@@ -187,21 +189,22 @@ def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int
     """Leaf rows (tree, node, cid, side); side tells the two blocks of a cell apart, -1 in an ordinary node."""
     value = lambda c: F.expr(f"substring(sketch, {4 * c} + 1, 4)")
     pick = lambda k: F.expr(f"substring(sketch, 4 * cast(pmod(xxhash64(node, {k}), {COORDS}) as int) + 1, 4)")
-    rows = classes.select(F.posexplode(F.array(*[F.xxhash64(F.lit(t), value(t)) for t in range(TREES)])).alias("tree", "node"), "cid")
+    rows = classes.select(F.posexplode(F.array(*[F.xxhash64(F.lit(t), value(t)) for t in range(TREES)])).alias("tree", "node"), "cid", "n")
+    small = (F.col("size") <= node_limit) & (F.col("total") <= NODE_SHINGLES)
     leaves = []
     for level in range(depth + 1):
-        size = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = scratch.write(rows.join(size, "node").select("tree", "node", "cid", "size"))
-        leaves.append(sized.where(F.col("size") <= node_limit).select("tree", "node", "cid", F.lit(-1).alias("side")))
-        large = sized.where(F.col("size") > node_limit)
+        size = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("total")).where("size > 1")
+        sized = scratch.write(rows.join(size, "node").select("tree", "node", "cid", "n", "size", "total"))
+        leaves.append(sized.where(small).select("tree", "node", "cid", F.lit(-1).alias("side")))
+        large = sized.where(~small)
         if large.isEmpty():
             break
         if level < depth:
             rows = large.join(classes.select("cid", "sketch"), "cid").select(
-                "tree", F.explode(F.array(*[F.xxhash64("node", F.lit(k), pick(k)) for k in range(BRANCHES)])).alias("node"), "cid"
+                "tree", F.explode(F.array(*[F.xxhash64("node", F.lit(k), pick(k)) for k in range(BRANCHES)])).alias("node"), "cid", "n"
             )
         else:
-            blocks = F.ceil(F.col("size") / (node_limit // 2)).cast("int")
+            blocks = F.ceil(F.greatest(F.col("size") / (node_limit // 2), F.col("total") / (NODE_SHINGLES // 2))).cast("int")
             own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
             cells = large.select("tree", "node", "cid", blocks.alias("blocks"), own.alias("own")).select(
                 "tree", "node", "cid", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
