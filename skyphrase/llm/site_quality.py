@@ -129,7 +129,8 @@ def posteriors(scored: DataFrame, scratch: Scratch) -> tuple[DataFrame, float, f
     h = hosts.agg(F.sum(F.expr(f"host_n * pow(host_sum / host_n - {mean!r}D, 2)")).alias("v")).first()
     host_strength = strength(mean, h["v"] / total["n"], mean * (1 - mean) * total["k"] / total["n"])
     means = hosts.select(F.col("host").alias("of"), F.expr(f"(host_sum + {host_strength!r}D * {mean!r}D) / (host_n + {host_strength!r}D)").alias("host_mean"))
-    sites = paths.join(means, F.expr("host <=> of")).select("host", "path", "host_mean", "path_n", "path_sum")
+    # written, so that its size is known when the documents are joined: small, it is broadcast and texts stay in place
+    sites = scratch.write(paths.join(means, F.expr("host <=> of")).select("host", "path", "host_mean", "path_n", "path_sum"))
     p = sites.agg(F.sum(F.expr("path_n * pow(path_sum / path_n - host_mean, 2)")).alias("v"), F.count("*").alias("k")).first()
     return sites, mean, strength(mean, p["v"] / total["n"], mean * (1 - mean) * p["k"] / total["n"])
 
