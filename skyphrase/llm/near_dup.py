@@ -77,10 +77,10 @@ def sketch_rows(part: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def own_set(part: pa.RecordBatch) -> pa.RecordBatch:
-    """Drops rows whose text isn't that of the class: another row may bear the same doc_id."""
+def own_class(part: pa.RecordBatch) -> pa.RecordBatch:
+    """(cid, text): the class that each text belongs to."""
     d1, _ = digests(*Words(col(part, "text"), fold=True).shingles(5))
-    return part.filter(pa.array(d1 == col(part, "cid").to_numpy()))
+    return pa.RecordBatch.from_arrays([pa.array(d1), col(part, "text")], names=["cid", "text"])
 
 
 def _nodes(batches, emit):
@@ -243,10 +243,11 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
         return scratch.write(inside.repartition("node").sortWithinPartitions("node").mapInArrow(alike_in_nodes(percent / 100), "node long, cid long"))
 
     def fetch(rows: DataFrame) -> DataFrame:
-        """(cid, text) of the classes in ``rows``: of a row that bears the class's least doc_id and its very set."""
-        wanted = rows.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
-        found = texts.join(wanted, texts.doc_id == wanted.rep).select("cid", "text")
-        return scratch.write(found.mapInArrow(by_slice(own_set), "cid long, text string").dropDuplicates(["cid"]))
+        """(cid, text) of the classes in ``rows``, by their least doc_ids; rows of other classes with such an id may
+        come along.  The ids are written in order: a small file is broadcast, and texts aren't shuffled for it."""
+        wanted = scratch.write(rows.select("cid").distinct().join(classes.select("cid", "rep"), "cid").select("rep").distinct().sort("rep"))
+        found = texts.join(wanted, texts.doc_id == wanted.rep, "left_semi").select("text")
+        return scratch.write(found.mapInArrow(by_slice(own_class), "cid long, text string").dropDuplicates(["cid"]))
 
     def links(rows: DataFrame, bodies: DataFrame) -> DataFrame:
         inside = rows.join(bodies, "cid").select("node", "cid", "text")
@@ -284,7 +285,9 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     judged = scratch.write(_judged(docs, percent).where("doc_id is not null and n_shingles > 0"))
     by_id = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
     unsure = by_id.where("_rows > 1").select("_id")
-    out = docs.join(by_id.where("_rows > 1 or not _kept").select("_id"), docs["doc_id"] == F.col("_id"), "left_anti")
+    # written in order, for the same reason as the ids of texts to fetch
+    leave = scratch.write(by_id.where("_rows > 1 or not _kept").select("_id").sort("_id"))
+    out = docs.join(leave, docs["doc_id"] == F.col("_id"), "left_anti")
     if unsure.isEmpty():
         return restore(out)
 
