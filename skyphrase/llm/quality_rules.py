@@ -1,13 +1,14 @@
 """Quality rules: base counts, and a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words and word pairs of every text fall into ``BUCKETS`` hash buckets.  Two multinomials are estimated with add-one
-smoothing: the raw one over all documents, the target one over at most ``TRUSTED`` documents with a trusted label
-(those whose ids hash least).  A document's
+smoothing: the raw one over all documents, the target one over all documents with a trusted label.  A document's
 score is the mean of log(target / raw) over its n-grams, so it doesn't depend on length, and every document is
 decided by the same fixed threshold, in nats per n-gram.
 
 Each task adds up its own counts before anything is shuffled; the model that is collected and broadcast has
-``BUCKETS`` doubles whatever the corpus.  The trusted ids are bounded, so they are broadcast and no text is shuffled.
+``BUCKETS`` doubles whatever the corpus.  The trusted ids are cut into ranges of at most ``BLOCK``, which are broadcast
+one by one, so no text is shuffled: the pass over all texts marks the first range, and each further range has a pass
+that reads the texts between its ends and counts the trusted ones.
 
 Edge cases: null and empty texts have no words, fail the base and aren't kept; repeated rows count as often as they
 stand; a label that occurs more than once counts once; null labels or doc_ids match nothing; with no trusted
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_stats
-from .common import by_slice, col
+from .common import Scratch, by_slice, col
 from .textops import Words
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.08
-TRUSTED = 20_000
+BLOCK = 1 << 20
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -61,15 +62,37 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + n)) - np.log((raw + 1) / (raw.sum() + n))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, most: int = TRUSTED) -> np.ndarray:
-    """The log ratio of each bucket; ``trusted`` has the doc_ids of the target."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("trusted", F.lit(True))
-    marked = docs.join(F.broadcast(ids), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counts = marked.mapInArrow(count_task, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+def ranges(ids: DataFrame, n: int, most: int) -> list[tuple[int, int]]:
+    """Ranges of ids, ends included, that hold all ``n`` distinct ids between them and at most ``most`` each."""
+    parts = -(-5 * n // (4 * most)) if n > most else 1
+    while True:
+        points = [k / parts for k in range(1, parts)]
+        cuts = ids.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, points)), F.lit(100 * parts)).alias("c")).first()["c"] if points else []
+        low, high = -(2**63), 2**63 - 1
+        border = sorted({low, *[c + 1 for c in cuts if c < high]})
+        out = list(zip(border, [c - 1 for c in border[1:]] + [high], strict=True))
+        if parts == 1:
+            return out
+        held = ids.agg(*[F.count_if(F.col("doc_id").between(a, b)).alias(f"n{k}") for k, (a, b) in enumerate(out)]).first()
+        if max(held) <= most:
+            return out
+        parts *= 2
+
+
+def fit(docs: DataFrame, trusted: DataFrame, most: int = BLOCK) -> np.ndarray:
+    """The log ratio of each bucket; ``trusted`` has the doc_ids of the target, broadcast ``most`` at a time."""
+    scratch = Scratch(docs.sparkSession)
+    ids = scratch.write(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct())
     total = np.zeros((2, BUCKETS))
-    for r in counts.collect():  # at most BUCKETS rows
-        total[:, r["bucket"]] = r["raw"], r["target"]
+    for k, (a, b) in enumerate(ranges(ids, ids.count(), most)):
+        block = F.broadcast(ids.where(F.col("doc_id").between(a, b)).withColumn("trusted", F.lit(True)))
+        # the first pass counts every text, the others only what their range adds to the target
+        marked = docs.join(block, "doc_id", "left") if not k else docs.where(F.col("doc_id").between(a, b)).join(block, "doc_id")
+        marked = marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        counts = marked.mapInArrow(count_task, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+        for r in counts.collect():  # at most BUCKETS rows
+            total[:, r["bucket"]] += (0 if k else r["raw"]), r["target"]
+    scratch.drop(ids)
     return log_ratio(total[0], total[1])
 
 

@@ -51,6 +51,26 @@ def test_scores_are_the_log_likelihood_ratio(spark):
     assert kept > 40 and not any(out[k]["kept"] for k in out if k[0] is not None and k[0] >= 100)
 
 
+def test_target_counts_all_trusted_documents(spark):
+    """More trusted ids than a block holds, of any size and spread: all are counted, and the block size changes nothing."""
+    rng = random.Random(4)
+    ids = [-(2**63), 2**63 - 1, *rng.sample(range(-(10**15), 10**15), 300), *range(5000, 5100)]
+    rows = [(k, f"w{n} shared w{n} tail") for n, k in enumerate(ids)] + [(10**16, "raw only"), (None, "w1 shared"), (ids[5], "a repeated row")]
+    docs, trusted = documents(spark, rows).select("doc_id", "text"), spark.createDataFrame([(k,) for k in ids + ids[:9]] + [(None,), (77,)], "doc_id long")
+    names = trusted.where("doc_id is not null").distinct()
+    found = quality_rules.ranges(names, names.count(), 40)
+    assert len(found) > 8 and all(b + 1 == c for (_, b), (c, _) in zip(found, found[1:]))
+    assert max(names.where(f"doc_id between {a} and {b}").count() for a, b in found[:3] + found[-2:]) <= 40
+    raw, target = np.zeros(quality_rules.BUCKETS), np.zeros(quality_rules.BUCKETS)
+    for doc, text in rows:
+        h, _ = quality_rules.buckets(Words(pa.array([text])))
+        np.add.at(raw, h, 1)
+        if doc in set(ids):
+            np.add.at(target, h, 1)
+    for most in (40, 10**6):
+        assert np.allclose(quality_rules.fit(docs, trusted, most), quality_rules.log_ratio(raw, target), atol=1e-12, rtol=0)
+
+
 def test_rules_on_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert quality_rules.quality(documents(spark, []), none).count() == 0
