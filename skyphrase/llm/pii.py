@@ -3,12 +3,16 @@
 Words with a digit or an ``@`` are the field's tokens.  Labels are O and the four kinds.  Neighbouring tokens share a
 chain potential; tokens of one document that repeat or resemble each other (the same digits, or the same last seven
 to ten, or the same address without case and punctuation), however far apart, share a skip potential, each with the
-one before it.  Loopy sum-product message passing over all documents of a slice at once gives marginals; tokens of
-base spans are clamped, so a form that the patterns miss follows its twin that they catch.  A token with a marginal
+one before it and with the first of them that is in a base span, before or after it; both are linear in tokens.
+Loopy sum-product message passing over all documents of a slice at once gives marginals; each document's messages are
+passed on until they change by less than ``TOLERANCE``, and damped twice as much every ``PATIENCE`` rounds, so that
+they come to rest on any graph.  Tokens of base spans are clamped, so a form that the patterns miss follows its twin
+that they catch.  A token with a marginal
 of ``SURE`` or more for a kind, alone or with neighbours of that kind, becomes a span.
 
 Weights are trained by pseudo-likelihood, in numpy, on the tokens of at most ``SAMPLE`` documents (those whose ids
-hash least), labelled by the base patterns; the skip potential is held at ``SKIP_FLOOR`` or more.
+hash least), labelled by the base patterns; the skip potential is trained on the links to the token before, and held
+at ``SKIP_FLOOR`` or more.
 
 Base patterns are applied to whole texts in time linear in their length; matches that fail their check are dropped
 without a retry.  Offsets count code points.
@@ -35,7 +39,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 5000
 SURE = 0.9
 SKIP_FLOOR = 6.0
-ROUNDS = 12
+TOLERANCE = 1e-6
+PATIENCE = 200
 O = 4  # noqa: E741
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -131,15 +136,17 @@ class Field:
         has = np.concatenate([[0], np.cumsum(_TOKEN[words.buf])])
         self.base: dict[int, list] = {}
         self.doc, self.begin, self.end, self.token, self.label = [], [], [], [], []
-        chain, skip = [], []
+        chain, skip, star = [], [], []
         mine = np.flatnonzero(has[words.end] > has[words.start]) if len(words.start) else np.zeros(0, np.int64)
         points = np.concatenate([[0], np.cumsum(code_points(words.buf))])
         doc = np.searchsorted(words.first, mine, side="right") - 1
         last_doc, last_word, seen, spans = -1, -9, {}, []
+        held: dict[str, list] = {}  # every occurrence of each key in the document
         for w, d in zip(mine.tolist(), doc.tolist(), strict=True):
             if d != last_doc:
+                star += self._stars(held)
                 spans = self.base[d] = base_spans(text[d].as_py())
-                last_doc, last_word, seen = d, -9, {}
+                last_doc, last_word, seen, held = d, -9, {}, {}
                 seek = sorted((a, b, k) for k, a, b in spans)
             a, b = (int(points[x] - points[words.off[d]]) for x in (words.start[w], words.end[w]))
             k = len(self.doc)
@@ -152,17 +159,35 @@ class Field:
                 before, longer = seen.get(key, (None, []))
                 if before is not None:
                     skip.append((before, k))
-                    # tokens ahead of it, that the key takes in, are twins too where their digits agree
-                    skip += [(a, b) for a, b in zip(longer[1:], parts[1:], strict=False) if _digits(self.token[a]) == _digits(self.token[b])]
+                    skip += self._ahead(longer, parts)
                 seen[key] = (k, parts if len(parts) > 1 else longer)
+                held.setdefault(key, []).append((k, parts))
             last_word = w
+        star += self._stars(held)
         self.chain = np.array(chain, dtype=np.int64).reshape(-1, 2)
         self.skip = np.array(sorted(set(skip)), dtype=np.int64).reshape(-1, 2)
+        self.star = np.array(sorted(set(star) - set(skip)), dtype=np.int64).reshape(-1, 2)
         self.x = np.zeros((len(self.doc), _FEATURES), dtype=np.float64)
         for k, t in enumerate(self.token):
             self.x[k, token_features(t)] = 1
         self.y = np.array(self.label, dtype=np.int64)
 
+    def _ahead(self, longer: list[int], parts: list[int]) -> list[tuple[int, int]]:
+        """Tokens ahead of two twins, that their key takes in, are twins too where their digits agree."""
+        return [(a, b) for a, b in zip(longer[1:], parts[1:], strict=False) if _digits(self.token[a]) == _digits(self.token[b])]
+
+    def _stars(self, held: dict[str, list]) -> list[tuple[int, int]]:
+        """Links of every unlabelled occurrence of a key to the first labelled one of the document."""
+        out = []
+        for found in held.values():
+            known = [(k, parts) for k, parts in found if self.label[k] != O] if len(found) > 1 else []
+            if known:
+                longer = next((parts for _, parts in known if len(parts) > 1), [])
+                for k, parts in found:
+                    if self.label[k] == O:
+                        out += [(known[0][0], k), *self._ahead(longer, parts)]
+        return [(min(e), max(e)) for e in out]
+
     def _keys(self, k: int, chain: list) -> list[tuple[str, list[int]]]:
         """Keys of the token, and those of its digits after those of up to three adjoining tokens, by their last ten
         and seven; each with the tokens it takes in, the last first."""
@@ -219,24 +244,47 @@ class Model:
         known = field.y != O
         unary[known] = -30.0
         unary[known, field.y[known]] = 0.0
-        edges = np.concatenate([field.chain, field.skip])
-        if not len(edges):
-            belief = unary
-        else:
-            factor = np.concatenate([np.broadcast_to(np.exp(self.chain), (len(field.chain), 5, 5)), np.broadcast_to(np.exp(self.skip), (len(field.skip), 5, 5))])
+        edges = np.concatenate([field.chain, field.skip, field.star])
+        belief = unary.copy()
+        if len(edges):
+            twins = len(field.skip) + len(field.star)
+            factor = np.concatenate([np.broadcast_to(np.exp(self.chain), (len(field.chain), 5, 5)), np.broadcast_to(np.exp(self.skip), (twins, 5, 5))])
             source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
             factor = np.concatenate([factor, factor.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
             message = np.zeros((len(source), 5))
-            for _ in range(ROUNDS):
-                total = unary.copy()
-                np.add.at(total, target, message)
-                sent = total[source] - message[back]
+            doc = np.array(field.doc)
+            moving, step, turn = np.ones(doc.max() + 1, dtype=bool), 0.5, 0
+            live = None
+            while step >= TOLERANCE:
+                if live is None:  # only documents that still move take part, so each stops at its own round
+                    live, node = np.flatnonzero(moving[doc[source]]), np.flatnonzero(moving[doc])
+                    if not len(live):
+                        live = None
+                        break
+                    place, rank = np.zeros(len(source), np.int64), np.zeros(len(doc), np.int64)
+                    place[live], rank[node] = np.arange(len(live)), np.arange(len(node))
+                    begin, end, other, own, at = rank[source[live]], rank[target[live]], place[back[live]], factor[live], doc[source[live]]
+                    now = message[live]
+                total = unary[node]
+                np.add.at(total, end, now)
+                sent = total[begin] - now[other]
                 sent = np.exp(sent - sent.max(axis=1, keepdims=True))
-                new = np.log(np.einsum("ei,eij->ej", sent, factor) + 1e-300)
+                new = np.log(np.einsum("ei,eij->ej", sent, own) + 1e-300)
                 new -= new.max(axis=1, keepdims=True)
-                message = 0.5 * message + 0.5 * new
-            belief = unary.copy()
+                change = np.zeros(len(moving))
+                np.maximum.at(change, at, np.abs(new - now).max(axis=1))
+                now += step * (new - now)
+                rest = moving & (change < TOLERANCE)
+                if rest.any():
+                    message[live] = now
+                    moving &= ~rest
+                    live = None
+                turn += 1
+                if turn % PATIENCE == 0:
+                    step /= 2
+            if live is not None:
+                message[live] = now
             np.add.at(belief, target, message)
         p = np.exp(belief - belief.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)

@@ -114,6 +114,56 @@ def test_messages_reach_the_exact_marginals_on_a_tree():
         assert row == pytest.approx([sum(w for y, w in weight.items() if y[k] == label) / total for label in range(5)], abs=0.01)
 
 
+def test_messages_run_until_they_rest():
+    """A long chain with strong links: marginals are those of the forward-backward recursion, in any company."""
+    import numpy as np
+    import pyarrow as pa
+
+    model = pii.Model()
+    rng = np.random.default_rng(2)
+    model.node, model.chain = rng.normal(size=model.node.shape) / 20, 4 * np.eye(5)
+    model.node[8] = [6, 0, 0, 0, 0]
+    text = "@ " + " ".join(str(k % 10) for k in range(80))
+    field = pii.Field(pa.array([text]), 1)
+    unary, n = np.exp(field.x @ model.node), len(field.doc)
+    ahead, behind = [np.ones(5)], [np.ones(5)]
+    for k in range(n - 1):
+        ahead.append((ahead[-1] * unary[k]) @ np.exp(model.chain))
+        behind.append(np.exp(model.chain) @ (behind[-1] * unary[n - 1 - k]))
+        ahead[-1], behind[-1] = ahead[-1] / ahead[-1].sum(), behind[-1] / behind[-1].sum()
+    wanted = np.array([f * u * b for f, u, b in zip(ahead, unary, behind[::-1], strict=True)])
+    got = model.marginals(field)
+    assert n == 81 and np.abs(got - wanted / wanted.sum(axis=1, keepdims=True)).max() < 1e-4
+    both = model.marginals(pii.Field(pa.array(["1 2 3", text, "@ 4"]), 3))
+    assert np.allclose(both[3:84], got, atol=1e-12, rtol=0)
+
+
+def test_hundreds_of_repeats_follow_one_base_span(spark):
+    """However many times a number or an address returns, before or after the form that the patterns catch."""
+    filler = "some words between them here and there"
+    many = f" {filler} ring 555-010-7713" * 400
+    texts = {300: "call +1 (555) 010-7713 now." + many, 301: many + " call +1 (555) 010-7713 now.", 303: many + " call +1 (555) 010-7713 now." + many}
+    left = {r["doc_id"]: r["text"] for r in pii.masked(documents(spark, case() + list(texts.items()))).collect()}
+    for doc, count in ((300, 401), (301, 401), (303, 801)):
+        assert left[doc].count("[PHONE]") == count and "7713" not in left[doc]
+
+
+@pytest.mark.parametrize("lead", [1, 2, 3, 4, 5])
+def test_every_repeat_is_sure_however_far_other_leads(lead):
+    """One clamped number and 300 repeats, before and after it, at the least skip weight: all follow it."""
+    import numpy as np
+    import pyarrow as pa
+
+    model = pii.Model()
+    model.node[0, pii.O] = lead
+    model.skip = np.diag([pii.SKIP_FLOOR] * 4 + [0.0])
+    text = "ring 555-010-7713 " * 150 + "call +1 (555) 010-7713 now " + "ring 555-010-7713 " * 150
+    field = pii.Field(pa.array([text]), 1)
+    phone = model.marginals(field)[:, pii.KINDS.index("phone")]
+    assert len(field.skip) + len(field.star) < 3 * len(field.doc)
+    assert len(phone) == 303 and (phone >= pii.SURE).all()
+
+
 def test_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in op5_personal_data(spark, sf_dir).collect():
