@@ -8,7 +8,8 @@ Loopy sum-product message passing over all documents of a slice at once gives ma
 passed on until they change by less than ``TOLERANCE``, and damped twice as much every ``PATIENCE`` rounds, so that
 they come to rest on any graph.  Tokens of base spans are clamped, so a form that the patterns miss follows its twin
 that they catch.  A token with a marginal
-of ``SURE`` or more for a kind, alone or with neighbours of that kind, becomes a span.
+of ``SURE`` or more for a kind, alone or with neighbours of that kind, becomes a span, with or without a twin; what is
+added to a text depends on that text and the model alone, not on the texts that share its slice.
 
 Weights are trained by pseudo-likelihood, in numpy, on the tokens of at most ``SAMPLE`` documents (those whose ids
 hash least), labelled by the base patterns; the skip potential is trained on the links to the token before, and held
@@ -295,8 +296,8 @@ class Model:
         out: list[tuple[list, list]] = [([], []) for _ in range(len(text))]
         for d, found in field.base.items():
             out[d] = (found, [])
-        if not self.trained or not len(field.skip):
-            return out  # without twins the field has no more to say than the patterns
+        if not self.trained or not len(field.doc):
+            return out
         p = self.marginals(field)
         kind = p.argmax(axis=1)
         add = (kind != O) & (p.max(axis=1) >= SURE) & (field.y == O)

@@ -164,6 +164,21 @@ def test_every_repeat_is_sure_however_far_other_leads(lead):
     assert len(phone) == 303 and (phone >= pii.SURE).all()
 
 
+def test_added_spans_depend_on_the_text_alone():
+    """A form without a twin, that the patterns miss and the features give away, alone and beside texts with twins."""
+    import numpy as np
+    import pyarrow as pa
+
+    model = pii.Model()
+    model.node[9, 0], model.node[0, pii.O], model.trained = 12.0, 4.0, True
+    model.skip = np.diag([pii.SKIP_FLOOR] * 4 + [0.0])
+    texts = ["write to @name.site.org now", "", "no tokens", "call +1 (555) 010-7713 now, ring 555-010-7713", "x1 y2", "@a.site.org 12 34 @b.site.org"]
+    alone = [model.spans(pa.array([t]))[0] for t in texts]
+    assert alone[0] == ([], [(0, 10, 23)]) and len(alone[5][1]) == 2 and alone[1] == alone[2] == ([], [])
+    assert model.spans(pa.array(texts)) == alone and model.spans(pa.array(texts[::-1])) == alone[::-1]
+    assert pii.Model().spans(pa.array(texts[:1])) == [([], [])]
+
+
 def test_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in op5_personal_data(spark, sf_dir).collect():
