@@ -31,8 +31,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and of the decoded bytes of every document left."""
-    return byte_bpe.round_trip(docs)
+    """Token counts and digests of ids, of the decoded bytes and of the offsets of every document left."""
+    return byte_bpe.round_trip(docs, offsets=True)
 
 
 STAGES = [

@@ -19,6 +19,7 @@ import base64
 import hashlib
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_slice, col
-from .textops import code_points
+from .textops import code_points, payload
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -81,10 +82,21 @@ class Codec:
 
     def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """First character and end of each token; both take in characters that a token has only in part."""
-        raw = np.frombuffer(text.encode(), dtype=np.uint8)
-        char = np.cumsum(code_points(raw)) - 1
-        end = np.cumsum(self.size[ids]) if ids else np.zeros(0, dtype=np.int64)
-        return char[end - self.size[ids]] if ids else end, char[end - 1] + 1 if ids else end
+        starts, ends, _ = self.spans(np.frombuffer(text.encode(), dtype=np.uint8), [ids])
+        return starts, ends
+
+    def spans(self, buf: np.ndarray, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offsets of the tokens of texts that lie end to end in ``buf``, each counted from its own text's beginning, and
+        the border of each text's tokens."""
+        count = np.array([len(x) for x in ids], dtype=np.int64)
+        border = np.concatenate([[0], np.cumsum(count)])
+        size = self.size[np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=border[-1])]
+        end = np.cumsum(size)
+        char = np.cumsum(code_points(buf)) - 1
+        starts, ends = char[end - size], char[end - 1] + 1
+        some = np.flatnonzero(count)
+        base = np.repeat(starts[border[some]], count[some])
+        return starts - base, ends - base, border
 
     def digest(self, ids: list[int]) -> str:
         return hashlib.sha256(",".join(map(self.label.__getitem__, ids)).encode()).hexdigest()
@@ -103,14 +115,24 @@ def _texts(part: pa.RecordBatch) -> list[str]:
     return col(part, "text").fill_null("").to_pylist()
 
 
+def _encoded(own: Codec, part: pa.RecordBatch, texts: list[str]) -> tuple[list[list[int]], list[tuple[np.ndarray, np.ndarray]]]:
+    """Ids of each text, and the first character and end of each token."""
+    ids = own.encode(texts)
+    starts, ends, border = own.spans(payload(col(part, "text"))[0], ids)
+    return ids, [(starts[a:b], ends[a:b]) for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True)]
+
+
+def _decoded(own: Codec, ids: list) -> tuple[list[bytes], list[str]]:
+    """Bytes of each list of ids, and their text."""
+    raw = [own.decode(x or []) for x in ids]
+    return raw, [x.decode(errors="replace") for x in raw]
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids, starts, ends): the ids of each whole text and the characters each token covers."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        own = codec(vocabulary, pattern)
-        texts = _texts(part)
-        ids = own.encode(texts)
-        spans = [own.offsets(t, x) for t, x in zip(texts, ids, strict=True)]
+        ids, spans = _encoded(codec(vocabulary, pattern), part, _texts(part))
         return pa.RecordBatch.from_arrays(
             [col(part, "doc_id").cast(pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array([s for s, _ in spans], pa.list_(pa.int32())), pa.array([e for _, e in spans], pa.list_(pa.int32()))],
             names=["doc_id", "ids", "starts", "ends"],
@@ -125,32 +147,34 @@ def decode(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def run(batches):
         own = codec(vocabulary)
         for batch in batches:
-            raw = [own.decode(x or []) for x in col(batch, "ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([col(batch, "doc_id"), pa.array(raw, pa.binary()), pa.array([x.decode(errors="replace") for x in raw], pa.string())], names=["doc_id", "bytes", "text"])
+            raw, text = _decoded(own, col(batch, "ids").to_pylist())
+            yield pa.RecordBatch.from_arrays([col(batch, "doc_id"), pa.array(raw, pa.binary()), pa.array(text, pa.string())], names=["doc_id", "bytes", "text"])
 
     return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, bytes binary, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, exact): encodes whole texts, decodes the ids, and digests both."""
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str | None = None, offsets: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, exact): encodes whole texts as ``encode`` does, decodes the ids as
+    ``decode`` does, and digests both; ``exact`` where bytes and text come back.  With ``offsets`` also offsets_sha256, of
+    the tokens' first characters and then their ends, as 8-byte little-endian integers."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"] + ["offsets_sha256"] * offsets
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(vocabulary, pattern)
         texts = _texts(part)
-        ids = own.encode(texts)
-        back = [own.decode(x) for x in ids]
-        return pa.RecordBatch.from_arrays(
-            [
-                col(part, "doc_id").cast(pa.int64()),
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([own.digest(x) for x in ids]),
-                pa.array([hashlib.sha256(x).hexdigest() for x in back]),
-                pa.array([x == t.encode() for x, t in zip(back, texts, strict=True)]),
-            ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
-        )
+        ids, spans = _encoded(own, part, texts)
+        raw, back = _decoded(own, ids)
+        columns = [
+            col(part, "doc_id").cast(pa.int64()),
+            pa.array([len(x) for x in ids], pa.int64()),
+            pa.array([own.digest(x) for x in ids]),
+            pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
+            pa.array([x == t.encode() and y == t for x, y, t in zip(raw, back, texts, strict=True)]),
+            pa.array([hashlib.sha256(np.concatenate(x).astype("<i8").tobytes()).hexdigest() for x in spans]),
+        ]
+        return pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
 
-    return _narrow(docs).mapInArrow(by_slice(work, limit=1 << 18), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
+    return _narrow(docs).mapInArrow(by_slice(work, limit=1 << 18), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean" + ", offsets_sha256 string" * offsets)
 
 
 def _narrow(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .byte_bpe import round_trip
 
-    return round_trip(table(spark, sf_dir, "documents"))
+    return round_trip(table(spark, sf_dir, "documents"), offsets=True)
 
 
 def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

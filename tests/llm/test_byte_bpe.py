@@ -67,6 +67,21 @@ def test_offsets_equal_the_librarys(spark):
     assert [(int(a), int(b)) for a, b in zip(starts, ends, strict=True)] == full.offsets
 
 
+def test_query_digests_the_operators_offsets(spark, sf_dir):
+    """The query's offsets are those of encode(), counted out here byte by byte."""
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect()}
+    own = byte_bpe.codec()
+    found = {r["doc_id"]: r for r in op2_byte_bpe(spark, sf_dir).collect()}
+    for doc, text in texts.items():
+        char = [k for k, c in enumerate(text) for _ in c.encode()]
+        starts, ends, at = [], [], 0
+        for i in own.encode([text])[0]:
+            starts.append(char[at])
+            at += len(own.token[i])
+            ends.append(char[at - 1] + 1)
+        assert found[doc]["offsets_sha256"] == hashlib.sha256(b"".join(x.to_bytes(8, "little") for x in starts + ends)).hexdigest()
+
+
 def test_query_covers_every_row(spark, sf_dir):
     out = op2_byte_bpe(spark, sf_dir)
     assert out.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count() and out.where("not exact").count() == 0
