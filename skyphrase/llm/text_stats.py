@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textops import _POW, BYTE_CODE, IS_SPACE, U64, Words, code_points, mix
+from .textops import IS_SPACE, U64, Words, code_points, mix, span_hash
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -41,26 +41,11 @@ def dup_lines(words: Words) -> tuple[np.ndarray, np.ndarray]:
     lines = np.bincount(doc, minlength=words.n)
     if not len(begin):
         return np.zeros(words.n, dtype=np.int64), lines
-    key = mix(_spans_hash(buf, begin, end) ^ mix(doc.astype(U64) + U64(1)))
+    key = mix(span_hash(buf, begin, end) ^ mix(doc.astype(U64) + U64(1)))
     _, at = np.unique(key, return_index=True)
     return lines - np.bincount(doc[at], minlength=words.n), lines
 
 
-def _spans_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    size = end - begin
-    total = np.zeros(len(begin), dtype=U64)
-    block = np.concatenate([[0], np.searchsorted(np.cumsum(size), np.arange(1 << 20, int(size.sum()) + (1 << 20), 1 << 20)) + 1])
-    for a, b in zip(block[:-1], np.minimum(block[1:], len(begin)), strict=True):
-        if a >= b:
-            continue
-        n = size[a:b]
-        first = np.cumsum(n) - n
-        k = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n)
-        code = BYTE_CODE[buf[np.repeat(begin[a:b], n) + k]]
-        total[a:b] = np.add.reduceat(code * _POW[k & 1023] + (k >> 10).astype(U64) * code, first) + n.astype(U64)
-    return mix(total)
-
-
 def repeat_words(words: Words) -> np.ndarray:
     """By text: words inside 8-word windows that the text holds twice or more."""
     h, border = words.windows(WINDOW)

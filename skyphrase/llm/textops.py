@@ -2,11 +2,13 @@
 
 Texts are read as UTF-8 bytes straight from the Arrow data buffer.  Words are maximal runs of bytes
 other than ``\\x20`` and ``\\x09-\\x0D``; every byte of a multi-byte code point belongs to a word, so this
-equals the code-point pattern ``[^\\x20\\x09-\\x0D]+``.  Word identity is a 64-bit hash of the bytes.
+equals the code-point pattern ``[^\\x20\\x09-\\x0D]+``.  Word identity is a 64-bit hash of the bytes: each block
+of eight bytes is mixed with its place, non-linearly, and the mixed blocks are added up, so no exchange of bytes
+or blocks leaves the hash as it is.
 
-Memory is bounded by ``SLICE_BYTES`` (plus one text): a batch is worked off in slices of whole rows, and
-hashing runs over blocks of ``BLOCK_BYTES`` cut at white space, so a very long text needs about
-20 bytes of working memory per *word*, not per byte.
+Memory is bounded by ``SLICE_BYTES`` (plus one text): a batch is worked off in slices of whole rows.  Words are found
+in blocks of ``BLOCK_BYTES`` and hashed ``PIECE`` eight-byte blocks at a time, wherever those cut a word, so that a
+very long text needs a copy of its bytes and about 24 bytes for each *word*, white space or not.
 """
 
 from __future__ import annotations
@@ -18,14 +20,16 @@ import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
+PIECE = 1 << 16
 
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240229))
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 BYTE_CODE = _RNG.integers(0, 2**64, 256, dtype=U64)
-FOLDED_CODE = BYTE_CODE.copy()
-FOLDED_CODE[65:91] = BYTE_CODE[97:123]
-_POW = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15 | 1, dtype=U64))
+FOLDED_CODE = BYTE_CODE[FOLD]
 _STEP = _RNG.integers(0, 2**64, 16, dtype=U64) | U64(1)
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=U64)  # the lowest k bytes
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -37,6 +41,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+_PLACE = mix(np.arange(1, 1025, dtype=U64) * U64(0x9E3779B97F4A7C15))
+
+
+def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the spans buf[begin:end], none empty; spans may be of any length."""
+    size = end - begin
+    border = np.concatenate([[0], np.cumsum((size + 7) >> 3)])
+    total = size.astype(U64) * U64(0xD6E8FEB86659FD93)
+    if not len(begin):
+        return total
+    eights = np.zeros((len(buf) >> 3) + 2, dtype=U64)
+    eights.view(np.uint8)[: len(buf)] = buf
+    for p in range(0, int(border[-1]), PIECE):
+        q = min(p + PIECE, int(border[-1]))
+        a, b = np.searchsorted(border, p, side="right") - 1, np.searchsorted(border, q, side="left")
+        low = np.maximum(border[a:b], p)
+        many = np.minimum(border[a + 1 : b + 1], q) - low
+        k = np.arange(p, q) - np.repeat(border[a:b], many)
+        at = np.repeat(begin[a:b], many) + 8 * k
+        word, shift = at >> 3, ((at & 7) << 3).astype(U64)
+        x = (eights[word] >> shift) | ((eights[word + 1] << U64(1)) << (U64(63) - shift))
+        x &= _TAIL[np.minimum(np.repeat(end[a:b], many) - at, 8)]
+        place = _PLACE[k] if k.max() < len(_PLACE) else mix((k + 1).astype(U64) * U64(0x9E3779B97F4A7C15))
+        total[a:b] += np.add.reduceat(mix(x ^ place), low - p)
+    return mix(total)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows whose texts have at most ``limit`` bytes together (one longer text stands alone)."""
     col = batch.column(batch.schema.get_field_index(column))
@@ -71,65 +102,38 @@ def payload(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[off[0] : off[-1]], off - off[0]
 
 
+def word_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of texts that lie end to end in ``buf`` begin, and where they end."""
+    starts, ends = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for a in range(0, len(buf), BLOCK_BYTES):
+        b = min(a + BLOCK_BYTES, len(buf))
+        inside = ~IS_SPACE[buf[a:b]]
+        edge = np.zeros(b - a + 1, dtype=bool)  # text borders, before each byte and after the last
+        lo, hi = np.searchsorted(off, [a, b + 1])
+        edge[off[lo:hi] - a] = True
+        before = a > 0 and not IS_SPACE[buf[a - 1]]  # a word may begin or end in another block
+        after = b < len(buf) and not IS_SPACE[buf[b]]
+        begins, stops = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1] | edge[1:-1]
+        begins[0] &= not before or edge[0]
+        stops[:-1] &= ~inside[1:] | edge[1:-1]
+        stops[-1] &= not after or edge[-1]
+        starts.append(np.flatnonzero(begins) + a)
+        ends.append(np.flatnonzero(stops) + a + 1)
+    return np.concatenate(starts), np.concatenate(ends)
+
+
 class Words:
     """Words of a column of texts: byte ``start`` and ``end``, 64-bit ``hash``; ``first[d]:first[d+1]`` are text d's."""
 
     def __init__(self, col: pa.Array, fold: bool = False):
         self.buf, self.off = payload(col)
         self.n = len(self.off) - 1
-        code = FOLDED_CODE if fold else BYTE_CODE
-        starts, ends, hashes = [], [], []
-        for a, b in self._blocks():
-            s, e, h = self._block(a, b, code)
-            starts.append(s), ends.append(e), hashes.append(h)
-        empty = np.zeros(0, dtype=np.int64)
-        self.start = np.concatenate(starts) if starts else empty
-        self.end = np.concatenate(ends) if ends else empty
-        self.hash = np.concatenate(hashes) if hashes else empty.astype(U64)
+        self.start, self.end = word_bounds(self.buf, self.off)
+        self.hash = span_hash(FOLD[self.buf] if fold else self.buf, self.start, self.end)
         self.first = np.searchsorted(self.start, self.off)
         self.count = np.diff(self.first)
 
-    def _blocks(self) -> Iterator[tuple[int, int]]:
-        """Blocks that end at a text border or before white space."""
-        at, size = 0, len(self.buf)
-        while at < size:
-            to = min(size, at + BLOCK_BYTES)
-            if to < size:
-                border = self.off[np.searchsorted(self.off, to, side="left")]
-                probe = to
-                while probe < border and not IS_SPACE[self.buf[probe : probe + 4096]].any():
-                    probe += 4096
-                if probe < border:
-                    to = min(border, probe + int(np.argmax(IS_SPACE[self.buf[probe : probe + 4096]])))
-                else:
-                    to = border
-            yield at, int(to)
-            at = int(to)
-
-    def _block(self, a: int, b: int, code: np.ndarray):
-        bytes_ = self.buf[a:b]
-        inside = ~IS_SPACE[bytes_]
-        edge = np.zeros(b - a + 1, dtype=bool)
-        edge[0] = edge[-1] = True
-        lo, hi = np.searchsorted(self.off, [a, b])
-        edge[self.off[lo:hi] - a] = True
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1] | edge[1:-1]
-        stops = inside.copy()
-        stops[:-1] &= ~inside[1:] | edge[1:-1]
-        s, e = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-        if not len(s):
-            return s, e, np.zeros(0, dtype=U64)
-        size = e - s
-        total = int(size.sum())
-        first = np.cumsum(size) - size
-        k = np.arange(total, dtype=np.int64) - np.repeat(first, size)
-        x = code[bytes_[inside]] * _POW[k & 1023]
-        if size.max() > 1024:
-            x += (k >> 10).astype(U64) * code[bytes_[inside]]
-        h = mix(np.add.reduceat(x, first) + size.astype(U64))
-        return s + a, e + a, h
-
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of k words of one text, in order, and the n + 1 borders by text."""
         many = np.maximum(self.count - k + 1, 0)

@@ -72,3 +72,38 @@ def test_counts(block):
         windows = [tuple(ws[k : k + 8]) for k in range(len(ws) - 7)]
         inside = {k + j for k, x in enumerate(windows) if windows.count(x) > 1 for j in range(8)} if len(windows) < 500 else set()
         assert reps[d] == len(inside)
+
+
+def pairs_that_once_met():
+    """Different words of the same bytes: blocks exchanged, a long word reversed, and Thue-Morse words."""
+    thue = "a"
+    for _ in range(12):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    ordinary = "".join(random.Random(5).choice("abcdefgh") for _ in range(2048))
+    return [
+        ("ab" * 512 + "ba" * 512, "ba" * 512 + "ab" * 512), (ordinary, ordinary[::-1]), (thue, thue.translate(str.maketrans("ab", "ba"))),
+        ("a" * 1024 + "b" * 1024, "b" * 1024 + "a" * 1024), ("x" * 16, "x" * 17), ("abcdefgh" + "ijklmnop", "ijklmnop" + "abcdefgh"), ("a\0", "a"),
+    ]
+
+
+def test_long_words_and_lines_do_not_collide():
+    for a, b in pairs_that_once_met():
+        words = textops.Words(pa.array([a, b]))
+        assert words.hash[0] != words.hash[1], a[:20]
+        assert text_stats.dup_lines(textops.Words(pa.array([f"{a}\n{b}\n{a}"])))[0].tolist() == [1]
+
+
+def test_words_of_any_length_against_a_pattern(monkeypatch):
+    rng = random.Random(6)
+    texts = [None, "", " \n\t "] + ["".join(rng.choice("ab \nécd\U0001f600") for _ in range(rng.randint(0, 400))) for _ in range(300)]
+    for block, piece in ((1 << 20, 1 << 16), (64, 13), (7, 1)):
+        monkeypatch.setattr(textops, "BLOCK_BYTES", block)
+        monkeypatch.setattr(textops, "PIECE", piece)
+        words, seen = textops.Words(pa.array(texts)), {}
+        for d, t in enumerate(texts):
+            own = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+            at = range(words.first[d], words.first[d + 1])
+            assert [words.buf[words.start[k] : words.end[k]].tobytes() for k in at] == own
+            for k, w in zip(at, own, strict=True):
+                assert seen.setdefault(w, words.hash[k]) == words.hash[k]
+        assert len(set(seen.values())) == len(seen)
