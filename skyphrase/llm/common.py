@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,12 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table of ids or other narrow rows is broadcast up to so many rows (some 16 to 64 MB), whatever Spark's own threshold.
+BROADCAST_ROWS = 1 << 20
+
+
+def sized(df: DataFrame, most: int | None = None) -> DataFrame:
+    """``df``, a written table of narrow rows, with the hint to broadcast it if it has at most ``most`` rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share.  Where a local session names none (tests), one is made; on a cluster
+    that is an error, as executors don't see each other's folders."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="skyphrase-")
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -46,12 +59,18 @@ def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame
 
 
 class Scratch:
-    """Written intermediates: they cut lineage, survive lost executors, and can be dropped when used up."""
+    """Written intermediates: they cut lineage, survive lost executors, and can be dropped when used up.
+
+    What an operator's result still reads stays; ``release`` deletes it once the result has been stored.
+    """
+
+    opened: list[Scratch] = []
 
     def __init__(self, spark: SparkSession):
         self.spark, self.top = spark, f"{shared_dir(spark)}/skyphrase-{uuid.uuid4().hex}"
         self.count = 0
         self.held: list[DataFrame] = []
+        self.opened.append(self)
 
     def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -64,17 +83,27 @@ class Scratch:
 
     def drop(self, *frames: DataFrame) -> None:
         """Deletes the files of frames that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
         self.held = [df for df in self.held if not any(df is x for x in frames)]
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
+            remove(self.spark, df._scratch_path)
 
     def keep_only(self, *frames: DataFrame) -> None:
         self.drop(*[df for df in self.held if not any(df is x for x in frames)])
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark writes."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(since: int = 0) -> None:
+    """Deletes the intermediates of all operators called since ``len(Scratch.opened)`` was ``since``."""
+    for scratch in Scratch.opened[since:]:
+        remove(scratch.spark, scratch.top)
+    del Scratch.opened[since:]
+
+
 def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", limit: int = textops.SLICE_BYTES):
     """A mapInArrow function that hands ``work`` slices of bounded text size."""
 

@@ -4,18 +4,23 @@ Each distinct shingle set (copies fall together by a 128-bit digest first) gets
 values.  ``TREES`` independent trees start from one coordinate each; a node is the sets that agree on every chosen
 coordinate of its path.  A node of at most ``NODE`` sets, of ``NODE_SHINGLES`` shingles together, is compared
 exhaustively on the vectors; a larger one branches by ``BRANCHES`` further coordinates, chosen by the node's own hash,
-down to ``DEPTH`` levels.  Nodes that are still larger then are compared in blocks: every pair of blocks is a cell of
-its own, so no pair is lost and no task grows with a node.  Sets with a likely partner are compared again, node by
-node, on their full shingles.
+down to ``DEPTH`` levels.  A node that is still larger then is done in blocks.  First every block is compared with
+``LEADERS`` of the node's sets, which joins a group of near copies in time linear in its size.  Then pairs of blocks
+are cells of their own, but for those of two blocks of the node's largest cluster: so no pair of different clusters is
+lost, no task grows with a node, and the cells grow with what the leaders did not join, not with the square of a group.
+Sets with a likely partner are compared again, node by node, on their full shingles.
 
 No step makes a row per pair.  The comparison of vectors gives the rows that have a partner; the exact comparison
-gives a spanning forest of each node's links, which leaves every component whole.  Links found by the first tree
-make clusters, and the other trees compare across clusters only, so a large group of near copies is done once.
+gives a spanning forest of each node's links, which leaves every component whole.  Links found by the first tree and
+the leaders make clusters, and all else compares across clusters only, so a large group of near copies is done once.
+Tables of minimums and of owners are written before they are joined, so that Spark may split a hot class.
 
 Recall: a link of Jaccard J meets in a given tree with probability J, so eight trees miss (1 - J)^8, under 2e-5 at
 0.75; links inside large nodes pass each further level with 1 - (1 - J)^2.  The vector estimate must be within
 ``SLACK`` of the threshold; that is over four standard deviations.
 
+A class is known by 64 bits of its digest: among 10^10 different sets, some three pairs are taken for one.
+
 Edge cases: null or empty texts and texts of white space have an empty set, are their own component and linked with
 nothing; a null doc_id is never linked, its component is null and it is kept; each row is judged by its own text, so
 repeated rows fall into one class and all rows that carry its smallest doc_id are kept; other columns are ignored.
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import Scratch, binaries, by_slice, col, shielded
+from .common import Scratch, binaries, by_slice, col, shielded, sized
 from .graph import components
 from .textops import U64, Words, mix
 
@@ -39,6 +44,7 @@ BRANCHES = 2
 DEPTH = 4
 NODE = 4096
 NODE_SHINGLES = 4_000_000
+LEADERS = 64
 _COMMON = 64
 SLACK = 0.25
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, COORDS, dtype=U64) | U64(1)
@@ -185,38 +191,63 @@ def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, i
     return out
 
 
-def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int) -> DataFrame:
-    """Leaf rows (tree, node, cid, side); side tells the two blocks of a cell apart, -1 in an ordinary node."""
+def tree_nodes(classes: DataFrame, scratch: Scratch, node_limit: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+    """Leaf rows (tree, node, cid, side) of nodes within the limit, and rows (tree, node, cid, n, size, total) of those
+    that are larger after all branching, if there are any."""
     value = lambda c: F.expr(f"substring(sketch, {4 * c} + 1, 4)")
     pick = lambda k: F.expr(f"substring(sketch, 4 * cast(pmod(xxhash64(node, {k}), {COORDS}) as int) + 1, 4)")
     rows = classes.select(F.posexplode(F.array(*[F.xxhash64(F.lit(t), value(t)) for t in range(TREES)])).alias("tree", "node"), "cid", "n")
     small = (F.col("size") <= node_limit) & (F.col("total") <= NODE_SHINGLES)
-    leaves = []
+    leaves, large = None, None
     for level in range(depth + 1):
         size = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("total")).where("size > 1")
-        sized = scratch.write(rows.join(size, "node").select("tree", "node", "cid", "n", "size", "total"))
-        leaves.append(sized.where(small).select("tree", "node", "cid", F.lit(-1).alias("side")))
-        large = sized.where(~small)
+        held = scratch.write(rows.join(size, "node").select("tree", "node", "cid", "n", "size", "total"))
+        own = held.where(small).select("tree", "node", "cid", F.lit(-1).alias("side"))
+        leaves = own if leaves is None else leaves.unionByName(own)
+        large = held.where(~small)
         if large.isEmpty():
-            break
+            return leaves, None
         if level < depth:
             rows = large.join(classes.select("cid", "sketch"), "cid").select(
                 "tree", F.explode(F.array(*[F.xxhash64("node", F.lit(k), pick(k)) for k in range(BRANCHES)])).alias("node"), "cid", "n"
             )
-        else:
-            blocks = F.ceil(F.greatest(F.col("size") / (node_limit // 2), F.col("total") / (NODE_SHINGLES // 2))).cast("int")
-            own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-            cells = large.select("tree", "node", "cid", blocks.alias("blocks"), own.alias("own")).select(
-                "tree", "node", "cid", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-            )
-            leaves.append(cells.select(
-                "tree", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid",
-                F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"),
-            ))
-    out = leaves[0]
-    for more in leaves[1:]:
-        out = out.unionByName(more)
-    return out
+    return leaves, large
+
+
+def _blocks(sets, shingles, node_limit: int):
+    """In how many blocks sets are dealt so that two blocks make a node within the limits."""
+    return F.greatest(F.ceil(sets / (node_limit // 2)), F.ceil(shingles / (NODE_SHINGLES // 2)), F.lit(1)).cast("int")
+
+
+def _upto(count):
+    return F.explode(F.sequence(F.lit(0), count - 1))
+
+
+def leader_cells(large: DataFrame, node_limit: int) -> DataFrame:
+    """Every block of a large node with some LEADERS of the node's sets: (node, cid, side), the leaders' side is 1."""
+    dealt = large.withColumn("blocks", _blocks(F.col("size"), F.col("total"), node_limit))
+    cell = lambda k: F.xxhash64("node", F.lit("leaders"), k).alias("node")
+    own = dealt.select(cell(F.pmod(F.xxhash64("cid"), "blocks").cast("int")), "cid", F.lit(0).alias("side"))
+    led = dealt.where(F.pmod(F.xxhash64("cid", "node"), F.col("size")) < LEADERS).select("node", "cid", _upto(F.col("blocks")).alias("k"))
+    return own.unionByName(led.select(cell(F.col("k")), "cid", F.lit(1).alias("side")))
+
+
+def cluster_cells(large: DataFrame, clusters: DataFrame, scratch: Scratch, node_limit: int) -> DataFrame:
+    """Cells (node, cid, side) of pairs of blocks of each large node, without those inside the node's largest cluster."""
+    known = scratch.write(large.join(clusters, "cid", "left").select("node", "cid", "n", F.coalesce("cluster", "cid").alias("cluster")))
+    each = known.groupBy("node", "cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    top = each.groupBy("node").agg(F.max_by(F.struct("cluster", "c", "s"), "c").alias("top"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+    top = top.where("c > top.c").select(
+        "node", F.col("top.cluster").alias("top"), _blocks(F.col("top.c"), F.col("top.s"), node_limit).alias("tops"), _blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s"), node_limit).alias("rests")
+    )
+    dealt = known.join(scratch.write(top), "node").withColumn("is_top", F.col("cluster") == F.col("top"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("cid"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("rests"))).cast("int"))
+    across = lambda x, y: F.xxhash64("node", F.lit("across"), x, y).alias("node")
+    inside = F.xxhash64("node", F.lit("inside"), F.least("own", "other"), F.greatest("own", "other")).alias("node")
+    tops, rest = dealt.where("is_top"), dealt.where("not is_top")
+    out = tops.select("node", "cid", "own", _upto(F.col("rests")).alias("other")).select(across(F.col("own"), F.col("other")), "cid", F.lit(0).alias("side"))
+    out = out.unionByName(rest.select("node", "cid", "own", _upto(F.col("tops")).alias("other")).select(across(F.col("other"), F.col("own")), "cid", F.lit(1).alias("side")))
+    return out.unionByName(rest.select("node", "cid", "own", _upto(F.col("rests")).alias("other")).select(inside, "cid", F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
@@ -232,7 +263,7 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
     classes = scratch.write(
         sketches.where(member).groupBy(F.col("d1").alias("cid"), "d2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     )
-    leaves = tree_nodes(classes, scratch, node_limit, depth)
+    leaves, large = tree_nodes(classes, scratch, node_limit, depth)
 
     def alike(rows: DataFrame, clusters: DataFrame | None) -> DataFrame:
         """Rows of the nodes that may have a link to another cluster."""
@@ -246,7 +277,7 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
         """(cid, text) of the classes in ``rows``, by their least doc_ids; rows of other classes with such an id may
         come along.  The ids are written in order: a small file is broadcast, and texts aren't shuffled for it."""
         wanted = scratch.write(rows.select("cid").distinct().join(classes.select("cid", "rep"), "cid").select("rep").distinct().sort("rep"))
-        found = texts.join(wanted, texts.doc_id == wanted.rep, "left_semi").select("text")
+        found = texts.join(sized(wanted), texts.doc_id == wanted.rep, "left_semi").select("text")
         return scratch.write(found.mapInArrow(by_slice(own_class), "cid long, text string").dropDuplicates(["cid"]))
 
     def links(rows: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -254,31 +285,33 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
         return scratch.write(inside.repartition("node").sortWithinPartitions("node").mapInArrow(links_in_nodes(percent), "a long, b long").distinct())
 
     # The first tree joins most near copies into clusters; the others then look for links between clusters only.
-    first = alike(leaves.where("tree = 0"), None)
+    start = leaves.where("tree = 0").select("node", "cid", "side")
+    first = alike(start if large is None else start.unionByName(leader_cells(large, node_limit)), None)
     bodies = fetch(first)
     found = links(first, bodies)
     clusters = components(found, scratch).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
-    later = alike(leaves.where("tree > 0"), clusters)
+    others = leaves.where("tree > 0").select("node", "cid", "side")
+    later = alike(others if large is None else others.unionByName(cluster_cells(large, clusters, scratch, node_limit)), clusters)
     new = fetch(later.join(bodies.select("cid"), "cid", "left_anti"))
     found = found.unionByName(links(later, bodies.unionByName(new)))
     comp = components(found, scratch)
     scratch.keep_only(sketches, classes, comp)
     roots = comp.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    named = comp.unionByName(roots).join(classes.select(F.col("cid").alias("node"), "rep"), "node")
-    least = named.groupBy("root").agg(F.min("rep").alias("component"))
+    named = scratch.write(comp.unionByName(roots).join(classes.select(F.col("cid").alias("node"), "rep"), "node"))
+    least = scratch.write(named.groupBy("root").agg(F.min("rep").alias("component")))
     named = named.join(least, "root").select(F.col("node").alias("cid"), "component")
-    owners = classes.select("cid", "rep").join(named, "cid", "left").select(F.col("cid").alias("d1"), F.coalesce("component", "rep").alias("component"))
-    out = sketches.select("doc_id", "n_shingles", "d1").join(owners, "d1", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", "d1", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    owners = scratch.write(classes.select("cid", "rep").join(named, "cid", "left").select(F.col("cid").alias("d1"), F.coalesce("component", "rep").alias("component")))
+    scratch.keep_only(sketches, owners)
+    own = sketches.where(member).join(owners, "d1").select("doc_id", "n_shingles", "d1", F.col("component").alias("component_id"), (F.col("component") == F.col("doc_id")).alias("kept"))
+    return own.unionByName(sketches.where(~member).select("doc_id", "n_shingles", "d1", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; of repeated rows of a kept doc_id with the same words, one.
 
     Rows with no words are each their own component and stay, as do rows with a null doc_id.  Texts meet only ids in
-    the joins; doc_ids that several rows bear are told apart by the digests of their texts.
+    the joins: up to ``common.BROADCAST_ROWS`` of them are broadcast, more meet the texts in a shuffle by doc_id.  doc_ids
+    that several rows bear are told apart by the digests of their texts.
     """
     scratch = Scratch(docs.sparkSession)
     docs, restore = shielded(docs, "doc_id", "text")
@@ -287,7 +320,7 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     unsure = by_id.where("_rows > 1").select("_id")
     # written in order, for the same reason as the ids of texts to fetch
     leave = scratch.write(by_id.where("_rows > 1 or not _kept").select("_id").sort("_id"))
-    out = docs.join(leave, docs["doc_id"] == F.col("_id"), "left_anti")
+    out = docs.join(sized(leave), docs["doc_id"] == F.col("_id"), "left_anti")
     if unsure.isEmpty():
         return restore(out)
 
@@ -296,7 +329,7 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(digests(h, border)[0]), pa.array(np.diff(border))], names=[*part.schema.names, "_d1", "_n"])
 
     schema = StructType([*docs.schema.fields]).add("_d1", LongType()).add("_n", LongType())
-    rows = docs.join(unsure, docs["doc_id"] == F.col("_id"), "left_semi").mapInArrow(by_slice(with_digest), schema)
+    rows = docs.join(sized(scratch.write(unsure)), docs["doc_id"] == F.col("_id"), "left_semi").mapInArrow(by_slice(with_digest), schema)
     kept = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_key")).distinct()
     same = rows.where("_n > 0").join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_d1") == F.col("_key")), "left_semi").dropDuplicates(["doc_id", "_d1"])
     return restore(out.unionByName(same.select(*docs.columns)).unionByName(rows.where("_n = 0").select(*docs.columns)))

@@ -7,13 +7,14 @@ as-of join.  A capture is looked up under every suffix of its host and every pat
 equi-join with a condition on the date; at most one interval of a pattern and category can hold it.
 
 Scale: captures of the same host and path on the same day are looked up once, so that a hot host shrinks before the
-join; the remaining rows of a hot key are on the side that Spark may split; intervals are broadcast only below
-Spark's own size threshold; no page text is read.  A pattern's history has a row a day at most before it is sorted.
+join.  Intervals and verdicts are written before they are joined, so that both sides of each join are plain shuffles:
+Spark may split the captures of a hot host or path, and broadcasts the written side only below its own size threshold.
+No page text is read.  A pattern's history has a row a day at most before it is sorted.
 
 Edge cases: a capture without a URL, host or date matches nothing and isn't blocked; entries without a pattern or
 date are left out; of several entries of one pattern, category and day, a drop wins; patterns are compared in lower
 case, without a scheme, a leading dot or a trailing slash; repeated captures each get their verdict; other columns of
-captures stay unless they have the names of the result's.
+captures stay, those with names of the result's as ``capture_`` and that name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shielded
+from .common import Scratch, shielded
 
 VERDICT = ["host", "n_entries", "categories", "pattern", "blocked"]
 
@@ -46,7 +47,9 @@ def parsed(captures: DataFrame, url: str, fetched: str) -> DataFrame:
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """All rows of ``captures`` with host, n_entries, categories (sorted, comma-joined), pattern (the longest) and blocked."""
-    own, restore = shielded(captures.drop(*VERDICT), url, fetched)
+    scratch = Scratch(captures.sparkSession)
+    captures = captures.withColumnsRenamed({c: f"capture_{c}" for c in VERDICT if c in captures.columns and c not in (url, fetched)})
+    own, restore = shielded(captures, url, fetched)
     columns = own.columns
     rows = parsed(own, url, fetched)
     places = rows.where("host <> '' and _day is not null").select("host", "_path", "_day").distinct()
@@ -55,13 +58,13 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     parts = F.split("_path", "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.concat("host", F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/")))
     keys = places.withColumn("key", F.explode(F.array_distinct(F.when(F.col("_path") == "", suffixes).otherwise(F.concat(suffixes, prefixes)))))
-    known = intervals(entries)
+    known = scratch.write(intervals(entries))
     hits = keys.join(known, (keys.key == known.pattern) & (keys._day >= known.valid_from) & (keys._day < known.valid_to))
-    verdicts = hits.groupBy(F.col("host").alias("_host"), F.col("_path").alias("_p"), F.col("_day").alias("_d")).agg(
+    verdicts = scratch.write(hits.groupBy(F.col("host").alias("_host"), F.col("_path").alias("_p"), F.col("_day").alias("_d")).agg(
         F.count("*").alias("n_entries"),
         F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"),
         F.max(F.struct(F.length("pattern").alias("n"), F.col("pattern"))).alias("best"),
-    )
+    ))
     out = rows.join(verdicts, (rows.host == verdicts._host) & (rows._path == verdicts._p) & (rows._day == verdicts._d), "left")
     out = out.select(
         *columns, "host", F.coalesce("n_entries", F.lit(0)).alias("n_entries"), F.coalesce("categories", F.lit("")).alias("categories"),

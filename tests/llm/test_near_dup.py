@@ -126,3 +126,22 @@ def test_query_against_sql(spark, sf_dir):
     from skyphrase.llm.oracle import oracle_sql
 
     same(op4_near_duplicates(spark, sf_dir), duck(sf_dir), oracle_sql()["op4_near_duplicates"])
+
+
+def test_long_words_of_the_same_bytes_are_different_documents(spark):
+    a, b = "ab" * 512 + "ba" * 512, "ba" * 512 + "ab" * 512
+    rows = near_dup.near_duplicates(documents(spark, [(1, a), (2, b), (3, a)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 2, 3: 1}
+
+
+def test_cells_of_several_clusters_lose_no_link(spark):
+    """Large nodes at the last level: groups that leaders join, and chains that only cells of blocks can link."""
+    rng = random.Random(31)
+    words, chain = prose(rng, 90).split(), []
+    for k in range(40):  # each is linked to its neighbours, the ends are far apart
+        words[(7 * k) % 90] = f"step{k}"
+        words[(7 * k + 3) % 90] = f"more{k}"
+        chain.append(" ".join(words))
+    rows = list(enumerate(chain + near_copies(8, 90, 60) + near_copies(9, 60, 25)))
+    rng.shuffle(rows)
+    assert key(got(near_dup.near_duplicates(documents(spark, rows), node_limit=8, depth=0))) == key(brute(rows))
