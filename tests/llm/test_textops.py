@@ -79,7 +79,7 @@ def pairs_that_once_met():
     thue = "a"
     for _ in range(12):
         thue += thue.translate(str.maketrans("ab", "ba"))
-    ordinary = "".join(random.Random(5).choice("abcdefgh") for _ in range(2048))
+    ordinary = "".join(random.Random(5).choices("abcdefgh", k=2048))
     return [
         ("ab" * 512 + "ba" * 512, "ba" * 512 + "ab" * 512), (ordinary, ordinary[::-1]), (thue, thue.translate(str.maketrans("ab", "ba"))),
         ("a" * 1024 + "b" * 1024, "b" * 1024 + "a" * 1024), ("x" * 16, "x" * 17), ("abcdefgh" + "ijklmnop", "ijklmnop" + "abcdefgh"), ("a\0", "a"),
