@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import asdict
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from . import config as region_config
 from .plans import generate, voices
 from .plans.scenario import Sampler
+from .progress import Progress, log_file
 from .sinks.shards import FingerprintMismatch, Folder, Manifest
 from .sources import corpora, dims, registry, replay
 
@@ -41,6 +43,29 @@ def numbers(text: str) -> list[int]:
     return found
 
 
+LEAST = {"n": 0, "count": 0, "target": 0, "per_point": 1, "shard_size": 1, "concurrency": 1, "max_tokens": 1, "max_retries": 1, "max_parse_retries": 1, "min_duration_s": 0, "temperature": 0, "log_every": 0}
+
+
+def checked(args: argparse.Namespace) -> None:
+    """Counts and sizes that can't be worked with are refused before anything is read or written."""
+    for name, least in LEAST.items():
+        if getattr(args, name, least) < least:
+            raise BadArgument(f"--{name.replace('_', '-')} must be {least} or more")
+    if getattr(args, "max_duration_s", 0) < getattr(args, "min_duration_s", 0):
+        raise BadArgument("--max-duration-s is less than --min-duration-s")
+
+
+def logged(spark: SparkSession, args: argparse.Namespace, total: int, there: int = 0):
+    """A hook that writes progress lines to the log file (run.log in the output folder unless named)."""
+    progress = Progress(total, log_file(spark, args.log_file or f"{args.out.rstrip('/')}/run.log"), args.log_every, there)
+
+    def hook(stats) -> None:
+        counts = asdict(stats)
+        progress.log(there + counts.get("ok", 0) + counts.get("failed", 0) if "ok" in counts else counts["kept"], **counts)
+
+    return hook
+
+
 def sampler(spark: SparkSession, args: argparse.Namespace) -> tuple[Sampler, str]:
     """The sampler of the arguments, and the name of its weighter."""
     settings = region_config.load(args.config)
@@ -80,7 +105,12 @@ def do_sample(spark, args) -> int:
 
 def do_generate(spark, args) -> int:
     draws, weighter = sampler(spark, args)
-    print(generate.run(draws, args.out, run_config(args, weighter, args.count), client_of(args), resume=args.resume, overwrite=args.overwrite))
+    hook = logged(spark, args, args.count) if not args.overwrite else None  # the folder is emptied first
+    settings = run_config(args, weighter, args.count)
+    if args.overwrite:
+        generate.open_sink(spark, args.out, settings, overwrite=True).close()
+        hook = logged(spark, args, args.count)
+    print(generate.run(draws, args.out, settings, client_of(args), resume=args.resume or args.overwrite, hook=hook))
     return 0
 
 
@@ -103,7 +133,7 @@ def do_regenerate(spark, args) -> int:
     settings = generate.RunConfig(**{k: tuple(v) if k == "regions" else v for k, v in meta.items() if k in generate.RunConfig.__dataclass_fields__})
     settings = generate.replace(settings, max_parse_retries=args.max_parse_retries, model=args.model or settings.model, api_key=args.api_key, base_url=args.base_url or settings.base_url)
     args.model = settings.model
-    print(generate.rerun(spark, args.out, settings, client_of(args)))
+    print(generate.rerun(spark, args.out, settings, client_of(args), logged(spark, args, replay.inspect(spark, args.out)["failures"])))
     return 0
 
 
@@ -124,7 +154,7 @@ def do_voices(spark, args) -> int:
     except KeyError as error:
         raise BadArgument(error.args[0]) from error
     params = voices.Filter(args.min_duration_s, args.max_duration_s, args.min_rms_dbfs)
-    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume))
+    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target)))
     return 0
 
 
@@ -153,6 +183,10 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--max-retries", type=int, default=5)
         p.add_argument("--max-parse-retries", type=int, default=5)
 
+    def logs(p):
+        p.add_argument("--log-file")
+        p.add_argument("--log-every", type=float, default=5.0)
+
     drawn("sample", do_sample).add_argument("-n", type=int, default=5)
     p = drawn("generate", do_generate)
     asking(p)
@@ -162,6 +196,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--shard-size", type=int, default=10_000)
     p.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--overwrite", action="store_true")
+    logs(p)
     p = drawn("benchmark", do_benchmark)
     asking(p)
     p.add_argument("--concurrencies", default="16,32,64,96,128")
@@ -173,6 +208,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base-url")
     p.add_argument("--api-key", default="EMPTY")
     p.add_argument("--max-parse-retries", type=int, default=10)
+    logs(p)
     p.set_defaults(run=do_regenerate)
     p = data.add_parser("inspect")
     p.add_argument("--out", required=True)
@@ -189,6 +225,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-rms-dbfs", type=float, default=-40.0)
     p.add_argument("--shard-size", type=int, default=500)
     p.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
+    logs(p)
     p.set_defaults(run=do_voices)
     return top
 
@@ -199,6 +236,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(VERSION)
         return 0
     try:
+        checked(args)
         return args.run(spark or SparkSession.builder.appName("skyphrase").getOrCreate(), args)
     except (BadArgument, FingerprintMismatch, region_config.ConfigNotFound, ValueError) as error:
         print(error, file=sys.stderr)

@@ -9,7 +9,7 @@ RESOURCES = Path(__file__).parent / "resources"
 
 # The closed sets of labels.
 PHASES = ["ground", "tower", "approach", "center", "ramp"]
-TOWERED = ["ground", "tower", "approach", "ramp"]
+TOWERED = ["ground", "tower", "approach", "center"]
 TIMES = ["day", "night", "dawn", "dusk"]
 DENSITIES = ["light", "moderate", "heavy"]
 CLASSES = ["commercial", "cargo", "ga", "business", "military", "training", "rotorcraft", "medevac"]
@@ -87,10 +87,7 @@ def parse(raw: dict) -> RegionConfig:
     for name, p in (("sid_star_none_chance", raw["sid_star_none_chance"]), ("vmc_ceiling_chance", weather.vmc_ceiling_chance)):
         if not 0 <= p <= 1:
             raise ValueError(f"{name} is {p}, not within 0 and 1")
-    tiers = raw["airport_tiers"]
-    if any(isinstance(v, list) for v in tiers.values()):  # by tier
-        tiers = {icao: int(tier) for tier, members in tiers.items() for icao in members}
-    return RegionConfig(**raw | {"weather": weather, "airport_tiers": tiers, "tier_weights": {str(k): float(v) for k, v in raw["tier_weights"].items()}})
+    return RegionConfig(**raw | {"weather": weather, "tier_weights": {str(k): float(v) for k, v in raw["tier_weights"].items()}})
 
 
 def available(folder: Path = RESOURCES) -> list[str]:

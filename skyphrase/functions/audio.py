@@ -1,9 +1,13 @@
-"""Clip measures.  Durations come from the WAV header in SQL; only loudness needs samples."""
+"""Clip measures.  Durations come from file headers; only loudness needs samples.
+
+WAV of any chunk layout is read here (whole numbers of 8 to 32 bits, floats, the extensible header); durations of FLAC too,
+from its header.  Samples of other formats need a decoder, which is a parameter: bytes to (mono samples, rate) or None.
+"""
 
 from __future__ import annotations
 
-import io
-import wave
+import struct
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -12,44 +16,89 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, LongType, StructType
 
+Decoder = Callable[[bytes], tuple[np.ndarray, int] | None]
+HEAD = 4096  # a header is looked for in so many bytes
+_MEASURES = StructType().add("seconds", DoubleType()).add("rate", LongType()).add("rms", DoubleType())
+
+
+def wav_layout(head: bytes, size: int) -> tuple[int, int, int, int, int, int] | None:
+    """(format, channels, rate, bits, first byte of the samples, their size) of the beginning of a WAV file of ``size`` bytes."""
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        return None
+    at, kind = 12, None
+    while at + 8 <= len(head):
+        name, length = head[at : at + 4], int.from_bytes(head[at + 4 : at + 8], "little")
+        if name == b"fmt " and length >= 16 and at + 24 <= len(head):
+            tag, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", head, at + 8)
+            if tag == 0xFFFE and length >= 26:  # extensible: the format comes first in the sub-format's name
+                tag = int.from_bytes(head[at + 32 : at + 34], "little")
+            kind = (tag, channels, rate, bits)
+        elif name == b"data":
+            return (*kind, at + 8, min(length, size - at - 8)) if kind and kind[1] and kind[2] and kind[3] >= 8 else None
+        at += 8 + length + (length & 1)
+    return None
+
 
-def _little(data: Column, at: int, size: int) -> Column:
-    """An unsigned little-endian number of the header."""
-    digits = F.hex(data.substr(at, size))
-    pairs = F.transform(F.sequence(F.lit(size), F.lit(1), F.lit(-1)), lambda k: F.substr(digits, 2 * k - 1, F.lit(2)))
-    return F.conv(F.array_join(pairs, ""), 16, 10).cast("long")
+def header_seconds(head: bytes, size: int) -> float | None:
+    """Duration by the header, None where it says nothing."""
+    if head[:4] == b"fLaC" and len(head) >= 26:
+        bits = int.from_bytes(head[18:26], "big")  # rate in 20 bits, channels and depth in 8, samples in 36
+        rate, samples = bits >> 44, bits & (1 << 36) - 1
+        return samples / rate if rate and samples else None
+    layout = wav_layout(head, size)
+    if layout is None:
+        return None
+    _, channels, rate, bits, _, length = layout
+    return length // (channels * ((bits + 7) // 8)) / rate
 
 
-def wav_seconds(data: Column) -> Column:
-    """Duration of plain PCM WAV bytes with a 44-byte header; null for anything else."""
-    ok = (F.length(data) >= 44) & (F.hex(data.substr(1, 4)) == "52494646") & (F.hex(data.substr(9, 4)) == "57415645") & (F.hex(data.substr(37, 4)) == "64617461")
-    rate = _little(data, 29, 4)
-    return F.when(ok & (rate > 0), _little(data, 41, 4).cast("double") / rate)
+@pandas_udf(DoubleType())
+def _header_seconds(head: pd.Series, size: pd.Series) -> pd.Series:
+    return pd.Series([header_seconds(h, n) if h is not None else None for h, n in zip(head, size, strict=True)], dtype="float64")
+
+
+def clip_seconds(data: Column) -> Column:
+    """Duration of a clip by its header; null for what can't be read.  Python sees the first bytes only."""
+    return _header_seconds(F.substring(data, 1, HEAD), F.length(data))
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int] | None:
-    """Mono float samples and the rate of 16-bit PCM WAV; channels are averaged.  None if it can't be read."""
-    try:
-        with wave.open(io.BytesIO(data)) as clip:
-            if clip.getsampwidth() != 2:
-                return None
-            raw = np.frombuffer(clip.readframes(clip.getnframes()), dtype="<i2").astype(np.float32) / 32768
-            return raw.reshape(-1, clip.getnchannels()).mean(axis=1), clip.getframerate()
-    except (wave.Error, EOFError, ValueError):
+    """Mono float samples and the rate of a WAV file; channels are averaged.  None if it can't be read."""
+    layout = wav_layout(data, len(data))
+    if layout is None:
+        return None
+    tag, channels, rate, bits, at, length = layout
+    wide = (bits + 7) // 8 * channels
+    raw = data[at : at + length // wide * wide]
+    if tag == 1 and bits == 8:
+        own = (np.frombuffer(raw, dtype=np.uint8).astype(np.float32) - 128) / 128
+    elif tag == 1 and bits in (16, 32):
+        own = (np.frombuffer(raw, dtype=f"<i{bits // 8}") / float(1 << (bits - 1))).astype(np.float32)
+    elif tag == 1 and bits == 24:
+        parts = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3).astype(np.int32)
+        own = ((parts[:, 0] << 8 | parts[:, 1] << 16 | parts[:, 2] << 24) / float(1 << 31)).astype(np.float32)
+    elif tag == 3 and bits in (32, 64):
+        own = np.frombuffer(raw, dtype=f"<f{bits // 8}").astype(np.float32)
+    else:
         return None
+    return own.reshape(-1, channels).mean(axis=1), rate
+
+
+def measure(data: Column, decode: Decoder = decode_wav) -> Column:
+    """Struct of seconds, sample rate and root mean square of each clip; nulls where it can't be read."""
 
+    @pandas_udf(_MEASURES)
+    def measured(blobs: pd.Series) -> pd.DataFrame:
+        rows = []
+        for blob in blobs:
+            clip = decode(bytes(blob)) if blob is not None else None
+            if clip is None or not len(clip[0]):
+                rows.append((None, None, None))
+            else:
+                rows.append((len(clip[0]) / clip[1], clip[1], float(np.sqrt(np.mean(clip[0].astype(np.float64) ** 2)))))
+        return pd.DataFrame(rows, columns=["seconds", "rate", "rms"])
 
-@pandas_udf(StructType().add("seconds", DoubleType()).add("rate", LongType()).add("rms", DoubleType()))
-def measure(data: pd.Series) -> pd.DataFrame:
-    """Seconds, sample rate and root mean square of each clip; nulls where it can't be read."""
-    rows = []
-    for blob in data:
-        clip = decode_wav(blob) if blob is not None else None
-        if clip is None or not len(clip[0]):
-            rows.append((None, None, None))
-        else:
-            rows.append((len(clip[0]) / clip[1], clip[1], float(np.sqrt(np.mean(clip[0].astype(np.float64) ** 2)))))
-    return pd.DataFrame(rows, columns=["seconds", "rate", "rms"])
+    return measured(data)
 
 
 def rms(samples: Column) -> Column:
@@ -58,7 +107,7 @@ def rms(samples: Column) -> Column:
     return F.when(F.size(samples) > 0, F.sqrt(total / F.size(samples)))
 
 
-def accepted(seconds: Column, loudness: Column, shortest: float = 20.0, longest: float = 30.0, floor_dbfs: float = -40.0) -> Column:
+def accepted(seconds: Column, loudness: Column, shortest: float = 10.0, longest: float = 30.0, floor_dbfs: float = -40.0) -> Column:
     """Duration within bounds, both included, not silent, and loud enough."""
     ok = seconds.between(shortest, longest) & (loudness > 0) & (20 * F.log10(F.when(loudness > 0, loudness)) >= floor_dbfs)
     return F.coalesce(ok, F.lit(False))

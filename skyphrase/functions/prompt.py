@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..config import WAKES
 
-PROMPT_VERSION = "p1"
+#: The system text is this engine's own, and so is its version: it enters the run fingerprint.
+PROMPT_VERSION = "sky1"
 SYSTEM = """\
 You write realistic radio exchanges between air traffic control and pilots from a scenario briefing.
 Follow ICAO/FAA phraseology: pilots read back clearances, headings, altitudes, runways and squawk codes; controllers

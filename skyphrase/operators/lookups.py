@@ -19,23 +19,39 @@ def members(df: DataFrame, key: str, values: str, ordered: str) -> DataFrame:
     return each.groupBy("member_of").agg(F.array_sort(F.collect_list("value")).alias(values))
 
 
-def cumulative(weights: DataFrame, key: str = "icao", weight: str = "weight") -> DataFrame:
+def cumulative(weights: DataFrame, key: str = "icao", weight: str = "weight", exact: int = 1 << 20) -> DataFrame:
     """(key, low, high): adjoining intervals of cumulative weight, in order of the key.
 
-    ``weights`` is a dimension: its order is taken in one task, which is meant for up to some million rows.
+    Up to ``exact`` keys one task adds them up in order.  More are cut into ranges, by bounds from a sample of the keys,
+    which are literals, so that every use sees the same ranges.  Each range is added up by itself, and only one sum for
+    each range is in a window without partitions.  An interval's low is the high of the one before, to the last digit,
+    so that no draw falls between two or into both.
     """
-    weight = F.col(weight).cast("double")
-    run = F.sum(weight).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    return weights.select(key, (run - weight).alias("low"), run.alias("high"))
-
-
-def pick(df: DataFrame, u: Column, intervals: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+    rows = weights.select(key, F.col(weight).cast("double").alias("_w"))
+    many = rows.count()
+    part = F.lit(0)
+    if many > exact:
+        parts = -(-many // exact)
+        sample = sorted(r[0] for r in rows.select(key).where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(20 * parts).collect())
+        bounds = F.array(*[F.lit(sample[20 * k]) for k in range(1, parts) if 20 * k < len(sample)])
+        part = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(key))), F.lit(0))
+    rows = rows.withColumn("_part", part)
+    inner = Window.partitionBy("_part").orderBy(key)
+    run = rows.withColumn("_run", F.sum("_w").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = run.groupBy("_part").agg(F.max("_run").alias("_sum"))
+    before = sums.select("_part", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_before"))
+    run = run.join(F.broadcast(before), "_part").withColumn("high", F.col("_before") + F.col("_run"))  # a row for each range
+    return run.withColumn("low", F.coalesce(F.lag("high").over(inner), F.col("_before"))).select(key, "low", "high")
+
+
+def pick(df: DataFrame, u: Column, intervals: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Adds the key whose interval holds u * total: an equi-join on buckets of the range, with the bounds as condition.
 
     An interval is listed under each bucket that it touches, so a row meets the few intervals of its bucket instead of
-    all of them.
+    all of them; there are as many buckets as intervals, and 1,024 at least, unless ``buckets`` says otherwise.
     """
-    total = intervals.agg(F.max("high").alias("t")).first()["t"]
+    found = intervals.agg(F.max("high").alias("t"), F.count("*").alias("n")).first()
+    total, buckets = found["t"], buckets or max(1024, found["n"])
     if total is None or total <= 0:
         raise ValueError("nothing to choose from: no weight is positive")
     bucket = lambda c: F.least(F.floor(c / F.lit(total) * buckets), F.lit(buckets - 1)).cast("int")

@@ -23,14 +23,19 @@ def longest_per_key(df: DataFrame, key: str, size: str, order: str) -> DataFrame
     return won.select(key, "_row.*", "first_ord").select(*df.columns, "first_ord")
 
 
-def ranges(df: DataFrame, order: str, parts: int = 64) -> Column:
-    """The number of the range of a whole-number order that a row falls into: bounds are approximate quantiles.
+RANGE_ROWS = 1 << 20
+
+
+def ranges(df: DataFrame, order: str, rows: int = RANGE_ROWS) -> Column:
+    """The number of the range of a whole-number order that a row falls into: 64 ranges, or as many as give each about
+    ``rows`` rows; bounds are approximate quantiles.
 
     Bounds are literals, so every use of the column sees the same ranges, whatever the partitioning.
     """
+    parts = max(64, -(-df.count() // rows))
     steps = [k / parts for k in range(1, parts)]
-    bounds = df.agg(F.percentile_approx(order, steps, 10_000).alias("b")).first()["b"] or []
-    array = F.array(*[F.lit(b).cast("long") for b in sorted(set(bounds))]) if bounds else F.array().cast("array<long>")
+    bounds = df.agg(F.percentile_approx(order, steps, max(10_000, 20 * parts)).alias("b")).first()["b"] or []
+    array = F.lit(sorted(set(map(int, bounds)))).cast("array<long>") if bounds else F.array().cast("array<long>")
     return F.size(F.filter(array, lambda b: b <= F.col(order)))
 
 
@@ -65,6 +70,11 @@ def without(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return df.join(existing.select(key), key, "left_anti")
 
 
+def among(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is among those of ``existing``."""
+    return df.join(existing.select(key), key, "left_semi")
+
+
 def concatenated(frames: list[DataFrame], order: str = "ord") -> DataFrame:
     """Sources one after the other: ``order`` becomes the place of the source in its upper bits, the order within below."""
     out = None

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +19,23 @@ from .scenario import Sampler, derived
 
 SEED = 42
 SAMPLES = 500
+LANGUAGES = ["fr", "en", "es", "de"]  # sources in an order of their own
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder in the one that executors share; a local session without one gets a folder of this machine."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="skyphrase-")
+    return f"{top}/catalogue-{uuid.uuid4().hex}"
+
+
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, turn, turns): the lines of ``ROLE: text`` parsed.  Lines of a conversation are parsed turn by turn,
     which gives the same turns as its whole text, and no conversation is gathered in one place."""
@@ -93,13 +107,14 @@ def resume_anti(spark, sf_dir):
 
 
 def resume_offset(spark, sf_dir):
-    """Ids still to draw after an interrupted run: a range minus those written, here the labelled documents."""
-    return select.without(spark.range(100, 1000).withColumnRenamed("id", "doc_id"), _table(spark, sf_dir, "labels"), "doc_id")
+    """Ids still to draw after an interrupted run: the range from an offset on, minus those written, here the labelled documents."""
+    end = (_table(spark, sf_dir, "documents").agg(F.max("doc_id")).first()[0] or 0) + 1
+    return select.without(spark.range(min(100, end), end).withColumnRenamed("id", "doc_id"), _table(spark, sf_dir, "labels"), "doc_id")
 
 
 def region_lookup(spark, sf_dir):
-    nation = _table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
-    out = lookups.two_hop(_table(spark, sf_dir, "customer"), nation, "c_nationkey", _table(spark, sf_dir, "region").where("r_name <> 'ASIA'"), "r_regionkey", "r_name", "other", "region")
+    nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
+    out = lookups.two_hop(_table(spark, sf_dir, "customer"), nation, "c_nationkey", _table(spark, sf_dir, "region"), "r_regionkey", "r_name", "other", "region")
     return out.select("c_custkey", "region")
 
 
@@ -107,6 +122,12 @@ def region_rule(spark, sf_dir):
     return dims.airports(spark).select("icao", "region")
 
 
+def country_regions(spark, sf_dir):
+    """Every known country, and some that aren't, with their regions."""
+    odd = spark.createDataFrame([("AQ",), ("IO",), ("SH",), ("",), (None,), ("us",)], "country string")
+    return dims.with_region(dims.countries(spark).select("country").unionByName(odd), dims.countries(spark))
+
+
 def tier_weights(spark, sf_dir):
     return dims.tier_weights(dims.airports(spark), config.load())
 
@@ -131,15 +152,19 @@ def scenario_sample(spark, sf_dir):
     # doubles as whole numbers: engines write the last digit of a rounded double differently
     whole = lambda x, scale: F.round(x * scale).cast("long")
     return _sampler(spark).rows(SAMPLES).select(
-        "id", *[s[f].alias(f) for f in ("icao", "region", "phase", "runway", "sid_star", "squawk", "time_of_day", "traffic_density", "event", "callsign", "aircraft_type", "wake", "operator_class", "n_aircraft", "is_emergency", "is_towered")],
+        "id", "scenario_id", *[s[f].alias(f) for f in ("icao", "region", "phase", "runway", "sid_star", "squawk", "time_of_day", "traffic_density", "event", "callsign", "aircraft_type", "wake", "operator_class", "n_aircraft", "is_emergency", "is_towered")],
         F.array_join(F.transform(s["aircraft"], lambda a: F.concat_ws("/", a["callsign"], a["aircraft_type"], a["operator_class"])), ",").alias("roster"),
         w["wind_dir_deg"].alias("wind_dir_deg"), w["wind_kt"].alias("wind_kt"), w["ceiling_ft"].alias("ceiling_ft"), w["vmc_imc"].alias("vmc_imc"),
+        whole(s["frequency_mhz"], 100).alias("frequency_khz10"), whole(w["vis_sm"], 100).alias("vis_sm_100"), whole(w["altimeter_inhg"], 100).alias("altimeter_100"),
     )
 
 
 def prompt_briefing(spark, sf_dir):
     s = F.col("scenario")
-    return _sampler(spark).rows(SAMPLES).select("id", prompt.roster(s).alias("roster"), F.size(prompt.messages(s)).cast("long").alias("n_messages"))
+    asked = prompt.messages(s)
+    return _sampler(spark).rows(SAMPLES).select(
+        "id", prompt.roster(s).alias("roster"), F.size(asked).cast("long").alias("n_messages"), F.array_join(F.transform(asked, lambda m: m["role"]), ",").alias("roles"), asked[1]["content"].alias("request")
+    )
 
 
 def event_mix(spark, sf_dir):
@@ -164,11 +189,11 @@ def notice_report(spark, sf_dir):
 
 def target_limit(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    parts = [docs.where(F.col("source") == s).withColumn("ord", F.col("doc_id")) for s in ("src3", "src1", "src2")]
+    parts = [docs.where(F.col("lang") == s).withColumn("ord", F.col("doc_id")) for s in LANGUAGES]
     labels = _table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct().withColumn("there", F.lit(True))
     rows = select.concatenated(parts).join(labels, "doc_id", "left")
-    out = select.up_to_target(rows, ["source", "lang"], "ord", F.col("n_chars").between(500, 4000), F.coalesce("there", F.lit(False)), 8)
-    return out.select("doc_id", "source", "kept", "skipped")
+    out = select.up_to_target(rows, ["source", "lang"], "ord", F.col("n_chars").between(500, 4000), F.coalesce("there", F.lit(False)), 30)
+    return out.select("doc_id", "source", "lang", "kept", "skipped")
 
 
 def shard_assignment(spark, sf_dir):
@@ -177,7 +202,7 @@ def shard_assignment(spark, sf_dir):
 
 
 def failure_replay(spark, sf_dir):
-    line = F.when(F.col("event_id") % 10 == 0, F.substring("props", 2, 1000)).otherwise(F.col("props"))
+    line = F.when(F.col("event_id") % 10 == 0, F.expr("substring(props, 2)")).otherwise(F.col("props"))
     read = _table(spark, sf_dir, "events").select("event_type", replay.parsed(line, "k string").alias("r"))
     return read.groupBy("event_type").agg(F.count_if(F.col("r._corrupt_record").isNull()).alias("readable"), F.count_if(F.col("r._corrupt_record").isNotNull()).alias("corrupt"))
 
@@ -194,15 +219,16 @@ def benchmark_points(spark, sf_dir):
 
 
 def benchmark_best(spark, sf_dir):
-    best = F.max_by("event_type", F.struct("ok", "event_type"))
-    return _points(spark, sf_dir).agg(best.alias("best"), F.max("ok").alias("ok"))
+    """The point of the highest rate, the first on a tie."""
+    return _points(spark, sf_dir).agg(F.min_by("event_type", F.struct(-F.col("rate_per_sec"), F.col("event_type"))).alias("best"), F.max("rate_per_sec").alias("rate_per_sec"))
 
 
 def derived_flags(spark, sf_dir):
-    items = _table(spark, sf_dir, "lineitem").where("l_linenumber <= 4").groupBy("l_orderkey").agg(
+    items = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_shipdate").cast("string").alias("callsign"), F.col("l_linestatus").alias("aircraft_type"), F.col("l_returnflag").alias("wake"), F.col("l_returnflag").alias("operator_class")))).alias("aircraft")
     )
-    flags = derived(F.col("aircraft"), F.concat(F.lit("emergency_"), F.col("o_orderpriority")), F.when(F.col("o_orderstatus") == "F", "tower").otherwise("center"))
+    event = F.when(F.col("o_orderpriority") == "1-URGENT", "emergency_fuel").when(F.col("o_orderpriority") == "2-HIGH", "minimum_fuel_advisory").otherwise("routine")
+    flags = derived(F.col("aircraft"), event, F.get(F.array(*map(F.lit, config.PHASES)), (F.col("o_orderkey") % 5).cast("int")))
     return items.join(_table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")).select("l_orderkey", *flags)
 
 
@@ -216,9 +242,14 @@ def domain_errors(spark, sf_dir):
 
 
 def scenario_errors(spark, sf_dir):
-    """Drawn scenarios, and how many rules they break between them: none."""
-    broken = F.size(checks.scenario_errors(F.col("scenario")))
-    return _sampler(spark).rows(SAMPLES).agg(F.count("*").alias("n"), F.sum(broken).alias("broken"))
+    """Drawn scenarios, some of them spoiled, by the rules that they break."""
+    path = f"{_scratch(spark)}/scenarios"
+    _sampler(spark).rows(SAMPLES).select("id", "scenario").write.parquet(path)
+    spoiled = F.col("scenario")
+    for k, field, value in ((5, "squawk", "7700"), (7, "icao", "K1"), (11, "phase", "taxi"), (13, "weather.wind_kt", 81), (17, "n_aircraft", 99), (19, "weather.ceiling_ft", None)):
+        spoiled = spoiled.withField(field, F.when(F.col("id") % k == 0, F.lit(value)).otherwise(F.col(f"scenario.{field}")))
+    rows = spark.read.parquet(path).select("id", F.explode_outer(checks.scenario_errors(spoiled)).alias("rule"))
+    return rows.groupBy(F.coalesce("rule", F.lit("none")).alias("rule")).agg(F.count("*").alias("n"))
 
 
 def voice_records(spark, sf_dir):
@@ -232,10 +263,9 @@ def voice_records(spark, sf_dir):
 
 
 def source_order(spark, sf_dir):
-    """Sources one after the other, each in its order; the first twenty, as a scan with a target would meet them."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    parts = [docs.where(F.col("source") == s).withColumn("ord", F.col("doc_id")) for s in ("src7", "src0", "src4")]
-    return select.concatenated(parts).orderBy("ord").limit(20).select("ord", "doc_id", "source")
+    """Sources one after the other, each in its order."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return select.concatenated([docs.where(F.col("lang") == s).withColumn("ord", F.col("doc_id")) for s in LANGUAGES]).select("ord", "doc_id", "lang")
 
 
 def outcome_windows(spark, sf_dir):
@@ -247,15 +277,20 @@ def outcome_windows(spark, sf_dir):
 
 
 def generate_stub(spark, sf_dir):
-    """Outcomes of the generation stage with the deterministic client; model calls aren't SQL."""
-    settings = generate.RunConfig(model="stub", count=200, concurrency=8)
-    good, failed = generate.outcomes(generate.answers(_sampler(spark).rows(200), settings, generate.stub_client), settings)
-    return good.select("scenario_id", F.lit("ok").alias("outcome")).unionByName(failed.select("scenario_id", F.substring_index("error", ":", 1).alias("outcome")))
+    """Outcomes of the generation stage with the deterministic client, over a run's own output folder."""
+    out = f"{_scratch(spark)}/generate"
+    settings = generate.RunConfig(model="stub", count=200, concurrency=8, shard_size=100)
+    generate.run(_sampler(spark), out, settings, generate.stub_client)
+    sink = generate.open_sink(spark, out, settings)
+    good, failed = sink.existing(), generate.recorded(sink)
+    return good.select("scenario_id", F.lit("ok").alias("outcome"), F.size("turns").cast("long").alias("n_turns")).unionByName(
+        failed.select("scenario_id", F.substring_index("error", ":", 1).alias("outcome"), F.lit(0).cast("long").alias("n_turns"))
+    )
 
 
 NAMES = [
     parse_turns, validate_transcripts, transcript_outcomes, distinct_speakers, first_per_speaker, longest_per_speaker, accept_clip, voice_ids, canonical_ids, resume_anti,
-    resume_offset, region_lookup, region_rule, tier_weights, operator_multimap, allowed_regions, scenario_sample, prompt_briefing, event_mix, squawk_codes, weighted_choice,
+    resume_offset, region_lookup, region_rule, country_regions, tier_weights, operator_multimap, allowed_regions, scenario_sample, prompt_briefing, event_mix, squawk_codes, weighted_choice,
     notice_report, target_limit, shard_assignment, failure_replay, benchmark_points, benchmark_best, derived_flags, domain_errors,
     scenario_errors, voice_records, source_order, outcome_windows, generate_stub,
 ]

@@ -6,7 +6,7 @@ accepted and failed rows, so that no downstream read asks the endpoint again.
 
 from __future__ import annotations
 
-import random
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, prompt, turns
-from ..sinks.shards import ShardSink
+from ..operators import select
+from ..sinks.shards import Folder, ShardSink
 from ..sources import replay
 from .scenario import TAXONOMY_VERSION, Sampler
 
@@ -79,8 +80,7 @@ def chat_client(config: RunConfig) -> Client:
 
     def ask(messages: list[dict]) -> str:
         body = {"model": config.model, "messages": messages, "temperature": config.temperature, "max_tokens": config.max_tokens} | config.extra
-        if "qwen3" in config.model.lower():
-            body.setdefault("chat_template_kwargs", {"enable_thinking": False})
+        body.setdefault("chat_template_kwargs", {"enable_thinking": False})
         request = urllib.request.Request(f"{config.base_url}/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {config.api_key}"})
         try:
             with urllib.request.urlopen(request, timeout=600) as answer:
@@ -94,12 +94,13 @@ def chat_client(config: RunConfig) -> Client:
 
 
 def stub_client(config: RunConfig) -> Client:
-    """Deterministic answers for tests: four turns between ATC and the focal aircraft; one in ten is prose."""
+    """Deterministic answers for tests: four turns between ATC and the focal aircraft; by the digest of the request, one
+    in ten is prose."""
 
     def ask(messages: list[dict]) -> str:
         user = messages[-1]["content"]
         focal = user.split("Focal aircraft: ")[1].split(" (")[0]
-        if random.Random(user).random() < 0.1:
+        if hashlib.sha1(user.encode()).hexdigest()[:2] < "1a":
             return "I would rather not."
         return f"ATC: {focal}, cleared.\n{focal}: Cleared, {focal}.\n\nATC: {focal}, contact departure.\n{focal}: Departure, good day."
 
@@ -167,54 +168,102 @@ class Stats:
     failed: int
 
 
-def write(rows: DataFrame, sink: ShardSink, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client) -> tuple[Stats, DataFrame]:
-    """Answers ``rows`` (id, scenario_id, scenario), commits the accepted ones; (counts, failures not yet recorded).
+Hook = Callable[[Stats], None]
+ANSWERS = ".answers"
 
-    Answers lie in the output folder until both outcomes are written, so each is asked for once.
-    """
-    aside = f"{sink.folder.path}/.answers"
-    answers(rows, config, client).write.mode("overwrite").parquet(aside)
-    good, failed = outcomes(rows.sparkSession.read.parquet(aside), config)
+
+def settle(sink: ShardSink, part: str, config: RunConfig) -> Stats:
+    """Stores the outcomes of a part whose answers are written, but for rows and failures that are stored already."""
+    spark = sink.folder.spark
+    good, failed = outcomes(spark.read.parquet(f"{sink.folder.path}/{ANSWERS}/{part}"), config)
+    done = sink.existing()
+    if done is not None:
+        good = select.without(good, done, "scenario_id")
+    known = recorded(sink)
+    if known is not None:
+        failed = select.without(failed, known, "scenario_id")
     ok = sink.append(good, "id", drop=["id"])
-    return Stats(ok, failed.count()), failed.drop("id")
+    bad = failed.count()
+    if bad:
+        sink.add_failures(failed.drop("id"))
+    sink.folder.drop(f"{ANSWERS}/{part}")
+    return Stats(ok, bad)
 
 
-def run(sampler: Sampler, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, *, resume: bool = True, overwrite: bool = False) -> Stats:
-    """Draws, answers and stores the scenarios that ``out`` doesn't hold yet, as rows or as failures."""
+def recorded(sink: ShardSink) -> DataFrame | None:
+    if not sink.folder.exists("failures.jsonl"):
+        return None
+    return replay.failures(sink.folder.spark, f"{sink.folder.path}/failures.jsonl")[0]
+
+
+def ask(rows: DataFrame, sink: ShardSink, part: str, config: RunConfig, client: Callable[[RunConfig], Client]) -> None:
+    """Writes the scenarios of a part, then their answers: each is drawn once and asked for once."""
+    asked = f"{sink.folder.path}/{ANSWERS}/.{part}"
+    rows.select("id", "scenario_id", "scenario").write.mode("overwrite").parquet(asked)
+    answers(rows.sparkSession.read.parquet(asked), config, client).write.mode("overwrite").parquet(f"{sink.folder.path}/{ANSWERS}/{part}")
+    sink.folder.drop(f"{ANSWERS}/.{part}")
+
+
+def left_over(sink: ShardSink, config: RunConfig, hook: Hook | None = None) -> Stats:
+    """Stores the answers that a run which broke off had written, and drops those that it hadn't finished."""
+    ok = failed = 0
+    own = Folder(sink.folder.spark, f"{sink.folder.path}/{ANSWERS}")
+    for part in own.names():
+        if own.exists(f"{part}/_SUCCESS") and not part.startswith("."):
+            stats = settle(sink, part, config)
+            ok, failed = ok + stats.ok, failed + stats.failed
+            if hook:
+                hook(Stats(ok, failed))
+        else:
+            own.drop(part)
+    return Stats(ok, failed)
+
+
+def run(
+    sampler: Sampler, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, *, resume: bool = True, overwrite: bool = False,
+    part_rows: int | None = None, hook: Hook | None = None,
+) -> Stats:
+    """Draws, answers and stores the scenarios that ``out`` doesn't hold yet, as rows or as failures.
+
+    Ids are worked off in parts of ``part_rows`` (a shard, unless said otherwise).  A part's answers are kept until its
+    outcomes are stored, so a run that breaks off asks again for one part at most; ``hook`` is told the counts after each.
+    """
     sink = open_sink(sampler.spark, out, config, resume=resume, overwrite=overwrite)
-    rows = sampler.rows(config.count)
-    done = sink.existing()
-    if done is not None:
-        rows = rows.join(done.select("scenario_id"), "scenario_id", "left_anti")
-    if sink.folder.exists("failures.jsonl"):
-        failed, _ = replay.failures(sampler.spark, f"{sink.folder.path}/failures.jsonl")
-        rows = rows.join(failed.select("scenario_id"), "scenario_id", "left_anti")
-    stats, failed = write(rows.select("id", "scenario_id", "scenario"), sink, config, client)
-    if stats.failed:
-        sink.add_failures(failed)
-    sink.folder.drop(".answers")
+    stats = left_over(sink, config, hook)
+    size = part_rows or config.shard_size
+    for start in range(0, config.count, size):
+        rows = sampler.rows(min(start + size, config.count), start)
+        for known in (sink.existing(), recorded(sink)):
+            if known is not None:
+                rows = select.without(rows, known, "scenario_id")
+        part = f"{start:012d}"
+        ask(rows, sink, part, config, client)
+        more = settle(sink, part, config)
+        stats = Stats(stats.ok + more.ok, stats.failed + more.failed)
+        if hook:
+            hook(stats)
+    sink.folder.drop(ANSWERS)
+    sink.close()
     return stats
 
 
-def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client) -> Stats:
-    """Answers the recorded failures again.  The old file is set aside only once the new outcomes are stored."""
+def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, hook: Hook | None = None) -> Stats:
+    """Answers the recorded failures again.  The old file is set aside only once the new answers are written."""
     sink = open_sink(spark, out, config, resume=True)
-    if not sink.folder.exists("failures.jsonl"):
-        return Stats(0, 0)
-    failed, _ = replay.failures(spark, f"{sink.folder.path}/failures.jsonl")
+    stats = left_over(sink, config)
+    failed = recorded(sink)
+    if failed is None:
+        return stats
     rows = failed.select("scenario_id", "scenario").dropDuplicates(["scenario_id"])
     done = sink.existing()
     if done is not None:
-        rows = rows.join(done.select("scenario_id"), "scenario_id", "left_anti")
-    rows = rows.withColumn("id", F.monotonically_increasing_id())
-    held = f"{sink.folder.path}/.replay"
-    rows.select("id", "scenario_id", "scenario").write.mode("overwrite").parquet(held)
-    stats, again = write(spark.read.parquet(held), sink, config, client)
+        rows = select.without(rows, done, "scenario_id")
+    ask(rows.withColumn("id", F.monotonically_increasing_id()), sink, "replay", config, client)
     sink.rotate_failures()
-    if stats.failed:
-        sink.add_failures(again)
-    sink.folder.drop(".replay")
-    sink.folder.drop(".answers")
+    stats = settle(sink, "replay", config)
+    sink.folder.drop(ANSWERS)
+    if hook:
+        hook(stats)
     return stats
 
 

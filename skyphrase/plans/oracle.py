@@ -6,7 +6,6 @@ import csv
 
 from .. import config
 from ..functions.prompt import WAKES
-from ..sources import dims
 from .catalogue import SAMPLES, SEED
 from .scenario import LETTERS
 
@@ -48,13 +47,16 @@ def _airports() -> str:
         return ", ".join(f"('{a}', '{b}')" for a, b in list(csv.reader(line for line in lines if not line.startswith("#")))[1:])
 
 
+def _countries() -> str:
+    with (config.RESOURCES / "countries.csv").open(newline="") as lines:
+        return ", ".join(f"('{a}', '{b}')" for a, b in list(csv.reader(line for line in lines if not line.startswith("#")))[1:])
+
+
 def _regions() -> str:
-    known = ", ".join(f"('{c}', '{r}')" for r, codes in dims.COUNTRIES.items() for c in codes.split())
-    rule = " ".join(f"WHEN substr(icao, 1, 1) IN ({', '.join(repr(x) for x in letters)}) THEN '{r}'" for r, letters in dims.LETTERS.items())
     return f"""
 air(icao, country) AS (VALUES {_airports()}),
-known(country, region) AS (VALUES {known}),
-ports AS (SELECT icao, CASE WHEN country = '' OR country IN ('IO', 'SH') THEN 'other' WHEN region IS NOT NULL THEN region {rule} ELSE 'other' END AS region FROM air LEFT JOIN known USING (country))"""
+known(country, region) AS (VALUES {_countries()}),
+ports AS (SELECT icao, coalesce(region, 'other') AS region FROM air LEFT JOIN known USING (country))"""
 
 
 def _squawk(u: str) -> str:
@@ -64,7 +66,7 @@ def _squawk(u: str) -> str:
     return f"(SELECT concat(c // 512, c // 64 % 8, c // 8 % 8, c % 8) FROM (SELECT {code} AS c))"
 
 
-def _scenarios() -> str:
+def _scenarios(count: int = SAMPLES) -> str:
     c = config.load()
     tiers = ", ".join(f"('{k}', {c.tier_weights[str(v)]})" for k, v in c.airport_tiers.items())
     members: dict[str, list] = {}
@@ -87,11 +89,13 @@ def _scenarios() -> str:
     wind = " ".join(f"WHEN '{k}' THEN {_int(_u(repr('wind')), *b['range'])}" for k, b in enumerate(w.wind_kt_buckets))
     q = lambda what: _u(f"'{what}'")
     letters = " || ".join(f"substr('{LETTERS}', {_int(q(f'letter:{k}'), 1, len(LETTERS))}::INT, 1)" for k in range(4))
+    band = lambda end: " ".join(f"WHEN '{k}' THEN {b[end]}::DOUBLE" for k, b in c.phase_frequency_bands.items())
+    between = lambda u, low, high: f"({low}::DOUBLE + {u} * ({high}::DOUBLE - {low}::DOUBLE))"
     return f"""{_regions()},
 tiers(icao, weight) AS (VALUES {tiers}),
 pool AS (SELECT icao, region, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM ports LEFT JOIN tiers USING (icao) WHERE region IN ('us')),
 cdf AS (SELECT icao, region, sum(weight) OVER (ORDER BY icao) - weight AS low, sum(weight) OVER (ORDER BY icao) AS high, sum(weight) OVER () AS total FROM pool),
-n AS (SELECT range AS id FROM range({SAMPLES})),
+n AS (SELECT range AS id FROM range({count})),
 d AS (SELECT id, icao, region, {_pick(q('phase'), c.phase_weights)} AS phase, {_pick(q('density'), c.traffic_density_weights)} AS traffic_density,
   {_pick(q('time'), c.time_of_day_weights)} AS time_of_day, {_pick(q('event'), c.event_weights)} AS event, {_pick(q('sky'), w.vmc_imc_weights)} AS vmc_imc
   FROM n JOIN cdf ON {q('icao')} * total >= low AND {q('icao')} * total < high),
@@ -101,16 +105,30 @@ kinds AS (SELECT id, k, {_pick(_u(slot('class')), operators)} AS kind FROM ks),
 craft AS (SELECT id, k, kind, {code} END AS code, {sign} AS callsign FROM kinds),
 roster AS (SELECT id, string_agg(callsign || '/' || split_part(code, '/', 1) || '/' || kind, ',' ORDER BY k) AS roster,
   string_agg('  ' || CASE WHEN k = 0 THEN '[FOCAL]' ELSE '       ' END || ' ' || callsign || ' (' || split_part(code, '/', 1) || ', ' ||
-    CASE split_part(code, '/', 2) {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in WAKES.items())} END || ', ' || kind || ')', chr(10) ORDER BY k) AS lines FROM craft GROUP BY id),
-s AS (SELECT d.id, icao, region, phase,
+    CASE split_part(code, '/', 2) {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in WAKES.items())} END || ', ' || kind || ')', chr(10) ORDER BY k) AS lines,
+  '[' || string_agg('{{"aircraft_type":"' || split_part(code, '/', 1) || '","callsign":"' || callsign || '","operator_class":"' || kind || '","wake":"' || split_part(code, '/', 2) || '"}}', ',' ORDER BY k) || ']' AS craft_json FROM craft GROUP BY id),
+s0 AS (SELECT d.id, icao, region, phase,
   lpad(CAST({_int(q('heading'), 1, 36)} AS VARCHAR), 2, '0') || {_pick(q('side'), c.runway_suffix_weights)} AS runway,
   CASE WHEN phase NOT IN ('ground', 'ramp') AND NOT {q('nosid')} < {c.sid_star_none_chance} THEN {letters} || CAST({_int(q('sid'), 1, 9)} AS VARCHAR) END AS sid_star,
   {_squawk(q('squawk'))} AS squawk, time_of_day, traffic_density, event, f.callsign, split_part(f.code, '/', 1) AS aircraft_type, split_part(f.code, '/', 2) AS wake, f.kind AS operator_class,
-  n_aircraft, starts_with(event, 'emergency_') AS is_emergency, phase <> 'center' AS is_towered, roster.roster, roster.lines,
+  n_aircraft, starts_with(event, 'emergency_') AS is_emergency, phase IN ('ground', 'tower', 'approach', 'center') AS is_towered, roster.roster, roster.lines,
   {_int(q('direction'), *w.wind_dir_deg)} AS wind_dir_deg, CASE {_pick(q('windy'), {str(k): b['weight'] for k, b in enumerate(w.wind_kt_buckets)})} {wind} END AS wind_kt,
-  CASE WHEN vmc_imc = 'VMC' THEN CASE WHEN {q('cloud')} < {w.vmc_ceiling_chance} THEN {_int(q('ceiling'), *w.vmc_ceiling_ft)} END ELSE {_int(q('ceiling'), *w.imc_ceiling_ft)} END AS ceiling_ft, vmc_imc
-  FROM d JOIN many USING (id) JOIN roster USING (id) JOIN craft f ON f.id = d.id AND f.k = 0)"""
-
+  CASE WHEN vmc_imc = 'VMC' THEN CASE WHEN {q('cloud')} < {w.vmc_ceiling_chance} THEN {_int(q('ceiling'), *w.vmc_ceiling_ft)} END ELSE {_int(q('ceiling'), *w.imc_ceiling_ft)} END AS ceiling_ft, vmc_imc,
+  round((CASE phase {band(0)} END) + {q('frequency')} * ((CASE phase {band(1)} END) - (CASE phase {band(0)} END)), 2) AS mhz,
+  CASE WHEN vmc_imc = 'VMC' THEN round({between(q('vis'), *w.vmc_vis_sm)}, 1) ELSE round({between(q('vis'), *w.imc_vis_sm)}, 2) END AS vis, round({between(q('altimeter'), *w.altimeter_inhg)}, 2) AS inhg
+  , craft_json FROM d JOIN many USING (id) JOIN roster USING (id) JOIN craft f ON f.id = d.id AND f.k = 0),
+s AS (SELECT * EXCLUDE (craft_json), sha1('{{"aircraft":' || craft_json || ',"event":"' || event || '","frequency_mhz":' || CAST(mhz AS VARCHAR) || ',"icao":"' || icao || '","phase":"' || phase || '","region":"' || region
+  || '","runway":"' || runway || '","sid_star":' || coalesce('"' || sid_star || '"', 'null') || ',"squawk":"' || squawk || '","time_of_day":"' || time_of_day || '","traffic_density":"' || traffic_density
+  || '","weather":{{"altimeter_inhg":' || CAST(inhg AS VARCHAR) || ',"ceiling_ft":' || coalesce(CAST(ceiling_ft AS VARCHAR), 'null') || ',"vis_sm":' || CAST(vis AS VARCHAR) || ',"vmc_imc":"' || vmc_imc
+  || '","wind_dir_deg":' || wind_dir_deg || ',"wind_kt":' || wind_kt || '}}}}') AS scenario_id FROM s0)"""
+
+
+_REQUEST = r"""'Generate an ATC exchange for this scenario. Plaintext only, one `SPEAKER: utterance` per line.' || chr(10) || chr(10) || concat_ws(chr(10),
+  'Airport (ICAO): ' || icao, 'Phase: ' || phase, printf('Frequency: %.2f MHz', mhz), 'Time of day: ' || time_of_day, 'Traffic density: ' || traffic_density,
+  'Weather: ' || vmc_imc || printf(', wind %03d at %d kt, visibility ', wind_dir_deg, wind_kt) || CAST(vis AS VARCHAR) || ' SM, '
+    || CASE WHEN ceiling_ft IS NULL THEN 'ceiling unlimited' ELSE 'ceiling ' || ceiling_ft || ' ft' END || printf(', altimeter %.2f', inhg),
+  '', 'Aircraft on this frequency:' || chr(10) || lines, '', 'Focal aircraft: ' || callsign || ' (' || aircraft_type || ')', 'Focal runway in use: ' || runway,
+  'Focal SID/STAR: ' || coalesce(sid_star, 'none'), 'Focal assigned squawk: ' || squawk, 'Event (centered on focal aircraft): ' || event)"""
 
 _DOCS_FIRST = "SELECT source, min(doc_id) AS doc_id FROM documents WHERE n_chars IS NULL OR n_chars BETWEEN 200 AND 5000 GROUP BY source"
 
@@ -137,16 +155,16 @@ SELECT vec_id, coalesce(s BETWEEN 10 AND 60 AND r > 0 AND 20 * log10(CASE WHEN r
         "voice_ids": "SELECT doc_id, substr(sha1(source || ':' || CAST(doc_id AS VARCHAR)), 1, 12) AS voice_id FROM documents",
         "canonical_ids": """SELECT p_partkey, sha1('{"brand":"' || p_brand || '","name":"' || p_name || '","size":' || p_size || '}') AS part_id FROM part""",
         "resume_anti": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-        "resume_offset": "SELECT range AS doc_id FROM range(100, 1000) WHERE range NOT IN (SELECT doc_id FROM labels)",
+        "resume_offset": "SELECT doc_id FROM (SELECT unnest(range(least(100, m), m)) AS doc_id FROM (SELECT coalesce(max(doc_id), 0) + 1 AS m FROM documents)) WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "region_lookup": """
-SELECT c_custkey, coalesce(r_name, 'other') AS region FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) ON c_nationkey = n_nationkey
-LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON n_regionkey = r_regionkey""",
+SELECT c_custkey, coalesce(r_name, 'other') AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
         "region_rule": f"WITH {_regions()} SELECT icao, region FROM ports",
+        "country_regions": f"WITH known(country, region) AS (VALUES {_countries()}) SELECT country, region FROM known UNION ALL SELECT unnest(['AQ', 'IO', 'SH', '', NULL, 'us']), 'other'",
         "tier_weights": f"WITH air(icao, country) AS (VALUES {_airports()}), t(icao, weight) AS (VALUES {tiers}) SELECT icao, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM air LEFT JOIN t USING (icao)",
         "operator_multimap": f"WITH a(code, class) AS (VALUES {classes}) SELECT class AS operator_class, count(*) AS n_aircraft, string_agg(code, ',' ORDER BY code) AS members FROM a GROUP BY class",
         "allowed_regions": "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE'))",
-        "scenario_sample": f"WITH {_scenarios()} SELECT * EXCLUDE (lines) FROM s",
-        "prompt_briefing": f"WITH {_scenarios()} SELECT id, 'Aircraft on this frequency:' || chr(10) || lines AS roster, 2::BIGINT AS n_messages FROM s",
+        "scenario_sample": f"WITH {_scenarios()} SELECT * EXCLUDE (lines, mhz, vis, inhg), round(mhz * 100)::BIGINT AS frequency_khz10, round(vis * 100)::BIGINT AS vis_sm_100, round(inhg * 100)::BIGINT AS altimeter_100 FROM s",
+        "prompt_briefing": f"WITH {_scenarios()} SELECT id, 'Aircraft on this frequency:' || chr(10) || lines AS roster, 2::BIGINT AS n_messages, 'system,user' AS roles, {_REQUEST} AS request FROM s",
         "event_mix": f"SELECT event, count(*) AS n FROM (SELECT {_pick(_u(repr('event'), 'o_orderkey'), c.event_weights)} AS event FROM orders) GROUP BY event",
         "squawk_codes": f"SELECT o_orderkey, {_squawk(_u(repr('squawk'), 'o_orderkey'))} AS squawk FROM orders",
         "weighted_choice": f"""
@@ -156,32 +174,38 @@ SELECT o_orderkey, p_partkey FROM o JOIN p ON x >= low AND x < high""",
         "notice_report": """
 SELECT source, count(*) AS voices, string_agg(DISTINCT lang, ', ' ORDER BY lang) AS licenses, string_agg(DISTINCT substr(source, 1, 4), ', ' ORDER BY substr(source, 1, 4)) AS attributions FROM documents GROUP BY source""",
         "target_limit": """
-WITH r AS (SELECT doc_id, source, lang, CASE source WHEN 'src3' THEN 0 WHEN 'src1' THEN 1 ELSE 2 END * 281474976710656 + doc_id AS ord, n_chars BETWEEN 500 AND 4000 AS ok,
-  doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS there FROM documents WHERE source IN ('src1', 'src2', 'src3')),
-d AS (SELECT *, ord = min(ord) FILTER (ok) OVER (PARTITION BY source, lang) AS isdec FROM r),
+WITH r AS (SELECT doc_id, source, lang, (list_position(['fr', 'en', 'es', 'de'], lang) - 1) * 281474976710656 + doc_id AS ord, n_chars BETWEEN 500 AND 4000 AS ok,
+  doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS there FROM documents WHERE lang IN ('fr', 'en', 'es', 'de')),
+d AS (SELECT *, ord = min(ord) FILTER (ok) OVER (PARTITION BY lang, source) AS isdec FROM r),
 c AS (SELECT *, coalesce(isdec, false) AND NOT there AS cand FROM d),
-k AS (SELECT *, coalesce(sum(cand::INT) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 8 AS processed FROM c)
-SELECT doc_id, source, cand AND processed AS kept, processed AND NOT coalesce(isdec, false) AS skipped FROM k""",
+k AS (SELECT *, coalesce(sum(cand::INT) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 30 AS processed FROM c)
+SELECT doc_id, source, lang, cand AND processed AS kept, processed AND NOT coalesce(isdec, false) AS skipped FROM k""",
         "shard_assignment": """
 SELECT shard_id, count(*) AS n_rows, min(doc_id) AS first_id, max(doc_id) AS last_id FROM (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard_id FROM documents) GROUP BY shard_id""",
         "failure_replay": """
 SELECT event_type, count(*) FILTER (ok) AS readable, count(*) FILTER (NOT ok) AS corrupt FROM (SELECT event_type, json_valid(CASE WHEN event_id % 10 = 0 THEN substr(props, 2) ELSE props END) AS ok FROM events) GROUP BY event_type""",
         "benchmark_points": points,
-        "benchmark_best": f"SELECT arg_max(event_type, (ok, event_type)) AS best, max(ok) AS ok FROM ({points})",
+        "benchmark_best": f"SELECT event_type AS best, rate_per_sec FROM ({points}) ORDER BY rate_per_sec DESC, event_type LIMIT 1",
         "domain_errors": """
 WITH r AS (SELECT unnest([CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'status' END, CASE WHEN NOT o_totalprice BETWEEN 1000 AND 300000 THEN 'price' END,
   CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-4]-') THEN 'priority' END]) AS rule FROM orders)
 SELECT rule, count(*) AS n FROM r WHERE rule IS NOT NULL GROUP BY rule""",
-        "scenario_errors": f"SELECT {SAMPLES}::BIGINT AS n, 0::BIGINT AS broken",
+        "scenario_errors": f"""
+WITH r AS (SELECT range AS id FROM range({SAMPLES})),
+b AS (SELECT id, unnest([CASE WHEN id % 5 = 0 THEN 'squawk' END, CASE WHEN id % 7 = 0 THEN 'icao' END, CASE WHEN id % 11 = 0 THEN 'phase' END, CASE WHEN id % 13 = 0 THEN 'weather.wind_kt' END,
+  CASE WHEN id % 17 = 0 THEN 'n_aircraft' END, CASE WHEN id % 5 <> 0 AND id % 7 <> 0 AND id % 11 <> 0 AND id % 13 <> 0 AND id % 17 <> 0 THEN 'none' END]) AS rule FROM r)
+SELECT rule, count(*) AS n FROM b WHERE rule IS NOT NULL GROUP BY rule""",
         "voice_records": """
 SELECT substr(sha1(source || ':' || CAST(doc_id AS VARCHAR)), 1, 12) AS voice_id, source, CAST(doc_id AS VARCHAR) AS source_speaker_id, source || '-' || CAST(doc_id AS VARCHAR) AS source_clip_id,
   n_chars / 16.0::DOUBLE AS duration_s, CASE WHEN length(source) = 4 THEN 'pool' || CAST(CAST(substr(source, 4) AS INT) % 3 AS VARCHAR) ELSE '' END AS sub_pool, lang AS language FROM documents""",
         "source_order": """
-SELECT CASE source WHEN 'src7' THEN 0 WHEN 'src0' THEN 1 ELSE 2 END * 281474976710656 + doc_id AS ord, doc_id, source FROM documents WHERE source IN ('src7', 'src0', 'src4') ORDER BY ord LIMIT 20""",
+SELECT (list_position(['fr', 'en', 'es', 'de'], lang) - 1) * 281474976710656 + doc_id AS ord, doc_id, lang FROM documents WHERE lang IN ('fr', 'en', 'es', 'de')""",
         "outcome_windows": """
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_id % 3 <> 0) AS ok, count(*) FILTER (event_id % 3 = 0) AS failed FROM events GROUP BY day""",
+        "generate_stub": f"""WITH {_scenarios(200)}, a AS (SELECT scenario_id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s)
+SELECT scenario_id, CASE WHEN prose THEN 'TranscriptParseError' ELSE 'ok' END AS outcome, CASE WHEN prose THEN 0 ELSE 4 END::BIGINT AS n_turns FROM a""",
         "derived_flags": """
-WITH i AS (SELECT l_orderkey, list({'n': l_linenumber, 'callsign': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), 'aircraft_type': l_linestatus, 'wake': l_returnflag} ORDER BY l_linenumber, l_shipdate, l_linestatus, l_returnflag) AS a FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_orderkey)
-SELECT l_orderkey, a[1].callsign AS callsign, a[1].aircraft_type AS aircraft_type, a[1].wake AS wake, a[1].wake AS operator_class, len(a)::BIGINT AS n_aircraft, true AS is_emergency, o_orderstatus = 'F' AS is_towered
+WITH i AS (SELECT l_orderkey, list({'n': l_linenumber, 'callsign': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), 'aircraft_type': l_linestatus, 'wake': l_returnflag} ORDER BY l_linenumber, l_shipdate, l_linestatus, l_returnflag) AS a FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, a[1].callsign AS callsign, a[1].aircraft_type AS aircraft_type, a[1].wake AS wake, a[1].wake AS operator_class, len(a)::BIGINT AS n_aircraft, o_orderpriority = '1-URGENT' AS is_emergency, l_orderkey % 5 <> 4 AS is_towered
 FROM i JOIN orders ON l_orderkey = o_orderkey""",
     }

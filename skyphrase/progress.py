@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from .sinks.shards import Folder, now_iso
+
 
 class Progress:
     """``started_at`` rows were there before, and count toward the share but not the rate."""
@@ -20,8 +22,23 @@ class Progress:
             return False
         self.last = now
         rate = (done - self.start) / max(now - self.began, 1e-9)
-        left = (self.total - done) / rate if rate > 0 else 0.0
+        left = max(0, self.total - done) / rate if rate > 0 else 0.0
         share = 100 * done / self.total if self.total else 100.0
         more = "".join(f" {k}={v}" for k, v in extras.items())
         self.write(f"done={done}/{self.total} pct={share:.1f} rate={rate:.2f}/s eta={left:.0f}s{more}")
         return True
+
+
+def log_file(spark, path: str) -> Callable[[str], None]:
+    """A ``write`` that keeps the lines, each after its time, in a file of any file system that Spark writes."""
+    folder, _, name = path.rpartition("/")
+    lines: list[str] = []
+    own = Folder(spark, folder or ".")
+    if own.exists(name):
+        lines.extend(own.read(name).splitlines())
+
+    def write(line: str) -> None:
+        lines.append(f"{now_iso()} {line}")
+        own.write(name, "\n".join(lines) + "\n")
+
+    return write

@@ -62,5 +62,6 @@ VOICE_RECORD = (
 )
 CANDIDATE = "ord bigint, source string, source_speaker_id string, source_clip_id string, bytes binary, text string, license string, attribution string, gender_hint string, language string"
 AIRPORT = "icao string, country string"
+COUNTRY = "country string, region string"
 AIRCRAFT_ROW = "icao_type string, manufacturer string, model string, wake string, operator_classes string"
 WEIGHT = "icao string, weight double"

@@ -44,16 +44,24 @@ class Folder:
         return "\n".join(r["value"] for r in self.spark.read.text(f"{self.path}/{name}", wholetext=True).collect())
 
     def write(self, name: str, text: str) -> None:
-        """Written aside, then renamed over the old file."""
-        aside = self.at(f".{name}.{uuid.uuid4().hex}")
-        out = self.fs.create(aside, True)
+        """Written aside, then put in the old file's place in one step: a reader sees the old file or the new one."""
+        aside = f".{name}.{uuid.uuid4().hex}"
+        out = self.fs.create(self.at(aside), True)
         out.write(bytearray(text.encode()))
         out.close()
-        self.fs.delete(self.at(name), False)
-        self.fs.rename(aside, self.at(name))
+        jvm = self.spark.sparkContext._jvm
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(self.at(aside), self.at(name), options)
 
     def rename(self, old: str, new: str) -> None:
-        self.fs.rename(self.at(old), self.at(new))
+        """OSError if the new name is taken or the file system refuses."""
+        self.move(self.at(old), new)
+
+    def move(self, source, new: str) -> None:
+        if self.exists(new) or not self.fs.rename(source, self.at(new)):
+            raise OSError(f"{source} couldn't be renamed to {new} in {self.path}")
 
     def drop(self, name: str = "") -> None:
         self.fs.delete(self.at(name) if name else self._path(self.path), True)
@@ -96,6 +104,17 @@ class ShardSink:
             self.manifest.meta = (self.manifest.meta or {}) | (meta or {})
         else:
             self.manifest = Manifest(started_at=now_iso(), meta=meta or {})
+        self.recover()
+
+    def recover(self) -> None:
+        """After a run that broke off: counts shards that were put in place but not entered, drops commits half done."""
+        for name in self.folder.names(".commit-"):
+            self.folder.drop(name)
+        late = [n for n in self.shards() if int(n[len("shard-") : -len(".parquet")]) > self.manifest.last_shard_index]
+        if late:
+            self.manifest.total_rows += self.folder.spark.read.parquet(*[f"{self.folder.path}/{n}" for n in late]).count()
+            self.manifest.last_shard_index = max(int(n[len("shard-") : -len(".parquet")]) for n in late)
+            self.close()
 
     def shards(self) -> list[str]:
         return self.folder.names("shard-")
@@ -107,7 +126,9 @@ class ShardSink:
     def append(self, df: DataFrame, order: str, drop: list[str] | None = None) -> int:
         """Commits the rows in order, as shards after those that exist; how many rows there were.
 
-        Each shard is written by one task into a folder of its own; files are renamed into place once all are written.
+        Each shard is written by one task into a folder of its own; files are renamed into place once all are written,
+        in the order of their numbers, and only then the manifest is.  A run that breaks off in between leaves whole
+        shards, which ``recover`` enters, and rows that no shard has, which the caller finds missing and appends again.
         """
         first = self.manifest.last_shard_index + 1
         aside = f"{self.folder.path}/.commit-{uuid.uuid4().hex}"
@@ -120,11 +141,11 @@ class ShardSink:
         for k in done:
             own = Folder(self.folder.spark, f"{aside}/shard_id={k}")
             (name,) = own.names("part-")
-            self.folder.fs.rename(own.at(name), self.folder.at(f"shard-{k:06d}.parquet"))
-        part.drop()
+            self.folder.move(own.at(name), f"shard-{k:06d}.parquet")
         self.manifest.total_rows += total
         self.manifest.last_shard_index = max([self.manifest.last_shard_index, *done])
         self.close()
+        part.drop()
         return total
 
     def close(self) -> None:
@@ -138,7 +159,12 @@ class ShardSink:
         """Sets the failures aside under the time of day; the new name, or None without any."""
         if not self.folder.exists("failures.jsonl"):
             return None
-        name = f"failures.{datetime.now(UTC):%Y%m%dT%H%M%SZ}.jsonl"
+        stem = f"failures.{datetime.now(UTC):%Y%m%dT%H%M%SZ}"
+        name = f"{stem}.jsonl"
+        for k in range(1, 1000):  # several within a second
+            if not self.folder.exists(name):
+                break
+            name = f"{stem}-{k}.jsonl"
         self.folder.rename("failures.jsonl", name)
         return name
 

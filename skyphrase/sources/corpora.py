@@ -9,11 +9,13 @@ from ..functions import audio
 from ..operators import select
 from .registry import Source, register
 
-# Splits in order, bounds in seconds, terms.
-SPLITS = ["train.clean.360", "train.clean.100", "train.other.500"]
+# Splits in order, bounds in seconds, the licence and the attribution texts of both corpora.
+SPLITS = ["train.clean.100", "train.clean.360", "train.other.500"]
 LONGEST = (1.0, 30.0)
 PREFILTER = (8.0, 35.0)
-TERMS = "CC BY 4.0"
+LICENSE = "CC-BY-4.0"
+LIBRITTS = "LibriTTS-R: A Restored Multi-Speaker Text-to-Speech Corpus (Koizumi et al., 2023). Licensed CC BY 4.0."
+MLS = "Multilingual LibriSpeech (MLS) English split (Pratap et al., 2020). Parler-TTS distribution. Licensed CC BY 4.0."
 
 
 def longest_clips(rows: DataFrame) -> DataFrame:
@@ -22,7 +24,7 @@ def longest_clips(rows: DataFrame) -> DataFrame:
     ``rows``: ord, speaker_id, id, text_normalized, audio<bytes, path>.  The choice is made on slim metadata; bytes
     are joined back for the clips that won.
     """
-    probed = rows.select("ord", "speaker_id", audio.wav_seconds(F.col("audio.bytes")).alias("seconds")).where(F.col("seconds").between(*LONGEST))
+    probed = rows.select("ord", "speaker_id", audio.clip_seconds(F.col("audio.bytes")).alias("seconds")).where(F.col("seconds").between(*LONGEST))
     won = select.longest_per_key(probed, "speaker_id", "seconds", "ord")
     return rows.join(won.select("ord", F.col("first_ord").alias("place"), "seconds"), "ord")
 
@@ -38,7 +40,7 @@ def candidate(rows: DataFrame, source: str, clip: Column, text: Column, attribut
     none = F.lit(None).cast("string")
     return rows.select(
         F.col("place").cast("long").alias("ord"), F.lit(source).alias("source"), F.col("speaker_id").cast("string").alias("source_speaker_id"), clip.cast("string").alias("source_clip_id"),
-        F.col("audio.bytes").alias("bytes"), text.alias("text"), F.lit(TERMS).alias("license"), F.lit(attribution).alias("attribution"), none.alias("gender_hint"), F.lit("en").alias("language"),
+        F.col("audio.bytes").alias("bytes"), text.alias("text"), F.lit(LICENSE).alias("license"), F.lit(attribution).alias("attribution"), none.alias("gender_hint"), F.lit("en").alias("language"),
     )
 
 
@@ -58,9 +60,9 @@ def libritts(folder: str) -> Source:
 
     def candidates(spark: SparkSession) -> DataFrame:
         rows = numbered(spark, [f"{folder}/{s}" for s in SPLITS]).select("ord", "speaker_id", "id", "text_normalized", "audio")
-        return candidate(longest_clips(rows), "libritts-r", F.col("id"), F.col("text_normalized"), "LibriTTS-R")
+        return candidate(longest_clips(rows), "libritts-r", F.col("id"), F.col("text_normalized"), LIBRITTS)
 
-    return Source("libritts-r", "libritts", candidates)
+    return Source("libritts-r", "controller", candidates)
 
 
 def mls(folder: str) -> Source:
@@ -69,9 +71,9 @@ def mls(folder: str) -> Source:
         if "audio_duration" not in rows.columns:
             rows = rows.withColumn("audio_duration", F.lit(None).cast("double"))
         rows = rows.select("ord", "speaker_id", "original_path", "audio_duration", "audio")
-        return candidate(first_clips(rows), "mls-eng", F.col("original_path"), F.lit(None).cast("string"), "Multilingual LibriSpeech")
+        return candidate(first_clips(rows), "mls-eng", F.col("original_path"), F.lit(None).cast("string"), MLS)
 
-    return Source("mls-eng", "mls", candidates)
+    return Source("mls-eng", "controller", candidates)
 
 
 def register_corpora(libritts_folder: str | None = None, mls_folder: str | None = None) -> None:

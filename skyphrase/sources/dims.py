@@ -1,41 +1,16 @@
-"""Dimension scans: airports, aircraft, custom weights, and the region of a country."""
+"""Dimension scans: airports, aircraft, custom weights, and the regions of countries.  Each is a parameter: a file of one's own
+replaces the bundled table."""
 
 from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..config import RESOURCES, RegionConfig
 
-# ISO 3166 countries of the regions that are listed.
-COUNTRIES = {
-    "us": "US PR VI GU MP AS UM",
-    "canada": "CA",
-    "uk": "GB IE",
-    "europe_west": "AT BE CH DE DK ES FI FO FR GI GL GR IS IT LI LU MC MT NL NO PT SE SM VA AD",
-    "europe_east": "AL BA BG BY CZ EE HR HU LT LV MD ME MK PL RO RS RU SI SK UA XK",
-    "me": "AE BH IL IQ IR JO KW LB OM PS QA SA SY TR YE AM AZ GE KZ KG TJ TM UZ AF",
-    "asia_east": "CN JP KP KR MO MN TW HK",
-    "asia_se": "BN ID KH LA MM MY PH SG TH TL VN IN BD BT LK MV NP PK",
-    "oceanic": "AU NZ FJ FM KI MH NR NU NC PG PF PW SB TK TO TV VU WS CK",
-}
-# Africa and Latin America go by a rule: the first letter of the airport's code, but for two island territories.
-LETTERS = {"africa": "DFGH", "lat_am": "SMT"}
-UNLISTED = ["IO", "SH"]
-
-
-def region(icao: Column, country: Column) -> Column:
-    """The region of an airport; ``other`` without a country or where nothing applies."""
-    out = F.when(country.isNull() | (country == "") | country.isin(UNLISTED), "other")
-    for name, codes in COUNTRIES.items():
-        out = out.when(country.isin(codes.split()), name)
-    for name, letters in LETTERS.items():
-        out = out.when(F.substring(icao, 1, 1).isin(list(letters)), name)
-    return out.otherwise("other")
-
 
 def _bundled(spark: SparkSession, name: str, schema: str) -> DataFrame:
     """A small table of the package, read by the driver: executors needn't have the file."""
@@ -44,10 +19,20 @@ def _bundled(spark: SparkSession, name: str, schema: str) -> DataFrame:
         return spark.createDataFrame(rows[1:], schema)
 
 
-def airports(spark: SparkSession, path: str | None = None) -> DataFrame:
+def countries(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """(country, region): the bundled table, or a CSV with these columns."""
+    return spark.read.schema(schemas.COUNTRY).csv(path, header=True, comment="#") if path else _bundled(spark, "countries.csv", schemas.COUNTRY)
+
+
+def with_region(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` with the region of their country, by a left join; ``other`` without one or with one that isn't known."""
+    return rows.join(known, "country", "left").withColumn("region", F.coalesce("region", F.lit("other"))).select(*rows.columns, "region")
+
+
+def airports(spark: SparkSession, path: str | None = None, regions: DataFrame | None = None) -> DataFrame:
     """(icao, country, region) of codes of four capitals; the bundled list, or a CSV with icao and country."""
     found = spark.read.schema(schemas.AIRPORT).csv(path, header=True) if path else _bundled(spark, "airports.csv", schemas.AIRPORT)
-    return found.where(F.col("icao").rlike("^[A-Z]{4}$")).withColumn("region", region(F.col("icao"), F.col("country")))
+    return with_region(found.where(F.col("icao").rlike("^[A-Z]{4}$")), countries(spark) if regions is None else regions)
 
 
 def aircraft(spark: SparkSession, path: str | None = None) -> DataFrame:

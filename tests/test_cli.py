@@ -20,7 +20,9 @@ def test_sample(spark, capsys):
 @pytest.mark.parametrize(
     "args",
     [["data", "sample", "--regions", ","], ["data", "sample", "--regions", "mars"], ["data", "sample", "--weighter", "odd"], ["data", "sample", "--weighter", "custom"], ["data", "sample", "--config", "nowhere"],
-     ["data", "benchmark", "--model", "stub", "--concurrencies", "1,x"], ["voices", "build", "--out", "/tmp/none", "--sources", ","], ["voices", "build", "--out", "/tmp/none", "--sources", "odd"]],
+     ["data", "benchmark", "--model", "stub", "--concurrencies", "1,x"], ["data", "sample", "-n", "-1"], ["data", "generate", "--model", "stub", "--out", "/tmp/none", "--count", "-5"],
+     ["data", "generate", "--model", "stub", "--out", "/tmp/none", "--count", "5", "--shard-size", "0"], ["voices", "build", "--out", "/tmp/none", "--target", "-1"],
+     ["voices", "build", "--out", "/tmp/none", "--min-duration-s", "9", "--max-duration-s", "8"], ["data", "benchmark", "--model", "stub", "--per-point", "0"], ["voices", "build", "--out", "/tmp/none", "--sources", ","], ["voices", "build", "--out", "/tmp/none", "--sources", "odd"]],
 )
 def test_bad_arguments(spark, args, capsys):
     assert main(args, spark) == 2 and capsys.readouterr().err
@@ -39,6 +41,8 @@ def test_generate_resume_and_regenerate(spark, tmp_path, capsys):
     shards = spark.read.parquet(f"{out}/shard-*.parquet")
     assert shards.count() == shards.select("scenario_id").distinct().count() == second["total_rows"]
     assert main([*base, "--count", "30", "--seed", "1"], spark) == 2
+    log = (tmp_path / "run" / "run.log").read_text().splitlines()
+    assert len(log) >= 2 and all("done=" in line and "rate=" in line for line in log)
     capsys.readouterr()
     assert main(["data", "inspect", "--out", out], spark) == 0
     assert json.loads(capsys.readouterr().out)["rows"] == second["total_rows"]

@@ -1,6 +1,7 @@
 import io
 import json
 import math
+import struct
 import wave
 
 import numpy as np
@@ -12,7 +13,7 @@ from skyphrase.functions import audio, ids
 from skyphrase.operators import lookups, select
 from skyphrase.plans import generate, voices
 from skyphrase.plans.scenario import Sampler
-from skyphrase.sinks.shards import FingerprintMismatch, Manifest, ShardSink, notice
+from skyphrase.sinks.shards import FingerprintMismatch, Folder, Manifest, ShardSink, notice
 from skyphrase.sources import corpora, registry, replay
 from skyphrase.streaming import turns_stream
 
@@ -98,18 +99,39 @@ def test_retries():
         generate.with_retries(lambda: (_ for _ in ()).throw(generate.TransportError("no", 500)), 3, waits.append)
 
 
-def test_wav_header_and_loudness(spark):
-    data = [(1, tone(2.5)), (2, tone(1, channels=2)), (3, b"RIFF"), (4, None), (5, tone(1, amplitude=0.0))]
-    df = spark.createDataFrame(data, "k int, b binary")
-    got = {r["k"]: r for r in df.select("k", audio.wav_seconds(F.col("b")).alias("s"), audio.measure("b").alias("m")).collect()}
-    assert got[1]["s"] == 2.5 and got[2]["s"] == 1.0 and got[3]["s"] is None and got[4]["s"] is None
-    assert abs(got[1]["m"]["rms"] - 0.3 / math.sqrt(2)) < 1e-3 and got[2]["m"]["rate"] == 8000 and got[3]["m"]["seconds"] is None and got[5]["m"]["rms"] == 0
+def riff(tag, bits, channels, raw, rate=8000, extra=b""):
+    """A WAV file with a chunk before the samples."""
+    wide = bits // 8 * channels
+    if tag == 0xFFFE:
+        fmt = struct.pack("<HHIIHHHHIH14s", tag, channels, rate, rate * wide, wide, bits, 22, bits, 0, 1, bytes(14))
+    else:
+        fmt = struct.pack("<HHIIHH", tag, channels, rate, rate * wide, wide, bits)
+    body = b"WAVE" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"LIST" + struct.pack("<I", 5) + b"INFO!\0" + b"data" + struct.pack("<I", len(raw)) + raw
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def test_headers_and_loudness(spark):
+    wave_ = 0.25 * np.sin(np.arange(8000) / 7)
+    flac = b"fLaC" + b"\x80\x00\x00\x22" + bytes(10) + ((8000 << 44) | (1 << 41) | (15 << 36) | 20000).to_bytes(8, "big") + bytes(16)
+    cut24 = (wave_ * 2**23).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    data = {
+        1: (tone(2.5), 2.5, True), 2: (tone(1, channels=2), 1.0, True), 3: (b"RIFF", None, False), 4: (None, None, False), 5: (tone(1, amplitude=0.0), 1.0, True), 6: (flac, 2.5, False),
+        7: (riff(1, 24, 1, cut24), 1.0, True), 8: (riff(3, 32, 1, wave_.astype("<f4").tobytes()), 1.0, True), 9: (riff(0xFFFE, 16, 2, np.repeat((wave_ * 32767).astype("<i2"), 2).tobytes()), 1.0, True),
+        10: (riff(1, 8, 1, (wave_ * 127 + 128).astype(np.uint8).tobytes()), 1.0, True), 11: (riff(1, 32, 1, (wave_ * (2**31 - 1)).astype("<i4").tobytes()), 1.0, True), 12: (b"", None, False),
+    }
+    df = spark.createDataFrame([(k, b) for k, (b, _, _) in data.items()], "k int, b binary")
+    got = {r["k"]: r for r in df.select("k", audio.clip_seconds(F.col("b")).alias("s"), audio.measure(F.col("b")).alias("m")).collect()}
+    for k, (_, seconds, readable) in data.items():
+        assert got[k]["s"] == seconds and (got[k]["m"]["seconds"] is not None) == readable, k
+    assert abs(got[1]["m"]["rms"] - 0.3 / math.sqrt(2)) < 1e-3 and got[2]["m"]["rate"] == 8000 and got[5]["m"]["rms"] == 0
+    want = float(np.sqrt(np.mean(wave_**2)))
+    assert all(abs(got[k]["m"]["rms"] - want) < 3e-3 for k in (7, 8, 9, 10, 11))
 
 
 @pytest.mark.parametrize(("seconds", "rms", "ok"), [(20.0, 0.1, True), (30.0, 0.1, True), (19.99, 0.1, False), (30.01, 0.1, False), (25.0, 0.0, False), (25.0, 0.001, False), (None, 0.1, False)])
 def test_acceptance_bounds(spark, seconds, rms, ok):
     df = spark.createDataFrame([(seconds, rms)], "s double, r double")
-    assert df.select(audio.accepted(F.col("s"), F.col("r"))).first()[0] is ok
+    assert df.select(audio.accepted(F.col("s"), F.col("r"), 20.0)).first()[0] is ok
 
 
 def test_longest_clip_per_speaker(spark):
@@ -162,7 +184,7 @@ def test_voice_pool(spark, tmp_path):
 
     out = (tmp_path / "v").as_uri()
     stats = voices.build(spark, [source([("1", "a", 22), ("2", "b", 0.5), ("3", "c", 25), ("4", "d", 20), ("5", "e", 21)])], out, target=3, shard_size=2)
-    assert stats == voices.Stats(kept=3, skipped=1)
+    assert stats == voices.Stats(kept=3, skipped=1, unreadable=0)
     rows = spark.read.parquet(*[f"{out}/shard-00000{k}.parquet" for k in range(2)])
     assert rows.columns == ["voice_id", "audio", "text", "source_clip_id"] and {r["source_clip_id"] for r in rows.collect()} == {"a", "c", "d"}
     assert all(len(r["voice_id"]) == 12 for r in rows.collect())
@@ -172,6 +194,133 @@ def test_voice_pool(spark, tmp_path):
     assert "## src" in text and "- 4 voice(s)" in text and "CC BY 4.0" in text
 
 
+def clips_source(rows, name="src"):
+    """rows: (speaker, clip, bytes)"""
+    schema = "ord long, source string, source_speaker_id string, source_clip_id string, bytes binary, text string, license string, attribution string, gender_hint string, language string"
+    return registry.Source(name, "pool", lambda session: session.createDataFrame([(k, name, s, c, b, None, "CC BY 4.0", "Somebody", None, "en") for k, (s, c, b) in enumerate(rows)], schema))
+
+
+def test_voice_scan_ends_at_the_target(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def decode(data):
+        seen.add(1)
+        return audio.decode_wav(data)
+
+    rows = [(f"s{k}", f"c{k}", tone(12, rate=800)) for k in range(200)]
+    told = []
+    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=3, decode=decode, hook=told.append)
+    assert stats.kept == 3 and 3 <= seen.value <= 40 and told == [stats]
+
+
+def test_voice_scan_goes_on_past_unreadable_clips(spark, tmp_path):
+    """Nine in ten can't be read: further looks find the rest, as a loop over all would, and they are counted."""
+    rows = [(f"s{k}", f"c{k}", tone(12, rate=800) if k % 10 == 9 else b"OggS") for k in range(100)]
+    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=4)
+    assert stats == voices.Stats(kept=4, skipped=36, unreadable=36)
+    own = lambda data: audio.decode_wav(tone(15, rate=800)) if data == b"OggS" else audio.decode_wav(data)  # noqa: E731  a decoder of one's own
+    assert voices.build(spark, [clips_source(rows)], (tmp_path / "w").as_uri(), target=4, decode=own) == voices.Stats(kept=4, skipped=0, unreadable=0)
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after", [0, 1, 2, 3])
+def test_a_commit_that_breaks_off_loses_and_doubles_nothing(spark, tmp_path, monkeypatch, after):
+    """Breaks before, between and after the renames (``after`` = 3: before the manifest), then appends what is missing."""
+    out = (tmp_path / "s").as_uri()
+    rows = spark.range(100, 112).selectExpr("id", "cast(id as string) AS name")
+    ShardSink(spark, out, 5).append(spark.range(3).selectExpr("id", "cast(id as string) AS name"), "id")
+    sink, calls = ShardSink(spark, out, 5), []
+    move = Folder.move
+
+    def failing(self, *args):
+        if len(calls) == after:
+            raise Broken
+        calls.append(1)
+        return move(self, *args)
+
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        patch.setattr(Folder, "move", failing)
+        if after == 3:
+            patch.setattr(ShardSink, "close", lambda self: (_ for _ in ()).throw(Broken()))
+        sink.append(rows, "id")
+    again = ShardSink(spark, out, 5)
+    again.append(select.without(rows, again.existing(), "id"), "id")
+    stored = [r["id"] for r in again.existing().collect()]
+    assert sorted(stored) == [0, 1, 2, *range(100, 112)] and again.manifest.total_rows == 15
+    assert ShardSink(spark, out, 5).manifest.total_rows == 15 and not again.folder.names(".commit-")
+
+
+def test_renames_are_checked(spark, tmp_path):
+    sink = ShardSink(spark, (tmp_path / "s").as_uri(), 5)
+    sink.folder.write("a", "1")
+    sink.folder.write("a", "2")
+    sink.folder.write("b", "3")
+    assert sink.folder.read("a").strip() == "2" and not sink.folder.names(".a")
+    with pytest.raises(OSError, match="couldn't be renamed"):
+        sink.folder.rename("a", "b")
+
+
+def test_a_killed_run_keeps_its_answers(spark, tmp_path, monkeypatch):
+    out, asked = (tmp_path / "g").as_uri(), spark.sparkContext.accumulator(0)
+    settings = generate.RunConfig(model="stub", count=40, concurrency=4, shard_size=10)
+    sampler = Sampler(spark, config.load(), 3)
+
+    def counted(cfg):
+        own = generate.stub_client(cfg)
+
+        def ask(messages):
+            if not own(messages).startswith("I would"):  # prose is asked for again, by design
+                asked.add(1)
+            return own(messages)
+
+        return ask
+
+    parts, settle, told = [], generate.settle, []
+
+    def failing(sink, part, cfg):
+        parts.append(part)
+        if len(parts) == 3:
+            raise Broken
+        return settle(sink, part, cfg)
+
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        patch.setattr(generate, "settle", failing)
+        generate.run(sampler, out, settings, counted, hook=told.append)
+    assert len(told) == 2
+    first = asked.value
+    stats = generate.run(sampler, out, settings, counted)
+    sink = generate.open_sink(spark, out, settings)
+    good, failed = [r["scenario_id"] for r in sink.existing().collect()], [r["scenario_id"] for r in generate.recorded(sink).collect()]
+    assert asked.value == len(good) and first > 0.5 * len(good), "what was answered before isn't asked for again"
+    assert sorted(good + failed) == sorted(r["scenario_id"] for r in sampler.rows(40).collect()) and stats.ok + stats.failed == 20
+    assert generate.run(sampler, out, settings, counted) == generate.Stats(0, 0) and asked.value == len(good)
+
+
+def test_cumulative_over_ranges_has_no_gaps(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{k:04d}", float(w)) for k, w in enumerate(rng.random(500) * 0.3)]
+    df = spark.createDataFrame(rows, "icao string, weight double").repartition(5)
+    for exact in (1 << 20, 60):
+        own = sorted((r["icao"], r["low"], r["high"]) for r in lookups.cumulative(df, exact=exact).collect())
+        assert own[0][1] == 0 and all(a[2] == b[1] for a, b in zip(own, own[1:], strict=False)) and abs(own[-1][2] - sum(w for _, w in rows)) < 1e-9
+        assert [k for k, _, _ in own] == [k for k, _ in rows]
+
+
+def test_two_hop_misses_get_the_default(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, 99), (4, None)], "k int, n int")
+    first, second = spark.createDataFrame([(10, 1), (11, 7)], "n int, r int"), spark.createDataFrame([(1, "ASIA")], "r int, name string")
+    got = {r["k"]: r["region"] for r in lookups.two_hop(fact, first, "n", second, "r", "name", "other", "region").collect()}
+    assert got == {1: "ASIA", 2: "other", 3: "other", 4: "other"}
+
+
+def test_splits_are_read_in_order():
+    assert corpora.SPLITS == ["train.clean.100", "train.clean.360", "train.other.500"]
+    assert corpora.LICENSE == "CC-BY-4.0" and "Koizumi" in corpora.LIBRITTS and "Pratap" in corpora.MLS
+
+
 def test_registry():
     source = registry.register(registry.Source("one", "p", lambda s: None))
     try:

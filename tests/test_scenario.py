@@ -60,12 +60,12 @@ def test_rules(rows):
 def test_overrides(spark):
     c = config.load()
     picked = Sampler(spark, c, 1, event_weights={"nordo": 1.0}, operator_weights={"cargo": 1.0}, regions={"canada"}).rows(20).collect()
-    assert {r["scenario"]["event"] for r in picked} == {"nordo"} and {r["scenario"]["icao"] for r in picked} == {"CYYZ"}
+    assert {r["scenario"]["event"] for r in picked} == {"nordo"} and {r["scenario"]["icao"] for r in picked} <= {"CYYZ", "CYVR", "CYUL", "CYYC"}
     assert {a["operator_class"] for r in picked for a in r["scenario"]["aircraft"]} == {"cargo"}
     own = spark.createDataFrame([("KSFO", 1.0), ("KJFK", 1.0), ("EGLL", 9.0)], schemas.WEIGHT)
     assert {r["scenario"]["icao"] for r in Sampler(spark, c, 1, weights=own).rows(40).collect()} == {"KSFO", "KJFK"}
     with pytest.raises(ValueError):
-        Sampler(spark, c, 1, regions={"other"})
+        Sampler(spark, c, 1, regions={"atlantis"})
     assert Sampler(spark, c, 1, regions=[]).rows(3).count() == 3
 
 
@@ -76,8 +76,29 @@ def test_regions(spark):
     }
     got = {r["icao"]: r["region"] for r in dims.airports(spark).collect()}
     assert {k: got.get(k) for k in wanted} == wanted
-    odd = spark.createDataFrame([("XXXX", None), ("FJDG", "IO"), ("GCLP", "ES")], "icao string, country string")
-    assert [r[0] for r in odd.select(dims.region(F.col("icao"), F.col("country"))).collect()] == ["other", "other", "europe_west"]
+    odd = spark.createDataFrame([("XXXX", None), ("FJDG", "IO"), ("GCLP", "ES"), ("EGYP", "FK"), ("LFVP", "PM"), ("SCRM", "AQ"), ("SAWB", "AQ")], "icao string, country string")
+    known = {r["icao"]: r["region"] for r in dims.with_region(odd, dims.countries(spark)).collect()}
+    assert known == {"XXXX": "other", "FJDG": "other", "GCLP": "europe_west", "EGYP": "lat_am", "LFVP": "lat_am", "SCRM": "other", "SAWB": "other"}
+
+
+def test_countries(spark, tmp_path):
+    """How many countries each region has, and one or two of each."""
+    rows = {r["country"]: r["region"] for r in dims.countries(spark).collect()}
+    many = {"us": 7, "canada": 1, "uk": 2, "europe_west": 25, "europe_east": 21, "me": 24, "asia_east": 8, "asia_se": 18, "oceanic": 19, "lat_am": 50, "africa": 56}
+    assert len(rows) == sum(many.values()) == 231 and {r: sum(x == r for x in rows.values()) for r in many} == many
+    some = {
+        "PR": "us", "UM": "us", "CA": "canada", "IE": "uk", "AD": "europe_west", "GL": "europe_west", "XK": "europe_east", "RU": "europe_east", "AF": "me", "TR": "me", "HK": "asia_east", "MN": "asia_east",
+        "PK": "asia_se", "VN": "asia_se", "CK": "oceanic", "GU": "us", "FK": "lat_am", "PM": "lat_am", "GF": "lat_am", "EG": "africa", "RE": "africa", "ST": "africa", "SS": "africa",
+    }
+    assert {k: rows[k] for k in some} == some and not {"AQ", "IO", "SH"} & set(rows)
+    (tmp_path / "own.csv").write_text("country,region\nAQ,polar\n")
+    own = dims.countries(spark, (tmp_path / "own.csv").as_uri())
+    assert {r["icao"]: r["region"] for r in dims.airports(spark, regions=own).collect()}["SCRM"] == "polar"
+
+
+def test_towered(rows):
+    assert config.TOWERED == ["ground", "tower", "approach", "center"]
+    assert {r["scenario"]["phase"]: r["scenario"]["is_towered"] for r in rows} == {"ground": True, "tower": True, "approach": True, "center": True, "ramp": False}
 
 
 def test_aircraft_dimension(spark):
