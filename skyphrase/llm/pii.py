@@ -11,9 +11,12 @@ that they catch.  A token with a marginal
 of ``SURE`` or more for a kind, alone or with neighbours of that kind, becomes a span, with or without a twin; what is
 added to a text depends on that text and the model alone, not on the texts that share its slice.
 
-Weights are trained by pseudo-likelihood, in numpy, on the tokens of at most ``SAMPLE`` documents (those whose ids
-hash least), labelled by the base patterns; the skip potential is trained on the links to the token before, and held
-at ``SKIP_FLOOR`` or more.
+Weights are trained by pseudo-likelihood, in numpy, on tokens labelled by the base patterns: those of at most ``SAMPLE``
+documents (the ones whose ids hash least, in that order, as long as they have ``TOKENS`` tokens together; a document
+that goes beyond is left out).  An unlabelled token with a labelled twin is one whose label isn't known, and is left
+out of the loss.  The skip potential, one weight for labels that agree, is learned from twins whose labels are known:
+from those in the documents, and from one twin of each labelled span, written as the patterns don't catch it (other
+separators), which has the span's label.
 
 Base patterns are applied to whole texts in time linear in their length; matches that fail their check are dropped
 without a retry.  Offsets count code points.
@@ -32,14 +35,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import by_slice, col, shielded
+from .common import Scratch, by_slice, col, shielded
 from .textops import Words, code_points
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 5000
+TOKENS = 200_000
 SURE = 0.9
-SKIP_FLOOR = 6.0
 TOLERANCE = 1e-6
 PATIENCE = 200
 O = 4  # noqa: E741
@@ -129,6 +133,18 @@ def twin_keys(token: str) -> list[str]:
     return ["#" + digits] if len(digits) >= 7 else []
 
 
+def rewritten(kind: int, span: str) -> str:
+    """A span of personal data as the base patterns don't catch it."""
+    if KINDS[kind] == "email":
+        return span.rpartition("@")[0] + "@" + span.rpartition("@")[2].replace(".", "")
+    if KINDS[kind] == "ip":
+        return span.replace(".", "-")
+    digits = _digits(span)
+    if KINDS[kind] == "card":
+        return ".".join(digits[k : k + 4] for k in range(0, len(digits), 4))
+    return "-".join((digits[-10:-7], digits[-7:-4], digits[-4:])).strip("-")
+
+
 class Field:
     """The tokens of a slice of texts as one graph: features, labels of base spans, chain and skip edges."""
 
@@ -136,7 +152,7 @@ class Field:
         words = Words(text)
         has = np.concatenate([[0], np.cumsum(_TOKEN[words.buf])])
         self.base: dict[int, list] = {}
-        self.doc, self.begin, self.end, self.token, self.label = [], [], [], [], []
+        self.doc, self.begin, self.end, self.token, self.label, self.joins = [], [], [], [], [], []
         chain, skip, star = [], [], []
         mine = np.flatnonzero(has[words.end] > has[words.start]) if len(words.start) else np.zeros(0, np.int64)
         points = np.concatenate([[0], np.cumsum(code_points(words.buf))])
@@ -154,9 +170,10 @@ class Field:
             label = next((kind for x, y, kind in seek if x < b and a < y), O)
             token = words.buf[words.start[w] : words.end[w]].tobytes().decode(errors="replace")
             self.doc.append(d), self.begin.append(a), self.end.append(b), self.token.append(token), self.label.append(label)
+            self.joins.append(last_word == w - 1)  # with the token before it
             if last_word == w - 1:
                 chain.append((k - 1, k))
-            for key, parts in self._keys(k, chain):
+            for key, parts in self._keys(k):
                 before, longer = seen.get(key, (None, []))
                 if before is not None:
                     skip.append((before, k))
@@ -189,21 +206,50 @@ class Field:
                         out += [(known[0][0], k), *self._ahead(longer, parts)]
         return [(min(e), max(e)) for e in out]
 
-    def _keys(self, k: int, chain: list) -> list[tuple[str, list[int]]]:
-        """Keys of the token, and those of its digits after those of up to three adjoining tokens, by their last ten
-        and seven; each with the tokens it takes in, the last first."""
+    def _keys(self, k: int) -> list[tuple[str, list[int]]]:
+        """Keys of the token, and those of its digits after those of the tokens that adjoin it, by the last ten and seven
+        digits; each with the tokens it takes in, the last first."""
         out = [(key, [k]) for key in twin_keys(self.token[k])]
         if "@" in self.token[k]:
             return out
         joined, parts = _digits(self.token[k]), [k]
-        while len(joined) < 10 and len(parts) < 4:
-            at = parts[-1]
-            if not any(edge == (at - 1, at) for edge in chain[-4:]) or "@" in self.token[at - 1]:
-                break
-            parts.append(at - 1)
-            joined = _digits(self.token[at - 1]) + joined
+        while len(joined) < 10 and self.joins[parts[-1]] and "@" not in self.token[parts[-1] - 1]:
+            parts.append(parts[-1] - 1)
+            joined = _digits(self.token[parts[-1]]) + joined
         return out + [(f"{n}:{joined[-n:]}", parts) for n in (10, 7) if len(joined) >= n]
 
+    def examples(self, text: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By text with tokens: features as bits, labels (-1 where it isn't known), chain edges and twin edges.
+
+        Each labelled span has one more token, without neighbours: its rewritten twin.
+        """
+        bits = (self.x @ (1 << np.arange(_FEATURES))).astype(np.int64)
+        label = self.y.copy()
+        twins = np.concatenate([self.skip, self.star])
+        for x, y in ((0, 1), (1, 0)):
+            at = twins[(self.y[twins[:, x]] != O) & (self.y[twins[:, y]] == O)]
+            label[at[:, y]] = -1
+        border = np.searchsorted(np.array(self.doc, dtype=np.int64), np.arange(len(text) + 1))
+        out = []
+        for d, spans in sorted(self.base.items()):
+            a, b = int(border[d]), int(border[d + 1])
+            cut = lambda edges: edges[slice(*np.searchsorted(edges[:, 0], [a, b]))] - a  # noqa: E731,B023
+            more, kinds, edges = [], [], []
+            whole = text[d].as_py()
+            last = {}  # the last token of each span
+            for k in range(a, b):
+                for at, (kind, x, y) in enumerate(spans):
+                    if x < self.end[k] and self.begin[k] < y and kind == self.y[k]:
+                        last[at] = k - a
+            for at, k in sorted(last.items()):
+                kind, x, y = spans[at]
+                edges.append((k, b - a + len(more)))
+                more.append(sum(1 << f for f in token_features(rewritten(kind, whole[x:y]))))
+                kinds.append(kind)
+            skip = np.concatenate([cut(self.skip), np.array(edges, dtype=np.int64).reshape(-1, 2)])
+            out.append((d, np.concatenate([bits[a:b], np.array(more, dtype=np.int64)]), np.concatenate([label[a:b], np.array(kinds, dtype=np.int64)]), cut(self.chain), skip))
+        return out
+
 
 class Model:
     def __init__(self):
@@ -213,28 +259,30 @@ class Model:
         self.trained = False
 
     def train(self, x: np.ndarray, y: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = 300) -> Model:
-        """Pseudo-likelihood: each token's label given its features and its neighbours' labels; plain gradient steps."""
-        if not len(y) or (y == O).all():
+        """Pseudo-likelihood: each token's label given its features and its neighbours' labels; plain gradient steps.
+        A label of -1 isn't known: it is neither learned nor learned from."""
+        known = y >= 0
+        if not known.any() or (y[known] == O).all():
             return self
-        one = np.eye(5)
+        one = np.concatenate([np.eye(5), np.zeros((1, 5))])
         sides = np.zeros((3, len(y), 5))  # labels to the left, to the right, across skip edges
         np.add.at(sides[0], chain[:, 1], one[y[chain[:, 0]]])
         np.add.at(sides[1], chain[:, 0], one[y[chain[:, 1]]])
         np.add.at(sides[2], skip[:, 1], one[y[skip[:, 0]]])
         np.add.at(sides[2], skip[:, 0], one[y[skip[:, 1]]])
-        bonus = np.zeros(5)
+        bonus = 0.0  # one for all labels: twins agree, whatever they are, and a crowd of twins favours no kind of its own
+        linked = known & (sides[2].sum(axis=1) > 0)
         for _ in range(rounds):
             z = x @ self.node + sides[0] @ self.chain + sides[1] @ self.chain.T + sides[2] * bonus
             z -= z.max(axis=1, keepdims=True)
             p = np.exp(z)
             p /= p.sum(axis=1, keepdims=True)
-            e = (p - one[y]) / len(y)
+            e = (p - one[y]) * known[:, None] / known.sum()
             self.node -= 4.0 * (x.T @ e + 1e-4 * self.node)
             self.chain -= 4.0 * (sides[0].T @ e + e.T @ sides[1] + 1e-4 * self.chain)
-            bonus -= 4.0 * ((sides[2] * e).sum(axis=0) + 1e-4 * bonus)
-        bonus = np.maximum(bonus, SKIP_FLOOR)
-        bonus[O] = 0.0  # a token that isn't personal data says little about its twins
-        self.skip = np.diag(bonus)
+            if linked.any():
+                bonus -= 4.0 * (float((sides[2] * (p - one[y]))[linked].sum()) / linked.sum() + 1e-4 * bonus)
+        self.skip = np.eye(5) * bonus
         self.trained = True
         return self
 
@@ -243,7 +291,7 @@ class Model:
         unary = field.x @ self.node
         unary -= unary.max(axis=1, keepdims=True)
         known = field.y != O
-        unary[known] = -30.0
+        unary[known] = -1e9  # beyond what any crowd of twins sends
         unary[known, field.y[known]] = 0.0
         edges = np.concatenate([field.chain, field.skip, field.star])
         belief = unary.copy()
@@ -324,28 +372,39 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trains on the tokens of at most ``sample`` documents; only token features and edges are collected."""
+def fit(docs: DataFrame, sample: int = SAMPLE, tokens: int = TOKENS) -> Model:
+    """Trains on the tokens of at most ``sample`` documents and ``tokens`` tokens; only features and edges are collected."""
     chosen = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    parts = ["x", "y", "chain", "skip"]
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch | None:
-        field = Field(col(part, "text"), part.num_rows)
-        if not len(field.y):
+        text = col(part, "text")
+        own = Field(text, part.num_rows).examples(text)
+        if not own:
             return None
-        bits = (field.x @ (1 << np.arange(_FEATURES))).astype(np.int64)
-        first = lambda e, k: pa.array([e[:, k].tolist()], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array([bits.tolist()], pa.list_(pa.int64())), pa.array([field.y.tolist()], pa.list_(pa.int64())), first(field.chain, 0), first(field.chain, 1), first(field.skip, 0), first(field.skip, 1)], names=["x", "y", "ca", "cb", "sa", "sb"])
+        raw = [[np.ascontiguousarray(r[k + 1], dtype="<i4").tobytes() for r in own] for k in range(4)]
+        return pa.RecordBatch.from_arrays(
+            [col(part, "doc_id").take(pa.array([r[0] for r in own])), pa.array([len(r[1]) for r in own], pa.int64()), *[pa.array(x, pa.binary()) for x in raw]], names=["doc_id", "n", *parts]
+        )
 
-    # the chosen ids are bounded by the sample, and so is their broadcast
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(by_slice(work), "x array<long>, y array<long>, ca array<long>, cb array<long>, sa array<long>, sb array<long>").collect()
-    rows.sort(key=lambda r: (r["x"], r["y"]))
+    # the chosen ids are bounded by the sample, and so is their broadcast; equal rows count once
+    scratch = Scratch(docs.sparkSession)
+    rows = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(by_slice(work), "doc_id long, n long, " + ", ".join(f"{c} binary" for c in parts))
+    rows = scratch.write(rows.where(F.col("n") <= tokens).distinct())
+    order = [F.xxhash64("doc_id"), "doc_id", "n", F.xxhash64(*parts)]
+    near = rows.select("doc_id", "n", F.xxhash64(*parts).alias("key")).orderBy(*order).limit(sample)
+    fits = near.withColumn("total", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "n", "key").rowsBetween(Window.unboundedPreceding, 0))).where(F.col("total") <= tokens)
+    held = rows.withColumn("key", F.xxhash64(*parts)).join(F.broadcast(fits.select("doc_id", "key")), ["doc_id", "key"])
+    got = held.orderBy(F.xxhash64("doc_id"), "doc_id", "n", "key").select(*parts).collect()
+    scratch.drop(rows)
     x, y, chain, skip, base = [], [], [], [], 0
-    for r in rows:
-        x.append((np.array(r["x"], dtype=np.int64)[:, None] >> np.arange(_FEATURES)) & 1)
-        y.append(np.array(r["y"], dtype=np.int64))
-        chain.append(np.array([r["ca"], r["cb"]], dtype=np.int64).T.reshape(-1, 2) + base)
-        skip.append(np.array([r["sa"], r["sb"]], dtype=np.int64).T.reshape(-1, 2) + base)
-        base += len(r["y"])
+    for r in got:
+        flat = [np.frombuffer(bytes(r[c]), dtype="<i4").astype(np.int64) for c in parts]
+        x.append((flat[0][:, None] >> np.arange(_FEATURES)) & 1)
+        y.append(flat[1])
+        chain.append(flat[2].reshape(-1, 2) + base)
+        skip.append(flat[3].reshape(-1, 2) + base)
+        base += len(flat[1])
     if not base:
         return Model()
     return Model().train(np.concatenate(x).astype(float), np.concatenate(y), np.concatenate(chain), np.concatenate(skip))
