@@ -6,10 +6,12 @@ read by their characters.  Windows of ``WINDOW`` words, ``STRIDE``
 apart, the last one flush with the end, cover every whole text; the network reads each window in both directions,
 attention pools its states, and a document's score is the highest of its windows.
 
-Training sees labelled rows outside the held-out fifth only, at most ``PER_CLASS`` of each label, those with the
-least hashes, and of each at most ``WINDOWS`` windows, spread evenly; what is collected is bounded by these three
-parameters.  Each round learns from the window that scores highest in its document, for either label, so that scores
-are calibrated as maxima.  The result is the same at each run over the same rows.  Scores depend on the text alone.
+Training sees labelled rows outside the held-out fifth only: of each label at most ``PER_CLASS`` texts, those with the
+least hashes, as long as they have ``TRAIN_BYTES`` bytes together (a text that goes beyond is left out).  All windows of
+these texts are read.  Each round learns from the window that scores highest in its document, for either label, so that
+scores are calibrated as maxima; a window's part in the gradient stops growing where the network denies its label
+strongly (``DENIED``), so that a few wrong labels don't lead.  The result is the same at each run over the same rows.
+Scores depend on the text alone.
 
 Edge cases: null and empty texts have one empty window and get the score of the bias; labels that are null or given
 twice with different values don't train; rows pass one to one, so repeated rows are scored alike; a null doc_id isn't
@@ -22,14 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import by_slice, col
+from .common import Scratch, by_slice, col
 from .textops import FOLDED_CODE, U64, Words, mix
 
 WINDOW = 48
 STRIDE = 32
-PER_CLASS = 2000
-WINDOWS = 12
+PER_CLASS = 1500
+TRAIN_BYTES = 8 << 20
 HIDDEN = 8
 DIM = 8
 KNOWN_IN = 10
@@ -37,7 +40,7 @@ GRAMS = 1 << 16
 EPOCHS = 8
 STEPS = 300
 DECAY = 0.5
-TRIM = 0.8
+DENIED = 0.8
 BATCH = 128
 SEED = 5
 
@@ -241,8 +244,6 @@ def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed
         best = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         if epoch < 2:  # and another one, while scores are coarse
             best = np.concatenate([best, rng.choice(len(owner), len(best), replace=False)]) if len(owner) > len(best) else best
-        if epoch >= total // 2:  # by now a label that the network strongly denies is taken for a mistake
-            best = best[np.abs(rank[best] - labels[owner[best]]) < TRIM]
         best = rng.permutation(best)
         for k in range(0, len(best), BATCH):
             own = best[k : k + BATCH]
@@ -251,7 +252,11 @@ def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed
             at = np.minimum(words.first[own] + np.arange(steps)[:, None], max(len(lex.id) - 1, 0))
             used, ids = np.unique(lex.id[at], return_inverse=True)
             y = labels[owner[own]].astype(np.float32)
-            g = net.step(_Some(lex, used), ids.reshape(at.shape), mask, y, (balance[owner[own]] / len(own)).astype(np.float32))
+            weight = balance[owner[own]] / len(own)
+            if epoch >= total // 2:
+                miss = np.abs(rank[own] - y)
+                weight = weight * np.where(miss > DENIED, np.maximum(1 - miss, 0.02) / (1 - DENIED) * 0.5, 1.0)
+            g = net.step(_Some(lex, used), ids.reshape(at.shape), mask, y, weight.astype(np.float32))
             rounds += 1
             rate = 0.01 * min(1.0, rounds / 10) * (1 - epoch / total)
             for name, grad in g.items():
@@ -280,30 +285,37 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_windows: int = WINDOWS) -> Network:
+def windows_of(texts: list[str]) -> list[list[str]]:
+    """All windows of each text, as strings; an empty text has an empty one."""
+    words = Words(pa.array(texts, pa.string()))
+    doc, inner = windows(words.count)
+    out: list[list[str]] = [[] for _ in texts]
+    for d, k in zip(doc.tolist(), inner.tolist(), strict=True):
+        a = words.first[d] + k
+        b = min(a + WINDOW, words.first[d + 1])
+        out[d].append(words.buf[words.start[a] : words.end[b - 1]].tobytes().decode(errors="replace") if b > a else "")
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_bytes: int = TRAIN_BYTES) -> Network:
     """Trains on a bounded sample of the labelled rows outside the held-out fifth."""
     known = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
     pick = lambda k: known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     chosen = pick(0).unionByName(pick(1)).select("doc_id", "toxic")
-
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(col(part, "text"))
-        doc, inner = windows(words.count)
-        own: list[list[str]] = [[] for _ in range(part.num_rows)]
-        for d in range(part.num_rows):
-            at = np.flatnonzero(doc == d)
-            for w in at[np.unique(np.linspace(0, len(at) - 1, min(len(at), most_windows)).astype(int))]:
-                a = words.first[d] + inner[w]
-                b = min(a + WINDOW, words.first[d + 1])
-                own[d].append(words.buf[words.start[a] : words.end[b - 1]].tobytes().decode(errors="replace") if b > a else "")
-        return pa.RecordBatch.from_arrays([col(part, "doc_id"), col(part, "toxic"), pa.array(own, pa.list_(pa.string()))], names=["doc_id", "toxic", "windows"])
-
-    # at most 2 * per_class rows of 12 bytes are broadcast, so texts aren't shuffled
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(by_slice(work), "doc_id long, toxic int, windows array<string>").collect()
-    rows = sorted({(r["doc_id"], r["toxic"], tuple(r["windows"])) for r in got})
-    return train([list(w) for _, _, w in rows], np.array([t for _, t, _ in rows]))
+    # at most 2 * per_class rows of 12 bytes are broadcast, so texts aren't shuffled; equal rows count once
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.write(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", F.xxhash64("text").alias("key"), F.octet_length("text").alias("n"), "text").where(F.col("n") <= train_bytes))
+    got = []
+    for k in (0, 1):
+        near = rows.where(F.col("toxic") == k).select(F.xxhash64("doc_id").alias("rank"), "doc_id", "key", "n").distinct().orderBy("rank", "doc_id", "key").limit(per_class)
+        total = F.sum("n").over(Window.orderBy("rank", "doc_id", "key").rowsBetween(Window.unboundedPreceding, 0))
+        fits = near.withColumn("total", total).where(F.col("total") <= train_bytes).select("doc_id", "key")
+        got += rows.join(F.broadcast(fits), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "toxic", "text").collect()
+    scratch.drop(rows)
+    got.sort(key=lambda r: (r["doc_id"], r["key"]))
+    return train(windows_of([r["text"] for r in got]), np.array([r["toxic"] for r in got]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
