@@ -23,10 +23,11 @@ BROADCAST_ROWS = 1 << 20
 
 
 def sized(df: DataFrame, most: int | None = None) -> DataFrame:
-    """``df``, a written table of narrow rows, with the hint to broadcast it if it has at most ``most`` rows."""
+    """``df``, a written table of narrow rows: broadcast if it has at most ``most`` rows, or else joined by sorting, so that
+    no estimate from the size of compressed files leads to a larger broadcast."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df.hint("merge")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -7,8 +7,8 @@ their host, the more the fewer documents they have.  A document's posterior adds
 posterior, without the document itself, says beyond the global mean, weighted by ``SITE_WEIGHT``.
 
 Documents have no address here, so the host is ``source`` and the path ``lang`` within it; both are parameters.
-Statistics of sites meet documents in an equi-join: Spark broadcasts them only below its size threshold, and splits
-hot hosts on the side of the documents otherwise.
+Statistics of sites are written and meet documents in an equi-join: up to ``common.BROADCAST_ROWS`` sites are broadcast,
+and the documents stay in place; more meet them in a shuffle by host and path, with hot sites split by Spark.
 
 Edge cases: null or empty texts have all-zero statistics and are judged like other very short texts; null hosts or
 paths are a site of their own; repeated rows count as often as they stand; labels that occur more than once count by
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_stats
-from .common import Scratch, by_slice, col, shielded
+from .common import Scratch, by_slice, col, shielded, sized
 from .textops import IS_SPACE, Words
 
 SAMPLE = 20_000
@@ -86,11 +86,12 @@ def fit(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         rows = features(col(part, "text"))
-        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.float64())), col(part, "quality")], names=["x", "quality"])
+        return pa.RecordBatch.from_arrays([col(part, "doc_id"), pa.array(list(rows), pa.list_(pa.float64())), col(part, "quality")], names=["doc_id", "x", "quality"])
 
     # the sample is bounded (16 bytes a row), so that broadcasting it is too, and texts aren't shuffled
-    got = texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))
-    rows = got.mapInArrow(by_slice(work), "x array<double>, quality int").collect()
+    got = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("quality"))
+    # equal rows count once, and however many rows bear a doc_id, no more than the sample are collected
+    rows = got.mapInArrow(by_slice(work), "doc_id long, x array<double>, quality int").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample).collect()
     if not rows:
         return np.zeros(FEATURES + 1)
     order = sorted((tuple(r["x"]), r["quality"]) for r in rows)
@@ -143,7 +144,7 @@ def judged(scored: DataFrame, scratch: Scratch, sites_of: DataFrame) -> DataFram
     p = F.expr("1 / (1 + exp(-_logit))")
     sites, mean, kappa = posteriors(sites_of.select(F.col("_host").alias("host"), F.col("_path").alias("path"), p.alias("p")), scratch)
     sites = sites.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("host_mean").alias("_host_mean"), F.col("path_n").alias("_n"), F.col("path_sum").alias("_s"))
-    out = scored.join(sites, F.expr("_host <=> _h and _path <=> _p"), "left").withColumn("_doc_score", p)
+    out = scored.join(sized(sites), F.expr("_host <=> _h and _path <=> _p"), "left").withColumn("_doc_score", p)
     # the path's posterior without the document itself
     path_mean = F.expr(f"(_s - _doc_score + {kappa!r}D * _host_mean) / (_n - 1 + {kappa!r}D)")
     out = out.withColumn("_path_mean", F.least(F.greatest(path_mean, F.lit(1e-6)), F.lit(1 - 1e-6)))

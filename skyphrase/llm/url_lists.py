@@ -7,8 +7,8 @@ as-of join.  A capture is looked up under every suffix of its host and every pat
 equi-join with a condition on the date; at most one interval of a pattern and category can hold it.
 
 Scale: captures of the same host and path on the same day are looked up once, so that a hot host shrinks before the
-join.  Intervals and verdicts are written before they are joined, so that both sides of each join are plain shuffles:
-Spark may split the captures of a hot host or path, and broadcasts the written side only below its own size threshold.
+join.  Intervals and verdicts are written before they are joined: up to ``SMALL`` rows of them are broadcast; beyond that
+both sides of the join are plain shuffles, so that Spark may split the captures of a hot host or path.
 No page text is read.  A pattern's history has a row a day at most before it is sorted.
 
 Edge cases: a capture without a URL, host or date matches nothing and isn't blocked; entries without a pattern or
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, shielded
+from .common import Scratch, shielded, sized
 
+SMALL = 10_000
 VERDICT = ["host", "n_entries", "categories", "pattern", "blocked"]
 
 
@@ -58,14 +59,14 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     parts = F.split("_path", "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.concat("host", F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/")))
     keys = places.withColumn("key", F.explode(F.array_distinct(F.when(F.col("_path") == "", suffixes).otherwise(F.concat(suffixes, prefixes)))))
-    known = scratch.write(intervals(entries))
+    known = sized(scratch.write(intervals(entries)), SMALL)
     hits = keys.join(known, (keys.key == known.pattern) & (keys._day >= known.valid_from) & (keys._day < known.valid_to))
     verdicts = scratch.write(hits.groupBy(F.col("host").alias("_host"), F.col("_path").alias("_p"), F.col("_day").alias("_d")).agg(
         F.count("*").alias("n_entries"),
         F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"),
         F.max(F.struct(F.length("pattern").alias("n"), F.col("pattern"))).alias("best"),
     ))
-    out = rows.join(verdicts, (rows.host == verdicts._host) & (rows._path == verdicts._p) & (rows._day == verdicts._d), "left")
+    out = rows.join(sized(verdicts, SMALL), (rows.host == verdicts._host) & (rows._path == verdicts._p) & (rows._day == verdicts._d), "left")
     out = out.select(
         *columns, "host", F.coalesce("n_entries", F.lit(0)).alias("n_entries"), F.coalesce("categories", F.lit("")).alias("categories"),
         F.col("best.pattern").alias("pattern"), F.col("n_entries").isNotNull().alias("blocked"),

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 
@@ -109,6 +110,43 @@ def test_site_posteriors_by_brute_force(spark):
     assert left.columns == df.columns and {r["doc_id"] for r in left.collect() if r["doc_id"] is not None} == {k for k, v in verdict.items() if v and k is not None}
 
 
+def plain_features(text):
+    """The ten statistics of a text, one after the other."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, size = max(len(words), 1), max(len(text.encode()), 1)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+    inside = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(8)}
+    share = lambda chars: sum(text.count(c) for c in chars) / size
+    return [
+        min(math.log1p(len(words)), 5) / 5, len(inside) / n, (len(lines) - len(set(lines))) / max(len(lines), 1), min(sum(text.count(c) for c in "#*$%&|<>") / n, 2),
+        10 * share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 10 * share("!?;:=~^_{}[]()\\/\"'"), 10 * share("0123456789"), min(sum(map(len, words)) / n, 20) / 10,
+        len(set(words)) / n if len(words) >= 20 else 0.7, 5 * share(" \t\n\v\f\r"),
+    ]
+
+
+def test_classifier_against_plain_versions(spark):
+    """Features in plain Python; weights where the penalised log loss has no slope; each document's own probability."""
+    good, bad = corpus(5)
+    rows = good + bad + [(9000, "Ünï çödé " * 30), (9001, ""), (9002, "a b\na b\n a b")]
+    x = np.array([plain_features(t) for _, t in rows])
+    assert np.allclose(site_quality.features(pa.array([t for _, t in rows])), x, atol=1e-9)
+    known = {k: 1 for k, _ in good[:40]} | {k: 0 for k, _ in bad[:10]}
+    labels = spark.createDataFrame([(k, q, 0) for k, q in known.items()], "doc_id long, quality int, toxic int")
+    at = np.array([k for k, (d, _) in enumerate(rows) if d in known])
+    y = np.array([known[rows[k][0]] for k in at])
+    w = site_quality.fit(documents(spark, rows).select("doc_id", "text"), labels)
+    z = np.column_stack([x[at], np.ones(len(at))])
+    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()) * len(y)
+    slope = z.T @ (weight * (1 / (1 + np.exp(-z @ w)) - y)) + np.r_[np.ones(10), 1e-6] * w
+    assert np.abs(slope).max() < 1e-3
+    again = site_quality.fit(documents(spark, rows + rows[:5]).select("doc_id", "text").repartition(5), labels)
+    assert np.allclose(w, again, atol=1e-9)  # repeated rows count once
+    out = {r["doc_id"]: r["doc_score"] for r in site_quality.site_quality(documents(spark, rows), labels).collect()}
+    for k, (d, _) in enumerate(rows):
+        assert abs(out[d] - 1 / (1 + math.exp(-max(-12, min(12, float(x[k] @ w[:-1] + w[-1])))))) < 1e-9
+
+
 def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert site_quality.site_quality(documents(spark, []), none).count() == 0
