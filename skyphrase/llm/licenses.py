@@ -1,14 +1,18 @@
 """Licence scans by a positional rare-token index, in DataFrame expressions only.
 
-Each template's ``RARE`` words of highest inverse document frequency over the templates (function words rank last)
-are posted with their positions.  A file's words are matched against the postings; a posting at template position p
-that meets file position i proposes that the template begins at i - p.  An alignment at which at least ``VOTES`` of
-the template's rare words stand at their relative positions is intersected with the whole template: its score is the
-share of template words in place.  It counts if that is ``COVER`` or more and the template's mandatory phrase stands
-within the aligned words, ``SLACK`` to either side.
-
-All is computed within the row: one scan, no shuffle, nothing broadcast but literals of a few kilobytes.  Files that
-hold no word of the index and neither ``license`` nor ``cc`` skip the search after one hash lookup per word.
+Templates are whole licence texts and notices (``license_texts.py``).  A word's inverse document frequency is that over
+the templates.  The index posts, with template and position, every word of highest IDF: those in at most ``RARE`` templates,
+and of a template that has fewer than ``LEAST`` such words its rarest.  A file's own words of the index are looked up,
+all of them; a posting at template position p that meets file position i proposes that the template begins at i - p.
+Proposals are sorted and counted: an alignment with ``VOTES`` words at their relative positions is intersected with the
+whole template.  Words count as in place where they stand as that alignment has them, or one of the same template up to
+``DRIFT`` words beside it, so that an insertion doesn't part a text.  The share of template words in place is the
+score; it counts if it is ``COVER`` or more and the template's mandatory phrase stands within the aligned words, ``SLACK``
+to either side.
+
+All is computed within the row: one scan, no shuffle, nothing broadcast but literals of some 30 kilobytes.  Files that
+hold no word of the index and none of the base skip the search after one hash lookup per word.  The work on a file grows
+with its words and, by a sort, its proposals; alignments are compared with their neighbours only.
 
 Edge cases: null text counts as empty: no words, no places, null first and last word, empty labels, score 0; rows
 pass one to one, so repeated rows and null doc_ids stay; texts are scanned whole; other columns are ignored.
@@ -16,73 +20,56 @@ pass one to one, so repeated rows and null doc_ids stay; texts are scanned whole
 
 from __future__ import annotations
 
-import math
+import json
+import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_texts import TEXTS
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-RARE = 4
+RARE = 3
+LEAST = 4
 VOTES = 2
 COVER = 0.6
-SLACK = 3
+DRIFT = 8
+SLACK = 8
+# an alignment as one number: the template above, the place where it begins below, moved so that it isn't negative
+_SHIFT, _ZERO = 40, 1 << 20
 
 # The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Characteristic passages of public licences: label, words, mandatory phrase.
-TEMPLATES = [
-    ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero general public license"),
-    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache license version 2 0"),
-    ("apache", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    ("boost", "person or organization obtaining a copy of the software and accompanying documentation covered by this license", "documentation covered by this license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "source and binary forms"),
-    ("bsd-3", "nor the names of its contributors may be used to endorse or promote products derived from this software", "endorse or promote products"),
-    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "waived all copyright"),
-    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license"),
-    ("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
-    ("mit", "released under the mit license", "mit license"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
-    ("zlib", "in no event will the authors be held liable for any damages arising from the use of this software", "held liable for any damages arising"),
-]
-# Words too common in prose to be looked up while a template has others.
-COMMON = set("a all and any are as at be been by for form from has in into is it its may nor not of or other that the this to under use used with without will work you".split())
-
-
-def rare_words() -> list[list[tuple[str, int]]]:
-    """Of each template, its words of highest IDF with their positions."""
-    seen: dict[str, int] = {}
-    for _, text, _ in TEMPLATES:
-        for w in set(text.split()):
-            seen[w] = seen.get(w, 0) + 1
-    out = []
-    for _, text, _ in TEMPLATES:
-        words = text.split()
-        first = {w: k for k, w in reversed(list(enumerate(words)))}
-        rank = sorted(first, key=lambda w: (w in COMMON, -math.log(len(TEMPLATES) / seen[w]), first[w]))
-        out.append(sorted((w, first[w]) for w in rank[:RARE]))
+#: (label, words, words of the mandatory phrase)
+TEMPLATES = [(label, re.findall(WORD, text.lower()), phrase.split()) for label, phrase, text in TEXTS]
+
+
+def index() -> dict[str, list[tuple[int, int]]]:
+    """The postings (template, position) of the words of highest IDF."""
+    held = Counter(w for _, words, _ in TEMPLATES for w in set(words))
+    rare = {w for w, n in held.items() if n <= RARE}
+    for _, words, _ in TEMPLATES:
+        if len(rare & set(words)) < LEAST:
+            rare |= set(sorted(set(words), key=lambda w: (held[w], words.index(w)))[:LEAST])
+    out: dict[str, list[tuple[int, int]]] = {w: [] for w in sorted(rare)}
+    for t, (_, words, _) in enumerate(TEMPLATES):
+        for p, w in enumerate(words):
+            if w in out:
+                out[w].append((t, p))
     return out
 
 
-RARE_WORDS = rare_words()
-
-
-def _at(words: Column, k: Column) -> Column:
-    return F.get(words, k)
+INDEX = index()
 
 
 def _phrase_at(words: Column, i: Column, phrase: str) -> Column:
     parts = phrase.split()
-    out = _at(words, i) == parts[0]
+    out = F.get(words, i) == parts[0]
     for k, w in enumerate(parts[1:], 1):
-        out = out & (_at(words, i + k) == w)
+        out = out & (F.get(words, i + k) == w)
     return F.coalesce(out, F.lit(False))
 
 
@@ -92,80 +79,98 @@ def _positions(words: Column, some: list[str]) -> Column:
     return F.filter(marked, lambda i: i.isNotNull())
 
 
-def _template_scores(words: Column, spots: Column, k: int) -> Column:
-    """Scores of the alignments of template k that hold; ``spots`` are positions of words of the index."""
-    label, text, phrase = TEMPLATES[k]
-    own = text.split()
-    # a spot's word tells which posting it is; where a posting has the word, the template would begin at i - p
-    def proposed(w: str, p: int) -> Column:
-        return F.transform(F.filter(spots, lambda i: _at(words, i) == w), lambda i: i - F.lit(p))
+def _alignments(words: Column, spots: Column) -> Column:
+    """Alignments, ascending, that VOTES or more words of the index propose."""
+    posted = json.dumps({w: [(t << _SHIFT) + _ZERO - p for t, p in found] for w, found in INDEX.items()})
+    postings = F.from_json(F.lit(posted), "map<string,array<bigint>>")
+    proposed = F.flatten(F.transform(spots, lambda i: F.transform(postings[F.get(words, i)], lambda x: x + i)))
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(-1).cast("bigint").alias("last"), F.lit(0).alias("n"), none.alias("out"))
+
+    def count(seen: Column, x: Column) -> Column:
+        n = F.when(seen["last"] == x, seen["n"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), n.alias("n"), F.when(n == VOTES, F.concat(seen["out"], F.array(x))).otherwise(seen["out"]).alias("out"))
 
-    begins = F.flatten(F.array(*[proposed(w, p) for w, p in RARE_WORDS[k]]))
+    return F.aggregate(F.sort_array(proposed), start, count, lambda seen: seen["out"])
 
-    def in_place(b: Column, places: list[tuple[int, str]]) -> Column:
-        """How many of the places hold their word if the template begins at b; positions outside the text hold none."""
-        pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(w).alias("w")) for p, w in places])
-        return F.size(F.filter(pairs, lambda x: F.coalesce(_at(words, b + x["p"]) == x["w"], F.lit(False))))
 
-    voted = F.filter(F.array_distinct(begins), lambda b: in_place(b, [(p, w) for w, p in RARE_WORDS[k]]) >= VOTES)
-    size = len(phrase.split())
-    window = lambda b: F.sequence(F.greatest(b - SLACK, F.lit(0)), F.greatest(b, F.lit(0)) + (len(own) + SLACK - size))
-    confirmed = F.filter(voted, lambda b: F.exists(window(b), lambda i: _phrase_at(words, i, phrase)))
-    shares = F.transform(confirmed, lambda b: in_place(b, list(enumerate(own))) / F.lit(float(len(own))))
-    return F.filter(shares, lambda s: s >= COVER)
+def _scores(words: Column, found: Column) -> Column:
+    """Structs (t, s) of the alignments that hold: template and share of its words in place."""
+    texts = F.array(*[F.lit(" ".join(own)) for _, own, _ in TEMPLATES])
+    phrases = F.array(*[F.lit(" ".join(phrase)) for _, _, phrase in TEMPLATES])
+    template = lambda x: F.shiftright(x, _SHIFT).cast("int")
+    begin = lambda x: (x.bitwiseAND(F.lit((1 << _SHIFT) - 1)) - _ZERO).cast("int")
+
+    def score(x: Column, k: Column) -> Column:
+        # alignments differ, so no more than DRIFT on either side are near enough
+        beside = F.slice(found, F.greatest(k + 1 - DRIFT, F.lit(1)), F.lit(2 * DRIFT + 1))
+        near = F.transform(F.filter(beside, lambda y: F.abs(y - x) <= DRIFT), begin)
+        own = F.split(F.get(texts, template(x)), " ")
+        placed = F.filter(F.transform(own, lambda w, p: F.exists(near, lambda b: F.coalesce(F.get(words, b + p) == w, F.lit(False)))), lambda held: held)
+        return F.struct(template(x).alias("t"), (F.size(placed) / F.size(own)).alias("s"))
+
+    def confirmed(x: Column) -> Column:
+        phrase = F.split(F.get(phrases, template(x)), " ")
+        size = F.size(F.split(F.get(texts, template(x)), " "))
+        starts = F.sequence(F.greatest(begin(x) - SLACK, F.lit(0)), F.greatest(begin(x), F.lit(0)) + size + SLACK - F.size(phrase))
+        return F.exists(starts, lambda i: F.slice(words, i + 1, F.size(phrase)) == phrase)
+
+    # the phrase is looked for only where the share counts
+    kept = F.transform(found, lambda x, k: F.struct(x.alias("x"), score(x, k).alias("r")))
+    return F.transform(F.filter(kept, lambda r: (r["r"]["s"] >= COVER) & confirmed(r["x"])), lambda r: r["r"])
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)).alias("words"))
-    words = F.col("words")
-    index = sorted({w for rare in RARE_WORDS for w, _ in rare} | {"license", "cc"})
-    none = F.array().cast("array<int>")
-    maybe = F.arrays_overlap(words, F.array(*[F.lit(w) for w in index]))
-    lead = sorted({p.split()[0] for p in BASE} | set(index))
+    words, spots = F.col("words"), F.col("spots")
+    leads = sorted({p.split()[0] for p in BASE})
+    maybe = F.arrays_overlap(words, F.array(*[F.lit(w) for w in sorted({*INDEX, *leads})]))
     found = found.select("doc_id", F.size(words).cast("long").alias("n_words"), F.when(maybe, words).alias("words"))
-    found = found.withColumn("spots", F.when(words.isNotNull(), _positions(words, lead)).otherwise(none))
-    spots = F.col("spots")
+    found = found.select("doc_id", "n_words", "words", F.when(words.isNotNull(), _positions(words, list(INDEX))).alias("spots"), F.when(words.isNotNull(), _positions(words, leads)).alias("leads"))
 
     def holds(phrase: str) -> Column:
-        return F.filter(spots, lambda i: _phrase_at(words, i, phrase))
+        return F.filter(F.col("leads"), lambda i: _phrase_at(words, i, phrase))
 
     places = [holds(p) for p in BASE]
-    shares = [_template_scores(words, spots, k) for k in range(len(TEMPLATES))]
-    found = found.select("doc_id", "n_words", F.when(F.size(spots) > 0, F.array(*places)).alias("places"), F.when(F.size(spots) > 0, F.array(*[F.coalesce(F.array_max(s), F.lit(0.0)) for s in shares])).alias("scores"))
+    found = found.select(
+        "doc_id", "n_words", "words", F.when(F.size("leads") > 0, F.array(*places)).alias("places"), F.when(F.size(spots) >= VOTES, _alignments(words, spots)).alias("found")
+    )
+    found = found.select("doc_id", "n_words", "places", F.when(F.size("found") > 0, _scores(words, F.col("found"))).alias("scores"))
     starts = F.flatten("places")
-    base = [F.when(F.size(F.col("places")[k]) > 0, F.lit(label)) for k, label in enumerate(BASE.values())]
-    more = [F.when(F.col("scores")[k] > 0, F.lit(label)) for k, (label, _, _) in enumerate(TEMPLATES)]
-    joined = lambda parts: F.array_join(F.array_sort(F.array_distinct(F.filter(F.array(*parts), lambda x: x.isNotNull()))), ",")
+    base = F.array(*[F.when(F.size(F.get("places", F.lit(k))) > 0, F.lit(label)) for k, label in enumerate(BASE.values())])
+    names = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
+    more = F.coalesce(F.transform("scores", lambda r: F.get(names, r["t"])), F.array().cast("array<string>"))
+    joined = lambda parts: F.array_join(F.array_sort(F.array_distinct(F.filter(parts, lambda x: x.isNotNull()))), ",")
     return found.select(
         "doc_id", "n_words", F.when(F.col("places").isNull(), F.lit(0)).otherwise(F.size(starts)).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
-        joined(base).alias("base_labels"), joined(base + more).alias("labels"), F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("score"),
+        joined(base).alias("base_labels"), joined(F.concat(base, more)).alias("labels"), F.coalesce(F.array_max(F.transform("scores", lambda r: r["s"])), F.lit(0.0)).alias("score"),
     )
 
 
 def oracle() -> str:
     """The same scan as joins over words with positions, in DuckDB SQL."""
     rows = lambda items: ", ".join(items)
-    tokens = rows(f"({k}, '{label}', {p}, '{w}', {str((w, p) in RARE_WORDS[k]).lower()}, {len(text.split())})" for k, (label, text, _) in enumerate(TEMPLATES) for p, w in enumerate(text.split()))
-    def phrase(alias: str, text: str) -> str:
-        return " AND ".join(f"{alias}.ws[{alias}.i + {k}] = '{w}'" for k, w in enumerate(text.split(), 1))
-    base = " UNION ALL ".join(f"SELECT d, i, '{label}' AS label FROM w WHERE " + phrase("w", p) for p, label in BASE.items())
-    keys = " UNION ALL ".join(f"SELECT d, i, {k} AS t, {len(p.split())} AS size FROM w WHERE " + phrase("w", p) for k, (_, _, p) in enumerate(TEMPLATES))
+    tokens = rows(f"({t}, '{label}', {p}, '{w}', {str(w in INDEX).lower()})" for t, (label, own, _) in enumerate(TEMPLATES) for p, w in enumerate(own))
+    def phrase(alias: str, parts: list[str]) -> str:
+        return " AND ".join(f"{alias}.ws[{alias}.i + {k}] = '{w}'" for k, w in enumerate(parts, 1))
+    base = " UNION ALL ".join(f"SELECT d, i, '{label}' AS label FROM w WHERE " + phrase("w", p.split()) for p, label in BASE.items())
+    keys = " UNION ALL ".join(f"SELECT d, i, {t} AS t, {len(p)} AS size FROM w WHERE " + phrase("w", p) for t, (_, _, p) in enumerate(TEMPLATES))
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS ws FROM documents),
 w AS (SELECT d, ws, unnest(range(0, len(ws))) AS i FROM d),
 base AS ({base}),
-t(t, label, p, word, rare, size) AS (VALUES {tokens}),
+t(t, label, p, word, rare) AS (VALUES {tokens}),
+z AS (SELECT t, count(*) AS size, any_value(label) AS label FROM t GROUP BY t),
 begins AS (SELECT w.d, t.t, w.i - t.p AS b FROM w JOIN t ON t.rare AND w.ws[w.i + 1] = t.word GROUP BY ALL HAVING count(*) >= {VOTES}),
+placed AS (SELECT DISTINCT x.d, x.t, x.b, t.p FROM begins x JOIN begins y ON y.d = x.d AND y.t = x.t AND abs(y.b - x.b) <= {DRIFT} JOIN t ON t.t = x.t JOIN d ON d.d = x.d
+  WHERE y.b + t.p >= 0 AND d.ws[CASE WHEN y.b + t.p >= 0 THEN y.b + t.p + 1 END] = t.word),
+shares AS (SELECT d, t, b, count(*) / any_value(z.size)::DOUBLE AS s FROM placed JOIN z USING (t) GROUP BY d, t, b),
 keys AS ({keys}),
-good AS (SELECT DISTINCT begins.d, begins.t, begins.b FROM begins JOIN (SELECT t, any_value(size) AS size FROM t GROUP BY t) z USING (t)
-  JOIN keys k ON k.d = begins.d AND k.t = begins.t AND k.i BETWEEN greatest(begins.b - {SLACK}, 0) AND greatest(begins.b, 0) + z.size + {SLACK} - k.size),
-shares AS (SELECT good.d, good.t, good.b, any_value(t.label) AS label,
-  count(*) FILTER (good.b + t.p >= 0 AND d.ws[CASE WHEN good.b + t.p >= 0 THEN good.b + t.p + 1 END] = t.word) / any_value(t.size)::DOUBLE AS s
-  FROM good JOIN t USING (t) JOIN d ON d.d = good.d GROUP BY good.d, good.t, good.b),
-own AS (SELECT d, label, s FROM shares WHERE s >= {COVER}),
+own AS (SELECT DISTINCT x.d, z.label, x.s FROM shares x JOIN z USING (t) JOIN keys k ON k.d = x.d AND k.t = x.t
+  AND k.i BETWEEN greatest(x.b - {SLACK}, 0) AND greatest(x.b, 0) + z.size + {SLACK} - k.size WHERE x.s >= {COVER}),
 b AS (SELECT d, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY d),
 a AS (SELECT d, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT d, label FROM base UNION ALL SELECT d, label FROM own) GROUP BY d),
 s AS (SELECT d, max(s) AS s FROM own GROUP BY d)

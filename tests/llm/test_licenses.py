@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 from skyphrase.llm import licenses
 from skyphrase.llm.queries import op9_license_scan
@@ -17,16 +18,16 @@ def brute(text):
     starts = [k for v in base.values() for k in v]
     found = {licenses.BASE[p] for p, v in base.items() if v}
     labels, best = set(found), 0.0
-    for (label, passage, key), rare in zip(licenses.TEMPLATES, licenses.RARE_WORDS, strict=True):
-        own = passage.split()
-        word = lambda k: words[k] if 0 <= k < len(words) else None
-        for b in {k - p for w, p in rare for k, x in enumerate(words) if x == w}:
-            if sum(word(b + p) == w for w, p in rare) < licenses.VOTES:
+    word = lambda k: words[k] if 0 <= k < len(words) else None
+    for t, (label, own, key) in enumerate(licenses.TEMPLATES):
+        votes = Counter(k - p for k, x in enumerate(words) for u, p in licenses.INDEX.get(x, ()) if u == t)
+        begins = [b for b, n in votes.items() if n >= licenses.VOTES]
+        for b in begins:
+            low, high = max(b - licenses.SLACK, 0), max(b, 0) + len(own) + licenses.SLACK - len(key)
+            if not any(low <= k <= high for k in at(" ".join(key))):
                 continue
-            low, high = max(b - licenses.SLACK, 0), max(b, 0) + len(own) + licenses.SLACK - len(key.split())
-            if not any(low <= k <= high for k in at(key)):
-                continue
-            score = sum(word(b + k) == w for k, w in enumerate(own)) / len(own)
+            near = [c for c in begins if abs(c - b) <= licenses.DRIFT]
+            score = sum(any(word(c + k) == w for c in near) for k, w in enumerate(own)) / len(own)
             if score >= licenses.COVER:
                 labels.add(label)
                 best = max(best, score)
@@ -36,14 +37,37 @@ def brute(text):
 def case():
     rng = random.Random(1)
     texts = [r[1] for r in awkward()] + ["MIT License mit license", "cc by", "cc-by-nc 4.0", "gnu General/Public license", "apache\x00license", "é license mit", "license", "cc", "mit"]
-    for _, passage, _ in licenses.TEMPLATES:
-        words = passage.split()
-        texts.append(prose(rng, 20) + " " + passage.upper() + ". " + prose(rng, 5))
+    for _, words, _ in licenses.TEMPLATES:
+        texts.append(prose(rng, 20) + " " + " ".join(words).upper() + ". " + prose(rng, 5))
         edited = [w for w in words if rng.random() > 0.15]
-        texts += [" ".join(edited), " ".join(words[: len(words) * 2 // 3]), " ".join(words[3:]) + " mit license", " ".join(reversed(words))]
+        added = [x for w in words for x in ([w, "added"] if rng.random() < 0.03 else [w])]
+        texts += [" ".join(edited), " ".join(added), " ".join(words[: len(words) * 2 // 3]), " ".join(words[3:]) + " mit license", " ".join(reversed(words))]
+    texts.append(" ".join(" ".join(w) for _, w, _ in licenses.TEMPLATES) * 3)
     return list(enumerate(texts)) + [(0, "cc by"), (None, "cc by mit license")]
 
 
+def test_index_is_of_the_rarest_words():
+    held = Counter(w for _, words, _ in licenses.TEMPLATES for w in set(words))
+    for t, (_, words, _) in enumerate(licenses.TEMPLATES):
+        own = {w for w, found in licenses.INDEX.items() if t in {u for u, _ in found}}
+        rest = set(words) - own
+        assert len(own) >= min(licenses.LEAST, len(set(words))) and all(held[w] > licenses.RARE for w in rest)
+        assert not rest or max(held[w] for w in sorted(own, key=held.get)[: licenses.LEAST]) <= min(held[w] for w in rest)
+    assert all((t, p) in licenses.INDEX[w] for t, (_, words, _) in enumerate(licenses.TEMPLATES) for p, w in enumerate(words) if w in licenses.INDEX)
+
+
+def test_whole_texts_are_told_apart(spark):
+    """Each text, with a name before it and an insertion in it, gets its own label, and no other but those of its base."""
+    rng = random.Random(2)
+    inserted = lambda w: " ".join(w[:40] + ["(see", "below)"] * (len(w) > 60) + w[40:])
+    rows = [(k, "Copyright (c) 2024 Somebody\n" + inserted(text.split())) for k, (_, _, text) in enumerate(licenses.TEXTS)]
+    rows += [(1000 + k, prose(rng, 300)) for k in range(20)]
+    out = {r["doc_id"]: set(r["labels"].split(",")) - {""} for r in licenses.license_scan(documents(spark, rows)).collect()}
+    for k, (label, _, text) in enumerate(licenses.TEXTS):
+        assert label in out[k] and out[k] - {label} <= set(brute(text)[4].split(",")), (label, out[k])
+    assert not any(out[1000 + k] for k in range(20))
+
+
 def test_against_brute_force(spark):
     rows = case()
     out = licenses.license_scan(documents(spark, rows, extra=True)).collect()
