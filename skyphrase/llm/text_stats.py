@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textops import IS_SPACE, U64, Words, code_points, mix, span_hash
+from .textops import BLOCK_BYTES, IS_SPACE, U64, Words, code_points, mix, span_hash
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -12,9 +12,17 @@ WINDOW = 8
 
 
 def _per(mask: np.ndarray, border: np.ndarray) -> np.ndarray:
-    """How many of mask[border[d]:border[d+1]] are true."""
-    total = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
-    return total[border[1:]] - total[border[:-1]]
+    """How many of mask[border[d]:border[d+1]] are true; borders ascend."""
+    before, total = np.zeros(len(border), dtype=np.int64), 0
+    for p in range(0, len(mask), BLOCK_BYTES):
+        q = min(p + BLOCK_BYTES, len(mask))
+        some = slice(*np.searchsorted(border, [p, q]))
+        seen = np.cumsum(mask[p:q], dtype=np.int32)
+        at = border[some] - p
+        before[some] = total + np.where(at > 0, seen[at - 1], 0)
+        total += int(seen[-1])
+    before[np.searchsorted(border, len(mask)) :] = total
+    return np.diff(before)
 
 
 def word_chars(words: Words) -> np.ndarray:

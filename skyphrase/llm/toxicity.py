@@ -43,6 +43,7 @@ DECAY = 0.5
 DENIED = 0.8
 BATCH = 128
 SEED = 5
+PIECE = 1 << 19  # bytes or n-grams worked off at once
 
 
 def windows(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,27 +61,39 @@ class Lexicon:
         _, at, self.id = np.unique(words.hash, return_index=True, return_inverse=True)
         self.hash = words.hash[at]
         begin, size = words.start[at], words.end[at] - words.start[at]
-        # bytes of all distinct words, each after a mark, so that the first n-gram tells the beginning
-        full = size + 1
-        first = np.cumsum(full) - full
-        k = np.arange(int(full.sum())) - np.repeat(first, full)
-        source = np.repeat(begin, full) + k - 1
-        code = np.where(k == 0, U64(0x51ED270B), FOLDED_CODE[words.buf[np.maximum(source, 0)]]) if len(at) else np.zeros(0, U64)
-        left = np.repeat(full, full) - k
+        # bytes of all distinct words, each after a mark, so that the first n-gram tells the beginning; PIECE at a time
+        border = np.concatenate([[0], np.cumsum(size + 1)])
+        parts, self.many = [np.zeros(0, np.uint16)], np.zeros(len(at), np.int64)
+        for p in range(0, int(border[-1]), PIECE):
+            gram, own = self._grams(words.buf, begin, border, p, min(p + PIECE, int(border[-1])))
+            parts.append(gram)
+            if len(own):
+                count = np.bincount(own - own[0])
+                self.many[own[0] : own[0] + len(count)] += count
+        self.gram = np.concatenate(parts)
+        self.first = np.cumsum(self.many) - self.many
+
+    @staticmethod
+    def _grams(buf: np.ndarray, begin: np.ndarray, border: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the 3- and 5-grams that begin at the places p to q, word by word, and their words."""
+        stop = min(q + 4, int(border[-1]))
+        a, b = np.searchsorted(border, p, side="right") - 1, np.searchsorted(border, stop)
+        low = np.maximum(border[a:b], p)
+        own = np.repeat(np.arange(a, b), np.minimum(border[a + 1 : b + 1], stop) - low)
+        k = np.arange(p, stop) - border[own]
+        code = np.where(k == 0, U64(0x51ED270B), FOLDED_CODE[buf[np.maximum(begin[own] + k - 1, 0)]])
+        left = border[own + 1] - np.arange(p, stop)
         keys, owner = [], []
         for n in (3, 5):
             acc = code.copy()
             for j in range(1, n):
-                acc[:-j] = acc[:-j] + np.roll(code, -j)[:-j] * U64(0x9E3779B97F4A7C15 + 2 * j * j * 0x1234567)
-            ok = left >= n
-            keys.append((mix(acc[ok] + U64(n)) >> U64(48)).astype(np.int64))
-            owner.append(np.repeat(np.arange(len(at)), full)[ok])
+                acc[:-j] = acc[:-j] + code[j:] * U64(0x9E3779B97F4A7C15 + 2 * j * j * 0x1234567)
+            at = np.flatnonzero(left[: q - p] >= n)
+            keys.append((mix(acc[at] + U64(n)) >> U64(48)).astype(np.uint16))
+            owner.append(own[at])
         key, own = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(own, kind="stable")
-        self.gram, own = key[order], own[order]
-        self.many = np.bincount(own, minlength=len(at))
-        self.first = np.cumsum(self.many) - self.many
-        self.own = own
+        return key[order], own[order]
 
 
 class Network:
@@ -105,10 +118,13 @@ class Network:
     def vectors(self, lex: Lexicon) -> np.ndarray:
         """One input vector for each distinct word."""
         out = self.p["word"][self.place(lex)]
-        filled = np.flatnonzero(lex.many)
-        if len(filled):
-            total = np.add.reduceat(self.p["gram"][lex.gram], lex.first[filled], axis=0)
-            out[filled] += total / lex.many[filled, None].astype(np.float32)
+        border = np.concatenate([lex.first, [len(lex.gram)]])
+        many = np.maximum(lex.many, 1)[:, None].astype(np.float32)
+        for p in range(0, len(lex.gram), PIECE):
+            q = min(p + PIECE, len(lex.gram))
+            a, b = np.searchsorted(border, p, side="right") - 1, np.searchsorted(border, q)
+            some = a + np.flatnonzero(np.minimum(border[a + 1 : b + 1], q) > np.maximum(border[a:b], p))
+            out[some] += np.add.reduceat(self.p["gram"][lex.gram[p:q]], np.maximum(border[some], p) - p, axis=0) / many[some]
         return out
 
     def read(self, x: np.ndarray, mask: np.ndarray | None, d: str, keep: list | None = None) -> np.ndarray:
@@ -211,7 +227,7 @@ class Network:
             dvec += total @ self.p[f"w{d}"].T
         g["word"], g["gram"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["gram"])
         np.add.at(g["word"], self.place(lex), dvec)
-        np.add.at(g["gram"], lex.gram, (dvec / np.maximum(lex.many, 1)[:, None].astype(np.float32))[lex.own])
+        np.add.at(g["gram"], lex.gram, (dvec / np.maximum(lex.many, 1)[:, None].astype(np.float32))[np.repeat(np.arange(len(lex.many)), lex.many)])
         return g
 
 
@@ -278,7 +294,7 @@ class _Some:
         self.hash, self.many = lex.hash[used], lex.many[used]
         self.first = np.cumsum(self.many) - self.many
         at = np.repeat(lex.first[used] - self.first, self.many) + np.arange(int(self.many.sum()))
-        self.gram, self.own = lex.gram[at], np.repeat(np.arange(len(used)), self.many)
+        self.gram = lex.gram[at]
 
 
 def held_out(doc_id) -> F.Column:

@@ -85,3 +85,18 @@ def test_query_digests_the_operators_offsets(spark, sf_dir):
 def test_query_covers_every_row(spark, sf_dir):
     out = op2_byte_bpe(spark, sf_dir)
     assert out.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count() and out.where("not exact").count() == 0
+
+
+def test_query_ids_equal_those_of_the_public_library(spark, sf_dir):
+    """Digests of every whole text's ids and bytes, by the reference implementation of merging by rank."""
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in op2_byte_bpe(spark, sf_dir).collect():
+        ids = library.encode_ordinary(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode_bytes(ids)).hexdigest() == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()

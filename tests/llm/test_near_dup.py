@@ -145,3 +145,19 @@ def test_cells_of_several_clusters_lose_no_link(spark):
     rows = list(enumerate(chain + near_copies(8, 90, 60) + near_copies(9, 60, 25)))
     rng.shuffle(rows)
     assert key(got(near_dup.near_duplicates(documents(spark, rows), node_limit=8, depth=0))) == key(brute(rows))
+
+
+def test_a_node_that_branches_at_the_production_limit(spark):
+    """More near copies than a node may hold, all linked to the first: one component, and what isn't a copy stays out."""
+    rng = random.Random(41)
+    base = prose(rng, 80).split()
+    rows = [(0, " ".join(base))]
+    for k in range(1, near_dup.NODE + 400):
+        own = list(base)
+        for at in rng.sample(range(80), 2):
+            own[at] = f"edit{rng.randint(0, 10**9)}"
+        rows.append((k, " ".join(own)))
+    rows += [(10_000 + k, prose(rng, 80)) for k in range(50)]
+    linked = {k for k, t in rows[: near_dup.NODE + 400] if 100 * len(shingles(t) & shingles(rows[0][1])) >= 75 * len(shingles(t) | shingles(rows[0][1]))}
+    out = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(documents(spark, rows)).collect()}
+    assert len(linked) > near_dup.NODE and all(out[k] == 0 for k in linked) and all(out[10_000 + k] == 10_000 + k for k in range(50))

@@ -107,3 +107,24 @@ def test_words_of_any_length_against_a_pattern(monkeypatch):
             for k, w in zip(at, own, strict=True):
                 assert seen.setdefault(w, words.hash[k]) == words.hash[k]
         assert len(set(seen.values())) == len(seen)
+
+
+def test_fifty_megabytes_without_white_space():
+    """Working memory is a few bytes per byte, whatever the operator does with such a text."""
+    import tracemalloc
+
+    from skyphrase.llm import chunk_dedup, near_dup, quality_rules, site_quality, toxicity
+
+    size = 50_000_000
+    blob = pa.array([("0123456789abcdefghijklmnop" * (size // 26 + 1))[:size]])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), blob], names=["doc_id", "text"])
+    net = toxicity.Network(1)
+    for name, work, most in (
+        ("words", lambda: textops.Words(blob, fold=True), 4), ("chunks", lambda: chunk_dedup.chunk_rows(batch), 12), ("sketch", lambda: near_dup.sketch_rows(batch), 4),
+        ("rules", lambda: quality_rules.base_counts(Words(blob)), 6), ("features", lambda: site_quality.features(blob), 8), ("toxicity", lambda: net.window_scores(textops.Words(blob, fold=True)), 9),
+    ):
+        tracemalloc.start()
+        out = work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert out is not None and peak < most * size, (name, peak / size)
