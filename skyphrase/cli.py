@@ -1,4 +1,4 @@
-"""Command line: python -m skyphrase.cli data sample | generate | benchmark | regenerate | inspect, voices build, version."""
+"""Command line: python -m skyphrase.cli data sample | generate | benchmark | regenerate | inspect | push, voices build, version."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from . import config as region_config
 from .plans import generate, voices
 from .plans.scenario import Sampler
 from .progress import Progress, log_file
-from .sinks.shards import FingerprintMismatch, Folder, Manifest
+from .sinks.shards import FingerprintMismatch, Folder, Manifest, push
 from .sources import corpora, dims, registry, replay
 
 VERSION = "0.1.0"
@@ -146,6 +146,15 @@ def do_inspect(spark, args) -> int:
     return 0
 
 
+def do_push(spark, args) -> int:
+    if not Folder(spark, args.out).exists("manifest.json"):
+        print(f"{args.out} has no manifest", file=sys.stderr)
+        return 1
+    for name in push(spark, args.out, args.to):
+        print(name)
+    return 0
+
+
 def do_voices(spark, args) -> int:
     corpora.register_corpora(args.libritts, args.mls)
     wanted = names(args.sources, "--sources")
@@ -214,6 +223,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.set_defaults(run=do_inspect)
 
+    p = data.add_parser("push")
+    p.add_argument("--out", required=True)
+    p.add_argument("--to", required=True)
+    p.set_defaults(run=do_push)
+
     p = groups.add_parser("voices").add_subparsers(dest="command", required=True).add_parser("build")
     p.add_argument("--out", required=True)
     p.add_argument("--target", type=int, default=100)

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import struct
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import audio, checks, ids, prompt, rng, turns
 from ..operators import lookups, select
-from ..sinks.shards import notice_rows
-from ..sources import dims, replay
+from ..sinks.shards import ShardSink, notice_rows
+from ..sources import corpora, dims, registry, replay
 from ..streaming import turns_stream
-from . import generate
+from . import generate, voices
 from .scenario import Sampler, derived
 
 SEED = 42
@@ -278,9 +280,7 @@ def outcome_windows(spark, sf_dir):
 
 def generate_stub(spark, sf_dir):
     """Outcomes of the generation stage with the deterministic client, over a run's own output folder."""
-    out = f"{_scratch(spark)}/generate"
-    settings = generate.RunConfig(model="stub", count=200, concurrency=8, shard_size=100)
-    generate.run(_sampler(spark), out, settings, generate.stub_client)
+    out, settings = _generated(spark)
     sink = generate.open_sink(spark, out, settings)
     good, failed = sink.existing(), generate.recorded(sink)
     return good.select("scenario_id", F.lit("ok").alias("outcome"), F.size("turns").cast("long").alias("n_turns")).unionByName(
@@ -288,11 +288,78 @@ def generate_stub(spark, sf_dir):
     )
 
 
+def _generated(spark: SparkSession) -> tuple[str, generate.RunConfig]:
+    """The output folder of a finished run with the deterministic client."""
+    out = f"{_scratch(spark)}/generate"
+    settings = generate.RunConfig(model="stub", count=200, concurrency=8, shard_size=100)
+    generate.run(_sampler(spark), out, settings, generate.stub_client)
+    return out, settings
+
+
+def run_report(spark, sf_dir):
+    """Shards, rows and failures of a run's folder, its manifest, and the failures that a second try leaves."""
+    out, settings = _generated(spark)
+    found = replay.inspect(spark, out)
+    manifest = generate.open_sink(spark, out, settings).manifest
+    again = generate.rerun(spark, out, settings, generate.stub_client)
+    row = (found["shards"], found["rows"], found["failures"], manifest.total_rows, manifest.last_shard_index, again.ok, again.failed)
+    return spark.createDataFrame([row], "shards long, n_rows long, failures long, manifest_rows long, last_shard long, again_ok long, again_failed long")
+
+
+def fingerprints(spark, sf_dir):
+    """The run fingerprint for each of the nation table's keys as seed and regions of one or two names."""
+    rows = [r[0] for r in _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long")).collect()]  # 25 rows
+    made = [(k, ids.fingerprint("stub", k, "p", "t1", "tier_v1", ["us", "canada"] if k % 2 else ["us"], "us")) for k in rows]
+    return spark.createDataFrame(made, "seed long, fingerprint string")
+
+
+def custom_weights(spark, sf_dir):
+    """A weights file with several rows of a key: the last counts."""
+    path = f"{_scratch(spark)}/weights"
+    rows = _table(spark, sf_dir, "part").orderBy("p_partkey").select(F.col("p_brand").alias("icao"), F.col("p_size").alias("weight"))
+    rows.coalesce(1).write.csv(path, header=True)
+    return dims.custom_weights(spark, path)
+
+
+def corpus_order(spark, sf_dir):
+    """Rows of the splits' files, in the order of the splits, then of the files."""
+    top, docs = _scratch(spark), _table(spark, sf_dir, "documents").select("doc_id", "lang")
+    for split, lang in zip(corpora.SPLITS, LANGUAGES, strict=False):
+        docs.where(F.col("lang") == lang).orderBy("doc_id").coalesce(1).write.parquet(f"{top}/{split}")
+    return corpora.numbered(spark, [f"{top}/{split}" for split in corpora.SPLITS]).select("ord", "doc_id", "lang")
+
+
+def _samples(data: bytes):
+    """Raw 32-bit floats as samples, four a second."""
+    import numpy as np
+
+    return np.frombuffer(data, dtype="<f4"), 4
+
+
+def voice_pool(spark, sf_dir):
+    """The pool that embeddings, taken for clips of the speakers that their labels are, fill up to a target of 15."""
+    @F.pandas_udf("binary")
+    def packed(vectors: pd.Series) -> pd.Series:
+        return vectors.map(lambda v: struct.pack(f"<{len(v)}f", *v))
+
+    def candidates(session: SparkSession) -> DataFrame:
+        none = F.lit(None).cast("string")
+        return _table(session, sf_dir, "embeddings").select(
+            F.col("vec_id").alias("ord"), F.lit("emb").alias("source"), F.concat_ws("-", "label", F.col("vec_id") % 7).alias("source_speaker_id"), F.col("vec_id").cast("string").alias("source_clip_id"),
+            packed("embedding").alias("bytes"), F.concat(F.lit("clip "), F.col("vec_id")).alias("text"), F.lit("L").alias("license"), F.lit("A").alias("attribution"), none.alias("gender_hint"), F.lit("en").alias("language"),
+        )
+
+    out = f"{_scratch(spark)}/voices"
+    voices.build(spark, [registry.Source("emb", "pool", candidates)], out, 15, voices.Filter(1.0, 60.0, -20.0), shard_size=4, decode=_samples)
+    return ShardSink(spark, out, 4).existing().select("voice_id", "source_clip_id", "text", F.octet_length(F.col("audio.bytes")).cast("long").alias("n_bytes"))
+
+
 NAMES = [
     parse_turns, validate_transcripts, transcript_outcomes, distinct_speakers, first_per_speaker, longest_per_speaker, accept_clip, voice_ids, canonical_ids, resume_anti,
     resume_offset, region_lookup, region_rule, country_regions, tier_weights, operator_multimap, allowed_regions, scenario_sample, prompt_briefing, event_mix, squawk_codes, weighted_choice,
     notice_report, target_limit, shard_assignment, failure_replay, benchmark_points, benchmark_best, derived_flags, domain_errors,
     scenario_errors, voice_records, source_order, outcome_windows, generate_stub,
+    run_report, fingerprints, custom_weights, corpus_order, voice_pool,
 ]
 
 

@@ -204,6 +204,19 @@ SELECT (list_position(['fr', 'en', 'es', 'de'], lang) - 1) * 281474976710656 + d
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_id % 3 <> 0) AS ok, count(*) FILTER (event_id % 3 = 0) AS failed FROM events GROUP BY day""",
         "generate_stub": f"""WITH {_scenarios(200)}, a AS (SELECT scenario_id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s)
 SELECT scenario_id, CASE WHEN prose THEN 'TranscriptParseError' ELSE 'ok' END AS outcome, CASE WHEN prose THEN 0 ELSE 4 END::BIGINT AS n_turns FROM a""",
+        "run_report": f"""WITH {_scenarios(200)}, a AS (SELECT id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s),
+totals AS (SELECT count(*) FILTER (NOT prose) AS ok, count(*) FILTER (prose) AS bad, count(DISTINCT id // 100) FILTER (NOT prose) AS shards FROM a)
+SELECT shards, ok AS n_rows, bad AS failures, ok AS manifest_rows, shards - 1 AS last_shard, 0::BIGINT AS again_ok, bad AS again_failed FROM totals""",
+        "fingerprints": """SELECT n_nationkey::BIGINT AS seed, substr(sha1('{"config_name":"us","model":"stub","prompt_version":"p","regions":[' || CASE WHEN n_nationkey % 2 = 1 THEN '"canada",' ELSE '' END
+  || '"us"],"seed":' || n_nationkey || ',"taxonomy_version":"t1","weighter_name":"tier_v1"}'), 1, 16) AS fingerprint FROM nation""",
+        "custom_weights": "SELECT p_brand AS icao, arg_max(p_size, p_partkey)::DOUBLE AS weight FROM part GROUP BY p_brand",
+        "corpus_order": """
+SELECT (list_position(['fr', 'en', 'es'], lang) - 1) * 4294967296 + row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS ord, doc_id, lang FROM documents WHERE lang IN ('fr', 'en', 'es')""",
+        "voice_pool": """
+WITH e AS (SELECT vec_id, CAST(label AS VARCHAR) || '-' || CAST(vec_id % 7 AS VARCHAR) AS speaker, len(embedding) AS n, len(embedding) / 4.0 AS s,
+  sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)) AS r FROM embeddings),
+k AS (SELECT *, row_number() OVER (PARTITION BY speaker ORDER BY vec_id) AS place FROM e WHERE s BETWEEN 1 AND 60 AND r > 0 AND 20 * log10(r) >= -20)
+SELECT substr(sha1('emb:' || speaker), 1, 12) AS voice_id, CAST(vec_id AS VARCHAR) AS source_clip_id, 'clip ' || vec_id AS text, 4 * n AS n_bytes FROM k WHERE place = 1 ORDER BY vec_id LIMIT 15""",
         "derived_flags": """
 WITH i AS (SELECT l_orderkey, list({'n': l_linenumber, 'callsign': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), 'aircraft_type': l_linestatus, 'wake': l_returnflag} ORDER BY l_linenumber, l_shipdate, l_linestatus, l_returnflag) AS a FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey, a[1].callsign AS callsign, a[1].aircraft_type AS aircraft_type, a[1].wake AS wake, a[1].wake AS operator_class, len(a)::BIGINT AS n_aircraft, o_orderpriority = '1-URGENT' AS is_emergency, l_orderkey % 5 <> 4 AS is_towered

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 
@@ -169,6 +170,26 @@ class ShardSink:
         return name
 
 
+def push(spark: SparkSession, out: str, to: str, workers: int = 16) -> list[str]:
+    """Copies the shards and then the manifest of ``out``, and nothing else, to a folder of any file system that Hadoop's
+    interface reaches (an object store, a hub's mount); the names copied.  Shards that are there already, with the same
+    length, aren't sent again."""
+    source, target = Folder(spark, out), Folder(spark, to)
+    jvm = spark.sparkContext._jvm
+    target.fs.mkdirs(target._path(target.path))
+
+    def send(name: str) -> str | None:
+        old, new = source.at(name), target.at(name)
+        if name != "manifest.json" and target.exists(name) and target.fs.getFileStatus(new).getLen() == source.fs.getFileStatus(old).getLen():
+            return None
+        jvm.org.apache.hadoop.fs.FileUtil.copy(source.fs, old, target.fs, new, False, True, spark.sparkContext._jsc.hadoopConfiguration())
+        return name
+
+    with ThreadPoolExecutor(workers) as pool:
+        sent = [name for name in pool.map(send, source.names("shard-")) if name]
+    return sent + [name for name in map(send, source.names("manifest.json")) if name]
+
+
 def notice_rows(records: DataFrame) -> DataFrame:
     """(source, voices, licenses, attributions): counts and sorted distinct texts."""
     return records.groupBy("source").agg(

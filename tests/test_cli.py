@@ -46,6 +46,13 @@ def test_generate_resume_and_regenerate(spark, tmp_path, capsys):
     capsys.readouterr()
     assert main(["data", "inspect", "--out", out], spark) == 0
     assert json.loads(capsys.readouterr().out)["rows"] == second["total_rows"]
+    to = (tmp_path / "pushed").as_uri()
+    assert main(["data", "push", "--out", out, "--to", to], spark) == 0
+    sent = capsys.readouterr().out.split()
+    assert sent[-1] == "manifest.json" and len(sent) > 2 and all(name.startswith("shard-") for name in sent[:-1])
+    assert spark.read.parquet(f"{to}/shard-*.parquet").count() == second["total_rows"] and not (tmp_path / "pushed" / "failures.jsonl").exists()
+    assert main(["data", "push", "--out", out, "--to", to], spark) == 0 and capsys.readouterr().out.split() == ["manifest.json"]
+    assert main(["data", "push", "--out", (tmp_path / "nothing").as_uri(), "--to", to], spark) == 1
     assert main(["data", "regenerate", "--out", out], spark) == 0
     assert len(list((tmp_path / "run").glob("failures.2*"))) == 1
     assert main(["data", "regenerate", "--out", (tmp_path / "none").as_uri()], spark) == 1
