@@ -10,9 +10,10 @@ whole template.  Words count as in place where they stand as that alignment has
 score; it counts if it is ``COVER`` or more and the template's mandatory phrase stands within the aligned words, ``SLACK``
 to either side.
 
-All is computed within the row: one scan, no shuffle, nothing broadcast but literals of some 30 kilobytes.  Files that
-hold no word of the index and none of the base skip the search after one hash lookup per word.  The work on a file grows
-with its words and, by a sort, its proposals; alignments are compared with their neighbours only.
+All is computed within the row: one scan, no shuffle, nothing broadcast but literals of some 30 kilobytes.  A template
+counts only where its mandatory phrase stands, so files with none of the phrases' rarest words (``KEYS``) and no first
+word of the base skip the search, after one hash lookup per word.  The work on a file grows with its words and, by a
+sort, its proposals; alignments are compared with their neighbours only.
 
 Edge cases: null text counts as empty: no words, no places, null first and last word, empty labels, score 0; rows
 pass one to one, so repeated rows and null doc_ids stay; texts are scanned whole; other columns are ignored.
@@ -63,6 +64,9 @@ def index() -> dict[str, list[tuple[int, int]]]:
 
 
 INDEX = index()
+_HELD = Counter(w for _, words, _ in TEMPLATES for w in set(words))
+#: One word of each mandatory phrase, that of highest IDF: a file without any holds no phrase.
+KEYS = sorted({min(phrase, key=lambda w: (_HELD[w], w)) for _, _, phrase in TEMPLATES})
 
 
 def _phrase_at(words: Column, i: Column, phrase: str) -> Column:
@@ -126,7 +130,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)).alias("words"))
     words, spots = F.col("words"), F.col("spots")
     leads = sorted({p.split()[0] for p in BASE})
-    maybe = F.arrays_overlap(words, F.array(*[F.lit(w) for w in sorted({*INDEX, *leads})]))
+    maybe = F.arrays_overlap(words, F.array(*[F.lit(w) for w in sorted({*KEYS, *leads})]))
     found = found.select("doc_id", F.size(words).cast("long").alias("n_words"), F.when(maybe, words).alias("words"))
     found = found.select("doc_id", "n_words", "words", F.when(words.isNotNull(), _positions(words, list(INDEX))).alias("spots"), F.when(words.isNotNull(), _positions(words, leads)).alias("leads"))
 
