@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import written
+
 
 def first_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """The row of each key that comes first; partial minimums, so a hot key costs a row per task."""
@@ -24,19 +29,26 @@ def longest_per_key(df: DataFrame, key: str, size: str, order: str) -> DataFrame
 
 
 RANGE_ROWS = 1 << 20
+RANGES = 1 << 16
 
 
 def ranges(df: DataFrame, order: str, rows: int = RANGE_ROWS) -> Column:
     """The number of the range of a whole-number order that a row falls into: 64 ranges, or as many as give each about
-    ``rows`` rows; bounds are approximate quantiles.
+    ``rows`` rows, up to ``RANGES``; bounds are approximate quantiles.
 
-    Bounds are literals, so every use of the column sees the same ranges, whatever the partitioning.
+    Bounds are literals, so every use of the column sees the same ranges, whatever the partitioning.  A row looks at
+    every so-manieth bound, then at those between two: twice the square root of all.
     """
-    parts = max(64, -(-df.count() // rows))
+    parts = min(max(64, -(-df.count() // rows)), RANGES)
     steps = [k / parts for k in range(1, parts)]
-    bounds = df.agg(F.percentile_approx(order, steps, max(10_000, 20 * parts)).alias("b")).first()["b"] or []
-    array = F.lit(sorted(set(map(int, bounds)))).cast("array<long>") if bounds else F.array().cast("array<long>")
-    return F.size(F.filter(array, lambda b: b <= F.col(order)))
+    bounds = sorted(set(df.agg(F.percentile_approx(order, steps, max(10_000, 20 * parts)).alias("b")).first()["b"] or []))
+    if not bounds:
+        return F.lit(0)
+    every = math.isqrt(len(bounds)) + 1
+    array = lambda some: F.from_json(F.lit(json.dumps([int(b) for b in some])), "array<bigint>")
+    upto = lambda some: F.size(F.filter(some, lambda b: b <= F.col(order)))
+    block = upto(array(bounds[::every]))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * every + upto(F.slice(array(bounds), (block - 1) * every + 1, F.lit(every))))
 
 
 def _before(ranged: DataFrame, count: Column) -> DataFrame:
@@ -53,7 +65,7 @@ def up_to_target(candidates: DataFrame, speaker: list[str], order: str, ok: Colu
     whole order: only one row per range is in the unpartitioned window.
     """
     decided = candidates.withColumn("_ok", ok).withColumn("_exists", exists)
-    first = decided.where("_ok").groupBy(*speaker).agg(F.min(order).alias("_first"))
+    first = written(decided.where("_ok").groupBy(*speaker).agg(F.min(order).alias("_first")))
     marked = decided.join(first, speaker, "left").withColumn("_isdec", F.coalesce(F.col(order) == F.col("_first"), F.lit(False)))
     marked = marked.withColumn("_cand", F.col("_isdec") & ~F.col("_exists"))
     ranged = marked.withColumn("_part", ranges(candidates, order))

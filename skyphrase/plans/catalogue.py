@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import struct
-import tempfile
 import uuid
 
 import pandas as pd
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import audio, checks, ids, prompt, rng, turns
 from ..operators import lookups, select
+from ..scratch import shared_dir
 from ..sinks.shards import ShardSink, notice_rows
 from ..sources import corpora, dims, registry, replay
 from ..streaming import turns_stream
@@ -29,13 +29,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the one that executors share; a local session without one gets a folder of this machine."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        top = "file://" + tempfile.mkdtemp(prefix="skyphrase-")
-    return f"{top}/catalogue-{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/catalogue-{uuid.uuid4().hex}"
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:

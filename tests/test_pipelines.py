@@ -309,6 +309,23 @@ def test_cumulative_over_ranges_has_no_gaps(spark):
         assert [k for k, _, _ in own] == [k for k, _ in rows]
 
 
+def test_ranges_are_those_of_a_search(spark):
+    """Nulls first, ties in one range, as many ranges as the rows need; the running number goes on from range to range."""
+    rng = np.random.default_rng(12)
+    rows = [(int(x),) for x in rng.integers(-50, 4000, 6000)]
+    df = spark.createDataFrame(rows, "ord long").repartition(5)
+    for size in (1 << 20, 40):
+        got = df.select("ord", select.ranges(df, "ord", size).alias("r")).collect()
+        by = {}
+        for r in got:
+            assert by.setdefault(r["ord"], r["r"]) == r["r"]
+        ordered = [by[x] for x in sorted(by)]
+        assert ordered == sorted(ordered) and 50 < len(set(ordered)) and (size > 40 or len(set(ordered)) > 120)
+    one = spark.range(1000).selectExpr("id * 3 AS ord").repartition(4)
+    assert [r["shard_id"] for r in select.sharded(one, "ord", 7).orderBy("ord").collect()] == [k // 7 for k in range(1000)]
+    assert select.sharded(one.limit(0), "ord", 7).count() == 0
+
+
 def test_two_hop_misses_get_the_default(spark):
     fact = spark.createDataFrame([(1, 10), (2, 11), (3, 99), (4, None)], "k int, n int")
     first, second = spark.createDataFrame([(10, 1), (11, 7)], "n int, r int"), spark.createDataFrame([(1, "ASIA")], "r int, name string")
