@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .license_texts import TEXTS
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# the same class, stated by what is in it: Java matches that several times as fast
+_IN_WORDS = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RARE = 3
 LEAST = 4
@@ -127,7 +129,7 @@ def _scores(words: Column, found: Column) -> Column:
 def license_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)).alias("words"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(_IN_WORDS), F.lit(0)).alias("words"))
     words, spots = F.col("words"), F.col("spots")
     leads = sorted({p.split()[0] for p in BASE})
     maybe = F.arrays_overlap(words, F.array(*[F.lit(w) for w in sorted({*KEYS, *leads})]))

@@ -77,6 +77,14 @@ def test_against_brute_force(spark):
     assert all(any(label in v for v in found.values()) for label, _, _ in licenses.TEMPLATES)
 
 
+def test_words_of_every_character(spark):
+    """Each code point between two letters: part of the word or not, as the pattern says."""
+    points = [*range(1, 0x300), 0x7FF, 0x800, 0x2028, 0x3000, 0xD7FF, 0xE000, 0xFFFD, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]
+    rows = [(k, f"a{chr(k)}b \u00e9{chr(k)}") for k in points]
+    out = {r["doc_id"]: r["n_words"] for r in licenses.license_scan(documents(spark, rows)).collect()}
+    assert all(out[k] == len(WORD.findall(t.translate(str.maketrans(licenses.UPPER, licenses.LOWER)))) for k, t in rows)
+
+
 def test_empty(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
