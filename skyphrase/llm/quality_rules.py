@@ -97,10 +97,11 @@ def fit(docs: DataFrame, trusted: DataFrame, most: int = BLOCK) -> np.ndarray:
 
 
 def base_counts(words: Words) -> dict[str, np.ndarray]:
+    held = text_stats.byte_counts(words)
     return {
         "n_words": words.count.astype(np.int64),
-        "word_chars": text_stats.word_chars(words),
-        "n_symbols": text_stats.symbols(words),
+        "word_chars": text_stats.word_chars(held),
+        "n_symbols": text_stats.symbols(held),
         "n_dup_lines": text_stats.dup_lines(words)[0],
         "n_repeat_words": text_stats.repeat_words(words),
     }

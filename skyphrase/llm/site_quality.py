@@ -42,6 +42,7 @@ def features(text: pa.Array) -> np.ndarray:
     words = Words(text)
     n = np.maximum(words.count, 1)
     dup, lines = text_stats.dup_lines(words)
+    held = text_stats.byte_counts(words)
     distinct = np.zeros(words.n)
     for d in range(words.n):
         distinct[d] = len(np.unique(words.hash[words.first[d] : words.first[d + 1]]))
@@ -49,13 +50,13 @@ def features(text: pa.Array) -> np.ndarray:
         np.minimum(np.log1p(words.count), 5.0) / 5,
         text_stats.repeat_words(words) / n,
         dup / np.maximum(lines, 1),
-        np.minimum(text_stats.symbols(words) / n, 2.0),
-        10 * text_stats.share(_UPPER[words.buf], words),
-        10 * text_stats.share(_MARK[words.buf], words),
-        10 * text_stats.share(_DIGIT[words.buf], words),
-        np.minimum(text_stats.word_chars(words) / n, 20.0) / 10,
+        np.minimum(text_stats.symbols(held) / n, 2.0),
+        10 * text_stats.share(_UPPER, held),
+        10 * text_stats.share(_MARK, held),
+        10 * text_stats.share(_DIGIT, held),
+        np.minimum(text_stats.word_chars(held) / n, 20.0) / 10,
         np.where(words.count >= 20, distinct / n, 0.7),
-        5 * text_stats.share(IS_SPACE[words.buf], words),
+        5 * text_stats.share(IS_SPACE, held),
     ], axis=1)
 
 

@@ -25,12 +25,27 @@ def _per(mask: np.ndarray, border: np.ndarray) -> np.ndarray:
     return np.diff(before)
 
 
-def word_chars(words: Words) -> np.ndarray:
-    return _per(code_points(words.buf) & ~IS_SPACE[words.buf], words.off)
+def byte_counts(words: Words) -> np.ndarray:
+    """By text: how often it holds each of the 256 bytes."""
+    out = np.zeros(words.n << 8, dtype=np.int64)
+    for p in range(0, len(words.buf), BLOCK_BYTES):
+        q = min(p + BLOCK_BYTES, len(words.buf))
+        a, b = np.searchsorted(words.off, p, side="right") - 1, np.searchsorted(words.off, q)
+        doc = np.repeat(np.arange(b - a, dtype=np.int64) << 8, np.minimum(words.off[a + 1 : b + 1], q) - np.maximum(words.off[a:b], p))
+        out[a << 8 : b << 8] += np.bincount(doc + words.buf[p:q], minlength=(b - a) << 8)
+    return out.reshape(-1, 256)
 
 
-def symbols(words: Words) -> np.ndarray:
-    return _per(_SYMBOL[words.buf], words.off)
+_WORD_START = code_points(np.arange(256, dtype=np.uint8)) & ~IS_SPACE
+
+
+def word_chars(held: np.ndarray) -> np.ndarray:
+    """Code points in words, of byte counts."""
+    return held[:, _WORD_START].sum(axis=1)
+
+
+def symbols(held: np.ndarray) -> np.ndarray:
+    return held[:, _SYMBOL].sum(axis=1)
 
 
 def dup_lines(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +90,6 @@ def repeat_words(words: Words) -> np.ndarray:
     return _per(np.cumsum(step)[:-1] > 0, words.first)
 
 
-def share(mask: np.ndarray, words: Words) -> np.ndarray:
-    """Share of each text's bytes under the mask."""
-    return _per(mask, words.off) / np.maximum(np.diff(words.off), 1)
+def share(mask: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Share of each text's bytes that the mask has."""
+    return held[:, mask].sum(axis=1) / np.maximum(held.sum(axis=1), 1)

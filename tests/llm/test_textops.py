@@ -63,7 +63,7 @@ def test_slices_cover_all_rows():
 def test_counts(block):
     own = texts(3)
     w = Words(pa.array(own))
-    chars, marks, (dups, _), reps = text_stats.word_chars(w), text_stats.symbols(w), text_stats.dup_lines(w), text_stats.repeat_words(w)
+    chars, marks, (dups, _), reps = text_stats.word_chars(text_stats.byte_counts(w)), text_stats.symbols(text_stats.byte_counts(w)), text_stats.dup_lines(w), text_stats.repeat_words(w)
     for d, t in enumerate(own):
         t = t or ""
         ws = WORD.findall(t)
