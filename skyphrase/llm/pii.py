@@ -152,7 +152,8 @@ class Field:
         words = Words(text)
         has = np.concatenate([[0], np.cumsum(_TOKEN[words.buf])])
         self.base: dict[int, list] = {}
-        self.doc, self.begin, self.end, self.token, self.label, self.joins = [], [], [], [], [], []
+        self.doc, self.begin, self.end, self.token, self.label = [], [], [], [], []
+        self.joins, self.plain = [], []  # whether a token adjoins the one before it, and is without letters and @
         chain, skip, star = [], [], []
         mine = np.flatnonzero(has[words.end] > has[words.start]) if len(words.start) else np.zeros(0, np.int64)
         points = np.concatenate([[0], np.cumsum(code_points(words.buf))])
@@ -170,7 +171,8 @@ class Field:
             label = next((kind for x, y, kind in seek if x < b and a < y), O)
             token = words.buf[words.start[w] : words.end[w]].tobytes().decode(errors="replace")
             self.doc.append(d), self.begin.append(a), self.end.append(b), self.token.append(token), self.label.append(label)
-            self.joins.append(last_word == w - 1)  # with the token before it
+            self.joins.append(last_word == w - 1)
+            self.plain.append(not any(c == "@" or c.isalpha() for c in token))
             if last_word == w - 1:
                 chain.append((k - 1, k))
             for key, parts in self._keys(k):
@@ -208,12 +210,12 @@ class Field:
 
     def _keys(self, k: int) -> list[tuple[str, list[int]]]:
         """Keys of the token, and those of its digits after those of the tokens that adjoin it, by the last ten and seven
-        digits; each with the tokens it takes in, the last first."""
+        digits; each with the tokens it takes in, the last first.  Only tokens without letters are joined."""
         out = [(key, [k]) for key in twin_keys(self.token[k])]
-        if "@" in self.token[k]:
+        if not self.plain[k]:
             return out
         joined, parts = _digits(self.token[k]), [k]
-        while len(joined) < 10 and self.joins[parts[-1]] and "@" not in self.token[parts[-1] - 1]:
+        while len(joined) < 10 and self.joins[parts[-1]] and self.plain[parts[-1] - 1]:
             parts.append(parts[-1] - 1)
             joined = _digits(self.token[parts[-1]]) + joined
         return out + [(f"{n}:{joined[-n:]}", parts) for n in (10, 7) if len(joined) >= n]

@@ -25,7 +25,7 @@ def luhn(d):
 
 
 def brute(text):
-    out = [(0, *m.span()) for m in EMAIL.finditer(text)]
+    out = [(0, *m.span()) for m in EMAIL.finditer(text)] if "@" in text else []  # the pattern takes quadratic time
     out += [(1, *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         d = re.sub("[^0-9]", "", m[0])
