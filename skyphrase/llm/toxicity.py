@@ -43,7 +43,8 @@ DECAY = 0.5
 DENIED = 0.8
 BATCH = 128
 SEED = 5
-PIECE = 1 << 19  # bytes or n-grams worked off at once
+ROWS = 1024  # windows read at once
+PIECE = 1 << 17  # bytes or n-grams worked off at once
 
 
 def windows(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,8 +175,8 @@ class Network:
         for some, padded in ((np.flatnonzero(~short), False), (np.flatnonzero(short), True)):
             if padded:
                 some = some[np.argsort(words.count[doc[some]], kind="stable")]
-            for k in range(0, len(some), 2048):
-                own = some[k : k + 2048]
+            for k in range(0, len(some), ROWS):
+                own = some[k : k + ROWS]
                 steps = int(words.count[doc[own]].max()) if padded else WINDOW
                 if not steps:
                     out[own] = 1 / (1 + np.exp(-self.p["bias"][0]))
@@ -322,16 +323,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_by
     # at most 2 * per_class rows of 12 bytes are broadcast, so texts aren't shuffled; equal rows count once
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.write(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", F.xxhash64("text").alias("key"), F.octet_length("text").alias("n"), "text").where(F.col("n") <= train_bytes))
+    key = F.xxhash64("text").alias("key")
+    sizes = scratch.write(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", key, F.octet_length("text").alias("n")).where(F.col("n") <= train_bytes))
     got = []
     for k in (0, 1):
-        near = rows.where(F.col("toxic") == k).select(F.xxhash64("doc_id").alias("rank"), "doc_id", "key", "n").distinct().orderBy("rank", "doc_id", "key").limit(per_class)
+        near = sizes.where(F.col("toxic") == k).select(F.xxhash64("doc_id").alias("rank"), "doc_id", "key", "n").distinct().orderBy("rank", "doc_id", "key").limit(per_class)
         total = F.sum("n").over(Window.orderBy("rank", "doc_id", "key").rowsBetween(Window.unboundedPreceding, 0))
-        fits = near.withColumn("total", total).where(F.col("total") <= train_bytes).select("doc_id", "key")
-        got += rows.join(F.broadcast(fits), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "toxic", "text").collect()
-    scratch.drop(rows)
-    got.sort(key=lambda r: (r["doc_id"], r["key"]))
-    return train(windows_of([r["text"] for r in got]), np.array([r["toxic"] for r in got]))
+        fits = near.withColumn("total", total).where(F.col("total") <= train_bytes).select("doc_id", F.col("key").alias("wanted"))
+        own = texts.join(F.broadcast(fits), "doc_id").select("doc_id", key, "wanted", "text").where("key = wanted")
+        got += [(r["doc_id"], r["key"], k, r["text"]) for r in own.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "text").collect()]
+    scratch.drop(sizes)
+    got.sort()
+    return train(windows_of([text for *_, text in got]), np.array([toxic for _, _, toxic, _ in got]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
@@ -351,4 +354,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     own = own.withColumn("held_out", held_out(F.col("doc_id")))
-    return own.mapInArrow(by_slice(work, limit=2 << 20), "doc_id long, held_out boolean, score double, predicted int, worst_window long")
+    return own.mapInArrow(by_slice(work, limit=1 << 20), "doc_id long, held_out boolean, score double, predicted int, worst_window long")
