@@ -70,5 +70,12 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import digests, periodic_runs, planted
+
+    docs = table(spark, sf_dir, "documents")
+    return digests(periodic_runs(docs.select("doc_id", planted(docs["doc_id"], docs["text"]).alias("text"))))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
