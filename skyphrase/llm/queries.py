@@ -70,6 +70,12 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import clusters
+
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .periodic_runs import digests, periodic_runs, planted
 
