@@ -38,6 +38,7 @@ FROM x JOIN y USING (g) JOIN b_s ON b_s.id = y.id GROUP BY x.id, y.id HAVING 100
 def oracle_sql() -> dict[str, str]:
     from .centroids import oracle as centroids
     from .licenses import oracle as licenses
+    from .main_text import oracle as main_text
     from .url_lists import oracle as url_lists
 
-    return {"op3_url_lists": url_lists(), "op9_license_scan": licenses(), "op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS, "op11_centroid_clusters": centroids()}
+    return {"op3_url_lists": url_lists(), "op9_license_scan": licenses(), "op4_near_duplicates": _NEAR, "op7_decontamination": _LEAKS, "op11_centroid_clusters": centroids(), "op12_main_text": main_text()}

@@ -76,6 +76,13 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .main_text import extract, trained
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, trained(pages))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .periodic_runs import digests, periodic_runs, planted
 
