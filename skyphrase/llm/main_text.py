@@ -205,7 +205,10 @@ def trained(pages: DataFrame, sample: int = SAMPLE, layouts: int = LAYOUTS) -> F
     from .layouts import composed
 
     near = pages.select(F.col("page_id").cast("string").alias("p"), F.col("html").cast("string").alias("h")).where(F.length("h").between(1, SAMPLE_CHARS))
-    picked = [r["h"] for r in near.orderBy(F.sha2(F.coalesce("p", F.lit("")).cast("binary"), 256), "h").limit(sample).collect()]
+    near = near.select(F.sha2(F.concat_ws(":", "p", F.xxhash64("h").cast("string")).cast("binary"), 256).alias("k"), "h")
+    # keys first, as every task sends its least ones; then the pages of those keys, each once
+    keys = [r["k"] for r in near.select("k").distinct().orderBy("k").limit(sample).collect()]
+    picked = [r["h"] for r in near.where(F.col("k").isin(keys)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect()]
     return fit(composed(picked, layouts))
 
 
