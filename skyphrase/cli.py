@@ -8,14 +8,15 @@ import sys
 from dataclasses import asdict
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config as region_config
 from .plans import generate, voices
 from .plans.scenario import Sampler
 from .progress import Progress, log_file
-from .sinks.shards import FingerprintMismatch, Folder, Manifest, push
+from .sinks.folder import Folder
+from .sinks.shards import FingerprintMismatch, Manifest, push
 from .sources import corpora, dims, registry, replay
 
 VERSION = "0.1.0"
@@ -56,16 +57,22 @@ def checked(args: argparse.Namespace) -> None:
 
 
 def logged(spark: SparkSession, args: argparse.Namespace, total: int, there: int = 0):
-    """A hook that writes progress lines to the log file (run.log in the output folder unless named)."""
+    """A hook that writes progress lines to the log file (run.log in the output folder unless named).  What was ``there``
+    before counts toward the share, and not toward the rate."""
     progress = Progress(total, log_file(spark, args.log_file or f"{args.out.rstrip('/')}/run.log"), args.log_every, there)
 
     def hook(stats) -> None:
         counts = asdict(stats)
-        progress.log(there + counts.get("ok", 0) + counts.get("failed", 0) if "ok" in counts else counts["kept"], **counts)
+        progress.log(there + counts["ok"] + counts["failed"] if "ok" in counts else counts["kept"], **counts)
 
     return hook
 
 
+def contents(rows: DataFrame, *columns: str) -> int:
+    """A digest of rows, whatever their order."""
+    return rows.agg(F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0)).alias("h")).first()["h"]
+
+
 def sampler(spark: SparkSession, args: argparse.Namespace) -> tuple[Sampler, str]:
     """The sampler of the arguments, and the name of its weighter."""
     settings = region_config.load(args.config)
@@ -75,21 +82,24 @@ def sampler(spark: SparkSession, args: argparse.Namespace) -> tuple[Sampler, str
     if args.weighter not in WEIGHTERS:
         raise BadArgument(f"no weighter {args.weighter!r}; there are {', '.join(WEIGHTERS)}")
     weights, name = None, f"{args.weighter}_v1"
+    ports = dims.airports(spark, args.airports)
     if args.weighter == "uniform":
-        weights = dims.uniform_weights(dims.airports(spark))
+        weights = dims.uniform_weights(ports)
     elif args.weighter == "custom":
         if not args.airports_weights:
             raise BadArgument("--weighter custom needs --airports-weights")
         weights = dims.custom_weights(spark, args.airports_weights)
         # what the file says belongs to the run, not only its name
-        name = f"custom:{weights.agg(F.coalesce(F.sum(F.xxhash64('icao', 'weight').cast('decimal(20,0)')), F.lit(0)).alias('h')).first()['h']}"
-    return Sampler(spark, settings, args.seed, weights=weights, regions=regions), name
+        name = f"custom:{contents(weights, 'icao', 'weight')}"
+    if args.airports:
+        name += f"+airports:{contents(ports, 'icao', 'region')}"
+    return Sampler(spark, settings, args.seed, airports=ports, weights=weights, regions=regions), name
 
 
 def run_config(args: argparse.Namespace, weighter: str, count: int) -> generate.RunConfig:
     regions = tuple(names(args.regions, "--regions")) or tuple(region_config.load(args.config).allowed_regions)
     keys = ("base_url", "api_key", "concurrency", "temperature", "max_tokens", "shard_size", "max_retries", "max_parse_retries", "seed", "model")
-    return generate.RunConfig(count=count, weighter_name=weighter, regions=regions, config_name=args.config, **{k: getattr(args, k) for k in keys if hasattr(args, k)})
+    return generate.RunConfig(count=count, weighter_name=weighter, regions=regions, config_name=args.config, config_contents=region_config.digest(args.config), **{k: getattr(args, k) for k in keys if hasattr(args, k)})
 
 
 def client_of(args: argparse.Namespace):
@@ -105,12 +115,15 @@ def do_sample(spark, args) -> int:
 
 def do_generate(spark, args) -> int:
     draws, weighter = sampler(spark, args)
-    hook = logged(spark, args, args.count) if not args.overwrite else None  # the folder is emptied first
     settings = run_config(args, weighter, args.count)
+    # the folder is opened first: it may be emptied, and what it holds counts toward the share done
+    sink = generate.open_sink(spark, args.out, settings, resume=args.resume, overwrite=args.overwrite)
     if args.overwrite:
-        generate.open_sink(spark, args.out, settings, overwrite=True).close()
-        hook = logged(spark, args, args.count)
-    print(generate.run(draws, args.out, settings, client_of(args), resume=args.resume or args.overwrite, hook=hook))
+        sink.close()
+    held = sink.manifest.settled
+    there = args.count - len(held.missing(args.count)) if held is not None else sink.manifest.total_rows
+    hook = logged(spark, args, args.count, there)
+    print(generate.run(draws, args.out, settings, client_of(args), resume=args.resume or args.overwrite, hook=hook, watch=hook))
     return 0
 
 
@@ -163,7 +176,9 @@ def do_voices(spark, args) -> int:
     except KeyError as error:
         raise BadArgument(error.args[0]) from error
     params = voices.Filter(args.min_duration_s, args.max_duration_s, args.min_rms_dbfs)
-    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target)))
+    folder = Folder(spark, args.out)
+    there = Manifest.load(folder.read("manifest.json")).total_rows if folder.exists("manifest.json") else 0
+    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target, there)))
     return 0
 
 
@@ -178,6 +193,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--seed", type=int, default=42)
         p.add_argument("--config", default="us")
         p.add_argument("--weighter", default="tier")
+        p.add_argument("--airports", help="a CSV with icao and country, instead of the bundled airports")
         p.add_argument("--airports-weights")
         p.add_argument("--regions")
         p.set_defaults(run=run)
@@ -234,8 +250,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sources", default="libritts-r")
     p.add_argument("--libritts")
     p.add_argument("--mls")
-    p.add_argument("--min-duration-s", type=float, default=20.0)
-    p.add_argument("--max-duration-s", type=float, default=30.0)
+    p.add_argument("--min-duration-s", type=float, default=voices.Filter.min_seconds)
+    p.add_argument("--max-duration-s", type=float, default=voices.Filter.max_seconds)
     p.add_argument("--min-rms-dbfs", type=float, default=-40.0)
     p.add_argument("--shard-size", type=int, default=500)
     p.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, fields
 from pathlib import Path
 
@@ -94,6 +95,11 @@ def available(folder: Path = RESOURCES) -> list[str]:
     return sorted(p.stem for p in folder.glob("*.yaml"))
 
 
+def digest(name: str = "us", folder: Path = RESOURCES) -> str:
+    """What a region's file says, as the first 16 hex digits of its SHA-1."""
+    return hashlib.sha1((folder / f"{name}.yaml").read_bytes()).hexdigest()[:16]
+
+
 def load(name: str = "us", folder: Path = RESOURCES) -> RegionConfig:
     """The configuration of a region; dropping a YAML file into the folder adds one."""
     import yaml

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,10 +32,21 @@ def voice_id(source: Column, speaker: Column) -> Column:
     return F.substring(F.sha1(F.concat_ws(":", source, speaker).cast("binary")), 1, 12)
 
 
-def fingerprint(model: str, seed: int, prompt_version: str, taxonomy_version: str, weighter_name: str, regions: Iterable[str], config_name: str) -> str:
-    """The key that runs must share to be resumed: 16 hex digits."""
+FINGERPRINTED = ["config_name", "model", "prompt_version", "regions", "seed", "taxonomy_version", "weighter_name"]
+
+
+def fingerprint(model: str, seed: int, prompt_version: str, taxonomy_version: str, weighter_name: str, regions: Iterable[str], config_name: str, **more) -> str:
+    """The key that runs must share to be resumed: 16 hex digits.  ``more`` settings count unless they are None."""
     payload = {
         "model": model, "seed": seed, "prompt_version": prompt_version, "taxonomy_version": taxonomy_version,
         "weighter_name": weighter_name, "regions": sorted(regions), "config_name": config_name,
     }
+    payload |= {k: v for k, v in more.items() if v is not None}
     return hashlib.sha1(json.dumps(payload, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16]
+
+
+def fingerprints(settings: Mapping[str, Column]) -> Column:
+    """``fingerprint`` of rows: Columns of the seven settings, the regions as an array."""
+    parts = {**settings, "regions": F.array_sort(settings["regions"])}
+    text = F.to_json(F.struct(*[parts[k].alias(k) for k in FINGERPRINTED]), {"ignoreNullFields": "false"})
+    return F.substring(F.sha1(text.cast("binary")), 1, 16)

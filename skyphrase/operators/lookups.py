@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,17 +46,24 @@ def cumulative(weights: DataFrame, key: str = "icao", weight: str = "weight", ex
     return run.withColumn("low", F.coalesce(F.lag("high").over(inner), F.col("_before"))).select(key, "low", "high")
 
 
-def pick(df: DataFrame, u: Column, intervals: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+#: Intervals are broadcast up to so many (some 5 MB).
+BROADCAST_INTERVALS = 1 << 16
+
+
+def pick(df: DataFrame, u: Column, intervals: DataFrame, key: str, buckets: int | None = None, more: Sequence[str] = ()) -> DataFrame:
     """Adds the key whose interval holds u * total: an equi-join on buckets of the range, with the bounds as condition.
 
     An interval is listed under each bucket that it touches, so a row meets the few intervals of its bucket instead of
     all of them; there are as many buckets as intervals, and 1,024 at least, unless ``buckets`` says otherwise.
+    ``more`` columns of the intervals come along.
     """
     found = intervals.agg(F.max("high").alias("t"), F.count("*").alias("n")).first()
     total, buckets = found["t"], buckets or max(1024, found["n"])
     if total is None or total <= 0:
         raise ValueError("nothing to choose from: no weight is positive")
     bucket = lambda c: F.least(F.floor(c / F.lit(total) * buckets), F.lit(buckets - 1)).cast("int")
-    listed = intervals.where("high > low").select(F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("_bucket"), F.col(key), "low", "high")
+    listed = intervals.where("high > low").select(F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("_bucket"), F.col(key), *more, "low", "high")
+    if found["n"] <= BROADCAST_INTERVALS:
+        listed = F.broadcast(listed)
     drawn = df.withColumn("_x", u * F.lit(total)).withColumn("_bucket", bucket(F.col("_x")))
-    return drawn.join(listed, (drawn["_bucket"] == listed["_bucket"]) & (drawn["_x"] >= listed["low"]) & (drawn["_x"] < listed["high"])).select(*df.columns, key)
+    return drawn.join(listed, (drawn["_bucket"] == listed["_bucket"]) & (drawn["_x"] >= listed["low"]) & (drawn["_x"] < listed["high"])).select(*df.columns, key, *more)

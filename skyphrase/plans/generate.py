@@ -1,24 +1,32 @@
 """Transcript generation: prompts to a pluggable text client, with retries, then parsing and checks.
 
-The client is the one stage outside Catalyst.  Its answers are written once before they are parsed and split into
-accepted and failed rows, so that no downstream read asks the endpoint again.
+The client is the one stage outside Catalyst.  Its answers are put down as they come, before they are parsed and split
+into accepted and failed rows, so that no downstream read asks the endpoint again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import time
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import asdict, dataclass, field, replace
+from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import ids, prompt, turns
 from ..operators import select
-from ..sinks.shards import Folder, ShardSink
+from ..sinks.folder import Folder
+from ..sinks.ledger import Ledger
+from ..sinks.shards import ShardSink
 from ..sources import replay
 from .scenario import TAXONOMY_VERSION, Sampler
 
@@ -39,6 +47,7 @@ class RunConfig:
     weighter_name: str = "tier_v1"
     regions: tuple[str, ...] = ("us",)
     config_name: str = "us"
+    config_contents: str | None = None
     prompt_version: str = prompt.PROMPT_VERSION
     taxonomy_version: str = TAXONOMY_VERSION
     max_retries: int = 5
@@ -46,7 +55,10 @@ class RunConfig:
     extra: dict = field(default_factory=dict)
 
     def fingerprint(self) -> str:
-        return ids.fingerprint(self.model, self.seed, self.prompt_version, self.taxonomy_version, self.weighter_name, self.regions, self.config_name)
+        return ids.fingerprint(
+            self.model, self.seed, self.prompt_version, self.taxonomy_version, self.weighter_name, self.regions, self.config_name,
+            config_contents=self.config_contents, temperature=self.temperature, max_tokens=self.max_tokens,
+        )
 
     def dump(self) -> dict:
         return asdict(self)
@@ -115,38 +127,110 @@ def acceptable(raw: str, focal: str) -> bool:
     return len(found) >= turns.MIN_TURNS and focal.upper() in {m[1].strip().upper() for m in found}
 
 
-def answers(scenarios: DataFrame, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, partitions: int | None = None) -> DataFrame:
-    """(id, scenario_id, scenario, raw, error): the last answer of each scenario, or the failure of its call.
+def windowed(items: Iterable, work: Callable, inflight: int, tick: float = 1.0, more: Callable[[], bool] = lambda: True) -> Iterator:
+    """(item, result) as answers come.  ``inflight`` items are in work at any time, until there are no more: each answer
+    makes room for the next item, whichever came first.  None about every ``tick`` seconds, so that the caller can act;
+    once ``more`` is false no item is begun."""
+    flying: dict = {}
+    source = iter(items)
+    open_, last = True, time.monotonic()
+    with ThreadPoolExecutor(inflight) as pool:
+        while open_ or flying:
+            while open_ and len(flying) < inflight:
+                item = next(source, _END) if more() else _END
+                if item is _END:
+                    open_ = False
+                else:
+                    flying[pool.submit(work, item)] = item
+            done, _ = wait(flying, timeout=tick, return_when=FIRST_COMPLETED)
+            for future in done:
+                yield flying.pop(future), future.result()
+            if time.monotonic() - last >= tick:
+                last = time.monotonic()
+                yield None
+
+
+_END = object()
+
+
+def asker(config: RunConfig, client: Callable[[RunConfig], Client]) -> Callable[[str, str], tuple[str | None, str | None]]:
+    """(raw, error) of the messages of a scenario, tried again until the answer is acceptable or tries run out."""
+    import json
 
-    Partitions share the concurrency; each keeps at most its part in flight, and batches bound what is held.
-    """
-    spark = scenarios.sparkSession
-    partitions = partitions or max(1, min(config.concurrency, spark.sparkContext.defaultParallelism))
-    inflight = max(1, config.concurrency // partitions)
-    asked = scenarios.repartition(partitions, "id").select("id", F.col("scenario.callsign").alias("focal"), F.to_json(prompt.messages(F.col("scenario"))).alias("messages"))
+    ask = client(config)
+
+    def one(messages: str, focal: str) -> tuple[str | None, str | None]:
+        raw, error = None, None
+        try:
+            for _ in range(max(1, config.max_parse_retries)):
+                raw = with_retries(lambda: ask(json.loads(messages)), config.max_retries)
+                if acceptable(raw, focal):
+                    break
+        except Exception as failure:  # noqa: BLE001  any failure is the row's result
+            error = f"{type(failure).__name__}: {failure}"
+        return raw, error
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import json
+    return one
 
-        ask = client(config)
 
-        def one(row) -> tuple:
-            raw, error = None, None
-            try:
-                for _ in range(max(1, config.max_parse_retries)):
-                    raw = with_retries(lambda: ask(json.loads(row.messages)), config.max_retries)
-                    if acceptable(raw, row.focal):
-                        break
-            except Exception as failure:  # noqa: BLE001  any failure is the row's result
-                error = f"{type(failure).__name__}: {failure}"
-            return row.id, raw, error
+def _shares(spark: SparkSession, config: RunConfig, partitions: int) -> tuple[int, int]:
+    """Partitions that ask, and how many requests each has in flight."""
+    partitions = max(1, min(config.concurrency, partitions))
+    return partitions, max(1, config.concurrency // partitions)
 
-        with ThreadPoolExecutor(inflight) as pool:
-            for batch in batches:
-                yield pd.DataFrame(list(pool.map(one, batch.itertuples())), columns=["id", "raw", "error"])
 
-    got = asked.mapInPandas(run, "id long, raw string, error string")
-    return scenarios.join(got, "id").select("id", "scenario_id", "scenario", "raw", "error")
+def _questions(scenarios: DataFrame, *more: str) -> DataFrame:
+    return scenarios.select("id", "scenario_id", "scenario", F.col("scenario.callsign").alias("focal"), F.to_json(prompt.messages(F.col("scenario"))).alias("messages"), *more)
+
+
+def answers(scenarios: DataFrame, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, partitions: int | None = None) -> DataFrame:
+    """(id, scenario_id, scenario, raw, error): the last answer of each scenario, or the failure of its call.
+
+    Partitions share the concurrency; each keeps its part of it in flight until it runs out of scenarios.
+    """
+    spark = scenarios.sparkSession
+    partitions, inflight = _shares(spark, config, partitions or spark.sparkContext.defaultParallelism)
+    asked = _questions(scenarios).repartition(partitions, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = asker(config, client)
+        held: list = []
+        for found in windowed(_rows(batches), lambda row: one(row.messages, row.focal), inflight):
+            if found is not None:
+                held.append(found)
+            if len(held) >= FLUSH_ROWS:
+                yield _answered(held)
+                held = []
+        if held:
+            yield _answered(held)
+
+    return asked.mapInArrow(run, f"id long, scenario_id string, scenario {schemas.SCENARIO}, raw string, error string")
+
+
+class Question(NamedTuple):
+    batch: pa.RecordBatch
+    row: int
+    id: int
+    focal: str
+    messages: str
+    part: int | None
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[Question]:
+    for batch in batches:
+        have = lambda name: batch.column(batch.schema.get_field_index(name)).to_pylist()  # noqa: B023, E731
+        parts = have("part") if "part" in batch.schema.names else [None] * batch.num_rows
+        for k, row in enumerate(zip(have("id"), have("focal"), have("messages"), parts, strict=True)):
+            yield Question(batch, k, *row)
+
+
+def _answered(held: list[tuple[Question, tuple[str | None, str | None]]]) -> pa.RecordBatch:
+    """The answered rows: id, scenario_id and scenario as they came, and what was answered."""
+    names = ["id", "scenario_id", "scenario"]
+    table = pa.Table.from_batches([q.batch.slice(q.row, 1).select(names) for q, _ in held]).combine_chunks()
+    (own,) = table.to_batches()
+    more = [pa.array([raw for _, (raw, _) in held], pa.string()), pa.array([error for _, (_, error) in held], pa.string())]
+    return pa.RecordBatch.from_arrays([*own.columns, *more], names=[*names, "raw", "error"])
 
 
 def outcomes(answered: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame]:
@@ -169,82 +253,226 @@ class Stats:
 
 
 Hook = Callable[[Stats], None]
-ANSWERS = ".answers"
+ANSWERS, STOP, DONE = ".answers", "_stop", "_done"
+FLUSH_ROWS, FLUSH_SECONDS, POLL = 200, 2.0, 0.25
 
 
-def settle(sink: ShardSink, part: str, config: RunConfig) -> Stats:
-    """Stores the outcomes of a part whose answers are written, but for rows and failures that are stored already."""
-    spark = sink.folder.spark
-    good, failed = outcomes(spark.read.parquet(f"{sink.folder.path}/{ANSWERS}/{part}"), config)
-    done = sink.existing()
-    if done is not None:
-        good = select.without(good, done, "scenario_id")
-    known = recorded(sink)
-    if known is not None:
-        failed = select.without(failed, known, "scenario_id")
-    ok = sink.append(good, "id", drop=["id"])
-    bad = failed.count()
-    if bad:
-        sink.add_failures(failed.drop("id"))
-    sink.folder.drop(f"{ANSWERS}/{part}")
-    return Stats(ok, bad)
+@dataclass(frozen=True)
+class Part:
+    """Ids that are settled at once: those of one stretch of ``size`` ids that the ledger lacks."""
+
+    key: str
+    ids: Ledger
+
+
+def parts_of(todo: Ledger, size: int) -> list[Part]:
+    return [Part(f"{own.intervals[0][0]:012d}x{size}", own) for own in todo.cut(size)]
+
+
+class Outbox:
+    """Where tasks leave answers: files of a few rows, ``part=<key>/<rows>-<accepted>-<...>.parquet``, put in one step."""
+
+    def __init__(self, folder: Folder):
+        self.folder = folder.sub(ANSWERS)
+
+    def counts(self) -> dict[str, list[int]]:
+        """By part: rows (more where a task was run twice) and accepted ones, from the names of the files."""
+        out: dict[str, list[int]] = {}
+        for name in self.folder.names("part=", deep=True):
+            head, _, tail = name.partition("/")
+            if tail.endswith(".parquet") and not tail.startswith("."):
+                rows, ok, _ = tail.split("-", 2)
+                own = out.setdefault(head[len("part=") :], [0, 0])
+                own[0] += int(rows)
+                own[1] += int(ok)
+        return out
+
+    def known(self) -> set[int]:
+        """Ids that are answered and not yet settled: those of a run that broke off or of a task's first attempt."""
+        out: set[int] = set()
+        for name in self.folder.names("part=", deep=True):
+            if name.endswith(".parquet") and "/." not in name:
+                with self.folder.fs.open_input_file(self.folder.at(name)) as source:
+                    out.update(pq.read_table(source, columns=["id"]).column("id").to_pylist())
+        return out
+
+    def leave(self, key: str, held: list) -> None:
+        ok = sum(error is None and acceptable(raw, q.focal) for q, (raw, error) in held)
+        out = io.BytesIO()
+        pq.write_table(pa.Table.from_batches([_answered(held)]), out, compression="zstd")
+        self.folder.put(f"part={key}/{len(held)}-{ok}-{uuid.uuid4().hex}.parquet", out.getvalue())
+
+    def read(self, spark: SparkSession, key: str) -> DataFrame:
+        return spark.read.parquet(f"{self.folder.path}/part={key}").dropDuplicates(["id"])
+
+
+def fill(questions: DataFrame, outbox: Outbox, keys: list[str], config: RunConfig, client: Callable[[RunConfig], Client], inflight: int) -> None:
+    """Asks all questions, whose ``part`` is the place of their part among the keys, and leaves the answers in the outbox.
+
+    One job asks for all parts, so requests never run dry between two of them.  A task that is run again, and a run
+    after one that broke off, pass over what was left before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, known, held, last = asker(config, client), outbox.known(), {}, time.monotonic()
+        fresh = (q for q in _rows(batches) if q.id not in known)
+        stopped, looked = False, 0.0
+
+        def more() -> bool:
+            nonlocal stopped, looked
+            if time.monotonic() - looked > 1:
+                looked, stopped = time.monotonic(), stopped or outbox.folder.exists(STOP)
+            return not stopped
+
+        many, leaving = 0, []
+        with ThreadPoolExecutor(1) as clerk:  # files are written beside the window, which goes on
+            for found in windowed(fresh, lambda q: one(q.messages, q.focal), inflight, 0.5, more):
+                if found is not None:
+                    held.setdefault(found[0].part, []).append(found)
+                    many += 1
+                if time.monotonic() - last >= FLUSH_SECONDS or (found is not None and len(held[found[0].part]) >= FLUSH_ROWS):
+                    leaving = [f for f in leaving if not (f.done() and f.result() is None)]
+                    leaving += [clerk.submit(outbox.leave, keys[part], own) for part, own in held.items()]
+                    held, last = {}, time.monotonic()
+            leaving += [clerk.submit(outbox.leave, keys[part], own) for part, own in held.items()]
+            for f in leaving:
+                f.result()
+        yield pa.RecordBatch.from_arrays([pa.array([many])], names=["n"])
+
+    questions.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
+def settle(sink: ShardSink, part: Part, config: RunConfig) -> Stats:
+    """Stores the outcomes of a part whose answers are all there.  Failures go into a file of the part's own, rows and
+    ledger into one commit: a part that breaks off is settled again, with the same result."""
+    outbox = Outbox(sink.folder)
+    answered = outbox.read(sink.folder.spark, part.key)
+    total = len(part.ids) or answered.count()
+    good, failed = outcomes(answered, config)
+    sink.add_failures(failed.drop("id"), part.key)
+    ok = sink.append(good, "id", drop=["id"], settled=part.ids, part=part.key, most=total)
+    if ok == total:
+        sink.folder.drop(f"failures.jsonl/part={part.key}")
+    outbox.folder.drop(f"part={part.key}")
+    return Stats(ok, total - ok)
 
 
 def recorded(sink: ShardSink) -> DataFrame | None:
-    if not sink.folder.exists("failures.jsonl"):
+    if not any(n.endswith(".json") or n.endswith(".jsonl") for n in sink.folder.names("failures.jsonl", deep=True)):
         return None
     return replay.failures(sink.folder.spark, f"{sink.folder.path}/failures.jsonl")[0]
 
 
-def ask(rows: DataFrame, sink: ShardSink, part: str, config: RunConfig, client: Callable[[RunConfig], Client]) -> None:
-    """Writes the scenarios of a part, then their answers: each is drawn once and asked for once."""
-    asked = f"{sink.folder.path}/{ANSWERS}/.{part}"
-    rows.select("id", "scenario_id", "scenario").write.mode("overwrite").parquet(asked)
-    answers(rows.sparkSession.read.parquet(asked), config, client).write.mode("overwrite").parquet(f"{sink.folder.path}/{ANSWERS}/{part}")
-    sink.folder.drop(f"{ANSWERS}/.{part}")
+def left_over(sink: ShardSink, config: RunConfig) -> Stats:
+    """Settles a replay that was answered in full, and drops answers of parts that are settled or that were cut otherwise."""
+    outbox, stats = Outbox(sink.folder), Stats(0, 0)
+    for name in sink.folder.sub(ANSWERS).names("part=replay-"):
+        key = name[len("part=") :]
+        if key != sink.manifest.last_part and outbox.folder.exists(f"{name}/{DONE}"):
+            more = settle(sink, Part(key, Ledger()), config)
+            stats = Stats(stats.ok + more.ok, stats.failed + more.failed)
+        outbox.folder.drop(name)
+    outbox.folder.drop(STOP)
+    return stats
 
 
-def left_over(sink: ShardSink, config: RunConfig, hook: Hook | None = None) -> Stats:
-    """Stores the answers that a run which broke off had written, and drops those that it hadn't finished."""
-    ok = failed = 0
-    own = Folder(sink.folder.spark, f"{sink.folder.path}/{ANSWERS}")
-    for part in own.names():
-        if own.exists(f"{part}/_SUCCESS") and not part.startswith("."):
-            stats = settle(sink, part, config)
-            ok, failed = ok + stats.ok, failed + stats.failed
-            if hook:
-                hook(Stats(ok, failed))
-        else:
-            own.drop(part)
-    return Stats(ok, failed)
+def adopted(sampler: Sampler, sink: ShardSink, count: int) -> Ledger:
+    """The ledger of a folder that never kept one: ids of the stored scenarios, drawn once more.  Neighbours are joined into
+    intervals by the tasks' side, so an interval comes to the driver for each gap."""
+    known = None
+    for have in (sink.existing(), recorded(sink)):
+        if have is not None:
+            known = have.select("scenario_id") if known is None else known.unionByName(have.select("scenario_id"))
+    if known is None:
+        return Ledger()
+    own = select.among(sampler.rows(count).select("id", "scenario_id"), known, "scenario_id").select("id").distinct()
+    edge = own.join(own.select((F.col("id") + 1).alias("id")), "id", "left_anti").select("id", F.lit(1).alias("low"))
+    end = own.select((F.col("id") + 1).alias("id")).join(own, "id", "left_anti").select("id", F.lit(0).alias("low"))
+    marks = sorted((r["id"], r["low"]) for r in edge.unionByName(end).collect())
+    lows, highs = [k for k, low in marks if low], [k for k, low in marks if not low]
+    return Ledger(zip(lows, highs, strict=True))
+
+
+def _numbered(spark: SparkSession, parts: list[Part], partitions: int) -> DataFrame:
+    """(id, part) of all parts in order, dealt to ``partitions`` tasks in turn, so that all work on the same parts."""
+    import json
+
+    listed = json.dumps([{"part": k, "low": a, "high": b} for k, p in enumerate(parts) for a, b in p.ids.intervals])
+    rows = spark.range(0, partitions, 1, partitions).select(F.col("id").alias("turn"), F.explode(F.from_json(F.lit(listed), "array<struct<part: int, low: long, high: long>>")).alias("i"))
+    first = F.col("i.low") + F.pmod(F.col("turn") - F.col("i.low"), F.lit(partitions))
+    rows = rows.withColumn("first", first).where("first < i.high")
+    return rows.select(F.explode(F.sequence("first", F.col("i.high") - 1, F.lit(partitions).cast("long"))).alias("id"), "i.part")
 
 
 def run(
     sampler: Sampler, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, *, resume: bool = True, overwrite: bool = False,
-    part_rows: int | None = None, hook: Hook | None = None,
+    part_rows: int | None = None, hook: Hook | None = None, watch: Hook | None = None,
 ) -> Stats:
     """Draws, answers and stores the scenarios that ``out`` doesn't hold yet, as rows or as failures.
 
-    Ids are worked off in parts of ``part_rows`` (a shard, unless said otherwise).  A part's answers are kept until its
-    outcomes are stored, so a run that breaks off asks again for one part at most; ``hook`` is told the counts after each.
+    What is left is read off the manifest's ledger; no stored row is looked at.  One job asks for all of it while parts
+    of ``part_rows`` ids (a shard, unless said otherwise) are settled as soon as their answers are there; ``hook`` is told
+    the counts after each, ``watch`` those of all answers so far, while they come.  Answers are kept until they are
+    settled, so a run that breaks off asks again for those in flight and the few that weren't put down yet.
     """
-    sink = open_sink(sampler.spark, out, config, resume=resume, overwrite=overwrite)
-    stats = left_over(sink, config, hook)
-    size = part_rows or config.shard_size
-    for start in range(0, config.count, size):
-        rows = sampler.rows(min(start + size, config.count), start)
-        for known in (sink.existing(), recorded(sink)):
-            if known is not None:
-                rows = select.without(rows, known, "scenario_id")
-        part = f"{start:012d}"
-        ask(rows, sink, part, config, client)
-        more = settle(sink, part, config)
-        stats = Stats(stats.ok + more.ok, stats.failed + more.failed)
-        if hook:
-            hook(stats)
+    spark = sampler.spark
+    sink = open_sink(spark, out, config, resume=resume, overwrite=overwrite)
+    stats = left_over(sink, config)
+    if sink.manifest.settled is None:
+        sink.manifest.settled = adopted(sampler, sink, config.count)
+        sink.close()
+    waiting = parts_of(sink.manifest.settled.missing(config.count), part_rows or config.shard_size)
+    outbox = Outbox(sink.folder)
+    for key in set(outbox.counts()) - {p.key for p in waiting}:
+        outbox.folder.drop(f"part={key}")
+    # half of the slots ask, the other half settles
+    partitions, inflight = _shares(spark, config, max(1, spark.sparkContext.defaultParallelism // 2))
+    questions = _questions(sampler.of(_numbered(spark, waiting, partitions)), "part")
+    failed: list[BaseException] = []
+
+    def ask() -> None:
+        try:
+            fill(questions, outbox, [p.key for p in waiting], config, client, inflight)
+        except BaseException as error:  # noqa: BLE001  raised by the caller
+            failed.append(error)
+
+    asking = InheritableThread(target=ask) if waiting else None
+    left, settled = {p.key: p for p in waiting}, Stats(0, 0)
+
+    def step() -> bool:
+        """Settles what is complete; whether anything was."""
+        nonlocal settled
+        counts, moved = outbox.counts(), False
+        if watch:
+            own = [counts[k] for k in left if k in counts]
+            watch(Stats(stats.ok + settled.ok + sum(c[1] for c in own), stats.failed + settled.failed + sum(c[0] - c[1] for c in own)))
+        for key in [k for k in left if k in counts and counts[k][0] >= len(left[k].ids)]:
+            if outbox.read(spark, key).count() < len(left[key].ids):
+                continue
+            more = settle(sink, left.pop(key), config)
+            settled, moved = Stats(settled.ok + more.ok, settled.failed + more.failed), True
+            if hook:
+                hook(Stats(stats.ok + settled.ok, stats.failed + settled.failed))
+        return moved
+
+    if asking:
+        try:
+            step()
+            if left:
+                asking.start()
+                while asking.is_alive():
+                    if not step():
+                        asking.join(POLL)
+                step()
+        except BaseException:
+            outbox.folder.put(STOP, b"")
+            if asking.ident is not None:
+                asking.join()
+            raise
+        if failed:
+            raise failed[0]
     sink.folder.drop(ANSWERS)
     sink.close()
-    return stats
+    return Stats(stats.ok + settled.ok, stats.failed + settled.failed)
 
 
 def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, hook: Hook | None = None) -> Stats:
@@ -258,9 +486,16 @@ def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[Ru
     done = sink.existing()
     if done is not None:
         rows = select.without(rows, done, "scenario_id")
-    ask(rows.withColumn("id", F.monotonically_increasing_id()), sink, "replay", config, client)
+    key = f"replay-{uuid.uuid4().hex}"
+    outbox = Outbox(sink.folder)
+    partitions, inflight = _shares(spark, config, spark.sparkContext.defaultParallelism)
+    asked = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.lit(0)).repartition(partitions, "scenario_id")
+    # numbered once: a task that runs again must meet the same ids
+    asked.write.parquet(f"{outbox.folder.path}/.replay-{key}")
+    fill(_questions(spark.read.parquet(f"{outbox.folder.path}/.replay-{key}"), "part"), outbox, [key], config, client, inflight)
+    outbox.folder.put(f"part={key}/{DONE}", b"")
     sink.rotate_failures()
-    stats = settle(sink, "replay", config)
+    stats = settle(sink, Part(key, Ledger()), config) if outbox.counts().get(key) else Stats(0, 0)
     sink.folder.drop(ANSWERS)
     if hook:
         hook(stats)

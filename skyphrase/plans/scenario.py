@@ -33,8 +33,7 @@ class Sampler:
         weights = dims.tier_weights(pool, config) if weights is None else weights.join(pool.select("icao"), "icao", "left_semi")
         if weights.where("weight > 0").isEmpty():
             raise ValueError(f"no airport with a weight in the regions {', '.join(allowed)}")
-        self.regions = pool.select("icao", "region")
-        self.intervals = lookups.cumulative(weights)
+        self.intervals = lookups.cumulative(weights).join(pool.select("icao", "region"), "icao")
         craft = dims.by_class(dims.aircraft(spark) if aircraft is None else aircraft)
         self.members = {r["operator_class"]: [(m["icao_type"], m["wake"]) for m in r["members"]] for r in craft.collect()}  # a row per class
         given = operator_weights or config.operator_weights
@@ -46,10 +45,15 @@ class Sampler:
 
     def rows(self, count: int, start: int = 0) -> DataFrame:
         """(id, scenario_id, scenario) of the ids start to count - 1."""
-        drawn = lookups.pick(self.spark.range(start, count), self.u("icao"), self.intervals, "icao").join(F.broadcast(self.regions), "icao")
+        return self.of(self.spark.range(start, count))
+
+    def of(self, numbered: DataFrame) -> DataFrame:
+        """The scenarios of the ids of a table, whose other columns come along."""
+        more = [c for c in numbered.columns if c != "id"]
+        drawn = lookups.pick(numbered, self.u("icao"), self.intervals, "icao", more=["region"])
         c, phase = self.config, F.col("phase")
         drawn = drawn.select(
-            "id", "icao", "region", rng.weighted(self.u("phase"), c.phase_weights).alias("phase"), rng.weighted(self.u("density"), c.traffic_density_weights).alias("traffic_density"),
+            *more, "id", "icao", "region", rng.weighted(self.u("phase"), c.phase_weights).alias("phase"), rng.weighted(self.u("density"), c.traffic_density_weights).alias("traffic_density"),
             rng.weighted(self.u("time"), c.time_of_day_weights).alias("time_of_day"), rng.weighted(self.u("event"), self.events).alias("event"), rng.weighted(self.u("sky"), c.weather.vmc_imc_weights).alias("sky"),
         )
         drawn = drawn.withColumn("aircraft", self._aircraft())
@@ -57,7 +61,7 @@ class Sampler:
             F.col("icao"), F.col("region"), phase, F.col("aircraft"), self._runway().alias("runway"), self._sid_star().alias("sid_star"), rng.squawk(self.u("squawk")).alias("squawk"),
             self._frequency().alias("frequency_mhz"), self._weather().alias("weather"), F.col("time_of_day"), F.col("traffic_density"), F.col("event"), *derived(),
         )
-        return drawn.select("id", scenario.alias("scenario")).select("id", ids.scenario_id(F.col("scenario")).alias("scenario_id"), "scenario")
+        return drawn.select("id", *more, scenario.alias("scenario")).select("id", ids.scenario_id(F.col("scenario")).alias("scenario_id"), "scenario", *more)
 
     def _aircraft(self) -> Column:
         ranges = self.config.traffic_aircraft_range

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from .sinks.shards import Folder, now_iso
+from .sinks.folder import Folder
+from .sinks.shards import now_iso
 
 
 class Progress:
@@ -30,15 +31,24 @@ class Progress:
 
 
 def log_file(spark, path: str) -> Callable[[str], None]:
-    """A ``write`` that keeps the lines, each after its time, in a file of any file system that Spark writes."""
+    """A ``write`` that adds each line, after its time, to a file; where the file system can't add to files, the lines of this
+    run are written as a whole each time."""
     folder, _, name = path.rpartition("/")
-    lines: list[str] = []
     own = Folder(spark, folder or ".")
-    if own.exists(name):
-        lines.extend(own.read(name).splitlines())
+    kept: list[str] | None = None
 
     def write(line: str) -> None:
-        lines.append(f"{now_iso()} {line}")
-        own.write(name, "\n".join(lines) + "\n")
+        nonlocal kept
+        text = f"{now_iso()} {line}\n"
+        if kept is None:
+            try:
+                own.fs.create_dir(own.at(), recursive=True)
+                with own.fs.open_append_stream(own.at(name), compression=None) as out:
+                    out.write(text.encode())
+                return
+            except (NotImplementedError, OSError):
+                kept = [own.read(name)] if own.exists(name) else []
+        kept.append(text)
+        own.write(name, "".join(kept))
 
     return write

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sinks.folder import Folder
 
 
 def parsed(line: Column, schema: str) -> Column:
@@ -15,7 +16,7 @@ def parsed(line: Column, schema: str) -> Column:
 
 def failures(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows of schemas.FAILURE, unreadable lines); blank lines count as neither."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where(F.trim("value") != "")
     read = lines.select("value", parsed(F.col("value"), schemas.FAILURE).alias("row"))
     bad = F.col("row._corrupt_record").isNotNull() | F.col("row.scenario").isNull()
     return read.where(~bad).select("row.*").drop("_corrupt_record"), read.where(bad).select("value")
@@ -23,12 +24,10 @@ def failures(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def inspect(spark: SparkSession, folder: str) -> dict[str, int]:
     """Shard files, rows and failure lines of an output folder."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    shards = [s.getPath().getName() for s in fs.listStatus(fs_path(folder)) if s.getPath().getName().startswith("shard-")]
-    failed = f"{folder}/failures.jsonl"
+    own = Folder(spark, folder)
+    shards = own.names("shard-")
     return {
         "shards": len(shards),
-        "rows": spark.read.parquet(*[f"{folder}/{s}" for s in shards]).count() if shards else 0,
-        "failures": spark.read.text(failed).where(F.trim("value") != "").count() if fs.exists(fs_path(failed)) else 0,
+        "rows": spark.read.parquet(f"{own.path}/shard-*.parquet").count() if shards else 0,
+        "failures": spark.read.option("recursiveFileLookup", True).text(f"{own.path}/failures.jsonl").where(F.trim("value") != "").count() if own.exists("failures.jsonl") else 0,
     }
