@@ -1,4 +1,4 @@
-"""Clip measures.  Durations come from file headers; only loudness needs samples.
+"""Clip measures.  Durations come from file headers, in SQL; only loudness needs samples.
 
 WAV of any chunk layout is read here (whole numbers of 8 to 32 bits, floats, the extensible header); durations of FLAC too,
 from its header.  Samples of other formats need a decoder, which is a parameter: bytes to (mono samples, rate) or None.
@@ -17,12 +17,11 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 Decoder = Callable[[bytes], tuple[np.ndarray, int] | None]
-HEAD = 4096  # a header is looked for in so many bytes
 _MEASURES = StructType().add("seconds", DoubleType()).add("rate", LongType()).add("rms", DoubleType())
 
 
 def wav_layout(head: bytes, size: int) -> tuple[int, int, int, int, int, int] | None:
-    """(format, channels, rate, bits, first byte of the samples, their size) of the beginning of a WAV file of ``size`` bytes."""
+    """(format, channels, rate, bits, first byte of the samples, their size) of a WAV file of ``size`` bytes."""
     if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
         return None
     at, kind = 12, None
@@ -39,27 +38,67 @@ def wav_layout(head: bytes, size: int) -> tuple[int, int, int, int, int, int] |
     return None
 
 
-def header_seconds(head: bytes, size: int) -> float | None:
-    """Duration by the header, None where it says nothing."""
-    if head[:4] == b"fLaC" and len(head) >= 26:
-        bits = int.from_bytes(head[18:26], "big")  # rate in 20 bits, channels and depth in 8, samples in 36
-        rate, samples = bits >> 44, bits & (1 << 36) - 1
-        return samples / rate if rate and samples else None
-    layout = wav_layout(head, size)
-    if layout is None:
-        return None
-    _, channels, rate, bits, _, length = layout
-    return length // (channels * ((bits + 7) // 8)) / rate
+#: Chunks that a first look at a WAV file walks over; the few files with more before their samples get a second one.
+LOOK = 12
+
+
+def _hex(data: Column, at: Column | int, size: int) -> Column:
+    return F.hex(F.substring(data, (F.lit(at) if isinstance(at, int) else at).cast("int") + 1, F.lit(size)))
+
+
+def _little(digits: Column, size: int) -> Column:
+    """The whole number whose bytes, the least first, are these hex digits."""
+    pairs = [F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))]
+    return F.conv(F.concat(*pairs), 16, 10).cast("long")
+
+
+def _walk(data: Column, size: Column, state: Column) -> Column:
+    """One step over the chunks of a WAV file, from the chunk at ``state.at``; ``state.over`` is 1 once the samples are found,
+    2 at the end of the file."""
+    head = _hex(data, state["at"], 8)
+    name, length = F.substring(head, 1, 8), _little(F.substring(head, 9, 8), 4)
+    form = (name == "666D7420") & (length >= 16) & (state["at"] + 24 <= size)
+    fields = _hex(data, state["at"] + 8, 16)
+    samples = name == "64617461"
+    more = F.struct(
+        F.when(samples, state["at"]).otherwise(state["at"] + 8 + length + length % 2).alias("at"),
+        F.when(form, _little(F.substring(fields, 5, 4), 2)).otherwise(state["channels"]).alias("channels"),
+        F.when(form, _little(F.substring(fields, 9, 8), 4)).otherwise(state["rate"]).alias("rate"),
+        F.when(form, _little(F.substring(fields, 29, 4), 2)).otherwise(state["bits"]).alias("bits"),
+        F.when(samples, F.least(length, size - state["at"] - 8)).otherwise(state["bytes"]).alias("bytes"),
+        F.when(samples, F.lit(1)).otherwise(F.lit(0)).alias("over"),
+    )
+    end = F.struct(*[state[c].alias(c) for c in ("at", "channels", "rate", "bits", "bytes")], F.lit(2).alias("over"))
+    return F.when(state["over"] > 0, state).when(state["at"] + 8 > size, end).otherwise(more)
+
+
+def _wav_seconds(data: Column, size: Column) -> Column:
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.lit(12).cast("long").alias("at"), *[zero.alias(c) for c in ("channels", "rate", "bits", "bytes")], F.lit(0).alias("over"))
+    step = lambda state, _: _walk(data, size, state)
+
+    def seconds(state: Column) -> Column:
+        wide = state["channels"] * F.floor((state["bits"] + 7) / 8)
+        ok = (state["over"] == 1) & (state["channels"] > 0) & (state["rate"] > 0) & (state["bits"] >= 8)
+        return F.when(ok, F.floor(state["bytes"] / wide).cast("double") / state["rate"])
 
+    def further(state: Column) -> Column:
+        """A chunk takes eight bytes at least, so the second look reaches the end of any file."""
+        steps = F.sequence(F.lit(0).cast("long"), F.greatest(zero, F.floor((size - state["at"]) / 8)))
+        return F.when(state["over"] > 0, seconds(state)).otherwise(F.aggregate(steps, state, step, seconds))
 
-@pandas_udf(DoubleType())
-def _header_seconds(head: pd.Series, size: pd.Series) -> pd.Series:
-    return pd.Series([header_seconds(h, n) if h is not None else None for h, n in zip(head, size, strict=True)], dtype="float64")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LOOK)), start, step, further)
 
 
 def clip_seconds(data: Column) -> Column:
-    """Duration of a clip by its header; null for what can't be read.  Python sees the first bytes only."""
-    return _header_seconds(F.substring(data, 1, HEAD), F.length(data))
+    """Duration of a clip by its header, in SQL; null for what can't be read.  The chunks of a WAV file are walked over
+    wherever they lie; a FLAC file has its rate and number of samples at a fixed place."""
+    size = F.octet_length(data).cast("long")
+    info = _hex(data, 18, 8)  # rate in 20 bits, channels and depth in 8, samples in 36
+    rate, samples = F.conv(F.substring(info, 1, 5), 16, 10).cast("long"), F.conv(F.substring(info, 8, 9), 16, 10).cast("long")
+    flac = F.when((size >= 26) & (rate > 0) & (samples > 0), samples.cast("double") / rate)
+    wav = (_hex(data, 0, 4) == "52494646") & (_hex(data, 8, 4) == "57415645")
+    return F.when(_hex(data, 0, 4) == "664C6143", flac).when(wav, _wav_seconds(data, size))
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int] | None:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import struct
-import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import config
 from ..functions import audio, checks, ids, prompt, rng, turns
 from ..operators import lookups, select
-from ..scratch import shared_dir
+from ..scratch import Scratch, written
 from ..sinks.shards import ShardSink, notice_rows
 from ..sources import corpora, dims, registry, replay
 from ..streaming import turns_stream
@@ -20,7 +20,6 @@ from . import generate, voices
 from .scenario import Sampler, derived
 
 SEED = 42
-SAMPLES = 500
 LANGUAGES = ["fr", "en", "es", "de"]  # sources in an order of their own
 
 
@@ -29,8 +28,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one."""
-    return f"{shared_dir(spark)}/catalogue-{uuid.uuid4().hex}"
+    """A new folder in the shared one, which goes with its owner (``scratch.owned``)."""
+    return Scratch(spark, "catalogue").top
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,22 +114,36 @@ def region_lookup(spark, sf_dir):
     return out.select("c_custkey", "region")
 
 
+def _ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(icao, country): customers' numbers as codes, of four letters if they have four digits, and the first letters of their nations."""
+    nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.substring("n_name", 1, 2).alias("country"))
+    rows = _table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left")
+    return rows.select(F.translate(F.col("c_custkey").cast("string"), "0123456789", "ABCDEFGHIJ").alias("icao"), "country")
+
+
 def region_rule(spark, sf_dir):
-    return dims.airports(spark).select("icao", "region")
+    return dims.coded(_ports(spark, sf_dir), dims.countries(spark)).select("icao", "region")
 
 
 def country_regions(spark, sf_dir):
-    """Every known country, and some that aren't, with their regions."""
-    odd = spark.createDataFrame([("AQ",), ("IO",), ("SH",), ("",), (None,), ("us",)], "country string")
-    return dims.with_region(dims.countries(spark).select("country").unionByName(odd), dims.countries(spark))
+    """Suppliers with the region of a country: known ones, two letters that few countries have, and none."""
+    nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    known = F.when(F.col("s_suppkey") % 7 != 0, F.substring("n_name", 1, 2)).when(F.col("s_suppkey") % 2 == 0, F.lower(F.substring("n_name", 1, 2)))
+    return dims.with_region(_table(spark, sf_dir, "supplier").join(nation, "s_nationkey").select("s_suppkey", known.alias("country")), dims.countries(spark))
 
 
 def tier_weights(spark, sf_dir):
-    return dims.tier_weights(dims.airports(spark), config.load())
+    """The weights of codes that customers have, some of them in a tier."""
+    tiers = [*sorted(config.load().airport_tiers), "ZZZZ", "YYYY"]
+    code = F.get(F.array(*map(F.lit, tiers)), (F.col("c_custkey") % len(tiers)).cast("int"))
+    return dims.tier_weights(_table(spark, sf_dir, "customer").select(code.alias("icao")).distinct(), config.load())
 
 
 def operator_multimap(spark, sf_dir):
-    found = lookups.members(dims.aircraft(spark), "operator_classes", "members", "icao_type")
+    """Nations by what they belong to: their region, and the first letter of their name."""
+    region = _table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    rows = _table(spark, sf_dir, "nation").join(region, "n_regionkey").select("n_name", F.array("r_name", F.substring("n_name", 1, 1)).alias("classes"))
+    found = lookups.members(rows, "classes", "members", "n_name")
     return found.select(F.col("member_of").alias("operator_class"), F.size("members").cast("long").alias("n_aircraft"), F.array_join("members", ",").alias("members"))
 
 
@@ -143,12 +156,17 @@ def _sampler(spark: SparkSession) -> Sampler:
     return Sampler(spark, config.load(), SEED)
 
 
+def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, scenario_id, scenario) of each order's number."""
+    return _sampler(spark).of(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id")))
+
+
 def scenario_sample(spark, sf_dir):
     s = F.col("scenario")
     w = s["weather"]
     # doubles as whole numbers: engines write the last digit of a rounded double differently
     whole = lambda x, scale: F.round(x * scale).cast("long")
-    return _sampler(spark).rows(SAMPLES).select(
+    return _drawn(spark, sf_dir).select(
         "id", "scenario_id", *[s[f].alias(f) for f in ("icao", "region", "phase", "runway", "sid_star", "squawk", "time_of_day", "traffic_density", "event", "callsign", "aircraft_type", "wake", "operator_class", "n_aircraft", "is_emergency", "is_towered")],
         F.array_join(F.transform(s["aircraft"], lambda a: F.concat_ws("/", a["callsign"], a["aircraft_type"], a["operator_class"])), ",").alias("roster"),
         w["wind_dir_deg"].alias("wind_dir_deg"), w["wind_kt"].alias("wind_kt"), w["ceiling_ft"].alias("ceiling_ft"), w["vmc_imc"].alias("vmc_imc"),
@@ -159,7 +177,7 @@ def scenario_sample(spark, sf_dir):
 def prompt_briefing(spark, sf_dir):
     s = F.col("scenario")
     asked = prompt.messages(s)
-    return _sampler(spark).rows(SAMPLES).select(
+    return _drawn(spark, sf_dir).select(
         "id", prompt.roster(s).alias("roster"), F.size(asked).cast("long").alias("n_messages"), F.array_join(F.transform(asked, lambda m: m["role"]), ",").alias("roles"), asked[1]["content"].alias("request")
     )
 
@@ -240,12 +258,11 @@ def domain_errors(spark, sf_dir):
 
 def scenario_errors(spark, sf_dir):
     """Drawn scenarios, some of them spoiled, by the rules that they break."""
-    path = f"{_scratch(spark)}/scenarios"
-    _sampler(spark).rows(SAMPLES).select("id", "scenario").write.parquet(path)
+    drawn = written(_drawn(spark, sf_dir).select("id", "scenario"))
     spoiled = F.col("scenario")
     for k, field, value in ((5, "squawk", "7700"), (7, "icao", "K1"), (11, "phase", "taxi"), (13, "weather.wind_kt", 81), (17, "n_aircraft", 99), (19, "weather.ceiling_ft", None)):
         spoiled = spoiled.withField(field, F.when(F.col("id") % k == 0, F.lit(value)).otherwise(F.col(f"scenario.{field}")))
-    rows = spark.read.parquet(path).select("id", F.explode_outer(checks.scenario_errors(spoiled)).alias("rule"))
+    rows = drawn.select("id", F.explode_outer(checks.scenario_errors(spoiled)).alias("rule"))
     return rows.groupBy(F.coalesce("rule", F.lit("none")).alias("rule")).agg(F.count("*").alias("n"))
 
 
@@ -275,7 +292,7 @@ def outcome_windows(spark, sf_dir):
 
 def generate_stub(spark, sf_dir):
     """Outcomes of the generation stage with the deterministic client, over a run's own output folder."""
-    out, settings = _generated(spark)
+    out, settings = _generated(spark, sf_dir)
     sink = generate.open_sink(spark, out, settings)
     good, failed = sink.existing(), generate.recorded(sink)
     return good.select("scenario_id", F.lit("ok").alias("outcome"), F.size("turns").cast("long").alias("n_turns")).unionByName(
@@ -283,45 +300,59 @@ def generate_stub(spark, sf_dir):
     )
 
 
-def _generated(spark: SparkSession) -> tuple[str, generate.RunConfig]:
-    """The output folder of a finished run with the deterministic client."""
+def _generated(spark: SparkSession, sf_dir: str) -> tuple[str, generate.RunConfig]:
+    """The output folder of a finished run with the deterministic client, of a scenario for each customer."""
     out = f"{_scratch(spark)}/generate"
-    settings = generate.RunConfig(model="stub", count=200, concurrency=8, shard_size=100)
+    settings = generate.RunConfig(model="stub", count=_table(spark, sf_dir, "customer").count(), concurrency=8, shard_size=RUN_SHARD)
     generate.run(_sampler(spark), out, settings, generate.stub_client)
     return out, settings
 
 
+RUN_SHARD = 5000
+
+
 def run_report(spark, sf_dir):
-    """Shards, rows and failures of a run's folder, its manifest, and the failures that a second try leaves."""
-    out, settings = _generated(spark)
-    found = replay.inspect(spark, out)
-    manifest = generate.open_sink(spark, out, settings).manifest
-    again = generate.rerun(spark, out, settings, generate.stub_client)
-    row = (found["shards"], found["rows"], found["failures"], manifest.total_rows, manifest.last_shard_index, again.ok, again.failed)
-    return spark.createDataFrame([row], "shards long, n_rows long, failures long, manifest_rows long, last_shard long, again_ok long, again_failed long")
+    """What a run's folder says of itself: shards and rows by digests and by manifest, the failures, and those that a
+    second try leaves."""
+    out, settings = _generated(spark, sf_dir)
+    generate.rerun(spark, out, settings, generate.stub_client)
+    digests = spark.read.json(f"{out}/digests").agg(F.count("*").alias("shards"), F.sum("rows").alias("n_rows"))
+    manifest = spark.read.json(f"{out}/manifest.json", multiLine=True).select(F.col("total_rows").alias("manifest_rows"), F.col("last_shard_index").alias("last_shard"))
+    lines = lambda path, name: spark.read.option("recursiveFileLookup", True).text(path).where(F.trim("value") != "").agg(F.count("*").alias(name))
+    found = [digests, manifest, lines(f"{out}/failures.2*.jsonl", "failures"), lines(f"{out}/failures.jsonl", "again_failed")]
+    rows = None
+    for df in found:
+        own = df.select(F.explode(F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(c).cast("long"))])).alias("what", "n"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
 
 
 def fingerprints(spark, sf_dir):
-    """The run fingerprint for each of the nation table's keys as seed and regions of one or two names."""
-    rows = [r[0] for r in _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long")).collect()]  # 25 rows
-    made = [(k, ids.fingerprint("stub", k, "p", "t1", "tier_v1", ["us", "canada"] if k % 2 else ["us"], "us")) for k in rows]
-    return spark.createDataFrame(made, "seed long, fingerprint string")
+    """The fingerprint of a run for each order: its number as seed, its clerk as model, regions of one or two names."""
+    key = F.col("o_orderkey")
+    regions = F.when(key % 2 == 1, F.array(F.lit("us"), F.lit("canada"))).otherwise(F.array(F.lit("us")))
+    fixed = {k: F.lit(v) for k, v in (("prompt_version", "p"), ("taxonomy_version", "t1"), ("weighter_name", "tier_v1"), ("config_name", "us"))}
+    return _table(spark, sf_dir, "orders").select("o_orderkey", ids.fingerprints({"model": F.col("o_orderpriority"), "seed": key.cast("long"), "regions": regions, **fixed}).alias("fingerprint"))
 
 
 def custom_weights(spark, sf_dir):
-    """A weights file with several rows of a key: the last counts."""
+    """Weights files with several rows of a key: the last counts."""
     path = f"{_scratch(spark)}/weights"
-    rows = _table(spark, sf_dir, "part").orderBy("p_partkey").select(F.col("p_brand").alias("icao"), F.col("p_size").alias("weight"))
-    rows.coalesce(1).write.csv(path, header=True)
+    rows = _table(spark, sf_dir, "part").repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    rows.select(F.col("p_brand").alias("icao"), F.col("p_size").alias("weight")).write.csv(path, header=True)
     return dims.custom_weights(spark, path)
 
 
 def corpus_order(spark, sf_dir):
-    """Rows of the splits' files, in the order of the splits, then of the files."""
+    """Rows of several folders' files, in the order of the folders, then of the files: a folder for each language."""
     top, docs = _scratch(spark), _table(spark, sf_dir, "documents").select("doc_id", "lang")
-    for split, lang in zip(corpora.SPLITS, LANGUAGES, strict=False):
-        docs.where(F.col("lang") == lang).orderBy("doc_id").coalesce(1).write.parquet(f"{top}/{split}")
-    return corpora.numbered(spark, [f"{top}/{split}" for split in corpora.SPLITS]).select("ord", "doc_id", "lang")
+    for lang in LANGUAGES:
+        docs.where(F.col("lang") == lang).repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.parquet(f"{top}/{lang}")
+    rows = corpora.numbered(spark, [f"{top}/{lang}" for lang in LANGUAGES])
+    file, row = F.shiftright("ord", 32), F.col("ord").bitwiseAND(F.lit((1 << 32) - 1))
+    counts = rows.groupBy(file.alias("file")).agg(F.count("*").alias("n"))  # a row per file
+    before = counts.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    return rows.withColumn("file", file).join(before, "file").select((F.col("before") + row).alias("place"), "doc_id", "lang")
 
 
 def _samples(data: bytes):

@@ -6,7 +6,7 @@ import csv
 
 from .. import config
 from ..functions.prompt import WAKES
-from .catalogue import SAMPLES, SEED
+from .catalogue import RUN_SHARD, SEED
 from .scenario import LETTERS
 
 _LINES = r"""
@@ -66,7 +66,7 @@ def _squawk(u: str) -> str:
     return f"(SELECT concat(c // 512, c // 64 % 8, c // 8 % 8, c % 8) FROM (SELECT {code} AS c))"
 
 
-def _scenarios(count: int = SAMPLES) -> str:
+def _scenarios(numbers: str = "SELECT o_orderkey::BIGINT AS id FROM orders") -> str:
     c = config.load()
     tiers = ", ".join(f"('{k}', {c.tier_weights[str(v)]})" for k, v in c.airport_tiers.items())
     members: dict[str, list] = {}
@@ -95,7 +95,7 @@ def _scenarios(count: int = SAMPLES) -> str:
 tiers(icao, weight) AS (VALUES {tiers}),
 pool AS (SELECT icao, region, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM ports LEFT JOIN tiers USING (icao) WHERE region IN ('us')),
 cdf AS (SELECT icao, region, sum(weight) OVER (ORDER BY icao) - weight AS low, sum(weight) OVER (ORDER BY icao) AS high, sum(weight) OVER () AS total FROM pool),
-n AS (SELECT range AS id FROM range({count})),
+n AS ({numbers}),
 d AS (SELECT id, icao, region, {_pick(q('phase'), c.phase_weights)} AS phase, {_pick(q('density'), c.traffic_density_weights)} AS traffic_density,
   {_pick(q('time'), c.time_of_day_weights)} AS time_of_day, {_pick(q('event'), c.event_weights)} AS event, {_pick(q('sky'), w.vmc_imc_weights)} AS vmc_imc
   FROM n JOIN cdf ON {q('icao')} * total >= low AND {q('icao')} * total < high),
@@ -134,8 +134,7 @@ _DOCS_FIRST = "SELECT source, min(doc_id) AS doc_id FROM documents WHERE n_chars
 
 
 def oracle_sql() -> dict[str, str]:
-    c = config.load()
-    classes = ", ".join(f"('{code}', '{name}')" for code, _, _, _, own in _craft() for name in own.split("|"))
+    c, people = config.load(), "SELECT row_number() OVER () - 1 AS id FROM customer"
     tiers = ", ".join(f"('{k}', {c.tier_weights[str(v)]})" for k, v in c.airport_tiers.items())
     points = """
 SELECT event_type, ok, n AS count, wall, CASE WHEN wall > 0 THEN round(ok::DECIMAL(20, 6) / wall, 3) ELSE 0 END::DOUBLE AS rate_per_sec, CASE WHEN n > 0 THEN round(100 * (n - ok)::DECIMAL(20, 6) / n, 2) ELSE 0 END::DOUBLE AS fail_pct
@@ -158,10 +157,18 @@ SELECT vec_id, coalesce(s BETWEEN 10 AND 60 AND r > 0 AND 20 * log10(CASE WHEN r
         "resume_offset": "SELECT doc_id FROM (SELECT unnest(range(least(100, m), m)) AS doc_id FROM (SELECT coalesce(max(doc_id), 0) + 1 AS m FROM documents)) WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "region_lookup": """
 SELECT c_custkey, coalesce(r_name, 'other') AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
-        "region_rule": f"WITH {_regions()} SELECT icao, region FROM ports",
-        "country_regions": f"WITH known(country, region) AS (VALUES {_countries()}) SELECT country, region FROM known UNION ALL SELECT unnest(['AQ', 'IO', 'SH', '', NULL, 'us']), 'other'",
-        "tier_weights": f"WITH air(icao, country) AS (VALUES {_airports()}), t(icao, weight) AS (VALUES {tiers}) SELECT icao, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM air LEFT JOIN t USING (icao)",
-        "operator_multimap": f"WITH a(code, class) AS (VALUES {classes}) SELECT class AS operator_class, count(*) AS n_aircraft, string_agg(code, ',' ORDER BY code) AS members FROM a GROUP BY class",
+        "region_rule": f"""
+WITH known(country, region) AS (VALUES {_countries()}), p AS (SELECT translate(CAST(c_custkey AS VARCHAR), '0123456789', 'ABCDEFGHIJ') AS icao, substr(n_name, 1, 2) AS country FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT icao, coalesce(region, 'other') AS region FROM p LEFT JOIN known USING (country) WHERE length(icao) = 4""",
+        "country_regions": f"""
+WITH known(country, region) AS (VALUES {_countries()}), s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 <> 0 THEN substr(n_name, 1, 2) WHEN s_suppkey % 2 = 0 THEN lower(substr(n_name, 1, 2)) END AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT s_suppkey, s.country, coalesce(region, 'other') AS region FROM s LEFT JOIN known ON known.country = s.country""",
+        "tier_weights": f"""
+WITH t(icao, weight) AS (VALUES {tiers}), p AS (SELECT DISTINCT [{', '.join(repr(x) for x in [*sorted(c.airport_tiers), 'ZZZZ', 'YYYY'])}][1 + c_custkey % {len(c.airport_tiers) + 2}] AS icao FROM customer)
+SELECT icao, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM p LEFT JOIN t USING (icao)""",
+        "operator_multimap": """
+WITH m AS (SELECT r_name AS c, n_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT substr(n_name, 1, 1), n_name FROM nation)
+SELECT c AS operator_class, count(*) AS n_aircraft, string_agg(n_name, ',' ORDER BY n_name) AS members FROM m GROUP BY c""",
         "allowed_regions": "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE'))",
         "scenario_sample": f"WITH {_scenarios()} SELECT * EXCLUDE (lines, mhz, vis, inhg), round(mhz * 100)::BIGINT AS frequency_khz10, round(vis * 100)::BIGINT AS vis_sm_100, round(inhg * 100)::BIGINT AS altimeter_100 FROM s",
         "prompt_briefing": f"WITH {_scenarios()} SELECT id, 'Aircraft on this frequency:' || chr(10) || lines AS roster, 2::BIGINT AS n_messages, 'system,user' AS roles, {_REQUEST} AS request FROM s",
@@ -190,8 +197,8 @@ SELECT event_type, count(*) FILTER (ok) AS readable, count(*) FILTER (NOT ok) AS
 WITH r AS (SELECT unnest([CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'status' END, CASE WHEN NOT o_totalprice BETWEEN 1000 AND 300000 THEN 'price' END,
   CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-4]-') THEN 'priority' END]) AS rule FROM orders)
 SELECT rule, count(*) AS n FROM r WHERE rule IS NOT NULL GROUP BY rule""",
-        "scenario_errors": f"""
-WITH r AS (SELECT range AS id FROM range({SAMPLES})),
+        "scenario_errors": """
+WITH r AS (SELECT o_orderkey AS id FROM orders),
 b AS (SELECT id, unnest([CASE WHEN id % 5 = 0 THEN 'squawk' END, CASE WHEN id % 7 = 0 THEN 'icao' END, CASE WHEN id % 11 = 0 THEN 'phase' END, CASE WHEN id % 13 = 0 THEN 'weather.wind_kt' END,
   CASE WHEN id % 17 = 0 THEN 'n_aircraft' END, CASE WHEN id % 5 <> 0 AND id % 7 <> 0 AND id % 11 <> 0 AND id % 13 <> 0 AND id % 17 <> 0 THEN 'none' END]) AS rule FROM r)
 SELECT rule, count(*) AS n FROM b WHERE rule IS NOT NULL GROUP BY rule""",
@@ -202,16 +209,16 @@ SELECT substr(sha1(source || ':' || CAST(doc_id AS VARCHAR)), 1, 12) AS voice_id
 SELECT (list_position(['fr', 'en', 'es', 'de'], lang) - 1) * 281474976710656 + doc_id AS ord, doc_id, lang FROM documents WHERE lang IN ('fr', 'en', 'es', 'de')""",
         "outcome_windows": """
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_id % 3 <> 0) AS ok, count(*) FILTER (event_id % 3 = 0) AS failed FROM events GROUP BY day""",
-        "generate_stub": f"""WITH {_scenarios(200)}, a AS (SELECT scenario_id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s)
+        "generate_stub": f"""WITH {_scenarios(people)}, a AS (SELECT scenario_id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s)
 SELECT scenario_id, CASE WHEN prose THEN 'TranscriptParseError' ELSE 'ok' END AS outcome, CASE WHEN prose THEN 0 ELSE 4 END::BIGINT AS n_turns FROM a""",
-        "run_report": f"""WITH {_scenarios(200)}, a AS (SELECT id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s),
-totals AS (SELECT count(*) FILTER (NOT prose) AS ok, count(*) FILTER (prose) AS bad, count(DISTINCT id // 100) FILTER (NOT prose) AS shards FROM a)
-SELECT shards, ok AS n_rows, bad AS failures, ok AS manifest_rows, shards - 1 AS last_shard, 0::BIGINT AS again_ok, bad AS again_failed FROM totals""",
-        "fingerprints": """SELECT n_nationkey::BIGINT AS seed, substr(sha1('{"config_name":"us","model":"stub","prompt_version":"p","regions":[' || CASE WHEN n_nationkey % 2 = 1 THEN '"canada",' ELSE '' END
-  || '"us"],"seed":' || n_nationkey || ',"taxonomy_version":"t1","weighter_name":"tier_v1"}'), 1, 16) AS fingerprint FROM nation""",
+        "run_report": f"""WITH {_scenarios(people)}, a AS (SELECT id, substr(sha1({_REQUEST}), 1, 2) < '1a' AS prose FROM s),
+totals AS (SELECT count(*) FILTER (NOT prose) AS ok, count(*) FILTER (prose) AS bad, count(DISTINCT id // {RUN_SHARD}) FILTER (NOT prose) AS shards FROM a)
+SELECT unnest(['shards', 'n_rows', 'manifest_rows', 'last_shard', 'failures', 'again_failed']) AS what, unnest([shards, ok, ok, shards - 1, bad, bad])::BIGINT AS n FROM totals""",
+        "fingerprints": """SELECT o_orderkey, substr(sha1('{"config_name":"us","model":"' || o_orderpriority || '","prompt_version":"p","regions":[' || CASE WHEN o_orderkey % 2 = 1 THEN '"canada",' ELSE '' END
+  || '"us"],"seed":' || o_orderkey || ',"taxonomy_version":"t1","weighter_name":"tier_v1"}'), 1, 16) AS fingerprint FROM orders""",
         "custom_weights": "SELECT p_brand AS icao, arg_max(p_size, p_partkey)::DOUBLE AS weight FROM part GROUP BY p_brand",
         "corpus_order": """
-SELECT (list_position(['fr', 'en', 'es'], lang) - 1) * 4294967296 + row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS ord, doc_id, lang FROM documents WHERE lang IN ('fr', 'en', 'es')""",
+SELECT row_number() OVER (ORDER BY list_position(['fr', 'en', 'es', 'de'], lang), doc_id) - 1 AS place, doc_id, lang FROM documents WHERE lang IN ('fr', 'en', 'es', 'de')""",
         "voice_pool": """
 WITH e AS (SELECT vec_id, CAST(label AS VARCHAR) || '-' || CAST(vec_id % 7 AS VARCHAR) AS speaker, len(embedding) AS n, len(embedding) / 4.0 AS s,
   sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)) AS r FROM embeddings),

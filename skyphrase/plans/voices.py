@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, ids
 from ..operators import select
+from ..scratch import owned, written
 from ..sinks.shards import ShardSink, notice, now_iso
 from ..sources import registry
 
@@ -20,7 +21,7 @@ AHEAD = 4
 
 @dataclass(frozen=True)
 class Filter:
-    min_seconds: float = 10.0
+    min_seconds: float = 20.0
     max_seconds: float = 30.0
     min_rms_dbfs: float = -40.0
 
@@ -40,8 +41,10 @@ def as_is(samples_wav: bytes) -> bytes:
 
 
 def chosen(candidates: DataFrame, existing: DataFrame | None, params: Filter, target: int, decode: audio.Decoder = audio.decode_wav) -> DataFrame:
-    """Slim rows of all candidates with voice_id, seconds, rate, kept, processed and skipped; no audio bytes."""
+    """Slim rows of all candidates with voice_id, seconds, rate, kept, processed and skipped; no audio bytes.  Clips are
+    decoded once: their measures are written before the choice reads them again and again."""
     measured = candidates.withColumn("m", audio.measure(F.col("bytes"), decode)).drop("bytes").select("*", "m.seconds", "m.rate", "m.rms").drop("m")
+    measured = written(measured)
     measured = measured.withColumn("voice_id", ids.voice_id(F.col("source"), F.col("source_speaker_id")))
     stored = 0
     if existing is None:
@@ -72,11 +75,12 @@ def build(
     while True:
         seen = candidates.select("ord").orderBy("ord").limit(many).agg(F.max("ord").alias("last"), F.count("*").alias("n")).first()
         near = candidates.where(F.col("ord") <= F.lit(seen["last"])) if seen["n"] == many else candidates
-        records = chosen(near, existing, params or Filter(), target, decode).select(
-            "ord", "voice_id", "source", "source_speaker_id", "source_clip_id", F.col("seconds").alias("duration_s"), F.col("rate").alias("sample_rate"), "license", "attribution",
-            F.lit(at).alias("selected_at"), F.coalesce(pools[F.col("source")], F.lit("")).alias("sub_pool"), "gender_hint", "language", "text", "kept", "skipped",
-        )
-        records.where("kept or skipped").write.mode("overwrite").parquet(aside)
+        with owned():
+            records = chosen(near, existing, params or Filter(), target, decode).select(
+                "ord", "voice_id", "source", "source_speaker_id", "source_clip_id", F.col("seconds").alias("duration_s"), F.col("rate").alias("sample_rate"), "license", "attribution",
+                F.lit(at).alias("selected_at"), F.coalesce(pools[F.col("source")], F.lit("")).alias("sub_pool"), "gender_hint", "language", "text", "kept", "skipped",
+            )
+            records.where("kept or skipped").write.mode("overwrite").parquet(aside)
         records = spark.read.parquet(aside)
         new = records.where("kept")
         found = records.agg(F.count_if("kept").alias("kept"), F.count_if("skipped").alias("skipped"), F.count_if(F.col("duration_s").isNull()).alias("unreadable")).first()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import audio
 from ..operators import select
 from .registry import Source, register
+from .remote import remote_clips
 
 # Splits in order, bounds in seconds, the licence and the attribution texts of both corpora.
 SPLITS = ["train.clean.100", "train.clean.360", "train.other.500"]
@@ -44,15 +45,22 @@ def candidate(rows: DataFrame, source: str, clip: Column, text: Column, attribut
     )
 
 
+#: Files up to which their numbers are broadcast (some 10 MB).
+BROADCAST_FILES = 1 << 16
+
+
 def numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of Parquet files with ord: the place of the file in the list of paths, its name, and the row within it."""
-    parts = [spark.read.parquet(p).select("*", F.lit(k).alias("_path"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")) for k, p in enumerate(paths)]
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    files = out.select("_path", "_file").distinct().orderBy("_path", "_file").collect()  # one row per file
-    rank = spark.createDataFrame([(r["_path"], r["_file"], k) for k, r in enumerate(files)], "_path int, _file string, _rank long")
-    return out.join(F.broadcast(rank), ["_path", "_file"]).withColumn("ord", F.shiftleft("_rank", 32) + F.col("_row")).drop("_path", "_file", "_row", "_rank")
+    """Rows of Parquet files with ord: the place of the file in the list of paths, its name, and the row within it.  Places
+    come from the listing that Spark's reader makes on the driver; no row is read for them."""
+    files, out = [], None
+    for k, path in enumerate(paths):
+        own = spark.read.parquet(path)
+        files += [(k, name.replace(":///", ":/")) for name in sorted(own.inputFiles())]  # both ways to write a path without a host
+        own = own.select("*", F.lit(k).alias("_path"), F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        out = own if out is None else out.unionByName(own)
+    rank = spark.createDataFrame([(k, name, place) for place, (k, name) in enumerate(files)], "_path int, _file string, _rank long")
+    rank = F.broadcast(rank) if len(files) <= BROADCAST_FILES else rank.hint("merge")
+    return out.join(rank, ["_path", "_file"]).withColumn("ord", F.shiftleft("_rank", 32) + F.col("_row")).drop("_path", "_file", "_row", "_rank")
 
 
 def libritts(folder: str) -> Source:
@@ -66,12 +74,22 @@ def libritts(folder: str) -> Source:
 
 
 def mls(folder: str) -> Source:
-    def candidates(spark: SparkSession) -> DataFrame:
+    """A source over a folder, or over the listing of remote files at an address: durations outside of the bounds are
+    rejected before their bytes are fetched, and the choice of clips fetches none."""
+
+    def local(spark: SparkSession) -> DataFrame:
         rows = numbered(spark, [folder])
         if "audio_duration" not in rows.columns:
             rows = rows.withColumn("audio_duration", F.lit(None).cast("double"))
-        rows = rows.select("ord", "speaker_id", "original_path", "audio_duration", "audio")
-        return candidate(first_clips(rows), "mls-eng", F.col("original_path"), F.lit(None).cast("string"), MLS)
+        return first_clips(rows.select("ord", "speaker_id", "original_path", "audio_duration", "audio"))
+
+    def streamed(spark: SparkSession) -> DataFrame:
+        won = select.first_per_key(remote_clips(spark, folder, PREFILTER, audio=False).select("ord", "speaker_id"), "speaker_id", "ord")
+        return remote_clips(spark, folder, PREFILTER).join(won.select("ord"), "ord", "left_semi").where(F.length("audio.bytes") > 0).withColumn("place", F.col("ord"))
+
+    def candidates(spark: SparkSession) -> DataFrame:
+        rows = streamed(spark) if folder.startswith(("http://", "https://")) else local(spark)
+        return candidate(rows, "mls-eng", F.col("original_path"), F.lit(None).cast("string"), MLS)
 
     return Source("mls-eng", "controller", candidates)
 

@@ -32,7 +32,12 @@ def with_region(rows: DataFrame, known: DataFrame) -> DataFrame:
 def airports(spark: SparkSession, path: str | None = None, regions: DataFrame | None = None) -> DataFrame:
     """(icao, country, region) of codes of four capitals; the bundled list, or a CSV with icao and country."""
     found = spark.read.schema(schemas.AIRPORT).csv(path, header=True) if path else _bundled(spark, "airports.csv", schemas.AIRPORT)
-    return with_region(found.where(F.col("icao").rlike("^[A-Z]{4}$")), countries(spark) if regions is None else regions)
+    return coded(found, countries(spark) if regions is None else regions)
+
+
+def coded(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows with an icao of four capitals, and the region of their country."""
+    return with_region(rows.where(F.col("icao").rlike("^[A-Z]{4}$")), regions)
 
 
 def aircraft(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -48,8 +53,9 @@ def by_class(craft: DataFrame) -> DataFrame:
 
 
 def custom_weights(spark: SparkSession, path: str) -> DataFrame:
-    """(icao, weight) of a CSV; the last row of a code counts."""
-    rows = spark.read.schema(schemas.WEIGHT).csv(path, header=True).withColumn("place", F.monotonically_increasing_id())
+    """(icao, weight) of a CSV, or of a folder of them in the order of their names; the last row of a code counts."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = spark.read.schema(schemas.WEIGHT).csv(path, header=True).select("icao", "weight", place.alias("place"))
     return rows.groupBy("icao").agg(F.max_by("weight", "place").alias("weight"))
 
 

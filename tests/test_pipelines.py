@@ -209,17 +209,17 @@ def test_voice_scan_ends_at_the_target(spark, tmp_path):
 
     rows = [(f"s{k}", f"c{k}", tone(12, rate=800)) for k in range(200)]
     told = []
-    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=3, decode=decode, hook=told.append)
+    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=3, params=voices.Filter(10.0), decode=decode, hook=told.append)
     assert stats.kept == 3 and 3 <= seen.value <= 40 and told == [stats]
 
 
 def test_voice_scan_goes_on_past_unreadable_clips(spark, tmp_path):
     """Nine in ten can't be read: further looks find the rest, as a loop over all would, and they are counted."""
     rows = [(f"s{k}", f"c{k}", tone(12, rate=800) if k % 10 == 9 else b"OggS") for k in range(100)]
-    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=4)
+    stats = voices.build(spark, [clips_source(rows)], (tmp_path / "v").as_uri(), target=4, params=voices.Filter(10.0))
     assert stats == voices.Stats(kept=4, skipped=36, unreadable=36)
     own = lambda data: audio.decode_wav(tone(15, rate=800)) if data == b"OggS" else audio.decode_wav(data)  # noqa: E731  a decoder of one's own
-    assert voices.build(spark, [clips_source(rows)], (tmp_path / "w").as_uri(), target=4, decode=own) == voices.Stats(kept=4, skipped=0, unreadable=0)
+    assert voices.build(spark, [clips_source(rows)], (tmp_path / "w").as_uri(), target=4, params=voices.Filter(10.0), decode=own) == voices.Stats(kept=4, skipped=0, unreadable=0)
 
 
 class Broken(Exception):
