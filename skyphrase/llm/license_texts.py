@@ -1,6 +1,7 @@
 """Public licence texts and notices that the licence scan knows.
 
-Fixed values: each has a label, a phrase that a file must hold near it, and its text, without names and years.
+Fixed values: each has a label, a phrase that a file must hold near it, and its text, without names and years.  Of the long
+licences these are the notices that files carry, and the openings of the licences' own texts.
 """
 
 from __future__ import annotations
@@ -37,11 +38,38 @@ MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more
 You should have received a copy of the GNU {name} along with this program. If not, see <https://www.gnu.org/licenses/>.
 """
 
+_COPY = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+
+_CC = """
+Creative Commons {name} 4.0 International Public License
+By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative
+Commons {name} 4.0 International Public License ("Public License"). To the extent this Public License may be interpreted as a
+contract, You are granted the Licensed Rights in consideration of Your acceptance of these terms and conditions, and the Licensor
+grants You such rights in consideration of benefits the Licensor receives from making the Licensed Material available under these
+terms and conditions.
+"""
+
 TEXTS = [
     ("0bsd", "for any purpose with or without fee is hereby granted the software is provided", """
 Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 """ + _ISC_WARRANTY),
     ("agpl", "gnu affero general public license", _GNU.format(name="Affero General Public License")),
+    ("agpl", "gnu affero general public license", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 " + _COPY + """
+Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically
+designed to ensure cooperation with the community in the case of network server software.
+"""),
+    ("apache", "apache license version 2 0", """
+Apache License Version 2.0, January 2004 http://www.apache.org/licenses/
+TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+1. Definitions.
+"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this
+document.
+"Licensor" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.
+"Legal Entity" shall mean the union of the acting entity and all other entities that control, are controlled by, or are under
+common control with that entity. For the purposes of this definition, "control" means (i) the power, direct or indirect, to cause
+the direction or management of such entity, whether by contract or otherwise, or (ii) ownership of fifty percent (50%) or more of
+the outstanding shares, or (iii) beneficial ownership of such entity.
+"""),
     ("apache", "apache license version 2 0", """
 Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
 You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
@@ -69,21 +97,48 @@ FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
 from this software without specific prior written permission.
 """ + _WARRANTY),
+    ("cc-by", "creative commons attribution 4 0", _CC.format(name="Attribution")),
     ("cc-by", "cc by 4 0", "Licensed under CC BY 4.0."),
     ("cc-by", "creative commons attribution 4 0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "creative commons attribution noncommercial", _CC.format(name="Attribution-NonCommercial")),
     ("cc-by-nc", "cc by nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc", "creative commons attribution noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-sa", "creative commons attribution sharealike", _CC.format(name="Attribution-ShareAlike")),
     ("cc-by-sa", "cc by sa", "Licensed under CC BY-SA 4.0."),
     ("cc-by-sa", "creative commons attribution sharealike", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("cc0", "waived all copyright", """
 To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.
 """),
     ("gpl", "gnu general public license", _GNU.format(name="General Public License")),
+    ("gpl", "gnu general public license", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 " + _COPY + """
+Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most
+software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU
+General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains
+free software for all its users.
+"""),
+    ("gpl", "gnu general public license", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 " + _COPY + """
+Preamble The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General
+Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all
+its users. This General Public License applies to most of the Free Software Foundation's software and to any other program whose
+authors commit to using it.
+"""),
     ("gpl", "gnu general public license", "This work is licensed under the GNU General Public License, version 3."),
     ("isc", "provided that the above copyright notice", """
 Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
 that the above copyright notice and this permission notice appear in all copies.
 """ + _ISC_WARRANTY),
+    ("lgpl", "gnu lesser general public license", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 " + _COPY + """
+This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public
+License, supplemented by the additional permissions listed below.
+0. Additional Definitions. As used herein, "this License" refers to version 3 of the GNU Lesser General Public License, and the "GNU
+GPL" refers to version 3 of the GNU General Public License.
+"The Library" refers to a covered work governed by this License, other than an Application or a Combined Work as defined below.
+"""),
+    ("lgpl", "version of the lesser gpl", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 " + _COPY + """
+[This is the first released version of the Lesser GPL. It also counts as the successor of the GNU Library Public License, version 2,
+hence the version number 2.1.]
+Preamble The licenses for most software are designed to take away your freedom to share and change it.
+"""),
     ("lgpl", "gnu lesser general public license", _GNU.format(name="Lesser General Public License")),
     ("mit", "permission is hereby granted free of charge", """
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
@@ -98,6 +153,16 @@ IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
 """),
     ("mit", "mit license", "Released under the MIT License."),
     ("mpl", "mozilla public license", """
+Mozilla Public License Version 2.0
+1. Definitions
+1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.
+1.2. "Contributor Version" means the combination of the Contributions of others (if any) used by a Contributor and that particular
+Contributor's Contribution.
+1.3. "Contribution" means Covered Software of a particular Contributor.
+1.4. "Covered Software" means Source Code Form to which the initial Contributor has attached the notice in Exhibit A, the Executable
+Form of such Source Code Form, and Modifications of such Source Code Form, in each case including portions thereof.
+"""),
+    ("mpl", "mozilla public license", """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with
 this file, You can obtain one at https://mozilla.org/MPL/2.0/.
 """),

@@ -1,6 +1,6 @@
 """Licence scans by a positional rare-token index, in DataFrame expressions only.
 
-Templates are whole licence texts and notices (``license_texts.py``).  A word's inverse document frequency is that over
+Templates are licence texts, or their openings where they are long, and notices (``license_texts.py``).  A word's inverse document frequency is that over
 the templates.  The index posts, with template and position, every word of highest IDF: those in at most ``RARE`` templates,
 and of a template that has fewer than ``LEAST`` such words its rarest.  A file's own words of the index are looked up,
 all of them; a posting at template position p that meets file position i proposes that the template begins at i - p.
@@ -85,41 +85,52 @@ def _positions(words: Column, some: list[str]) -> Column:
     return F.filter(marked, lambda i: i.isNotNull())
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _alignments(words: Column, spots: Column) -> Column:
-    """Alignments, ascending, that VOTES or more words of the index propose."""
+    """Alignments, ascending, that VOTES or more words of the index propose: of each run of equal ones in the sorted
+    proposals, the place where it comes to so many."""
     posted = json.dumps({w: [(t << _SHIFT) + _ZERO - p for t, p in found] for w, found in INDEX.items()})
     postings = F.from_json(F.lit(posted), "map<string,array<bigint>>")
     proposed = F.flatten(F.transform(spots, lambda i: F.transform(postings[F.get(words, i)], lambda x: x + i)))
-    none = F.array().cast("array<bigint>")
-    start = F.struct(F.lit(-1).cast("bigint").alias("last"), F.lit(0).alias("n"), none.alias("out"))
 
-    def count(seen: Column, x: Column) -> Column:
-        n = F.when(seen["last"] == x, seen["n"] + 1).otherwise(1)
-        return F.struct(x.alias("last"), n.alias("n"), F.when(n == VOTES, F.concat(seen["out"], F.array(x))).otherwise(seen["out"]).alias("out"))
+    def counted(own: Column) -> Column:
+        before = lambda i, k: F.when(i >= k, F.get(own, i - k))  # noqa: E731  a place below 0 has none
+        enough = lambda x, i: F.coalesce(before(i, VOTES - 1) == x, F.lit(False)) & ~F.coalesce(before(i, VOTES) == x, F.lit(False))
+        return F.filter(own, enough)
 
-    return F.aggregate(F.sort_array(proposed), start, count, lambda seen: seen["out"])
+    return _bound(F.sort_array(proposed), counted)
 
 
 def _scores(words: Column, found: Column) -> Column:
-    """Structs (t, s) of the alignments that hold: template and share of its words in place."""
-    texts = F.array(*[F.lit(" ".join(own)) for _, own, _ in TEMPLATES])
-    phrases = F.array(*[F.lit(" ".join(phrase)) for _, _, phrase in TEMPLATES])
+    """Structs (t, s) of the alignments that hold: template and share of its words in place.  Arrays are read by place
+    only, so an alignment costs the same in a file of any length."""
+    lists = lambda rows: F.from_json(F.lit(json.dumps(rows)), "array<array<string>>")
+    texts, phrases = lists([own for _, own, _ in TEMPLATES]), lists([phrase for _, _, phrase in TEMPLATES])
     template = lambda x: F.shiftright(x, _SHIFT).cast("int")
     begin = lambda x: (x.bitwiseAND(F.lit((1 << _SHIFT) - 1)) - _ZERO).cast("int")
+    word = lambda i: F.when(i >= 0, F.get(words, i))
 
     def score(x: Column, k: Column) -> Column:
         # alignments differ, so no more than DRIFT on either side are near enough
-        beside = F.slice(found, F.greatest(k + 1 - DRIFT, F.lit(1)), F.lit(2 * DRIFT + 1))
-        near = F.transform(F.filter(beside, lambda y: F.abs(y - x) <= DRIFT), begin)
-        own = F.split(F.get(texts, template(x)), " ")
-        placed = F.filter(F.transform(own, lambda w, p: F.exists(near, lambda b: F.coalesce(F.get(words, b + p) == w, F.lit(False)))), lambda held: held)
-        return F.struct(template(x).alias("t"), (F.size(placed) / F.size(own)).alias("s"))
+        places = F.sequence(F.greatest(k - DRIFT, F.lit(0)), F.least(k + DRIFT, F.size(found) - 1))
+        near = F.transform(F.filter(F.transform(places, lambda j: F.get(found, j)), lambda y: F.abs(y - x) <= DRIFT), begin)
+
+        def share(own: Column, near: Column) -> Column:
+            placed = F.filter(F.transform(own, lambda w, p: F.exists(near, lambda b: F.coalesce(word(b + p) == w, F.lit(False)))), lambda held: held)
+            return F.struct(template(x).alias("t"), (F.size(placed) / F.size(own)).alias("s"))
+
+        return _bound(F.struct(F.get(texts, template(x)).alias("own"), near.alias("near")), lambda r: share(r["own"], r["near"]))
 
     def confirmed(x: Column) -> Column:
-        phrase = F.split(F.get(phrases, template(x)), " ")
-        size = F.size(F.split(F.get(texts, template(x)), " "))
-        starts = F.sequence(F.greatest(begin(x) - SLACK, F.lit(0)), F.greatest(begin(x), F.lit(0)) + size + SLACK - F.size(phrase))
-        return F.exists(starts, lambda i: F.slice(words, i + 1, F.size(phrase)) == phrase)
+        def stands(phrase: Column, size: Column) -> Column:
+            starts = F.sequence(F.greatest(begin(x) - SLACK, F.lit(0)), F.greatest(begin(x), F.lit(0)) + size + SLACK - F.size(phrase))
+            return F.exists(starts, lambda i: F.forall(F.transform(phrase, lambda w, k: F.coalesce(F.get(words, i + k) == w, F.lit(False))), lambda same: same))
+
+        return _bound(F.struct(F.get(phrases, template(x)).alias("phrase"), F.size(F.get(texts, template(x))).alias("size")), lambda r: stands(r["phrase"], r["size"]))
 
     # the phrase is looked for only where the share counts
     kept = F.transform(found, lambda x, k: F.struct(x.alias("x"), score(x, k).alias("r")))

@@ -1,8 +1,12 @@
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
-from skyphrase.llm import licenses
+import pytest
+
+from skyphrase.llm import license_texts, licenses
 from skyphrase.llm.queries import op9_license_scan
 
 from ..compare import duck, same
@@ -98,3 +102,47 @@ def test_query_against_sql(spark, sf_dir):
     from skyphrase.llm.oracle import oracle_sql
 
     same(op9_license_scan(spark, sf_dir), duck(sf_dir), oracle_sql()["op9_license_scan"])
+
+
+OPENINGS = {
+    "GPL-3": "gpl", "GPL-2": "gpl", "LGPL-3": "lgpl", "LGPL-2.1": "lgpl", "MPL-2.0": "mpl", "Apache-2.0": "apache",
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPENINGS))
+def test_license_files(spark, name):
+    """The whole files that many systems carry, alone and behind other text."""
+    path = Path("/usr/share/common-licenses") / name
+    if not path.exists():
+        pytest.skip("no such file here")
+    text = path.read_text()
+    rng = random.Random(3)
+    rows = [(1, text), (2, prose(rng, 300) + "\n" + text), (3, text[: len(text) // 2])]
+    for r in licenses.license_scan(documents(spark, rows)).collect():
+        assert OPENINGS[name] in r["labels"].split(","), r
+    others = set(OPENINGS.values()) - {OPENINGS[name], "gpl"}  # the base names GPL wherever it is mentioned
+    assert not others & set(licenses.license_scan(documents(spark, rows[:1])).first()["labels"].split(","))
+
+
+@pytest.mark.parametrize(("label", "name"), [("cc-by", "Attribution"), ("cc-by-sa", "Attribution-ShareAlike"), ("cc-by-nc", "Attribution-NonCommercial")])
+def test_creative_commons_openings(spark, label, name):
+    row = licenses.license_scan(documents(spark, [(1, "Intro words. " + license_texts._CC.format(name=name) + " Section 1 Definitions.")])).first()
+    assert row["labels"] == label and row["score"] > 0.9
+
+
+def test_agpl_opening(spark):
+    text = "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n" + license_texts._COPY + " Preamble. The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."
+    assert licenses.license_scan(documents(spark, [(1, text)])).first()["labels"] == "agpl"
+
+
+def test_time_grows_with_the_file(spark):
+    """Repeated licence text: eight times the length takes no more than some eleven times as long."""
+    (mit,) = [text for label, _, text in license_texts.TEXTS if label == "mit" and len(text) > 500]
+    took = []
+    for many in (250, 250, 2000):
+        rows = documents(spark, [(1, mit * many)])
+        began = time.perf_counter()
+        row = licenses.license_scan(rows).first()
+        took.append(time.perf_counter() - began)
+        assert row["labels"] == "mit" and row["n_words"] == many * len(re.findall(licenses.WORD, mit.lower()))
+    assert took[2] < 11 * took[1] + 2, took
