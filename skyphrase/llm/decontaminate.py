@@ -10,9 +10,9 @@ window holds some, and the chances of the windows add up to as much (300 of 300
 Candidates are verified by exact containment of the item's shingle set in the document's.
 
 Items are hashed once, in tasks, and written.  They are indexed in blocks: a block's tables of minima and its sets have
-``BLOCK_BYTES`` bytes together, or hold one item, and only one block is collected, sorted and broadcast at a time, so
-what is held has a fixed bound whatever the number of items.  Each block, of some 25,000 items, is one more pass over
-the documents.
+``BLOCK_BYTES`` bytes together, or hold one item; one block at a time is collected, sorted, broadcast, used for a pass over
+the documents whose hits are written, and given back.  What is held has a fixed bound whatever the number of items;
+each block, of some 25,000 items, is one more pass, and no pass has more than one Python stage.
 
 Edge cases: null or empty texts match nothing; an item of fewer than five words is one shingle, its whole sequence,
 and matches documents that consist of that sequence; ids are of any type that can be ordered, null ids are reported as
@@ -21,13 +21,15 @@ null; repeated rows (documents or items) are each reported; other columns are ig
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructType
 
-from .common import Scratch, binaries, by_slice, col, shielded
+from .common import Scratch, binaries, by_slice, col, shielded, sized
 from .textops import U64, Words
 
 FUNCTIONS = 96
@@ -132,51 +134,101 @@ class Index:
         return hits
 
 
-def indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """Broadcast indexes, one block of items after the other."""
-    scratch = Scratch(items.sparkSession)
+def hashed_items(items: DataFrame, scratch: Scratch, block_bytes: int) -> tuple[DataFrame, int]:
+    """The items' sets and minima, equal ones once, and in how many blocks they are worked off."""
     kind = items.select("item_id").schema["item_id"].dataType
     schema = StructType().add("item_id", kind).add("n_words", LongType()).add("n_item", LongType()).add("shingles", BinaryType()).add("minima", BinaryType())
     hashed = items.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(by_slice(item_rows), schema)
     sets = scratch.write(hashed.groupBy(*schema.names).agg(F.count("*").alias("copies")))
     total = sets.agg(F.sum(F.col("n_item") * 8 + 2 * FUNCTIONS * ENTRY)).first()[0] or 0
-    blocks = -(-total // block_bytes)
+    return sets, -(-total // block_bytes)
+
+
+def index(sets: DataFrame, blocks: int, k: int):
+    """The index of one block, broadcast."""
+    own = sets if blocks == 1 else sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k)
+    return sets.sparkSession.sparkContext.broadcast(Index(own.orderBy("item_id", "shingles").toArrow()))
+
+
+def indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES):
+    """Broadcast indexes, one block of items after the other."""
+    scratch = Scratch(items.sparkSession)
+    sets, blocks = hashed_items(items, scratch, block_bytes)
     for k in range(blocks):
-        own = sets if blocks == 1 else sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k)
-        yield items.sparkSession.sparkContext.broadcast(Index(own.orderBy("item_id", "shingles").toArrow()))
+        yield index(sets, blocks, k)
     scratch.drop(sets)
 
 
 def contamination(docs: DataFrame, items: DataFrame, percent: int = 75, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment): items of which a document holds ``percent`` of the shingles."""
+    scratch = Scratch(docs.sparkSession)
     kind = items.select("item_id").schema["item_id"].dataType
     schema = StructType().add("doc_id", LongType()).add("item_id", kind).add("n_item", LongType()).add("n_shared", LongType()).add("containment", DoubleType())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(items, block_bytes):
 
-        def work(part: pa.RecordBatch, index=index) -> pa.RecordBatch:
-            own = index.value
-            hits = [hit for hit in own.search(col(part, "text"), percent) for _ in range(own.copies[hit[1]])]
-            rows, which, shared = (np.array([hit[k] for hit in hits], dtype=np.int64) for k in range(3))
+    def hits(held) -> DataFrame:
+        def work(part: pa.RecordBatch) -> pa.RecordBatch:
+            own = held.value
+            found = [hit for hit in own.search(col(part, "text"), percent) for _ in range(own.copies[hit[1]])]
+            rows, which, shared = (np.array([hit[k] for hit in found], dtype=np.int64) for k in range(3))
             sizes = np.array([len(own.sets[k]) for k in which], dtype=np.int64)
             return pa.RecordBatch.from_arrays(
                 [col(part, "doc_id").take(pa.array(rows)), own.ids.take(pa.array(which)), pa.array(sizes), pa.array(shared), pa.array(shared / np.maximum(sizes, 1))], names=schema.names
             )
 
-        out = out.unionByName(texts.mapInArrow(by_slice(work), schema))
+        return texts.mapInArrow(by_slice(work), schema)
+
+    return _each_block(items, scratch, block_bytes, hits, docs.sparkSession.createDataFrame([], schema))
+
+
+def _each_block(items: DataFrame, scratch: Scratch, block_bytes: int, hits, none: DataFrame) -> DataFrame:
+    """``hits`` of all blocks.  Those of a lone block are left to the reader; of several, each block's are written, and its
+    index is given back, before the next is built: no task ever holds two."""
+    sets, blocks = hashed_items(items, scratch, block_bytes)
+    out = none
+    for k in range(blocks):
+        held = index(sets, blocks, k)
+        if blocks == 1:
+            out = hits(held)
+        else:
+            out = out.unionByName(scratch.write(hits(held)))
+            held.destroy()
+    scratch.drop(sets)
     return out
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, percent: int = 75, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item."""
+    """The rows of ``docs``, all columns, that hold no item.
+
+    With one block of items texts are searched as they pass.  With several, each block's pass writes the digests of the
+    texts that it finds; those are dropped in one pass over the documents at the end.
+    """
+    scratch = Scratch(docs.sparkSession)
     docs, restore = shielded(docs, "text")
-    for index in indexes(items, block_bytes):
+    sets, blocks = hashed_items(items, scratch, block_bytes)
+    if blocks == 1:
+        held = index(sets, 1, 0)
 
-        def work(part: pa.RecordBatch, index=index) -> pa.RecordBatch:
+        def clean(part: pa.RecordBatch) -> pa.RecordBatch:
             keep = np.ones(part.num_rows, dtype=bool)
-            keep[[d for d, _, _ in index.value.search(col(part, "text"), percent)]] = False
+            keep[[d for d, _, _ in held.value.search(col(part, "text"), percent)]] = False
             return part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(by_slice(work), docs.schema)
-    return restore(docs)
+        scratch.drop(sets)
+        return restore(docs.mapInArrow(by_slice(clean), docs.schema))
+    scratch.drop(sets)
+    if not blocks:
+        return restore(docs)
+
+    def hits(held) -> DataFrame:
+        def work(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = sorted({d for d, _, _ in held.value.search(col(part, "text"), percent)})
+            texts = col(part, "text").take(pa.array(rows, pa.int64())).to_pylist()
+            return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary())], names=["_key"])
+
+        return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(by_slice(work), "_key binary").distinct()
+
+    found = _each_block(items, scratch, block_bytes, hits, docs.sparkSession.createDataFrame([], "_key binary"))
+    keys = scratch.write(found.distinct().sort("_key"))
+    marked = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)))
+    return restore(marked.join(sized(keys), F.col("_own") == F.col("_key"), "left_anti").drop("_own"))

@@ -158,7 +158,7 @@ def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, i
     row = np.repeat(np.arange(many), size)
     order = np.argsort(ids, kind="stable")
     row, ids, df = row[order], ids[order], df[ids[order]]
-    common = np.zeros((many, many), dtype=np.float32)
+    common = np.zeros((many, many), dtype=np.int32)
     # shingles of few sets: their pairs one by one; of many sets: a product of incidence matrices, in blocks
     few = df < _COMMON
     r, i = row[few & (df > 1)], ids[few & (df > 1)]
@@ -173,7 +173,8 @@ def forest(h: np.ndarray, border: np.ndarray, percent: int) -> list[tuple[int, i
         x, y = np.searchsorted(i, [lo, lo + 512])
         has = np.zeros((many, 512), dtype=np.float32)
         has[r[x:y], i[x:y] - lo] = 1
-        common += has @ has.T
+        for at in range(0, many, 512):  # a product counts up to 512, which 32-bit floats hold exactly
+            common[at : at + 512] += (has[at : at + 512] @ has.T).astype(np.int32)
     out, left = [], np.ones(many, dtype=bool)
     for start in range(many):
         if not left[start]:
@@ -299,10 +300,11 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
     roots = comp.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
     named = scratch.write(comp.unionByName(roots).join(classes.select(F.col("cid").alias("node"), "rep"), "node"))
     least = scratch.write(named.groupBy("root").agg(F.min("rep").alias("component")))
-    named = named.join(least, "root").select(F.col("node").alias("cid"), "component")
-    owners = scratch.write(classes.select("cid", "rep").join(named, "cid", "left").select(F.col("cid").alias("d1"), F.coalesce("component", "rep").alias("component")))
+    named = named.join(least, "root").select(F.col("node").alias("cid"), "component").distinct()
+    # a class is named by both halves of its digest and its size, so that no row meets two
+    owners = scratch.write(classes.select("cid", "d2", "n", "rep").join(named, "cid", "left").select(F.col("cid").alias("d1"), "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component")))
     scratch.keep_only(sketches, owners)
-    own = sketches.where(member).join(owners, "d1").select("doc_id", "n_shingles", "d1", F.col("component").alias("component_id"), (F.col("component") == F.col("doc_id")).alias("kept"))
+    own = sketches.where(member).join(owners, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "d1", F.col("component").alias("component_id"), (F.col("component") == F.col("doc_id")).alias("kept"))
     return own.unionByName(sketches.where(~member).select("doc_id", "n_shingles", "d1", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 

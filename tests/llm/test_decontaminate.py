@@ -116,3 +116,17 @@ def test_query_against_sql(spark, sf_dir):
     from skyphrase.llm.oracle import oracle_sql
 
     same(op7_decontamination(spark, sf_dir), duck(sf_dir), oracle_sql()["op7_decontamination"])
+
+
+def test_blocks_do_not_nest(spark):
+    """Many blocks of items: the same rows, and no plan with more Python stages than one block has."""
+    docs, items = case(3)
+    table, own = documents(spark, docs, extra=True), spark.createDataFrame(items, ITEM)
+    stages = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    whole = decontaminate.uncontaminated(table, own)
+    pieces = decontaminate.uncontaminated(table, own, block_bytes=4000)
+    assert stages(whole) == 1 and stages(pieces) == 0
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(whole) == as_rows(pieces) and pieces.columns == table.columns
+    assert stages(decontaminate.contamination(table, own, block_bytes=4000)) == 0
+    assert decontaminate.uncontaminated(table, own.limit(0)).count() == len(docs)

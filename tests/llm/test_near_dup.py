@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from skyphrase.llm import graph, near_dup
 from skyphrase.llm.common import Scratch
@@ -161,3 +162,27 @@ def test_a_node_that_branches_at_the_production_limit(spark):
     linked = {k for k, t in rows[: near_dup.NODE + 400] if 100 * len(shingles(t) & shingles(rows[0][1])) >= 75 * len(shingles(t) | shingles(rows[0][1]))}
     out = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(documents(spark, rows)).collect()}
     assert len(linked) > near_dup.NODE and all(out[k] == 0 for k in linked) and all(out[10_000 + k] == 10_000 + k for k in range(50))
+
+
+def test_classes_whose_digests_half_agree(spark, monkeypatch):
+    """Where first halves collide, every row still comes out once."""
+    real = near_dup.sketch_rows
+
+    def half(part):
+        out = real(part)
+        at = out.schema.get_field_index("d1")
+        return out.set_column(at, "d1", pa.array(out.column(at).to_numpy() % 3))
+
+    monkeypatch.setattr(near_dup, "sketch_rows", half)
+    rng = random.Random(4)
+    rows = [(k, prose(rng, 30)) for k in range(12)] + [(20 + k, prose(rng, 9)) for k in range(4)]
+    got = near_dup.near_duplicates(documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(k for k, _ in rows)
+
+
+def test_counts_are_whole_numbers():
+    rng = np.random.default_rng(2)
+    common = np.sort(rng.choice(2**60, 3000, replace=False)).astype(np.uint64)
+    sets = [np.sort(np.concatenate([common, rng.choice(2**62, 5, replace=False).astype(np.uint64)])) for _ in range(40)]
+    h, border = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    assert len(near_dup.forest(h, border, 75)) == 39 and near_dup.forest(h, border, 100) == []
