@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from skyphrase.llm import byte_bpe, decontaminate, near_dup, pii, site_quality
-from skyphrase.llm.common import Scratch, release, remove, shared_dir, table
+from skyphrase.llm.common import table
+from skyphrase.scratch import Scratch, owned, remove
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +47,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``.  What a stage wrote lies in the shared folder until the next one has read it,
     and so do the operators' intermediates; only the last stage's rows stay, as the result reads them."""
     docs = table(spark, sf_dir, "documents")
-    top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    top = Scratch(spark, "pipeline").top
     for k, (name, stage) in enumerate(STAGES):
-        path, held = f"{top}/{k}-{name}", len(Scratch.opened)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        release(held)
+        path = f"{top}/{k}-{name}"
+        with owned():  # what the stage's operators write goes once its rows are stored
+            stage(spark, docs, sf_dir).write.parquet(path)
         if k:
             remove(spark, f"{top}/{k - 1}-{STAGES[k - 1][0]}")
         docs = spark.read.parquet(path)
