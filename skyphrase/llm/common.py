@@ -1,15 +1,13 @@
-"""Shared plumbing: tables, written intermediates in the cluster's shared folder, numpy/Arrow glue."""
+"""Shared plumbing: tables, bounded broadcasts, numpy/Arrow glue; intermediates are those of the library (``scratch.py``)."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import Scratch, owned, remove, shared_dir  # noqa: F401  the operators' own names for them
 from . import textops
 
 
@@ -30,18 +28,6 @@ def sized(df: DataFrame, most: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df.hint("merge")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.  Where a local session names none (tests), one is made; on a cluster
-    that is an error, as executors don't see each other's folders."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="skyphrase-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
 def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``df`` with all columns but the named ones in one struct, and a function that puts them back in order.
 
@@ -59,52 +45,6 @@ def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame
     return packed, restore
 
 
-class Scratch:
-    """Written intermediates: they cut lineage, survive lost executors, and can be dropped when used up.
-
-    What an operator's result still reads stays; ``release`` deletes it once the result has been stored.
-    """
-
-    opened: list[Scratch] = []
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.top = spark, f"{shared_dir(spark)}/skyphrase-{uuid.uuid4().hex}"
-        self.count = 0
-        self.held: list[DataFrame] = []
-        self.opened.append(self)
-
-    def write(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.top}/{self.count}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        self.held.append(out)
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        """Deletes the files of frames that nothing reads any more."""
-        self.held = [df for df in self.held if not any(df is x for x in frames)]
-        for df in frames:
-            remove(self.spark, df._scratch_path)
-
-    def keep_only(self, *frames: DataFrame) -> None:
-        self.drop(*[df for df in self.held if not any(df is x for x in frames)])
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of any file system that Spark writes."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def release(since: int = 0) -> None:
-    """Deletes the intermediates of all operators called since ``len(Scratch.opened)`` was ``since``."""
-    for scratch in Scratch.opened[since:]:
-        remove(scratch.spark, scratch.top)
-    del Scratch.opened[since:]
-
-
 def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", limit: int = textops.SLICE_BYTES):
     """A mapInArrow function that hands ``work`` slices of bounded text size."""
 
