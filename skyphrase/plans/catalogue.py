@@ -157,8 +157,10 @@ def _sampler(spark: SparkSession) -> Sampler:
 
 
 def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, scenario_id, scenario) of each order's number."""
-    return _sampler(spark).of(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id")))
+    """(id, scenario_id, scenario) of each order's number.  A scan task holds many of these few bytes each, and a draw takes
+    a hundred hashes: numbers are dealt out before they are drawn."""
+    numbers = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
+    return _sampler(spark).of(numbers.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id"))
 
 
 def scenario_sample(spark, sf_dir):
