@@ -178,7 +178,7 @@ def do_voices(spark, args) -> int:
     params = voices.Filter(args.min_duration_s, args.max_duration_s, args.min_rms_dbfs)
     folder = Folder(spark, args.out)
     there = Manifest.load(folder.read("manifest.json")).total_rows if folder.exists("manifest.json") else 0
-    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target, there)))
+    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target, there), seed=args.seed))
     return 0
 
 
@@ -246,6 +246,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = groups.add_parser("voices").add_subparsers(dest="command", required=True).add_parser("build")
     p.add_argument("--out", required=True)
+    p.add_argument("--seed", type=int, default=42)
     p.add_argument("--target", type=int, default=100)
     p.add_argument("--sources", default="libritts-r")
     p.add_argument("--libritts")

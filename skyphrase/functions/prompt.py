@@ -24,6 +24,7 @@ SPEAKER: utterance
 where SPEAKER is ATC, a facility tag such as KSFO_TWR, or a callsign exactly as given. The focal aircraft must speak.
 No JSON, markdown, headings or comments.
 """
+# The request's sentence here, and below the labels of a briefing's lines.
 REQUEST = "Generate an ATC exchange for this scenario. Plaintext only, one `SPEAKER: utterance` per line.\n\n"
 
 

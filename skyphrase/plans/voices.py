@@ -60,13 +60,15 @@ def chosen(candidates: DataFrame, existing: DataFrame | None, params: Filter, ta
 def build(
     spark: SparkSession, sources: list[registry.Source], out: str, target: int = 100, params: Filter | None = None, *, shard_size: int = 500, resume: bool = True, overwrite: bool = False,
     encode: Callable[[bytes], bytes] = as_is, decode: audio.Decoder = audio.decode_wav, hook: Callable[[Stats], None] | None = None,
+    seed: int = 42,
 ) -> Stats:
     """Fills ``out`` up to ``target`` voices: shards of (voice_id, audio, text, source_clip_id), full records beside them, NOTICE.md.
 
     Candidates are looked at in their order, a few for each voice wanted at first, so that clips beyond the target are
-    hardly decoded; the choice is that of a loop that stops at the target.
+    hardly decoded; the choice is that of a loop that stops at the target.  ``seed`` is part of the pool's manifest, and a
+    pool is resumed under its own only; the choice has no draws.
     """
-    sink = ShardSink(spark, out, shard_size, {"kind": "voices", "sources": [s.name for s in sources]}, resume=resume, overwrite=overwrite)
+    sink = ShardSink(spark, out, shard_size, {"kind": "voices", "seed": seed, "target": target, "sources": [s.name for s in sources]}, resume=resume, overwrite=overwrite)
     candidates = select.concatenated([s.candidates(spark) for s in sources])
     pools = F.create_map(*[F.lit(x) for s in sources for x in (s.name, s.sub_pool)])
     existing, at, aside = sink.existing(), now_iso(), f"{sink.folder.path}/.picked"

@@ -142,7 +142,7 @@ class ShardSink:
                 raise FileExistsError(f"{out} holds a run; resume it or overwrite it")
             self.manifest = self._load()
             for key in ("fingerprint", "seed"):
-                if meta and key in meta and (self.manifest.meta or {}).get(key) != meta[key]:
+                if meta and key in meta and (self.manifest.meta or {}).get(key, meta[key] if key == "seed" else None) != meta[key]:
                     raise FingerprintMismatch(f"{key} is {meta[key]}, the folder's {(self.manifest.meta or {}).get(key)}")
             self.manifest.meta = (self.manifest.meta or {}) | (meta or {})
         else:

@@ -326,6 +326,8 @@ def test_voice_progress_after_a_resume(spark, tmp_path):
         assert main([*base, "--target", "4"], spark) == 0
         registry.unregister("mls-eng")
         assert main([*base, "--target", "8"], spark) == 0
+        registry.unregister("mls-eng")
+        assert main([*base, "--target", "9", "--seed", "7"], spark) == 2, "a pool of another seed"
     finally:
         registry.unregister("mls-eng")
     lines = (tmp_path / "v" / "run.log").read_text().splitlines()
@@ -509,3 +511,26 @@ def test_generated_folders_are_not_the_drivers(spark, tmp_path):
     own = cloudpickle.loads(cloudpickle.dumps(Folder(spark, f"file://{tmp_path}/x y")))
     own.put("a/b.txt", b"1")
     assert own.spark is None and own.get("a/b.txt") == b"1" and own.names(deep=True) == ["a/b.txt"] and own.digest("a/b.txt")[0] == 1 and (tmp_path / "x y" / "a" / "b.txt").exists()
+
+
+def test_airports_of_ones_own(spark, tmp_path, capsys):
+    (tmp_path / "ports.csv").write_text("icao,country\nQAAA,US\nQBBB,US\nbad1,US\nQCCC,FR\n")
+    own = ["data", "sample", "-n", "20", "--airports", (tmp_path / "ports.csv").as_uri()]
+    assert main([*own, "--weighter", "uniform"], spark) == 0
+    assert {json.loads(x)["icao"] for x in capsys.readouterr().out.splitlines()} == {"QAAA", "QBBB"}
+    (tmp_path / "w.csv").write_text("icao,weight\nQAAA,1\nQCCC,1\n")
+    assert main([*own, "--weighter", "custom", "--airports-weights", (tmp_path / "w.csv").as_uri()], spark) == 0
+    assert {json.loads(x)["icao"] for x in capsys.readouterr().out.splitlines()} == {"QAAA"}
+
+
+def test_fingerprints_in_rows_and_by_hand(spark):
+    from skyphrase.functions import ids
+
+    rows = [("m", 1, ["us", "canada"]), ("n", -5, ["us"])]
+    df = spark.createDataFrame(rows, "model string, seed long, regions array<string>")
+    fixed = {k: F.lit(v) for k, v in (("prompt_version", "p"), ("taxonomy_version", "t"), ("weighter_name", "w"), ("config_name", "c"))}
+    got = [r[0] for r in df.select(ids.fingerprints({"model": F.col("model"), "seed": F.col("seed"), "regions": F.col("regions"), **fixed})).collect()]
+    assert got == [ids.fingerprint(m, s, "p", "t", "w", r, "c") for m, s, r in rows]
+    base = generate.RunConfig(model="m", count=1)
+    others = [generate.replace(base, temperature=0.1), generate.replace(base, max_tokens=9), generate.replace(base, config_contents="x"), generate.replace(base, seed=1)]
+    assert len({c.fingerprint() for c in [base, *others]}) == 5 and generate.replace(base, count=7, concurrency=1).fingerprint() == base.fingerprint()
