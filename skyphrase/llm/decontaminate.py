@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructType
 
 from .common import Scratch, binaries, by_slice, col, shielded, sized
+from .rowlists import PLACE, filtered, placed, written_lists
 from .textops import U64, Words
 
 FUNCTIONS = 96
@@ -200,8 +201,8 @@ def _each_block(items: DataFrame, scratch: Scratch, block_bytes: int, hits, none
 def uncontaminated(docs: DataFrame, items: DataFrame, percent: int = 75, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item.
 
-    With one block of items texts are searched as they pass.  With several, each block's pass writes the digests of the
-    texts that it finds; those are dropped in one pass over the documents at the end.
+    With one block of items texts are searched as they pass.  With several, each block's pass writes what it finds, and that
+    is dropped in one pass at the end: rows by file and place, or, where ``docs`` aren't the rows of files, texts by digest.
     """
     scratch = Scratch(docs.sparkSession)
     docs, restore = shielded(docs, "text")
@@ -220,6 +221,19 @@ def uncontaminated(docs: DataFrame, items: DataFrame, percent: int = 75, block_b
     if not blocks:
         return restore(docs)
 
+    table = placed(docs)
+    if table is not None:  # what is found is listed by file, for the tasks that scan it
+
+        def places(held) -> DataFrame:
+            def work(part: pa.RecordBatch) -> pa.RecordBatch:
+                rows = sorted({d for d, _, _ in held.value.search(col(part, "text"), percent)})
+                return part.select(list(PLACE)).take(pa.array(rows, pa.int64()))
+
+            return table.select(F.col("text").cast("string").alias("text"), *PLACE).mapInArrow(by_slice(work), "_f string, _r long")
+
+        found = _each_block(items, scratch, block_bytes, places, docs.sparkSession.createDataFrame([], "_f string, _r long"))
+        return restore(filtered(docs, table, written_lists(found, scratch), keep=False))
+
     def hits(held) -> DataFrame:
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             rows = sorted({d for d, _, _ in held.value.search(col(part, "text"), percent)})

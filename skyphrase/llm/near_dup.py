@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import Scratch, binaries, by_slice, col, shielded, sized
+from .common import Scratch, binaries, by_slice, col, shielded
 from .graph import components
+from .rowlists import among
 from .textops import U64, Words, mix
 
 COORDS = 64
@@ -278,7 +279,7 @@ def _judged(docs: DataFrame, percent: int, node_limit: int = NODE, depth: int =
         """(cid, text) of the classes in ``rows``, by their least doc_ids; rows of other classes with such an id may
         come along.  The ids are written in order: a small file is broadcast, and texts aren't shuffled for it."""
         wanted = scratch.write(rows.select("cid").distinct().join(classes.select("cid", "rep"), "cid").select("rep").distinct().sort("rep"))
-        found = texts.join(sized(wanted), texts.doc_id == wanted.rep, "left_semi").select("text")
+        found = among(texts, "doc_id", wanted, scratch).select("text")
         return scratch.write(found.mapInArrow(by_slice(own_class), "cid long, text string").dropDuplicates(["cid"]))
 
     def links(rows: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -312,8 +313,8 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; of repeated rows of a kept doc_id with the same words, one.
 
     Rows with no words are each their own component and stay, as do rows with a null doc_id.  Texts meet only ids in
-    the joins: up to ``common.BROADCAST_ROWS`` of them are broadcast, more meet the texts in a shuffle by doc_id.  doc_ids
-    that several rows bear are told apart by the digests of their texts.
+    the joins: up to ``common.BROADCAST_ROWS`` of them are broadcast, more are listed by file (``rowlists.py``) for the tasks
+    that scan it; only where ``docs`` aren't the rows of files do texts meet them in a shuffle by doc_id.  doc_ids that several rows bear are told apart by the digests of their texts.
     """
     scratch = Scratch(docs.sparkSession)
     docs, restore = shielded(docs, "doc_id", "text")
@@ -322,7 +323,7 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     unsure = by_id.where("_rows > 1").select("_id")
     # written in order, for the same reason as the ids of texts to fetch
     leave = scratch.write(by_id.where("_rows > 1 or not _kept").select("_id").sort("_id"))
-    out = docs.join(sized(leave), docs["doc_id"] == F.col("_id"), "left_anti")
+    out = among(docs, "doc_id", leave, scratch, keep=False)
     if unsure.isEmpty():
         return restore(out)
 
@@ -331,7 +332,7 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(digests(h, border)[0]), pa.array(np.diff(border))], names=[*part.schema.names, "_d1", "_n"])
 
     schema = StructType([*docs.schema.fields]).add("_d1", LongType()).add("_n", LongType())
-    rows = docs.join(sized(scratch.write(unsure)), docs["doc_id"] == F.col("_id"), "left_semi").mapInArrow(by_slice(with_digest), schema)
+    rows = among(docs, "doc_id", scratch.write(unsure), scratch).mapInArrow(by_slice(with_digest), schema)
     kept = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_key")).distinct()
     same = rows.where("_n > 0").join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_d1") == F.col("_key")), "left_semi").dropDuplicates(["doc_id", "_d1"])
     return restore(out.unionByName(same.select(*docs.columns)).unionByName(rows.where("_n = 0").select(*docs.columns)))

@@ -6,9 +6,9 @@ score is the mean of log(target / raw) over its n-grams, so it doesn't depend on
 decided by the same fixed threshold, in nats per n-gram.
 
 Each task adds up its own counts before anything is shuffled; the model that is collected and broadcast has
-``BUCKETS`` doubles whatever the corpus.  The trusted ids are cut into ranges of at most ``BLOCK``, which are broadcast
-one by one, so no text is shuffled: the pass over all texts marks the first range, and each further range has a pass
-that reads the texts between its ends and counts the trusted ones.
+``BUCKETS`` doubles whatever the corpus.  No text is shuffled to meet the trusted ids: up to ``BLOCK`` of them are broadcast, more
+are listed by file (``rowlists.py``), so that texts are read twice in all, once to count and once to score.  Only where
+documents aren't the rows of files are more ids broadcast range by range, each with a pass over the texts in it.
 
 Edge cases: null and empty texts have no words, fail the base and aren't kept; repeated rows count as often as they
 stand; a label that occurs more than once counts once; null labels or doc_ids match nothing; with no trusted
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from . import text_stats
 from .common import Scratch, by_slice, col
+from .rowlists import PLACE, listed, placed
 from .textops import Words
 
 BUCKETS = 1 << 16
@@ -79,20 +80,38 @@ def ranges(ids: DataFrame, n: int, most: int) -> list[tuple[int, int]]:
         parts *= 2
 
 
+def marked(docs: DataFrame, ids: DataFrame, n: int, most: int, scratch: Scratch) -> list[DataFrame]:
+    """Tables (text, trusted) that hold every text and, marked, each trusted one, once; those after the first hold trusted
+    texts only.  Up to ``most`` ids are broadcast.  More are listed by file for the tasks that scan it; where rows aren't
+    those of files, they are broadcast range by range, each with a pass of its own."""
+    table = placed(docs) if n > most else None
+    if table is not None:
+        lists = listed(table, "doc_id", ids, scratch)
+
+        def mark(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([col(batch, "text"), pa.array(lists.holds(batch))], names=["text", "trusted"])
+
+        return [table.select("text", *PLACE).mapInArrow(mark, "text string, trusted boolean")]
+    out = []
+    for k, (a, b) in enumerate(ranges(ids, n, most)):
+        block = F.broadcast(ids.where(F.col("doc_id").between(a, b)).withColumn("trusted", F.lit(True)))
+        # the first pass counts every text, the others only what their range adds to the target
+        own = docs.join(block, "doc_id", "left") if not k else docs.where(F.col("doc_id").between(a, b)).join(block, "doc_id")
+        out.append(own.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")))
+    return out
+
+
 def fit(docs: DataFrame, trusted: DataFrame, most: int = BLOCK) -> np.ndarray:
-    """The log ratio of each bucket; ``trusted`` has the doc_ids of the target, broadcast ``most`` at a time."""
+    """The log ratio of each bucket; ``trusted`` has the doc_ids of the target."""
     scratch = Scratch(docs.sparkSession)
     ids = scratch.write(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct())
     total = np.zeros((2, BUCKETS))
-    for k, (a, b) in enumerate(ranges(ids, ids.count(), most)):
-        block = F.broadcast(ids.where(F.col("doc_id").between(a, b)).withColumn("trusted", F.lit(True)))
-        # the first pass counts every text, the others only what their range adds to the target
-        marked = docs.join(block, "doc_id", "left") if not k else docs.where(F.col("doc_id").between(a, b)).join(block, "doc_id")
-        marked = marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-        counts = marked.mapInArrow(count_task, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    for k, rows in enumerate(marked(docs, ids, ids.count(), most, scratch)):
+        counts = rows.mapInArrow(count_task, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         for r in counts.collect():  # at most BUCKETS rows
             total[:, r["bucket"]] += (0 if k else r["raw"]), r["target"]
-    scratch.drop(ids)
+    scratch.release()
     return log_ratio(total[0], total[1])
 
 

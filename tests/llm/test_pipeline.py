@@ -94,11 +94,11 @@ def test_texts_are_not_shuffled_for_ids_or_sites(spark, tmp_path):
             plan = stage(spark, docs, sf)._jdf.queryExecution().executedPlan().toString()
             assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        with pytest.MonkeyPatch.context() as patch:  # beyond the bound: a shuffle, and never a broadcast
+        with pytest.MonkeyPatch.context() as patch:  # beyond the bound: rows by file, neither a shuffle nor a broadcast
             patch.setattr(common, "BROADCAST_ROWS", 3)
             far = corpus_pipeline.drop_near_copies(spark, docs, sf)
             plan = far._jdf.queryExecution().executedPlan().toString()
-            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "hashpartitioning" not in plan
             ids = {r["doc_id"] for r in far.collect()}
         assert ids == {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()}
     finally:
