@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import config as region_config
 from .plans import generate, voices
 from .plans.scenario import Sampler
-from .progress import Progress, log_file
+from .progress import Progress, log_file, watched
 from .sinks.folder import Folder
 from .sinks.shards import FingerprintMismatch, Manifest, push
 from .sources import corpora, dims, registry, replay
@@ -56,10 +56,14 @@ def checked(args: argparse.Namespace) -> None:
         raise BadArgument("--max-duration-s is less than --min-duration-s")
 
 
+def log_path(args: argparse.Namespace) -> str:
+    return args.log_file or f"{args.out.rstrip('/')}/run.log"
+
+
 def logged(spark: SparkSession, args: argparse.Namespace, total: int, there: int = 0):
     """A hook that writes progress lines to the log file (run.log in the output folder unless named).  What was ``there``
     before counts toward the share, and not toward the rate."""
-    progress = Progress(total, log_file(spark, args.log_file or f"{args.out.rstrip('/')}/run.log"), args.log_every, there)
+    progress = Progress(total, log_file(spark, log_path(args)), args.log_every, there)
 
     def hook(stats) -> None:
         counts = asdict(stats)
@@ -146,7 +150,8 @@ def do_regenerate(spark, args) -> int:
     settings = generate.RunConfig(**{k: tuple(v) if k == "regions" else v for k, v in meta.items() if k in generate.RunConfig.__dataclass_fields__})
     settings = generate.replace(settings, max_parse_retries=args.max_parse_retries, model=args.model or settings.model, api_key=args.api_key, base_url=args.base_url or settings.base_url)
     args.model = settings.model
-    print(generate.rerun(spark, args.out, settings, client_of(args), logged(spark, args, replay.inspect(spark, args.out)["failures"])))
+    hook = logged(spark, args, replay.inspect(spark, args.out)["failures"])
+    print(generate.rerun(spark, args.out, settings, client_of(args), hook, hook))
     return 0
 
 
@@ -178,7 +183,8 @@ def do_voices(spark, args) -> int:
     params = voices.Filter(args.min_duration_s, args.max_duration_s, args.min_rms_dbfs)
     folder = Folder(spark, args.out)
     there = Manifest.load(folder.read("manifest.json")).total_rows if folder.exists("manifest.json") else 0
-    print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target, there), seed=args.seed))
+    with watched(spark, log_file(spark, log_path(args)), args.log_every or 1.0):
+        print(voices.build(spark, found, args.out, args.target, params, shard_size=args.shard_size, resume=args.resume, hook=logged(spark, args, args.target, there), seed=args.seed))
     return 0
 
 

@@ -403,6 +403,32 @@ def _numbered(spark: SparkSession, parts: list[Part], partitions: int) -> DataFr
     return rows.select(F.explode(F.sequence("first", F.col("i.high") - 1, F.lit(partitions).cast("long"))).alias("id"), "i.part")
 
 
+def _beside(asking: Callable[[], None], step: Callable[[], bool], outbox: Outbox) -> None:
+    """Takes steps while another thread asks, and once more after it; a step that fails lets the tasks put down what they
+    have before it is raised."""
+    failed: list[BaseException] = []
+
+    def ask() -> None:
+        try:
+            asking()
+        except BaseException as error:  # noqa: BLE001  raised by the caller
+            failed.append(error)
+
+    thread = InheritableThread(target=ask)
+    thread.start()
+    try:
+        while thread.is_alive():
+            if not step():
+                thread.join(POLL)
+        step()
+    except BaseException:
+        outbox.folder.put(STOP, b"")
+        thread.join()
+        raise
+    if failed:
+        raise failed[0]
+
+
 def run(
     sampler: Sampler, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, *, resume: bool = True, overwrite: bool = False,
     part_rows: int | None = None, hook: Hook | None = None, watch: Hook | None = None,
@@ -427,15 +453,6 @@ def run(
     # half of the slots ask, the other half settles
     partitions, inflight = _shares(spark, config, max(1, spark.sparkContext.defaultParallelism // 2))
     questions = _questions(sampler.of(_numbered(spark, waiting, partitions)), "part")
-    failed: list[BaseException] = []
-
-    def ask() -> None:
-        try:
-            fill(questions, outbox, [p.key for p in waiting], config, client, inflight)
-        except BaseException as error:  # noqa: BLE001  raised by the caller
-            failed.append(error)
-
-    asking = InheritableThread(target=ask) if waiting else None
     left, settled = {p.key: p for p in waiting}, Stats(0, 0)
 
     def step() -> bool:
@@ -454,29 +471,18 @@ def run(
                 hook(Stats(stats.ok + settled.ok, stats.failed + settled.failed))
         return moved
 
-    if asking:
-        try:
-            step()
-            if left:
-                asking.start()
-                while asking.is_alive():
-                    if not step():
-                        asking.join(POLL)
-                step()
-        except BaseException:
-            outbox.folder.put(STOP, b"")
-            if asking.ident is not None:
-                asking.join()
-            raise
-        if failed:
-            raise failed[0]
+    if waiting:
+        step()
+    if left:
+        _beside(lambda: fill(questions, outbox, [p.key for p in waiting], config, client, inflight), step, outbox)
     sink.folder.drop(ANSWERS)
     sink.close()
     return Stats(stats.ok + settled.ok, stats.failed + settled.failed)
 
 
-def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, hook: Hook | None = None) -> Stats:
-    """Answers the recorded failures again.  The old file is set aside only once the new answers are written."""
+def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[RunConfig], Client] = chat_client, hook: Hook | None = None, watch: Hook | None = None) -> Stats:
+    """Answers the recorded failures again.  The old file is set aside only once the new answers are written.  ``watch`` is told
+    the counts while answers come, ``hook`` those at the end."""
     sink = open_sink(spark, out, config, resume=True)
     stats = left_over(sink, config)
     failed = recorded(sink)
@@ -492,7 +498,15 @@ def rerun(spark: SparkSession, out: str, config: RunConfig, client: Callable[[Ru
     asked = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.lit(0)).repartition(partitions, "scenario_id")
     # numbered once: a task that runs again must meet the same ids
     asked.write.parquet(f"{outbox.folder.path}/.replay-{key}")
-    fill(_questions(spark.read.parquet(f"{outbox.folder.path}/.replay-{key}"), "part"), outbox, [key], config, client, inflight)
+    questions = _questions(spark.read.parquet(f"{outbox.folder.path}/.replay-{key}"), "part")
+
+    def step() -> bool:
+        rows, ok = outbox.counts().get(key, (0, 0))
+        if watch:
+            watch(Stats(ok, rows - ok))
+        return False
+
+    _beside(lambda: fill(questions, outbox, [key], config, client, inflight), step, outbox)
     outbox.folder.put(f"part={key}/{DONE}", b"")
     sink.rotate_failures()
     stats = settle(sink, Part(key, Ledger()), config) if outbox.counts().get(key) else Stats(0, 0)

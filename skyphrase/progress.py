@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark import InheritableThread
+from pyspark.sql import SparkSession
 
 from .sinks.folder import Folder
 from .sinks.shards import now_iso
@@ -30,6 +35,28 @@ class Progress:
         return True
 
 
+@contextmanager
+def watched(spark: SparkSession, write: Callable[[str], None], every: float = 5.0) -> Iterator[None]:
+    """Lines about the tasks of the jobs that run meanwhile, every so many seconds, from Spark's own status."""
+    ended = threading.Event()
+    tracker = spark.sparkContext.statusTracker()
+
+    def look() -> None:
+        while not ended.wait(every):
+            jobs = [j for j in map(tracker.getJobInfo, tracker.getActiveJobsIds()) if j is not None]
+            stages = [x for x in (tracker.getStageInfo(k) for j in jobs for k in j.stageIds) if x is not None]
+            if stages:
+                write(f"running tasks={sum(x.numCompletedTasks for x in stages)}/{sum(x.numTasks for x in stages)} jobs={len(jobs)}")
+
+    thread = InheritableThread(target=look, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+
+
 def log_file(spark, path: str) -> Callable[[str], None]:
     """A ``write`` that adds each line, after its time, to a file; where the file system can't add to files, the lines of this
     run are written as a whole each time."""

@@ -330,7 +330,7 @@ def test_voice_progress_after_a_resume(spark, tmp_path):
         assert main([*base, "--target", "9", "--seed", "7"], spark) == 2, "a pool of another seed"
     finally:
         registry.unregister("mls-eng")
-    lines = (tmp_path / "v" / "run.log").read_text().splitlines()
+    lines = [x for x in (tmp_path / "v" / "run.log").read_text().splitlines() if "done=" in x]
     rate = float(lines[-1].split("rate=")[1].split("/s")[0])
     assert "done=8/8 pct=100.0" in lines[-1] and rate > 0
     later = [x for x in lines if "/8 " in x]
@@ -534,3 +534,37 @@ def test_fingerprints_in_rows_and_by_hand(spark):
     base = generate.RunConfig(model="m", count=1)
     others = [generate.replace(base, temperature=0.1), generate.replace(base, max_tokens=9), generate.replace(base, config_contents="x"), generate.replace(base, seed=1)]
     assert len({c.fingerprint() for c in [base, *others]}) == 5 and generate.replace(base, count=7, concurrency=1).fingerprint() == base.fingerprint()
+
+
+def test_lines_from_inside_a_job(spark):
+    from skyphrase.progress import watched
+
+    lines = []
+    slow = F.udf(lambda k: (time.sleep(0.4), k)[1], "long")
+    with watched(spark, lines.append, 0.3):
+        spark.range(0, 12, 1, 12).select(slow("id").alias("k")).agg(F.sum("k")).collect()
+    done = [int(x.split("tasks=")[1].split("/")[0]) for x in lines if "/12" in x or "/13" in x]
+    assert len(set(done)) >= 2 and done == sorted(done), lines
+    many = len(lines)
+    time.sleep(0.7)
+    assert len(lines) == many
+
+
+def test_replay_tells_counts_meanwhile(spark, tmp_path):
+    out, sampler = (tmp_path / "g").as_uri(), Sampler(spark, config.load(), 3)
+    first = generate.run(sampler, out, SETTINGS, generate.stub_client)
+
+    def better(settings):
+        def ask(messages):
+            time.sleep(0.5)
+            focal = messages[-1]["content"].split("Focal aircraft: ")[1].split(" (")[0]
+            return f"ATC: {focal}, go.\n{focal}: Going.\nATC: Bye.\n{focal}: Bye."
+
+        return ask
+
+    told, ended = [], []
+    assert first.failed > 2
+    again = generate.rerun(spark, out, generate.replace(SETTINGS, concurrency=1), better, ended.append, told.append)
+    assert again == generate.Stats(first.failed, 0) and ended == [again] and told[-1].ok == first.failed
+    sink = generate.open_sink(spark, out, SETTINGS)
+    assert sink.existing().select("scenario_id").distinct().count() == 60 and generate.recorded(sink) is None
