@@ -204,7 +204,7 @@ def answers(scenarios: DataFrame, config: RunConfig, client: Callable[[RunConfig
         if held:
             yield _answered(held)
 
-    return asked.mapInArrow(run, f"id long, scenario_id string, scenario {schemas.SCENARIO}, raw string, error string")
+    return asked.mapInArrow(run, ANSWERED)
 
 
 class Question(NamedTuple):
@@ -255,6 +255,7 @@ class Stats:
 Hook = Callable[[Stats], None]
 ANSWERS, STOP, DONE = ".answers", "_stop", "_done"
 FLUSH_ROWS, FLUSH_SECONDS, POLL = 200, 2.0, 0.25
+ANSWERED = f"id long, scenario_id string, scenario {schemas.SCENARIO}, raw string, error string"
 
 
 @dataclass(frozen=True)
@@ -303,7 +304,7 @@ class Outbox:
         self.folder.put(f"part={key}/{len(held)}-{ok}-{uuid.uuid4().hex}.parquet", out.getvalue())
 
     def read(self, spark: SparkSession, key: str) -> DataFrame:
-        return spark.read.parquet(f"{self.folder.path}/part={key}").dropDuplicates(["id"])
+        return spark.read.schema(ANSWERED).parquet(f"{self.folder.path}/part={key}").dropDuplicates(["id"])
 
 
 def fill(questions: DataFrame, outbox: Outbox, keys: list[str], config: RunConfig, client: Callable[[RunConfig], Client], inflight: int) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,7 +73,8 @@ class Sampler:
             kind = rng.weighted(self.u(slot("class")), self.operators)
             out = None
             for name in self.operators:
-                craft = rng.choice(self.u(slot("craft")), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(w).alias("w")) for t, w in self.members[name]]))
+                crafts = json.dumps([{"t": t, "w": w} for t, w in self.members[name]])
+                craft = rng.choice(self.u(slot("craft")), F.from_json(F.lit(crafts), "array<struct<t: string, w: string>>"))
                 prefixes = self.config.operator_prefixes.get(name) or []
                 if prefixes:
                     head = rng.choice(self.u(slot("prefix")), F.array(*[F.lit(p) for p in prefixes]))
