@@ -5,17 +5,25 @@ Results don't depend on partitioning, any row can be drawn by itself, and skippi
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def stem(seed: int, row_id: Column) -> Column:
+    """What the texts of a row's draws begin with."""
+    return F.concat(F.lit(f"{seed}:"), row_id.cast("string"), F.lit(":"))
+
+
+def fraction(text: Column) -> Column:
+    """A double in [0, 1): the first 52 bits of the text's sha1.  They fit a double whole, and a long is read faster than one."""
+    return F.conv(F.substring(F.sha1(text.cast("binary")), 1, 13), 16, 10).cast("long").cast("double") * F.lit(2.0**-52)
+
+
 def uniform(seed: int, row_id: Column, slot: str | Column) -> Column:
     """A double in [0, 1): the first 52 bits of sha1("seed:id:slot")."""
-    slot = F.lit(slot) if isinstance(slot, str) else slot
-    text = F.concat_ws(":", F.lit(str(seed)), row_id.cast("string"), slot)
-    return F.conv(F.substring(F.sha1(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+    return fraction(F.concat(stem(seed, row_id), F.lit(slot) if isinstance(slot, str) else slot))
 
 
 def fast_uniform(seed: int, row_id: Column, slot: str | Column) -> Column:
@@ -37,14 +45,19 @@ def real(u: Column, low: float | Column, high: float | Column) -> Column:
     return low + u * (high - low)
 
 
-def weighted(u: Column, weights: Mapping[str, float]) -> Column:
-    """A label with probability in proportion to its weight; a chain of comparisons, within codegen."""
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once.  Within a lambda Spark evaluates an expression as often as it is mentioned."""
+    return F.transform(F.array(value), use)[0]
+
+
+def weighted(u: Column, weights: Mapping[str, float], of: Callable[[str], Column] = F.lit) -> Column:
+    """A label, or what ``of`` makes of it, with probability in proportion to its weight; a chain of comparisons, within codegen."""
     total, run, out = float(sum(weights.values())), 0.0, None
     for label, weight in weights.items():
         run += weight
         test = u * F.lit(total) < F.lit(run)
-        out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
-    return out.otherwise(F.lit(list(weights)[-1]))
+        out = F.when(test, of(label)) if out is None else out.when(test, of(label))
+    return out.otherwise(of(list(weights)[-1]))
 
 
 def choice(u: Column, items: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +14,11 @@ from ..sources import dims
 
 TAXONOMY_VERSION = "t1"
 LETTERS = "ABCDEFGHJKLMNPQRSTUVWXYZ"  # without I and O
+# The draws of a row, apart from its airport's and its aircraft's.
+SLOTS = [
+    "phase", "density", "time", "event", "sky", "many", "heading", "side", "nosid", "letter:0", "letter:1", "letter:2", "letter:3", "sid", "squawk", "frequency",
+    "direction", "windy", "wind", "vis", "cloud", "ceiling", "altimeter",
+]
 
 
 class Sampler:
@@ -41,8 +45,14 @@ class Sampler:
         self.operators = {k: v for k, v in given.items() if self.members.get(k)}
         self.events = event_weights or config.event_weights
 
-    def u(self, slot: str | Column) -> Column:
-        return (rng.fast_uniform if self.fast else rng.uniform)(self.seed, F.col("id"), slot)
+    def hashed(self, *slot: Column) -> Column:
+        """The draw of a slot whose name is that of these columns in a row."""
+        return rng.fast_uniform(self.seed, F.col("id"), F.concat(*slot)) if self.fast else rng.fraction(F.concat(F.col("_stem"), *slot))
+
+    def u(self, slot: str) -> Column:
+        """A row's draw, one of ``SLOTS``.  They are hashed once, as an array: what is made of them stays short enough to be
+        compiled, and no draw is hashed again by each comparison with it."""
+        return F.col("_u")[SLOTS.index(slot)]
 
     def rows(self, count: int, start: int = 0) -> DataFrame:
         """(id, scenario_id, scenario) of the ids start to count - 1."""
@@ -51,10 +61,11 @@ class Sampler:
     def of(self, numbered: DataFrame) -> DataFrame:
         """The scenarios of the ids of a table, whose other columns come along."""
         more = [c for c in numbered.columns if c != "id"]
-        drawn = lookups.pick(numbered, self.u("icao"), self.intervals, "icao", more=["region"])
+        drawn = lookups.pick(numbered, (rng.fast_uniform if self.fast else rng.uniform)(self.seed, F.col("id"), "icao"), self.intervals, "icao", more=["region"])
+        drawn = drawn.withColumn("_stem", rng.stem(self.seed, F.col("id"))).withColumn("_u", F.transform(F.array(*map(F.lit, SLOTS)), lambda slot: self.hashed(slot)))
         c, phase = self.config, F.col("phase")
         drawn = drawn.select(
-            *more, "id", "icao", "region", rng.weighted(self.u("phase"), c.phase_weights).alias("phase"), rng.weighted(self.u("density"), c.traffic_density_weights).alias("traffic_density"),
+            *more, "id", "_stem", "_u", "icao", "region", rng.weighted(self.u("phase"), c.phase_weights).alias("phase"), rng.weighted(self.u("density"), c.traffic_density_weights).alias("traffic_density"),
             rng.weighted(self.u("time"), c.time_of_day_weights).alias("time_of_day"), rng.weighted(self.u("event"), self.events).alias("event"), rng.weighted(self.u("sky"), c.weather.vmc_imc_weights).alias("sky"),
         )
         drawn = drawn.withColumn("aircraft", self._aircraft())
@@ -68,23 +79,30 @@ class Sampler:
         ranges = self.config.traffic_aircraft_range
         low, high = (F.element_at(F.create_map(*[F.lit(x) for k, r in ranges.items() for x in (k, int(r[end]))]), F.col("traffic_density")) for end in (0, 1))
 
+        def own(name: str) -> Column:
+            """What a class draws from."""
+            crafts = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(w).alias("w")) for t, w in self.members[name]])
+            prefixes = F.array(*map(F.lit, self.config.operator_prefixes.get(name) or [])).cast("array<string>")
+            return F.struct(F.lit(name).alias("name"), crafts.alias("crafts"), prefixes.alias("prefixes"))
+
+        # a literal that is looked up: a bound value is copied
+        table, place = F.array(*map(own, self.operators)), {name: k for k, name in enumerate(self.operators)}
+
         def one(k: Column) -> Column:
-            slot = lambda what: F.concat(F.lit(f"{what}:"), k.cast("string"))
-            kind = rng.weighted(self.u(slot("class")), self.operators)
-            out = None
-            for name in self.operators:
-                crafts = json.dumps([{"t": t, "w": w} for t, w in self.members[name]])
-                craft = rng.choice(self.u(slot("craft")), F.from_json(F.lit(crafts), "array<struct<t: string, w: string>>"))
-                prefixes = self.config.operator_prefixes.get(name) or []
-                if prefixes:
-                    head = rng.choice(self.u(slot("prefix")), F.array(*[F.lit(p) for p in prefixes]))
-                    sign = F.concat(head, rng.integer(self.u(slot("number")), 1, 9999).cast("string"))
-                else:  # N and one to five digits
-                    width = rng.integer(self.u(slot("width")), 1, 5).cast("int")
-                    sign = F.concat(F.lit("N"), F.substr(F.lpad(rng.integer(self.u(slot("number")), 0, 99999).cast("string"), 5, "0"), F.lit(1), width))
-                row = F.struct(sign.alias("callsign"), craft["t"].alias("aircraft_type"), craft["w"].alias("wake"), F.lit(name).alias("operator_class"))
-                out = F.when(kind == name, row) if out is None else out.when(kind == name, row)
-            return out
+            drawn = lambda what: self.hashed(F.lit(f"{what}:"), k.cast("string"))
+
+            def row(number: Column) -> Column:
+                kind = F.get(table, number)
+                prefixed = F.concat(rng.choice(drawn("prefix"), kind["prefixes"]), rng.integer(drawn("number"), 1, 9999).cast("string"))
+                width = rng.integer(drawn("width"), 1, 5).cast("int")  # N and one to five digits
+                plain = F.concat(F.lit("N"), F.substr(F.lpad(rng.integer(drawn("number"), 0, 99999).cast("string"), 5, "0"), F.lit(1), width))
+                sign = F.when(F.size(kind["prefixes"]) > 0, prefixed).otherwise(plain)
+                return rng.bound(
+                    rng.choice(drawn("craft"), kind["crafts"]),
+                    lambda craft: F.struct(sign.alias("callsign"), craft["t"].alias("aircraft_type"), craft["w"].alias("wake"), kind["name"].alias("operator_class")),
+                )
+
+            return rng.bound(rng.bound(drawn("class"), lambda u: rng.weighted(u, self.operators, lambda name: F.lit(place[name]))), row)
 
         return F.transform(F.sequence(F.lit(0).cast("long"), rng.integer(self.u("many"), low, high) - 1), one)
 

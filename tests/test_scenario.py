@@ -181,3 +181,12 @@ def test_public_names():
     from skyphrase import api
 
     assert all(hasattr(api, name) for name in api.__all__)
+
+
+def test_a_draw_is_hashed_once(spark, sf_dir):
+    """No draw is hashed again by each comparison with it: the plan mentions few hashes, and those of an aircraft once each."""
+    from skyphrase.plans import catalogue
+
+    for query in (catalogue.scenario_sample, catalogue.prompt_briefing):
+        plan = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.count("sha1(") <= 12, plan.count("sha1(")
