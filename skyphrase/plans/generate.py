@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import asdict, dataclass, field, replace
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -227,23 +228,25 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[Question]:
 def _answered(held: list[tuple[Question, tuple[str | None, str | None]]]) -> pa.RecordBatch:
     """The answered rows: id, scenario_id and scenario as they came, and what was answered."""
     names = ["id", "scenario_id", "scenario"]
-    table = pa.Table.from_batches([q.batch.slice(q.row, 1).select(names) for q, _ in held]).combine_chunks()
+    held = sorted(held, key=lambda found: id(found[0].batch))  # the rows of a batch are taken at once
+    taken = [[q for q, _ in own] for _, own in groupby(held, lambda found: id(found[0].batch))]
+    table = pa.Table.from_batches([own[0].batch.select(names).take(pa.array([q.row for q in own])) for own in taken]).combine_chunks()
     (own,) = table.to_batches()
     more = [pa.array([raw for _, (raw, _) in held], pa.string()), pa.array([error for _, (_, error) in held], pa.string())]
     return pa.RecordBatch.from_arrays([*own.columns, *more], names=[*names, "raw", "error"])
 
 
-def outcomes(answered: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """(accepted transcripts, failures) of written answers."""
+def outcomes(answered: DataFrame, config: RunConfig, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted transcripts, failures) of written answers; ``more`` columns of these come along."""
     parsed = answered.withColumn("turns", turns.parse_turns(F.col("raw")))
     wrong = turns.turn_error(F.col("turns"), F.col("scenario.callsign"))
     parsed = parsed.withColumn("error", F.coalesce("error", F.concat(F.lit("TranscriptParseError: "), wrong)))
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
     good = parsed.where("error is null").select(
         "id", "scenario_id", "scenario", "turns", F.lit(config.model).alias("model"), F.concat(now, F.lit("Z")).alias("generated_at"),
-        F.lit(config.prompt_version).alias("prompt_version"), F.lit(config.taxonomy_version).alias("taxonomy_version"),
+        F.lit(config.prompt_version).alias("prompt_version"), F.lit(config.taxonomy_version).alias("taxonomy_version"), *more,
     )
-    return good, parsed.where("error is not null").select("id", "scenario_id", "scenario", "error", F.concat(now, F.lit("+00:00")).alias("at"))
+    return good, parsed.where("error is not null").select("id", "scenario_id", "scenario", "error", F.concat(now, F.lit("+00:00")).alias("at"), *more)
 
 
 @dataclass(frozen=True)
@@ -253,17 +256,25 @@ class Stats:
 
 
 Hook = Callable[[Stats], None]
-ANSWERS, STOP, DONE = ".answers", "_stop", "_done"
+ANSWERS, STOP, DONE, READY = ".answers", "_stop", "_done", ".ready-"
+BATCH = 512  # parts that are made ready by one job, at most
 FLUSH_ROWS, FLUSH_SECONDS, POLL = 200, 2.0, 0.25
 ANSWERED = f"id long, scenario_id string, scenario {schemas.SCENARIO}, raw string, error string"
 
 
 @dataclass(frozen=True)
 class Part:
-    """Ids that are settled at once: those of one stretch of ``size`` ids that the ledger lacks."""
+    """Ids that are settled at once: those of one stretch of ``size`` ids that the ledger lacks.  ``ready`` is the folder in the
+    outbox that holds its outcomes, once they are made, and ``shard`` the entry of its shard there, if it has accepted rows."""
 
     key: str
     ids: Ledger
+    ready: str | None = None
+    shard: dict | None = None
+
+    @property
+    def low(self) -> int:
+        return self.ids.intervals[0][0]
 
 
 def parts_of(todo: Ledger, size: int) -> list[Part]:
@@ -306,6 +317,10 @@ class Outbox:
     def read(self, spark: SparkSession, key: str) -> DataFrame:
         return spark.read.schema(ANSWERED).parquet(f"{self.folder.path}/part={key}").dropDuplicates(["id"])
 
+    def parts(self, spark: SparkSession, keys: list[str]) -> DataFrame:
+        """The answers of parts, whose keys are the column ``part``; rows of a task that was run twice are there twice."""
+        return spark.read.schema(f"{ANSWERED}, part string").option("basePath", self.folder.path).parquet(*[f"{self.folder.path}/part={k}" for k in keys])
+
 
 def fill(questions: DataFrame, outbox: Outbox, keys: list[str], config: RunConfig, client: Callable[[RunConfig], Client], inflight: int) -> None:
     """Asks all questions, whose ``part`` is the place of their part among the keys, and leaves the answers in the outbox.
@@ -342,9 +357,49 @@ def fill(questions: DataFrame, outbox: Outbox, keys: list[str], config: RunConfi
     questions.mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
+def made_ready(sink: ShardSink, parts: list[Part], config: RunConfig) -> list[Part]:
+    """The parts whose answers are all there, with their outcomes written aside by one job for all: a shard and a file of
+    failures each.  Nothing is stored before a part is settled, which then moves two files."""
+    spark, outbox = sink.folder.spark, Outbox(sink.folder)
+    many = outbox.parts(spark, [p.key for p in parts]).select("part", "id").groupBy("part").agg(F.count_distinct("id").alias("n"))
+    there = {r["part"]: r["n"] for r in many.collect()}  # a row for each part
+    whole = [p for p in parts if there.get(p.key, 0) >= len(p.ids)]
+    fit = [p for p in whole if len(p.ids) <= sink.shard_size]
+    if not fit:
+        return whole
+    name = f"{READY}{uuid.uuid4().hex}"
+    aside = f"{ANSWERS}/{name}"
+    # a part's rows are dealt to one task; of an id that was asked twice both jobs below take the same answer
+    dealt = min(len(fit), 4 * spark.sparkContext.defaultParallelism)
+    rows = outbox.parts(spark, [p.key for p in fit]).repartition(dealt, "part")
+    first = F.min_by(F.struct("scenario_id", "scenario", "raw", "error"), F.struct(F.col("error").isNotNull(), F.coalesce("raw", F.lit(""))))
+    answered = rows.groupBy("part", "id").agg(first.alias("row")).select("part", "id", "row.*")
+    good, failed = outcomes(answered, config, "part")
+    failed.drop("id").write.partitionBy("part").json(f"{sink.folder.path}/{aside}/failures", ignoreNullFields=False)
+    lows = F.substring_index("part", "x", 1).cast("long")
+    shards = {s["shard"]: s for s in sink.write_aside(good.withColumn("shard_id", lows).drop("part"), "id", ["id"], f"{aside}/shards")}
+    made = [replace(p, ready=name, shard=shards.get(p.low)) for p in fit]
+    return [*made, *[p for p in whole if len(p.ids) > sink.shard_size]]
+
+
+def _settle_ready(sink: ShardSink, part: Part) -> Stats:
+    """Stores the outcomes of a part that lie ready."""
+    failures, aside = f"failures.jsonl/part={part.key}", f"{ANSWERS}/{part.ready}"
+    sink.folder.drop(failures)
+    ok = part.shard["rows"] if part.shard else 0
+    if ok < len(part.ids):
+        sink.folder.fs.create_dir(sink.folder.at("failures.jsonl"), recursive=True)
+        sink.folder.move(f"{aside}/failures/part={part.key}", failures)
+    sink.adopt(part.shard, f"{aside}/shards", part.ids, part.key)
+    Outbox(sink.folder).folder.drop(f"part={part.key}")
+    return Stats(ok, len(part.ids) - ok)
+
+
 def settle(sink: ShardSink, part: Part, config: RunConfig) -> Stats:
     """Stores the outcomes of a part whose answers are all there.  Failures go into a file of the part's own, rows and
     ledger into one commit: a part that breaks off is settled again, with the same result."""
+    if part.ready:
+        return _settle_ready(sink, part)
     outbox = Outbox(sink.folder)
     answered = outbox.read(sink.folder.spark, part.key)
     total = len(part.ids) or answered.count()
@@ -372,6 +427,8 @@ def left_over(sink: ShardSink, config: RunConfig) -> Stats:
             more = settle(sink, Part(key, Ledger()), config)
             stats = Stats(stats.ok + more.ok, stats.failed + more.failed)
         outbox.folder.drop(name)
+    for name in outbox.folder.names(READY):  # made ready and not settled: made once more, of the same answers
+        outbox.folder.drop(name)
     outbox.folder.drop(STOP)
     return stats
 
@@ -463,13 +520,17 @@ def run(
         if watch:
             own = [counts[k] for k in left if k in counts]
             watch(Stats(stats.ok + settled.ok + sum(c[1] for c in own), stats.failed + settled.failed + sum(c[0] - c[1] for c in own)))
-        for key in [k for k in left if k in counts and counts[k][0] >= len(left[k].ids)]:
-            if outbox.read(spark, key).count() < len(left[key].ids):
-                continue
-            more = settle(sink, left.pop(key), config)
-            settled, moved = Stats(settled.ok + more.ok, settled.failed + more.failed), True
-            if hook:
-                hook(Stats(stats.ok + settled.ok, stats.failed + settled.failed))
+        full = [p for k, p in left.items() if k in counts and counts[k][0] >= len(p.ids)]
+        for k in range(0, len(full), BATCH):
+            made = made_ready(sink, full[k : k + BATCH], config)
+            for part in made:
+                left.pop(part.key)
+                more = settle(sink, part, config)
+                settled, moved = Stats(settled.ok + more.ok, settled.failed + more.failed), True
+                if hook:
+                    hook(Stats(stats.ok + settled.ok, stats.failed + settled.failed))
+            for name in {p.ready for p in made if p.ready}:
+                outbox.folder.drop(name)
         return moved
 
     if waiting:

@@ -190,13 +190,35 @@ class ShardSink:
         else:
             placed = select.sharded(df, order, self.shard_size, first)
             rows = placed.repartition("shard_id").sortWithinPartitions("shard_id", order).drop(*(drop or []))
+        self._write(rows, aside, {"settled": settled.intervals if settled else [], "part": part})
+        return self._carry_out(aside)
+
+    def _write(self, rows: DataFrame, aside: str, note: dict) -> None:
+        spark = self.folder.spark
         if not getattr(spark, "_skyphrase_shards", False):
             spark.dataSource.register(ShardSource)
             spark._skyphrase_shards = True
-        note = {"settled": settled.intervals if settled else [], "part": part}
         folder = base64.b64encode(cloudpickle.dumps(self.folder)).decode()
         rows.write.format(ShardSource.name()).options(folder=folder, aside=aside, note=json.dumps(note)).mode("append").save()
-        return self._carry_out(aside)
+
+    def write_aside(self, rows: DataFrame, order: str, drop: list[str], aside: str) -> list[dict]:
+        """Writes rows, a ``shard_id`` of which lies in one partition, as a file for each into ``aside``; the entries of these.  They
+        aren't stored before they are adopted."""
+        self._write(rows.sortWithinPartitions("shard_id", order).drop(*drop), aside, {})
+        shards = json.loads(self.folder.read(f"{aside}/{RECORD}"))["shards"]
+        if len({s["shard"] for s in shards}) < len(shards):
+            raise ValueError("rows of a shard lie in several partitions")
+        return shards
+
+    def adopt(self, shard: dict | None, aside: str, settled: Ledger, part: str) -> int:
+        """Commits a file that was written aside, as the next shard, and ``settled`` ids with it, or these alone."""
+        commit, shards = f"{COMMIT}{uuid.uuid4().hex}", []
+        if shard:
+            self.folder.fs.create_dir(self.folder.at(commit), recursive=True)
+            self.folder.move(f"{aside}/{shard['file']}", f"{commit}/{shard['file']}")
+            shards = [shard | {"shard": self.manifest.last_shard_index + 1}]
+        self.folder.write(f"{commit}/{RECORD}", json.dumps({"settled": settled.intervals, "part": part, "shards": shards}))
+        return self._carry_out(commit)
 
     def _carry_out(self, aside: str) -> int:
         """Moves the shards of a record to their names and enters them; can be repeated at any point."""

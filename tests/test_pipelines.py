@@ -376,3 +376,22 @@ def test_stream(spark, tmp_path):
     batch = spark.read.schema(turns_stream.RAW).json((tmp_path / "in").as_uri())
     row = turns_stream.outcome_rate(batch).first()
     assert (row["ok"], row["failed"]) == (1, 1)
+
+
+def test_parts_that_are_complete_are_made_ready_together(spark, tmp_path, monkeypatch):
+    """Jobs don't grow with the parts: answers of all that are there are parsed and written at once, a shard for each part."""
+    out, settings = (tmp_path / "g").as_uri(), generate.RunConfig(model="stub", count=120, concurrency=4, shard_size=10)
+    sampler, told, written_ = Sampler(spark, config.load(), 3), [], []
+    sink = generate.open_sink(spark, out, settings)
+    outbox, parts = generate.Outbox(sink.folder), generate.parts_of(sink.manifest.settled.missing(120), 10)
+    questions = generate._questions(sampler.of(generate._numbered(spark, parts, 2)), "part")
+    generate.fill(questions, outbox, [p.key for p in parts], settings, generate.stub_client, 2)  # all answers are there
+    write = ShardSink._write
+    monkeypatch.setattr(ShardSink, "_write", lambda self, *a: (written_.append(1), write(self, *a)))
+    stats = generate.run(sampler, out, settings, generate.stub_client, hook=told.append)
+    assert len(written_) == 1 and len(told) == 12 and stats.ok + stats.failed == 120 and told[-1] == stats
+    sink = generate.open_sink(spark, out, settings)
+    assert len(sink.shards()) == sink.manifest.last_shard_index + 1 == 12 and sink.manifest.total_rows == stats.ok == sink.existing().count()
+    good, failed = [r["scenario_id"] for r in sink.existing().collect()], [r["scenario_id"] for r in generate.recorded(sink).collect()]
+    assert len(failed) == stats.failed and sorted(good + failed) == sorted(r["scenario_id"] for r in sampler.rows(120).collect())
+    assert not sink.folder.names(".commit-") and not sink.folder.exists(generate.ANSWERS)
