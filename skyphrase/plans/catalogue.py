@@ -133,10 +133,12 @@ def country_regions(spark, sf_dir):
 
 
 def tier_weights(spark, sf_dir):
-    """The weights of codes that customers have, some of them in a tier."""
-    tiers = [*sorted(config.load().airport_tiers), "ZZZZ", "YYYY"]
-    code = F.get(F.array(*map(F.lit, tiers)), (F.col("c_custkey") % len(tiers)).cast("int"))
-    return dims.tier_weights(_table(spark, sf_dir, "customer").select(code.alias("icao")).distinct(), config.load())
+    """The weights of all airports, and of two codes that aren't one's, with the customers that are dealt to each, a row for
+    each of these; a code without customers has one row."""
+    codes = sorted({r["icao"] for r in dims.airports(spark).select("icao").collect()} | set(config.load().airport_tiers) | {"YYYY", "ZZZZ"})  # a row for each airport
+    listed = spark.createDataFrame(list(enumerate(codes)), "place long, icao string")
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", F.pmod(F.col("c_custkey"), F.lit(len(codes))).cast("long").alias("place"))
+    return dims.tier_weights(listed.join(customers, "place", "left"), config.load(), more=["c_custkey"])
 
 
 def operator_multimap(spark, sf_dir):

@@ -164,8 +164,9 @@ SELECT icao, coalesce(region, 'other') AS region FROM p LEFT JOIN known USING (c
 WITH known(country, region) AS (VALUES {_countries()}), s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 <> 0 THEN substr(n_name, 1, 2) WHEN s_suppkey % 2 = 0 THEN lower(substr(n_name, 1, 2)) END AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT s_suppkey, s.country, coalesce(region, 'other') AS region FROM s LEFT JOIN known ON known.country = s.country""",
         "tier_weights": f"""
-WITH t(icao, weight) AS (VALUES {tiers}), p AS (SELECT DISTINCT [{', '.join(repr(x) for x in [*sorted(c.airport_tiers), 'ZZZZ', 'YYYY'])}][1 + c_custkey % {len(c.airport_tiers) + 2}] AS icao FROM customer)
-SELECT icao, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight FROM p LEFT JOIN t USING (icao)""",
+WITH t(icao, weight) AS (VALUES {tiers}), air(icao, country) AS (VALUES {_airports()}),
+a AS (SELECT icao, row_number() OVER (ORDER BY icao) - 1 AS place, count(*) OVER () AS n FROM (SELECT icao FROM air UNION SELECT icao FROM t UNION VALUES ('YYYY'), ('ZZZZ')))
+SELECT icao, coalesce(weight, {c.tier_weights['default']})::DOUBLE AS weight, c_custkey FROM a LEFT JOIN t USING (icao) LEFT JOIN customer ON c_custkey % n = place""",
         "operator_multimap": """
 WITH m AS (SELECT r_name AS c, n_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT substr(n_name, 1, 1), n_name FROM nation)
 SELECT c AS operator_class, count(*) AS n_aircraft, string_agg(n_name, ',' ORDER BY n_name) AS members FROM m GROUP BY c""",

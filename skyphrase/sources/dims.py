@@ -4,6 +4,7 @@ replaces the bundled table."""
 from __future__ import annotations
 
 import csv
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,8 +64,8 @@ def uniform_weights(ports: DataFrame) -> DataFrame:
     return ports.select("icao", F.lit(1.0).alias("weight"))
 
 
-def tier_weights(ports: DataFrame, config: RegionConfig) -> DataFrame:
-    """Weights by tier: airports without a tier, and tiers without a weight, get the default."""
+def tier_weights(ports: DataFrame, config: RegionConfig, more: Sequence[str] = ()) -> DataFrame:
+    """Weights by tier: airports without a tier, and tiers without a weight, get the default.  ``more`` columns come along."""
     default = config.tier_weights["default"]
     tiers = ports.sparkSession.createDataFrame([(k, config.tier_weights.get(str(v), default)) for k, v in config.airport_tiers.items()], "icao string, tier_weight double")
-    return ports.join(F.broadcast(tiers), "icao", "left").select("icao", F.coalesce("tier_weight", F.lit(float(default))).alias("weight"))
+    return ports.join(F.broadcast(tiers), "icao", "left").select("icao", F.coalesce("tier_weight", F.lit(float(default))).alias("weight"), *more)
