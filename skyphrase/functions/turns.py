@@ -23,8 +23,10 @@ def strip(text: Column) -> Column:
 
 def parse_turns(raw: Column) -> Column:
     """array<struct<speaker, text>> of the lines that match the grammar; other lines are skipped."""
-    lines = F.filter(F.split(F.coalesce(raw, F.lit("")), _BREAK), lambda line: line.rlike(_TURN))
-    return F.transform(lines, lambda line: F.struct(strip(F.regexp_extract(line, _TURN, 1)).alias("speaker"), strip(F.regexp_extract(line, _TURN, 2)).alias("text")))
+    lines = F.split(F.coalesce(raw, F.lit("")), _BREAK)
+    # a tag is never empty and, as short as can be, ends in no space
+    found = F.transform(lines, lambda line: F.struct(F.regexp_extract(line, _TURN, 1).alias("speaker"), strip(F.regexp_extract(line, _TURN, 2)).alias("text")))
+    return F.filter(found, lambda t: t["speaker"] != "")
 
 
 def speakers(turns: Column) -> Column:

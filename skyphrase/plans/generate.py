@@ -238,7 +238,8 @@ def _answered(held: list[tuple[Question, tuple[str | None, str | None]]]) -> pa.
 
 def outcomes(answered: DataFrame, config: RunConfig, *more: str) -> tuple[DataFrame, DataFrame]:
     """(accepted transcripts, failures) of written answers; ``more`` columns of these come along."""
-    parsed = answered.withColumn("turns", turns.parse_turns(F.col("raw")))
+    # generated, one row for each: projected turns would be parsed again by each mention in the filters below, which are pushed down
+    parsed = answered.select("*", F.explode(F.array(turns.parse_turns(F.col("raw")))).alias("turns"))
     wrong = turns.turn_error(F.col("turns"), F.col("scenario.callsign"))
     parsed = parsed.withColumn("error", F.coalesce("error", F.concat(F.lit("TranscriptParseError: "), wrong)))
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
@@ -361,23 +362,24 @@ def made_ready(sink: ShardSink, parts: list[Part], config: RunConfig) -> list[Pa
     """The parts whose answers are all there, with their outcomes written aside by one job for all: a shard and a file of
     failures each.  Nothing is stored before a part is settled, which then moves two files."""
     spark, outbox = sink.folder.spark, Outbox(sink.folder)
-    many = outbox.parts(spark, [p.key for p in parts]).select("part", "id").groupBy("part").agg(F.count_distinct("id").alias("n"))
-    there = {r["part"]: r["n"] for r in many.collect()}  # a row for each part
+    rows = outbox.parts(spark, [p.key for p in parts])  # files are listed once, so what is counted is what is read
+    many = rows.groupBy("part").agg(F.count_distinct("id").alias("n"), F.count("*").alias("rows")).collect()  # a row for each part
+    there, twice = {r["part"]: r["n"] for r in many}, any(r["rows"] > r["n"] for r in many)
     whole = [p for p in parts if there.get(p.key, 0) >= len(p.ids)]
     fit = [p for p in whole if len(p.ids) <= sink.shard_size]
     if not fit:
         return whole
     name = f"{READY}{uuid.uuid4().hex}"
     aside = f"{ANSWERS}/{name}"
-    # a part's rows are dealt to one task; of an id that was asked twice both jobs below take the same answer
-    dealt = min(len(fit), 4 * spark.sparkContext.defaultParallelism)
-    rows = outbox.parts(spark, [p.key for p in fit]).repartition(dealt, "part")
-    first = F.min_by(F.struct("scenario_id", "scenario", "raw", "error"), F.struct(F.col("error").isNotNull(), F.coalesce("raw", F.lit(""))))
-    answered = rows.groupBy("part", "id").agg(first.alias("row")).select("part", "id", "row.*")
+    answered = rows.where(F.col("part").isin([p.key for p in fit]))
+    if twice:  # of an id that was asked twice both jobs below take the same answer
+        first = F.min_by(F.struct("scenario_id", "scenario", "raw", "error"), F.struct(F.col("error").isNotNull(), F.coalesce("raw", F.lit(""))))
+        answered = answered.groupBy("part", "id").agg(first.alias("row")).select("part", "id", "row.*")
     good, failed = outcomes(answered, config, "part")
-    failed.drop("id").write.partitionBy("part").json(f"{sink.folder.path}/{aside}/failures", ignoreNullFields=False)
+    dealt = min(len(fit), 4 * spark.sparkContext.defaultParallelism)  # a part's outcomes to one task
+    failed.drop("id").repartition(dealt, "part").write.partitionBy("part").json(f"{sink.folder.path}/{aside}/failures", ignoreNullFields=False)
     lows = F.substring_index("part", "x", 1).cast("long")
-    shards = {s["shard"]: s for s in sink.write_aside(good.withColumn("shard_id", lows).drop("part"), "id", ["id"], f"{aside}/shards")}
+    shards = {s["shard"]: s for s in sink.write_aside(good.withColumn("shard_id", lows).drop("part").repartition(dealt, "shard_id"), "id", ["id"], f"{aside}/shards")}
     made = [replace(p, ready=name, shard=shards.get(p.low)) for p in fit]
     return [*made, *[p for p in whole if len(p.ids) > sink.shard_size]]
 

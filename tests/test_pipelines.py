@@ -395,3 +395,25 @@ def test_parts_that_are_complete_are_made_ready_together(spark, tmp_path, monkey
     good, failed = [r["scenario_id"] for r in sink.existing().collect()], [r["scenario_id"] for r in generate.recorded(sink).collect()]
     assert len(failed) == stats.failed and sorted(good + failed) == sorted(r["scenario_id"] for r in sampler.rows(120).collect())
     assert not sink.folder.names(".commit-") and not sink.folder.exists(generate.ANSWERS)
+
+
+def test_an_answer_is_parsed_once_by_each_job(spark, tmp_path):
+    """The filters on errors, which are pushed down, don't parse once more for each mention of the turns."""
+    out, settings = (tmp_path / "g").as_uri(), generate.RunConfig(model="stub", count=20, shard_size=10)
+    generate.answers(Sampler(spark, config.load(), 3).rows(20), settings, generate.stub_client).write.parquet(out)
+    for df in generate.outcomes(spark.read.parquet(out), settings):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_answers_that_are_there_twice_are_stored_once(spark, tmp_path):
+    """A task that was run twice has left its answers twice; only parts made ready without such answers are spared the grouping by id."""
+    out, settings = (tmp_path / "g").as_uri(), generate.RunConfig(model="stub", count=60, concurrency=4, shard_size=10)
+    sampler, sink = Sampler(spark, config.load(), 3), generate.open_sink(spark, out, settings)
+    outbox, parts = generate.Outbox(sink.folder), generate.parts_of(sink.manifest.settled.missing(60), 10)
+    generate.fill(generate._questions(sampler.of(generate._numbered(spark, parts, 2)), "part"), outbox, [p.key for p in parts], settings, generate.stub_client, 2)
+    for name in outbox.folder.names(f"part={parts[1].key}/", deep=True):
+        outbox.folder.put(name.replace(".parquet", "-again.parquet"), outbox.folder.get(name))
+    stats = generate.run(sampler, out, settings, generate.stub_client)
+    sink = generate.open_sink(spark, out, settings)
+    stored = [r["scenario_id"] for r in sink.existing().unionByName(generate.recorded(sink), allowMissingColumns=True).collect()]
+    assert stats.ok + stats.failed == 60 and sorted(stored) == sorted(r["scenario_id"] for r in sampler.rows(60).collect())
